@@ -17,12 +17,13 @@ WEB_SCHEMES = ("http", "https", "file", "ftp")
 
 
 def url_parts(url: Column) -> Column:
-    def part(group: int) -> Column:
-        return F.regexp_extract(url, URL_PATTERN, group)
+    """STRUCT of scheme, authority, path, query (with '?') and fragment (with '#'); parts not there are empty."""
 
-    return F.struct(
-        part(1).alias("scheme"), part(2).alias("authority"), part(3).alias("path"), part(4).alias("query"), part(5).alias("fragment")
-    )
+    def split(text: Column) -> Column:
+        names = ("scheme", "authority", "path", "query", "fragment")
+        return F.struct(*[F.regexp_extract(text, URL_PATTERN, i).alias(name) for i, name in enumerate(names, start=1)])
+
+    return let(url, split)
 
 
 def url_host(url: Column) -> Column:
@@ -34,23 +35,20 @@ def in_domains(url: Column, domains: Sequence[str]) -> Column:
     """Host equals one of the domains or lies below it; no domains means no restriction."""
     if not domains:
         return F.lit(True)
-    host = url_host(url)
-    hit = F.lit(False)
-    for domain in domains:
-        hit = hit | (host == domain.lower()) | F.endswith(host, F.lit("." + domain.lower()))
-    return hit
+    names = "|".join(d.lower().replace(".", r"\.") for d in domains)
+    return url_host(url).rlike(rf"^(?:.*\.)?(?:{names})\z")
 
 
 def escape_url(url: Column) -> Column:
     """Percent-encode (UTF-8) the characters a URL may not carry; text without any is passed through."""
-    escaped = F.array_join(
-        F.transform(
-            F.split(url, ""),
-            lambda c: F.when(c == " ", F.lit("%20")).when(c.rlike(UNSAFE_URL_CHAR), F.url_encode(c)).otherwise(c),
-        ),
-        "",
-    )
-    return F.when(url.rlike(UNSAFE_URL_CHAR), escaped).otherwise(url)
+
+    def escaped(char: Column) -> Column:
+        return F.when(char == " ", F.lit("%20")).when(char.rlike(UNSAFE_URL_CHAR), F.url_encode(char)).otherwise(char)
+
+    def escape(text: Column) -> Column:
+        return F.when(text.rlike(UNSAFE_URL_CHAR), F.array_join(F.transform(F.split(text, ""), escaped), "")).otherwise(text)
+
+    return let(url, escape)
 
 
 def _drop_dot_segments(path: Column) -> Column:
@@ -61,40 +59,46 @@ def _drop_dot_segments(path: Column) -> Column:
             .otherwise(F.concat(done, F.array(segment)))
         )
 
-    segments = F.split(path, "/")
-    resolved = F.aggregate(segments, F.array().cast("array<string>"), step)
-    open_end = F.element_at(segments, -1).isin(".", "..")
-    text = F.array_join(F.when(open_end, F.concat(resolved, F.array(F.lit("")))).otherwise(resolved), "/")
-    return F.when(path.rlike(r"(?:^|/)\.\.?(?:/|$)"), text).otherwise(path)
+    def resolve(segments: Column) -> Column:
+        # A path that ends in a dot segment names a folder.
+        end = F.when(F.element_at(segments, -1).isin(".", ".."), F.array(F.lit(""))).otherwise(F.array().cast("array<string>"))
+        return F.array_join(F.concat(F.aggregate(segments, F.array().cast("array<string>"), step), end), "/")
+
+    return F.when(path.rlike(r"(?:^|/)\.\.?(?:/|$)"), let(F.split(path, "/"), resolve)).otherwise(path)
 
 
 def resolve_href(base: Column, href: Column) -> Column:
-    """Resolve `href` against the `url_parts` struct of the page it stands on."""
+    """Resolve `href` against `base`, the `url_parts` struct column of the page it stands on."""
+    root = F.concat(base["scheme"], F.lit("://"), base["authority"])
+
+    def full_path(path: Column) -> Column:
+        folder = F.regexp_extract(base["path"], r"^(.*/)?", 0)
+        below = F.regexp_replace(F.concat(F.lit("/"), folder, path), r"/{2,}", "/")
+        joined = F.when(F.startswith(path, F.lit("/")), path).otherwise(below)
+        return let(let(joined, _drop_dot_segments), lambda p: F.when(p == "", F.lit("/")).otherwise(p))
 
     def build(part: Column) -> Column:
-        # A fragment or query mark with nothing behind it is dropped.
-        query = F.when(part["query"] == "?", F.lit("")).otherwise(part["query"])
-        fragment = F.when(part["fragment"] == "#", F.lit("")).otherwise(part["fragment"])
-        root = F.concat(base["scheme"], F.lit("://"), base["authority"])
-        folder = F.regexp_replace(base["path"], r"[^/]*$", "")
-        folder = F.when(F.startswith(folder, F.lit("/")), folder).otherwise(F.concat(F.lit("/"), folder))
-        below = F.regexp_replace(F.concat(folder, part["path"]), r"/{2,}", "/")
-        rooted = F.startswith(part["path"], F.lit("/"))
-        path = _drop_dot_segments(F.when(rooted, part["path"]).otherwise(below))
-        path = F.when(path == "", F.lit("/")).otherwise(path)
-        base_query = F.when(query == "", base["query"]).otherwise(query)
+        # A query or fragment mark with nothing behind it is dropped.
+        query = F.when(part["query"] != "?", part["query"]).otherwise(F.lit(""))
+        fragment = F.when(part["fragment"] != "#", part["fragment"]).otherwise(F.lit(""))
+        tail = F.concat(query, fragment)
+        same_page = F.concat(root, base["path"], F.when(query == "", base["query"]).otherwise(query), fragment)
         return (
-            F.when(href == "", F.concat(root, base["path"], base["query"], base["fragment"]))
-            .when((part["scheme"] != "") & (part["scheme"] != base["scheme"]), href)
-            .when(part["authority"] != "", F.concat(base["scheme"], F.lit("://"), part["authority"], part["path"], query, fragment))
-            .when(part["path"] == "", F.concat(root, base["path"], base_query, fragment))
-            .otherwise(F.concat(root, path, query, fragment))
+            F.when((part["scheme"] != "") & (part["scheme"] != base["scheme"]), F.lit(None).cast("string"))
+            .when(part["authority"] != "", F.concat(base["scheme"], F.lit("://"), part["authority"], part["path"], tail))
+            .when(part["path"] == "", same_page)
+            .otherwise(F.concat(root, full_path(part["path"]), tail))
         )
 
-    return let(url_parts(href), build)
+    def resolve(text: Column) -> Column:
+        whole_base = F.concat(root, base["path"], base["query"], base["fragment"])
+        return F.when(text == "", whole_base).otherwise(F.coalesce(let(url_parts(text), build), text))
+
+    return let(href, resolve)
 
 
 def absolute_url(base_url: Column, href: Column) -> Column:
+    """`href` as written on the page at `base_url`, stripped, escaped and resolved."""
     return let(url_parts(base_url), lambda base: resolve_href(base, escape_url(strip(href))))
 
 

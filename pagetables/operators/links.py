@@ -9,8 +9,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from pagetables.functions.text import strip
-from pagetables.functions.urls import WEB_SCHEMES, escape_url, in_domains, resolve_href, url_parts
-from pagetables.operators.html import NodeSpec, Selector, first_text, html_nodes, select_nodes
+from pagetables.functions.urls import WEB_SCHEMES, absolute_url, escape_url, in_domains, resolve_href, url_parts
+from pagetables.operators.html import NodeSpec, Selector, first_text, html_nodes
 from pagetables.profile import LinkRule, SiteProfile
 
 _ANCHOR = Selector(tag="a", take="href")
@@ -70,16 +70,15 @@ def _label(rules: Sequence[LinkRule], number: Column, field: str) -> Column:
 def _page_links(pages: DataFrame, regions: Sequence[str]) -> DataFrame:
     """url plus one array of resolved links per page."""
     scanned = pages.select("url", html_nodes(F.col("html"), link_spec(regions)).alias("nodes"))
-    based = scanned.select(
+    nodes = F.col("nodes")
+    based = scanned.select("url", "nodes", first_text(nodes, _BASE).alias("base_href")).select(
         "url",
         "nodes",
         url_parts(
-            F.coalesce(resolve_href(url_parts(F.col("url")), escape_url(strip(first_text(F.col("nodes"), _BASE)))), F.col("url"))
+            F.when(F.col("base_href").isNull(), F.col("url")).otherwise(absolute_url(F.col("url"), F.col("base_href")))
         ).alias("base"),
     )
-    found = F.filter(
-        F.col("nodes"), lambda n: n["tag"].isin("a", "area") & n["attrs"]["href"].isNotNull()
-    )
+    found = F.filter(nodes, lambda n: n["tag"].isin("a", "area") & n["attrs"]["href"].isNotNull())
     return based.select(
         "url",
         F.transform(
@@ -95,9 +94,15 @@ def _page_links(pages: DataFrame, regions: Sequence[str]) -> DataFrame:
     )
 
 
+def _link_rows(page_links: DataFrame, links: Column) -> DataFrame:
+    # A plain inline makes Catalyst infer a size filter and evaluate the whole link expression for it once more.
+    rows = page_links.select(F.col("url").alias("src_url"), F.inline_outer(links))
+    return rows.filter(F.col("pos").isNotNull())
+
+
 def extract_links(pages: DataFrame, regions: Sequence[str] = ()) -> DataFrame:
     """(src_url, pos, href, dst_url, region_classes, anchor_class): every anchor, in document order."""
-    return _page_links(pages, regions).select(F.col("url").alias("src_url"), F.inline("links"))
+    return _link_rows(_page_links(pages, regions), F.col("links"))
 
 
 def route_links(links: DataFrame, profile: SiteProfile) -> DataFrame:
@@ -134,7 +139,7 @@ def routed_page_links(pages: DataFrame, profile: SiteProfile) -> DataFrame:
     distinct = F.filter(
         "links", lambda k, i: (i == 0) | (k["dst_url"] != F.get(F.col("links"), i - 1)["dst_url"])
     )
-    flat = ordered.select(F.col("url").alias("src_url"), F.inline(distinct))
+    flat = _link_rows(ordered, distinct)
     rule_no = F.nullif(F.col("rule_no"), F.lit(len(rules) + 1))
     return flat.select(
         "src_url",
