@@ -26,7 +26,7 @@ def date_part_text(text: Column) -> Column:
 
 def parse_day(text: Column) -> Column:
     """DATE, or null for text that is not a calendar day. Never throws under ANSI mode."""
-    return F.try_to_date(F.translate(F.regexp_extract(text, DAY_PATTERN, 0), " ", ""), "yyyy-M-d")
+    return F.try_to_date(F.replace(F.regexp_extract(text, DAY_PATTERN, 0), F.lit(" "), F.lit("")), "yyyy-M-d")
 
 
 def is_recent(text: Column, as_of: Column | dt.date | str, days_limit: int) -> Column:

@@ -10,6 +10,7 @@ from pagetables.functions.text import first_nonempty, let, nonempty
 
 # Where scripts of the JSON-LD type stand in page source. Comments and other scripts are
 # consumed first, so that look-alikes inside them do not count; only a wanted script fills the group.
+JSON_LD_TYPE = "application/ld+json"
 JSON_LD_PATTERN = (
     r"(?s)<!--.*?-->"
     r"|<(?i:script)\s(?:[^>]*\s)?(?i:type)\s*=\s*(?:\"application/ld\+json\"|'application/ld\+json'|application/ld\+json(?=[\s>]))"
@@ -22,7 +23,9 @@ JSON_LD_FIELDS = ("datePublished", "dateModified", "author", "articleSection", "
 
 
 def json_ld_scripts(html: Column) -> Column:
-    return F.filter(F.regexp_extract_all(html, F.lit(JSON_LD_PATTERN), F.lit(1)), lambda s: s != "")
+    """Bodies of the JSON-LD scripts in document order; pages without the type name are not searched."""
+    bodies = F.filter(F.regexp_extract_all(html, F.lit(JSON_LD_PATTERN), F.lit(1)), lambda s: s != "")
+    return F.when(F.contains(html, F.lit(JSON_LD_TYPE)), bodies).otherwise(F.array().cast("array<string>"))
 
 
 def _member(node: Column, path: str) -> Column:

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+import string
 from collections.abc import Sequence
 
 from pyspark.sql import Column
@@ -11,7 +13,8 @@ from pagetables.functions.text import let, strip
 
 # Generic URL syntax, characters a URL may carry as they are, trailing id segment.
 URL_PATTERN = r"(?s)^(?:([A-Za-z][A-Za-z0-9+.\-]*):)?(?://([^/?#]*))?([^?#]*)(\?[^#]*)?(#.*)?"
-UNSAFE_URL_CHAR = r"[^A-Za-z0-9\-._~:/?#\[\]@!$&'()*+,;=%|]"
+SAFE_URL_CHARS = string.ascii_letters + string.digits + "-._~:/?#[]@!$&'()*+,;=%|"
+UNSAFE_URL_CHAR = "[^" + re.sub(r"(\W)", r"\\\1", SAFE_URL_CHARS) + "]"
 URL_ID_PATTERN = r"/([a-z0-9]+)$"
 WEB_SCHEMES = ("http", "https", "file", "ftp")
 

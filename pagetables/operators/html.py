@@ -7,14 +7,19 @@ per page, an array of the elements some selector asks for. Every selector is the
 from __future__ import annotations
 
 import re
+import sys
 from collections.abc import Iterable
 from dataclasses import dataclass
 from html import unescape
 
 import pyarrow as pa
+from pyspark import cloudpickle
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+# Executors get this module with the function, so the package need not be installed on them.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 NODE_SCHEMA = (
     "array<struct<pos:int,tag:string,id:string,classes:array<string>,regions:array<string>,"
     "attrs:map<string,string>,texts:array<struct<pos:int,text:string>>>>"

@@ -7,7 +7,7 @@ import datetime as dt
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from pagetables.operators.articles import ACCEPTED, REJECTED, extract_records
+from pagetables.operators.articles import ACCEPTED, extract_records
 from pagetables.profile import SiteProfile
 from pagetables.sources.jsonl import run_path, write_jsonl
 
@@ -20,13 +20,13 @@ def run_article_job(
     run_ts: dt.datetime,
     item_cap: int | None = None,
 ) -> dict[str, str]:
-    """Writes <base>/records (parquet by outcome) and <base>/data_<run>.jsonl; returns the paths.
+    """Writes <base>/records (parquet, partitioned by outcome) and <base>/data_<run>.jsonl; returns both paths.
 
-    The records are written once and the two outputs read from them, so the HTML scan runs once per page.
+    `rejected_articles` of the stored records gives the rejects with their errors. The records are written once and the two outputs read from them, so the HTML scan runs once per page.
     """
     records_path = f"{base.rstrip('/')}/records/run_ts={run_ts.strftime('%Y-%m-%d_%H-%M-%S')}"
     extract_records(pages, profile, as_of).write.mode("overwrite").partitionBy("outcome").parquet(records_path)
     stored = pages.sparkSession.read.parquet(records_path)
     articles_path = run_path(base, run_ts)
     write_jsonl(stored.filter(F.col("outcome") == ACCEPTED), articles_path, limit=item_cap)
-    return {"records": records_path, "rejects": f"{records_path}/outcome={REJECTED}", "articles": articles_path}
+    return {"records": records_path, "articles": articles_path}

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from pagetables.functions import dates, jsonld, text, urls
 from pagetables.operators import articles, fetchlog, html, links, quality
 from pagetables.plans.crawl import crawl_reach
-from pagetables.plans.workspace import new_folder
+from pagetables.plans.workspace import new_folder, read_spread
 from pagetables.profile import NEWS_SITE, CleaningRules, LinkRule, SiteProfile
 from pagetables.sources import jsonl
 from pagetables.streaming import ingest
@@ -40,8 +40,13 @@ SAMPLE_PROFILE = SiteProfile(
 )
 
 
+# Tables whose rows are long texts, with the key to deal them out by when the table is small.
+TEXT_TABLES = {"pages": "page_id", "documents": "doc_id"}
+
+
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    path = f"{sf_dir}/{name}.parquet"
+    return read_spread(spark, path, TEXT_TABLES[name]) if name in TEXT_TABLES else spark.read.parquet(path)
 
 
 # --- inputs derived from the given tables -------------------------------------------------------------------------

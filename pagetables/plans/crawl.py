@@ -20,15 +20,13 @@ def crawl_reach(edges: DataFrame, seeds: DataFrame, max_depth: int = 5) -> DataF
     `edges` has src, dst and optionally follow: URLs reached only over edges with follow = false are recorded but not
     expanded. Each level is written to the shared folder, so plans do not grow with depth. A small frontier is
     broadcast (its size is measured first); a large one is joined by shuffle, where AQE splits pages with very many
-    links. Targets are made distinct with partial aggregation before they are shuffled.
+    links. The edges are stored as they come, without a shuffle; repeated ones vanish when the targets of a level are
+    made distinct, by partial aggregation before the shuffle.
     """
     spark = edges.sparkSession
     folder = new_folder(spark, "crawl")
     follow = F.col("follow") if "follow" in edges.columns else F.lit(True)
-    links = store(
-        edges.select("src", "dst", follow.alias("follow")).groupBy("src", "dst").agg(F.bool_or("follow").alias("follow")),
-        f"{folder}/edges",
-    )
+    links = store(edges.select("src", "dst", follow.alias("follow")), f"{folder}/edges")
 
     start = seeds.select("url").distinct().select("url", F.lit(0).alias("depth"), F.lit(True).alias("follow"))
     frontier = reached = store(start, f"{folder}/depth=0")
