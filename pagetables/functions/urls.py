@@ -57,7 +57,7 @@ def escape_url(url: Column) -> Column:
 def _drop_dot_segments(path: Column) -> Column:
     def step(done: Column, segment: Column) -> Column:
         return (
-            F.when(segment == "..", F.slice(done, F.lit(1), F.greatest(F.size(done) - 1, F.lit(0))))
+            F.when(segment == "..", F.slice(done, F.lit(1), F.greatest(F.size(done) - 1, F.lit(1))))
             .when(segment == ".", done)
             .otherwise(F.concat(done, F.array(segment)))
         )

@@ -16,7 +16,7 @@ from pagetables.profile import LinkRule, SiteProfile
 _ANCHOR = Selector(tag="a", take="href")
 _AREA = Selector(tag="area", take="href")
 _BASE = Selector(tag="base", take="href")
-_ANCHOR_CLASS = Selector(tag="a", class_part="")
+_ANCHOR_CLASS = Selector(tag="a", take="class")
 
 
 def link_spec(regions: Sequence[str] = ()) -> NodeSpec:
