@@ -39,6 +39,7 @@ _NODE_ARROW = pa.list_(
 # HTML element groups, and which open elements a new element ends.
 VOID_TAGS = frozenset("area base basefont br col embed frame hr img input link meta param source track wbr".split())
 HEAD_TAGS = frozenset("base link meta noscript script style title".split())
+ROOT_TAGS = frozenset(("html", "head", "body"))
 RAW_TAGS = frozenset(("script", "style"))
 HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
 FONT_TAGS = frozenset("b big i s small strike tt u".split())
@@ -64,13 +65,12 @@ END_RANK = {"div": 150, "td": 160, "th": 160, "tr": 170, "thead": 180, "tbody":
             "head": 200, "body": 200, "html": 220}
 PLAIN_RANK = 100
 
-_TOKEN = re.compile(
-    r"(?P<text>[^<]+)"
+# What can follow a "<": an end tag, a start tag with its attributes, a comment or a declaration.
+_MARKUP = re.compile(
+    r"</([a-zA-Z][^\s/>]*+)[^>]*+(?:>|\Z)"
+    r"|<([a-zA-Z][^\s/>]*+)((?:[^>\"'=]++|=\s*+\"[^\"]*+\"|=\s*+'[^']*+'|[=\"'])*+)(?:>|\Z)"
     r"|<!--.*?(?:-->|\Z)"
-    r"|</(?P<end>[a-zA-Z][^\s/>]*)[^>]*(?:>|\Z)"
-    r"|<(?P<start>[a-zA-Z][^\s/>]*+)(?P<attrs>(?:[^>\"']|(?<==)\s*\"[^\"]*\"|(?<==)\s*'[^']*'|[\"'])*?)(?:>|\Z)"
-    r"|<[!?][^>]*(?:>|\Z)"
-    r"|(?P<lone><)",
+    r"|<[!?][^>]*+(?:>|\Z)",
     re.DOTALL,
 )
 _ATTR = re.compile(r"([^\s=/>\"']+)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+)))?")
@@ -154,7 +154,7 @@ def scan_page(html: str, spec: NodeSpec) -> list[tuple]:
         if spec.regions and classes:
             regions += tuple(c for c in spec.regions if c in classes and c not in regions)
         texts = None
-        if tag in bare_keep or spec.keeps(tag, attrs.get("id"), classes, attrs):
+        if tag in bare_keep or (attrs and spec.keeps(tag, attrs.get("id"), classes, attrs)):
             texts = []
             kept = [(k, v) for k, v in attrs.items() if k in wanted_attrs]
             nodes.append((pos, tag, attrs.get("id"), classes, list(regions), kept, texts))
@@ -180,36 +180,42 @@ def scan_page(html: str, spec: NodeSpec) -> list[tuple]:
             stack[-1][1].append((pos, text if raw or "&" not in text else unescape(text)))
 
     while at < size:
-        token = _TOKEN.match(html, at)
-        at, pos = token.end(), pos + 1
-        kind = token.lastgroup
-        if kind in ("text", "lone"):
-            run.append(token.group())
-        elif kind == "end":
-            tag = token["end"].lower()
-            depth = len(stack) - 1
-            while depth >= 0 and stack[depth][0] != tag:
-                if END_RANK.get(stack[depth][0], PLAIN_RANK) > END_RANK.get(tag, PLAIN_RANK):
-                    depth = 0
-                depth -= 1
-            if depth >= 0 and tag not in ("html", "body"):
-                end_run()
-                del stack[depth:]
-        elif kind in ("start", "attrs"):
+        mark = html.find("<", at)
+        if mark != at:
+            run.append(html[at:mark] if mark > 0 else html[at:])
+            at = mark if mark > 0 else size
+            continue
+        markup = _MARKUP.match(html, at)
+        if markup is None:  # a "<" that opens nothing is text
+            run.append("<")
+            at += 1
+            continue
+        at, pos = markup.end(), pos + 1
+        end_tag, start_tag, attributes = markup.groups()
+        if start_tag:
             end_run()
-            tag = token["start"].lower()
-            if tag not in HEAD_TAGS and tag not in ("html", "head", "body"):
+            tag = start_tag.lower()
+            if tag not in HEAD_TAGS and tag not in ROOT_TAGS:
                 open_body()
             elif tag == "body" and stack and stack[-1][0] == "head":
                 stack.pop()
             ends = ENDED_BY.get(tag, ())
             while stack and stack[-1][0] in ends:
                 stack.pop()
-            open_element(tag, token["attrs"])
+            open_element(tag, attributes)
             if tag in RAW_TAGS:
                 close = _RAW_END[tag].search(html, at)
                 run.append(html[at : close.start()])
                 at = close.start()
+        elif end_tag:
+            tag = end_tag.lower()
+            depth = len(stack) - 1
+            while depth >= 0 and stack[depth][0] != tag:
+                blocked = END_RANK.get(stack[depth][0], PLAIN_RANK) > END_RANK.get(tag, PLAIN_RANK)
+                depth = -1 if blocked else depth - 1
+            if depth >= 0 and tag not in ("html", "body"):
+                end_run()
+                del stack[depth:]
         else:
             end_run()
     end_run()

@@ -4,22 +4,26 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from functools import lru_cache
 
 from pyspark.sql import DataFrame, SparkSession
 
 SMALL_BYTES_PER_CORE = 16 * 1024 * 1024
 
 
+@lru_cache(maxsize=None)
+def _local_folder(application: str) -> str:
+    return tempfile.mkdtemp(prefix="pagetables-")
+
+
 def shared_folder(spark: SparkSession) -> str:
     """The folder named by spark.checkpoint.dir. Only a local master may fall back to a temporary one."""
-    folder = spark.conf.get("spark.checkpoint.dir", None)
+    folder = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if folder:
         return folder.rstrip("/")
     if not spark.sparkContext.master.startswith("local"):
         raise ValueError("set spark.checkpoint.dir to a folder that all executors can reach")
-    folder = tempfile.mkdtemp(prefix="pagetables-")
-    spark.conf.set("spark.checkpoint.dir", folder)
-    return folder
+    return _local_folder(spark.sparkContext.applicationId)
 
 
 def new_folder(spark: SparkSession, name: str) -> str:
