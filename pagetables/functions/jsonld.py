@@ -12,10 +12,10 @@ from pagetables.functions.text import first_nonempty, let, nonempty
 # consumed first, so that look-alikes inside them do not count; only a wanted script fills the group.
 JSON_LD_TYPE = "application/ld+json"
 JSON_LD_PATTERN = (
-    r"(?s)<!--.*?-->"
-    r"|<(?i:script)\s(?:[^>]*\s)?(?i:type)\s*=\s*(?:\"application/ld\+json\"|'application/ld\+json'|application/ld\+json(?=[\s>]))"
+    r"(?s)<(?:!--.*?-->"
+    r"|(?i:script)\s(?:[^>]*\s)?(?i:type)\s*=\s*(?:\"application/ld\+json\"|'application/ld\+json'|application/ld\+json(?=[\s>]))"
     r"[^>]*>(.*?)(?:</(?i:script)|\z)"
-    r"|<(?i:script)\b.*?(?:</(?i:script)|\z)"
+    r"|(?i:script)\b.*?(?:</(?i:script)|\z))"
 )
 KEYWORDS_PATTERN = r'"keywords":(?U:\s*)(\[[^\]]+\])'
 

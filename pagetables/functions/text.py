@@ -29,10 +29,25 @@ def let(value: Column, body: Callable[[Column], Column]) -> Column:
     return F.element_at(F.transform(F.array(value), body), 1)
 
 
+def _fold(text: Column, needles: Sequence[str], change: Callable[[Column, Column], Column]) -> Column:
+    """Apply `change` for each needle in turn, but only to texts that contain it: the test costs far less than the change."""
+    if not needles:
+        return text
+    return F.aggregate(
+        F.array(*[F.lit(n) for n in needles]),
+        text,
+        lambda done, needle: F.when(F.contains(done, needle), change(done, needle)).otherwise(done),
+    )
+
+
 def strip(text: Column) -> Column:
     return F.btrim(text, F.lit(SPACE_CHARS))
 
 
+def to_spaces(text: Column, chars: str) -> Column:
+    return _fold(text, chars, lambda done, char: F.replace(done, char, F.lit(" ")))
+
+
 def nonempty(text: Column) -> Column:
     """Null for the empty string; `text` is evaluated once."""
     return F.get(F.filter(F.array(text), lambda v: v != ""), 0)
@@ -64,14 +79,12 @@ def has_any_phrase(line: Column, phrases: Sequence[str]) -> Column:
 
 def cut_at_markers(text: Column, markers: Sequence[str]) -> Column:
     """Keep what stands before each marker; the order of the markers matters when they overlap."""
-    for marker in markers:
-        text = F.substring_index(text, marker, 1)
-    return text
+    return _fold(text, markers, lambda done, marker: F.call_function("substring_index", done, marker, F.lit(1)))
 
 
 def clean_text(text: Column, phrases: Sequence[str] = (), markers: Sequence[str] = ()) -> Column:
     """Drop boilerplate from newline-separated text. Kept lines are not stripped, only the whole result is."""
-    body = cut_at_markers(F.replace(text, F.lit("\xa0"), F.lit(" ")), markers)
+    body = cut_at_markers(to_spaces(text, "\xa0"), markers)
     kept = F.filter(
         F.split(body, "\n"),
         lambda line: (F.char_length(strip(line)) >= MIN_LINE_CHARS) & ~has_any_phrase(line, phrases),
@@ -85,9 +98,7 @@ def clean_content(blocks: Column, phrases: Sequence[str] = (), markers: Sequence
 
 
 def word_count(text: Column) -> Column:
-    for char in SEPARATORS:
-        text = F.replace(text, F.lit(char), F.lit(" "))
-    return F.regexp_count(text, F.lit(WORD_PATTERN))
+    return F.regexp_count(to_spaces(text, SEPARATORS), F.lit(WORD_PATTERN))
 
 
 def minutes_to_read(words: Column) -> Column:

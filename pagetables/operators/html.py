@@ -8,8 +8,9 @@ from __future__ import annotations
 
 import re
 import sys
-from collections.abc import Iterable
+from collections.abc import Callable, Iterable
 from dataclasses import dataclass
+from functools import lru_cache
 from html import unescape
 
 import pyarrow as pa
@@ -137,27 +138,40 @@ def _attributes(source: str) -> dict[str, str]:
     return found
 
 
-def scan_page(html: str, spec: NodeSpec) -> list[tuple]:
+def element_reader(spec: NodeSpec) -> Callable[[str, str], tuple]:
+    """(tag, attribute source) -> (kept, id, classes, regions, kept attributes), remembering recent answers.
+
+    Pages repeat the same few start tags over and over, so most elements cost one lookup.
+    """
+    wanted_attrs = spec.attrs_of_interest()
+
+    def read(tag: str, source: str) -> tuple:
+        attrs = _attributes(source) if source else {}
+        classes = attrs.get("class", "").split()
+        regions = tuple(c for c in spec.regions if c in classes)
+        kept = spec.keeps(tag, attrs.get("id"), classes, attrs)
+        return kept, attrs.get("id"), classes, regions, [(k, v) for k, v in attrs.items() if k in wanted_attrs]
+
+    return lru_cache(maxsize=4096)(read)
+
+
+def scan_page(html: str, read_element: Callable[[str, str], tuple]) -> list[tuple]:
     """The kept elements of one page, in document order, each with its direct text runs."""
     nodes: list[tuple] = []
     stack: list[tuple[str, list | None, tuple[str, ...]]] = []
     run: list[str] = []
-    wanted_attrs = spec.attrs_of_interest()
-    bare_keep = {s.tag for s in spec.selectors if s == Selector(tag=s.tag)}
     html = html.strip().replace("\x00", "")
     at, pos, size = 0, 0, len(html)
 
     def open_element(tag: str, source: str = "") -> None:
-        attrs = _attributes(source) if source else {}
-        classes = attrs.get("class", "").split()
+        kept, elem_id, classes, own_regions, attrs = read_element(tag, source)
         regions = stack[-1][2] if stack else ()
-        if spec.regions and classes:
-            regions += tuple(c for c in spec.regions if c in classes and c not in regions)
+        if own_regions:
+            regions += tuple(r for r in own_regions if r not in regions)
         texts = None
-        if tag in bare_keep or (attrs and spec.keeps(tag, attrs.get("id"), classes, attrs)):
+        if kept:
             texts = []
-            kept = [(k, v) for k, v in attrs.items() if k in wanted_attrs]
-            nodes.append((pos, tag, attrs.get("id"), classes, list(regions), kept, texts))
+            nodes.append((pos, tag, elem_id, classes, regions, attrs, texts))
         if tag not in VOID_TAGS:
             stack.append((tag, texts, regions))
 
@@ -229,7 +243,8 @@ def html_nodes(html: Column, spec: NodeSpec) -> Column:
     """
 
     def scan_batch(batch: pa.Array) -> pa.Array:
-        return pa.array([None if page is None else scan_page(page, spec) for page in batch.to_pylist()], type=_NODE_ARROW)
+        reader = element_reader(spec)
+        return pa.array([None if page is None else scan_page(page, reader) for page in batch.to_pylist()], type=_NODE_ARROW)
 
     scan_batch.__annotations__ = {"batch": pa.Array, "return": pa.Array}
     return F.arrow_udf(scan_batch, NODE_SCHEMA).asNondeterministic()(html)
@@ -244,7 +259,7 @@ def select_texts(nodes: Column, selector: Selector) -> Column:
     found = select_nodes(nodes, selector)
     if selector.take:
         return F.filter(F.transform(found, lambda n: n["attrs"][selector.take]), lambda v: v.isNotNull())
-    runs = F.array_sort(F.flatten(F.transform(found, lambda n: n["texts"])))
+    runs = F.sort_array(F.flatten(F.transform(found, lambda n: n["texts"])))
     return F.transform(runs, lambda r: r["text"])
 
 
