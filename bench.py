@@ -51,10 +51,12 @@ def main() -> None:
     )
     spark.sparkContext.setLogLevel("ERROR")
     names = sys.argv[1:] or HEADLINE
-    # Start the JVM, the Python workers and the code cache outside the measured time.
-    QUERIES["page_title"](spark, sf_dir).write.format("noop").mode("overwrite").save()
+    # Class loading, code generation and Python workers are started on the smallest tables, outside the measured time.
+    smallest = os.path.join(os.path.dirname(sf_dir.rstrip("/")), "sf0.001")
+    warm_dir = smallest if os.path.isdir(smallest) else sf_dir
     timings = {}
     for name in names:
+        QUERIES[name](spark, warm_dir).write.format("noop").mode("overwrite").save()
         start = time.perf_counter()
         QUERIES[name](spark, sf_dir).write.format("noop").mode("overwrite").save()
         timings[name] = round(time.perf_counter() - start, 3)

@@ -40,13 +40,13 @@ SAMPLE_PROFILE = SiteProfile(
 )
 
 
-# Tables whose rows are long texts, with the key to deal them out by when the table is small.
-TEXT_TABLES = {"pages": "page_id", "documents": "doc_id"}
+# Tables with much work per row, and the key to deal their rows out by when the table is small.
+SPREAD_KEYS = {"pages": "page_id", "documents": "doc_id", "lineitem": "l_orderkey"}
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     path = f"{sf_dir}/{name}.parquet"
-    return read_spread(spark, path, TEXT_TABLES[name]) if name in TEXT_TABLES else spark.read.parquet(path)
+    return read_spread(spark, path, SPREAD_KEYS[name]) if name in SPREAD_KEYS else spark.read.parquet(path)
 
 
 # --- inputs derived from the given tables -------------------------------------------------------------------------

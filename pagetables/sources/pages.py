@@ -14,6 +14,7 @@ def read_pages(spark: SparkSession, path: str, format: str = "parquet", schema:
     """Pages with at least (url, html).
 
     parquet and json files hold those columns; with text and binary every file is one page and its path is the url.
+    Bytes of a binary file that are no UTF-8 become replacement characters.
     """
     if format == "parquet":
         return spark.read.parquet(path)
@@ -23,7 +24,7 @@ def read_pages(spark: SparkSession, path: str, format: str = "parquet", schema:
         return spark.read.text(path, wholetext=True).select(F.col("_metadata.file_path").alias("url"), F.col("value").alias("html"))
     if format == "binary":
         files = spark.read.format("binaryFile").load(path)
-        return files.select(F.col("path").alias("url"), F.try_validate_utf8(F.col("content").cast("string")).alias("html"))
+        return files.select(F.col("path").alias("url"), F.make_valid_utf8(F.col("content").cast("string")).alias("html"))
     raise ValueError(f"unknown page format {format!r}")
 
 

@@ -203,6 +203,7 @@ def test_page_formats(spark, tmp_path):
     for format in ("text", "binary"):
         rows = {r.url.rsplit("/", 1)[-1]: r.html for r in pages.read_pages(spark, str(tmp_path / "*.html"), format).collect()}
         assert rows["a.html"] == html(1) and len(rows) == 2
+    assert rows["b.html"] == "\ufffd\ufffd broken"
     stored = spark.createDataFrame([("u", html(2))], "url string, html string")
     stored.write.json(str(tmp_path / "j"))
     stored.write.parquet(str(tmp_path / "p"))
