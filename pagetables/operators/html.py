@@ -12,6 +12,7 @@ from collections.abc import Callable, Iterable
 from dataclasses import dataclass
 from functools import lru_cache
 from html import unescape
+from html.entities import html5
 
 import pyarrow as pa
 from pyspark import cloudpickle
@@ -75,6 +76,7 @@ _MARKUP = re.compile(
     re.DOTALL,
 )
 _ATTR = re.compile(r"([^\s=/>\"']+)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+)))?")
+_REFERENCE = re.compile(r"&(?:#[0-9]+;?|#[xX][0-9a-fA-F]+;?|[a-zA-Z][a-zA-Z0-9]*(?:;|(?![a-zA-Z0-9=])))")
 _RAW_END = {tag: re.compile(rf"</{tag}|\Z", re.IGNORECASE) for tag in RAW_TAGS}
 
 
@@ -131,10 +133,20 @@ class NodeSpec:
         return False
 
 
+def _attribute_text(value: str) -> str:
+    """Decoded value. Unlike in text, a name that runs on or is followed by "=" is no entity: "?a=1&copy=2" is a URL."""
+
+    def decoded(found: re.Match) -> str:
+        name = found[0][1:]
+        return unescape(found[0]) if name in html5 or name.startswith("#") else found[0]
+
+    return _REFERENCE.sub(decoded, value) if "&" in value else value
+
+
 def _attributes(source: str) -> dict[str, str]:
     found: dict[str, str] = {}
     for name, double, single, bare in _ATTR.findall(source):
-        found.setdefault(name.lower(), unescape(double or single or bare))
+        found.setdefault(name.lower(), _attribute_text(double or single or bare))
     return found
 
 

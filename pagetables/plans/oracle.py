@@ -16,6 +16,11 @@ def _strip(x: str) -> str:
 
 
 def _unescape(x: str) -> str:
+    """In text the semicolon may be missing, as where a title was cut off; in attributes it may not."""
+    return f"regexp_replace(regexp_replace({x}, '&quot;?', '\"', 'g'), '&amp;?', '&', 'g')"
+
+
+def _unescape_attribute(x: str) -> str:
     return f"replace(replace({x}, '&quot;', '\"'), '&amp;', '&')"
 
 
@@ -61,7 +66,7 @@ raw_links AS (
 one AS (
   SELECT url AS src_url, origin, unnest(range(len(hrefs))) AS i, hrefs FROM raw_links),
 links AS (
-  SELECT src_url, CAST(i AS INTEGER) AS pos, {_unescape('hrefs[i + 1]')} AS href, origin FROM one),
+  SELECT src_url, CAST(i AS INTEGER) AS pos, {_unescape_attribute('hrefs[i + 1]')} AS href, origin FROM one),
 resolved AS (
   SELECT src_url, pos, href, origin || array_to_string(list_transform(string_split(href, ''),
     lambda c: CASE WHEN regexp_matches(c, '{_URL_CHAR}') THEN url_encode(c) ELSE c END), '') AS dst_url FROM links),

@@ -111,7 +111,10 @@ def texts(spark, html, selector):
     ("<body><span class='ods-m-date-x'>1</span><span class=update>2</span><div class=date>3</div></body>", by_class_part("span", "date"), ["1", "2"]),
     ("<head><meta name=keywords content='a &amp; b'><meta content='2' name=keywords><meta name=other content=3></head>", meta("name", "keywords"), ["a & b", "2"]),
     ("<head><meta name=keywords></head>", meta("name", "keywords"), []),
+    ("<head><meta name=keywords content='?a=1&copy=2&amp;b=3&copyx &lt &#65;&notit; &eacute;'></head>", meta("name", "keywords"),
+     ["?a=1&copy=2&b=3&copyx < A&notit; é"]),
     # Entities, scripts and stray marks.
+    ("<body><h1>cut &amp</h1>", by_tag("h1"), ["cut &"]),
     ("<body><p>&lt;b&gt; &eacute;&#233;&nbsp;x &amp;</p></body>", by_tag("p"), ["<b> éé\xa0x &"]),
     ("<body><script>var t='<p>no</p>';</script><p>1 < 2</p></body>", by_tag("p"), ["1 < 2"]),
     ("<body><style>p{}</style><p title='a>b'>x</p></body>", by_tag("p"), ["x"]),
