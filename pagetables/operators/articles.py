@@ -78,7 +78,11 @@ def validate(articles: DataFrame, checks: Sequence[Check] = ARTICLE_CHECKS) -> t
 
 
 def extract_records(
-    pages: DataFrame, profile: SiteProfile, as_of: Column | dt.date | str, keep_stale: bool = False
+    pages: DataFrame,
+    profile: SiteProfile,
+    as_of: Column | dt.date | str,
+    keep_stale: bool = False,
+    checks: Sequence[Check] = ARTICLE_CHECKS,
 ) -> DataFrame:
     """Every page that is not too old as an article row plus `outcome` and `errors`.
 
@@ -136,7 +140,7 @@ def extract_records(
     )
     type_errors = F.transform("bad_types", lambda name: F.concat(F.lit("json_ld_type:"), name))
     checked = rows.withColumn("read_time", read_time(F.col("content"))).withColumn(
-        "errors", F.concat(validation_errors(), type_errors)
+        "errors", F.concat(validation_errors(F.col, checks), type_errors)
     )
     outcome = (
         F.when(~F.col("fresh"), F.lit(STALE)).when(F.size("errors") > 0, F.lit(REJECTED)).otherwise(F.lit(ACCEPTED))

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from pagetables.functions import dates, jsonld, text, urls
 from pagetables.operators import articles, fetchlog, html, links, quality
-from pagetables.plans.crawl import crawl_reach
+from pagetables.plans.crawl import crawl_pages, crawl_reach
 from pagetables.plans.workspace import new_folder, read_spread
 from pagetables.profile import NEWS_SITE, CleaningRules, LinkRule, SiteProfile
 from pagetables.sources import jsonl
@@ -266,6 +266,11 @@ def crawl(spark: SparkSession, sf_dir: str) -> DataFrame:
     return crawl_reach(shop_edges(_table(spark, sf_dir, "lineitem")), seeds, NEWS_SITE.max_depth)
 
 
+def page_reach(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = _table(spark, sf_dir, "pages")
+    return crawl_pages(pages, SAMPLE_PROFILE, pages.select("url"))
+
+
 def clean_content(spark: SparkSession, sf_dir: str) -> DataFrame:
     blocks = text.strip_all(F.split("text", "\n"))
     return _table(spark, sf_dir, "documents").select("doc_id", text.clean_content(blocks, PHRASES, MARKERS).alias("content"))
@@ -518,6 +523,7 @@ QUERIES: dict[str, Query] = {
     "links_distinct": links_distinct,
     "crawl_edges": crawl_edges,
     "crawl_reach": crawl,
+    "page_reach": page_reach,
     "clean_content": clean_content,
     "read_time": read_time,
     "text_steps": text_steps,

@@ -5,7 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from pagetables.operators.links import crawl_edges
 from pagetables.plans.workspace import new_folder, store
+from pagetables.profile import SiteProfile
 
 BROADCAST_LIMIT_BYTES = 64 * 1024 * 1024
 
@@ -42,3 +44,14 @@ def crawl_reach(edges: DataFrame, seeds: DataFrame, max_depth: int = 5) -> DataF
         frontier = store(fresh.select("url", F.lit(depth).alias("depth"), "follow"), f"{folder}/depth={depth}")
         reached = reached.unionByName(frontier)
     return reached.select("url", "depth")
+
+
+def crawl_pages(pages: DataFrame, profile: SiteProfile, seeds: DataFrame | None = None) -> DataFrame:
+    """What a crawl of the stored pages would reach from the profile's start pages (or from `seeds`).
+
+    Links routed to `parse` are recorded but not expanded, links routed to `follow` are.
+    """
+    if seeds is None:
+        seeds = pages.sparkSession.createDataFrame([(url,) for url in profile.start_urls], "url string")
+    edges = crawl_edges(pages, profile).select("src", "dst", (F.col("action") == "follow").alias("follow"))
+    return crawl_reach(edges, seeds, profile.max_depth)

@@ -222,6 +222,11 @@ leaves AS (
   SELECT '/supplier/' || l_suppkey AS url, min(depth) + 1 AS depth FROM walked JOIN lineitem ON url = '/part/' || l_partkey
   WHERE depth < 5 GROUP BY 1)
 SELECT url, CAST(depth AS INTEGER) AS depth FROM (SELECT * FROM walked UNION ALL SELECT * FROM leaves)""",
+    "page_reach": f"""
+WITH {_LINKS}
+SELECT DISTINCT url, 0 AS depth FROM pages
+UNION ALL SELECT DISTINCT dst_url, 1 FROM distinct_links
+WHERE action IN ('parse', 'follow') AND in_domain AND dst_url NOT IN (SELECT url FROM pages)""",
     "clean_content": _cleaned("documents", "doc_id", _stripped_lines("text")),
     "read_time": f"SELECT doc_id, CAST({_words('text')} AS BIGINT) AS words, {_minutes('text')} AS read_time FROM documents",
     "text_steps": f"""

@@ -243,6 +243,14 @@ def test_validation_of_records(spark):
         "title_blank", "title_blank", "title_missing", "url_missing,date_missing", "url_scheme"]
 
 
+def test_own_checks_and_steps(spark):
+    checks = (*articles.ARTICLE_CHECKS, ("no_author", lambda c: c("author").isNull()))
+    pages = spark.createDataFrame([("https://e/a", page(script({"datePublished": TODAY}), "<h1> t <i>x</i></h1>"))], "url string, html string")
+    shouting = replace(NEWS_SITE, steps={**NEWS_SITE.steps, "title": (*NEWS_SITE.steps["title"], F.upper)})
+    row = articles.extract_records(pages, shouting, TODAY, checks=checks).first()
+    assert (row.title, row.outcome, row.errors) == ("T", "rejected", ["no_author"])
+
+
 def test_html_is_scanned_once_and_only_needed_columns_are_read(spark, tmp_path):
     pages = spark.createDataFrame([("https://e/a", page(full_head()), 1, "x")], "url string, html string, status int, other string")
     pages.write.parquet(str(tmp_path / "p"))

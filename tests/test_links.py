@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from pagetables.functions import urls
 from pagetables.operators import fetchlog, links
-from pagetables.plans.crawl import crawl_reach
+from pagetables.plans.crawl import crawl_pages, crawl_reach
 from pagetables.profile import NEWS_SITE
 
 HOME = "https://wiadomosci.onet.pl/"
@@ -122,6 +122,16 @@ def test_reach_against_model(spark, monkeypatch):
     assert sorted(tuple(r) for r in crawl_reach(df, seeds, 3).collect()) == reach_model(edges, ["/n7", "/gone"], 3)
 
 
+def test_crawl_over_stored_pages(spark):
+    def page(path, *hrefs):
+        return HOME + path, "<body><div class=ods-o-card>" + "".join(f'<a href="/{h}">x</a>' for h in hrefs) + "</div></body>"
+
+    stored = [page("", "kraj", "kraj/a/1", "sport/b/2"), page("kraj", "kraj/a/1", "kraj/b/3", "swiat", ""), page("kraj/a/1", "kraj/c/9"), page("swiat", "kraj")]
+    got = crawl_pages(spark.createDataFrame(stored, "url string, html string"), NEWS_SITE)
+    # The article page is reached but not followed, and a dropped link is not taken.
+    assert sorted((r.url.removeprefix(HOME), r.depth) for r in got.collect()) == [("", 0), ("kraj", 1), ("kraj/a/1", 1), ("kraj/b/3", 2), ("swiat", 2)]
+
+
 def test_fetch_outcomes(spark):
     art = "https://wiadomosci.onet.pl/artykul"
     ts = dt.datetime(2026, 3, 1, 12)
