@@ -32,7 +32,9 @@ def parse_day(text: Column) -> Column:
 def is_recent(text: Column, as_of: Column | dt.date | str, days_limit: int) -> Column:
     """True when the day in `text` is `as_of` or one of the `days_limit` days before it; never null."""
     age = F.datediff(as_day(as_of), parse_day(date_part_text(text)))
-    return F.coalesce(age.between(0, days_limit), F.lit(False))
+    # The same as 0 <= age <= days_limit, but the date is parsed once.
+    in_range = F.abs(age * 2 - days_limit) <= days_limit
+    return F.coalesce(in_range, F.lit(False))
 
 
 def run_stamp(ts: Column) -> Column:

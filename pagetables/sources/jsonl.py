@@ -31,22 +31,29 @@ def _parsed(value: Column) -> Column:
     return F.try_parse_json(strip(value))
 
 
-def parse_lines(lines: DataFrame, fields: Sequence[str] = (*ARTICLE_COLUMNS, "lead")) -> DataFrame:
-    """Adds valid, non_object and one VARIANT column per field to lines with a `value` column."""
-    parsed = lines.withColumn("_json", _parsed(F.col("value")))
+DEFAULT_FIELDS = (*ARTICLE_COLUMNS, "lead")
+
+
+def _with_fields(parsed: DataFrame, columns: Sequence[str], fields: Sequence[str]) -> DataFrame:
     is_object = F.coalesce(F.startswith(F.schema_of_variant("_json"), F.lit("OBJECT")), F.lit(False))
     valid = F.col("_json").isNotNull()
     return parsed.select(
-        *lines.columns,
+        *columns,
         valid.alias("valid"),
         (valid & ~is_object).alias("non_object"),
         *[F.try_variant_get("_json", f"$['{f}']", "variant").alias(f) for f in fields],
     )
 
 
-def parsed_records(lines: DataFrame, fields: Sequence[str] = (*ARTICLE_COLUMNS, "lead")) -> DataFrame:
-    """Only the lines that hold JSON."""
-    return parse_lines(lines, fields).filter("valid")
+def parse_lines(lines: DataFrame, fields: Sequence[str] = DEFAULT_FIELDS) -> DataFrame:
+    """Adds valid, non_object and one VARIANT column per field to lines with a `value` column."""
+    return _with_fields(lines.withColumn("_json", _parsed(F.col("value"))), lines.columns, fields)
+
+
+def parsed_records(lines: DataFrame, fields: Sequence[str] = DEFAULT_FIELDS) -> DataFrame:
+    """Only the lines that hold JSON. A filter on the parsed value would parse every line twice, a generator does not."""
+    parsed = F.explode(F.array_compact(F.array(_parsed(F.col("value")))))
+    return _with_fields(lines.select(*lines.columns, parsed.alias("_json")), lines.columns, fields)
 
 
 def is_bad_line(value: Column) -> Column:
