@@ -33,19 +33,19 @@ ACCEPTED = "accepted"
 
 def _candidates(values: Sequence[Column], steps: Sequence[Step]) -> Column:
     """One ordered list of candidates, passed through the steps; empty ones are dropped."""
-    joined = F.concat(*values) if len(values) > 1 else values[0]
+    joined = F.concat(F.array().cast("array<string>"), *values)
     stepped = reduce(lambda candidates, step: F.transform(candidates, step), steps, joined)
     return F.filter(stepped, lambda v: v != "")
 
 
 def _first_of(values: Sequence[Column]) -> Column:
     """First non-empty of several expressions, evaluated in order and only as far as needed."""
-    return F.coalesce(*[nonempty(v) for v in values])
+    return F.coalesce(*[nonempty(v) for v in values], F.lit(None).cast("string"))
 
 
 def choose_blocks(texts: Sequence[Column]) -> Column:
     """The first list with any non-blank text, else the last list."""
-    *preferred, choice = texts
+    *preferred, choice = texts or [F.array().cast("array<string>")]
     for candidate in reversed(preferred):
         choice = F.when(F.exists(candidate, lambda t: strip(t) != ""), candidate).otherwise(choice)
     return choice

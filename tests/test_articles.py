@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from pagetables.functions import jsonld
 from pagetables.operators import articles
 from pagetables.operators.html import by_class, by_class_part, by_id, by_tag, html_nodes, meta, select_texts, spec_for
-from pagetables.profile import NEWS_SITE, CleaningRules
+from pagetables.profile import NEWS_SITE, CleaningRules, Selectors
 from dataclasses import replace
 
 TODAY = "2026-03-02"
@@ -251,6 +251,13 @@ def test_own_checks_and_steps(spark):
     assert (row.title, row.outcome, row.errors) == ("T", "rejected", ["no_author"])
 
 
+def test_fields_without_selectors_stay_empty(spark):
+    bare = replace(NEWS_SITE, selectors=Selectors(*[()] * 9))
+    row = one(extract(spark, page(full_head(), "<h1>T</h1><p>x</p>"), profile=bare))
+    assert (row.outcome, row.errors) == ("rejected", ["title_missing"])
+    assert (row.author, row.date, row.content, row.keywords, row.id) == ("Test Author", TODAY, None, None, "abc123xyz")
+
+
 def test_html_is_scanned_once_and_only_needed_columns_are_read(spark, tmp_path):
     pages = spark.createDataFrame([("https://e/a", page(full_head()), 1, "x")], "url string, html string, status int, other string")
     pages.write.parquet(str(tmp_path / "p"))
