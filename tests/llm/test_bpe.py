@@ -1,0 +1,79 @@
+"""Encoding against the tiktoken library, decoding as an exact round trip."""
+
+import hashlib
+
+import public_tokenizers
+import pytest
+import tiktoken
+from hypothesis import given, settings
+from hypothesis import strategies as st
+from pyspark.sql import functions as F
+
+from pagetables.llm import bpe
+from pagetables.llm.queries import QUERIES
+
+PATH, PATTERN = public_tokenizers.path("byte_bpe_multi_50k.tiktoken"), public_tokenizers.PATTERN
+RANKS = bpe.read_ranks(PATH)
+LIBRARY = tiktoken.Encoding("own", pat_str=PATTERN, mergeable_ranks=RANKS, special_tokens={})
+
+
+@pytest.fixture(scope="module")
+def codec():
+    return bpe.Codec(RANKS, PATTERN)
+
+
+def ids(codec, text):
+    raw = codec.encode([text])[0]
+    return [int.from_bytes(raw[i : i + 4], "little") for i in range(0, len(raw), 4)]
+
+
+@settings(max_examples=60, deadline=None)
+@given(st.text(alphabet=st.sampled_from("aabcenrstiou éßñ'st漢字\n\t0123!*\x00\x1c😀"), max_size=60))
+def test_random_texts(codec, text):
+    assert ids(codec, text) == LIBRARY.encode_ordinary(text)
+
+
+@pytest.mark.parametrize("word", ["a" * 5001, "ab" * 700 + "c", "the" * 300, "x" * 129, "漢" * 200, "=" * 1000, "aab" * 333 + "ba" * 100])
+def test_long_words(codec, word):
+    assert ids(codec, word) == LIBRARY.encode_ordinary(word)
+
+
+def test_long_random_word(codec):
+    word = "".join(hashlib.sha256(str(i).encode()).hexdigest().translate(str.maketrans("0123456789", "ghijklmnop")) for i in range(40))
+    assert ids(codec, word) == LIBRARY.encode_ordinary(word)
+
+
+def test_nulls_empty_repeats_and_other_columns(spark):
+    rows = [(1, "the cat", "x"), (2, None, "y"), (3, "", None), (1, "the cat", "x"), (None, " \n\n  é", "z")]
+    df = spark.createDataFrame(rows, "doc_id long, text string, ids string")
+    got = df.select("doc_id", "text", bpe.encoder(spark, PATH, PATTERN)("text").alias("tokens")).withColumn(
+        "back", bpe.decoder(spark, PATH, PATTERN)("tokens")).collect()
+    for row in got:
+        assert row.tokens == LIBRARY.encode_ordinary(row.text or "")
+        assert bytes(row.back) == (row.text or "").encode()
+    assert len(got) == 5
+    empty = df.filter("doc_id = 99").select(bpe.encoder(spark, PATH, PATTERN)("text").alias("tokens"))
+    assert empty.count() == 0
+    nulls = spark.createDataFrame([(None,), ([],)], "ids array<int>").select(bpe.decoder(spark, PATH, PATTERN)("ids").alias("b")).collect()
+    assert [bytes(r.b) for r in nulls] == [b"", b""]
+
+
+def test_unknown_id_is_an_error(spark):
+    df = spark.createDataFrame([([70_000],)], "ids array<int>").select(bpe.decoder(spark, PATH, PATTERN)("ids").alias("b"))
+    with pytest.raises(Exception, match="outside the vocabulary"):
+        df.collect()
+
+
+def test_query_matches_the_library(spark):
+    texts = {r.doc_id: r.text or "" for r in spark.read.parquet("/root/testdata/sf0.001/documents.parquet").select("doc_id", "text").collect()}
+    rows = QUERIES["op2_byte_bpe"](spark, "/root/testdata/sf0.001").collect()
+    assert sorted(r.doc_id for r in rows) == sorted(texts)
+    for r in rows:
+        want = LIBRARY.encode_ordinary(texts[r.doc_id])
+        assert r.n_tokens == len(want)
+        assert r.ids_sha256 == hashlib.sha256(",".join(map(str, want)).encode()).hexdigest()
+        assert r.decoded_sha256 == hashlib.sha256(texts[r.doc_id].encode()).hexdigest()
+
+
+def test_ids_text(spark):
+    assert spark.range(1).select(bpe.ids_text(F.array(F.lit(5), F.lit(17))).alias("t")).first().t == "5,17"
