@@ -3,7 +3,9 @@
 import pytest
 from compare import compare, duck
 
-from __spark_entry__ import entry, oracle_sql, queries
+from __spark_entry__ import entry
+from pagetables.plans.catalog import QUERIES
+from pagetables.plans.oracle import ORACLE
 
 SF_DIR = "/root/testdata/sf0.001"
 
@@ -14,12 +16,12 @@ def con():
 
 
 def test_every_query_has_sql():
-    assert set(queries()) == set(oracle_sql())
+    assert set(QUERIES) == set(ORACLE)
 
 
-@pytest.mark.parametrize("name", sorted(queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query(spark, con, name):
-    assert compare(queries()[name](spark, SF_DIR), con, oracle_sql()[name]) == []
+    assert compare(QUERIES[name](spark, SF_DIR), con, ORACLE[name]) == []
 
 
 def test_entry(spark):
