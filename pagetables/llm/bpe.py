@@ -192,6 +192,11 @@ def _codec(name: str, pattern: str) -> Codec:
     return Codec(read_ranks(local_file(name)), pattern)
 
 
+def _id_lists(coded: list[bytes]) -> pa.ListArray:
+    ends = np.concatenate([[0], np.cumsum([len(c) // 4 for c in coded])]).astype(np.int32)
+    return pa.ListArray.from_arrays(pa.array(ends), pa.array(np.frombuffer(b"".join(coded), dtype=np.int32)))
+
+
 def encoder(spark: SparkSession, ranks_path: str, pattern: str):
     """A function Column -> Column: texts to arrays of token ids."""
     ship(spark)
@@ -202,12 +207,28 @@ def encoder(spark: SparkSession, ranks_path: str, pattern: str):
         codec = _codec(name, pattern)
         for batch in batches:
             coded = codec.encode([t or "" for t in batch.to_pylist()])
-            ends = np.concatenate([[0], np.cumsum([len(c) // 4 for c in coded])]).astype(np.int32)
-            yield pa.ListArray.from_arrays(pa.array(ends), pa.array(np.frombuffer(b"".join(coded), dtype=np.int32)))
+            yield _id_lists(coded)
 
     return encode.asNondeterministic()
 
 
+def round_trip(spark: SparkSession, ranks_path: str, pattern: str):
+    """A function Column -> Column: texts to (ids, decoded), both by one Python worker, which keeps one set of tables."""
+    ship(spark)
+    name = add_file(spark, ranks_path)
+
+    @F.arrow_udf("struct<ids:array<int>,decoded:binary>")
+    def both(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        codec = _codec(name, pattern)
+        for batch in batches:
+            coded = codec.encode([t or "" for t in batch.to_pylist()])
+            ids = _id_lists(coded)
+            decoded = pa.array(codec.decode([np.frombuffer(c, dtype=np.int32) for c in coded]), pa.binary())
+            yield pa.StructArray.from_arrays([ids, decoded], ["ids", "decoded"])
+
+    return both.asNondeterministic()
+
+
 def decoder(spark: SparkSession, ranks_path: str, pattern: str):
     """A function Column -> Column: arrays of token ids to bytes. Ids outside the vocabulary are an error."""
     ship(spark)

@@ -80,7 +80,7 @@ class WordCache:
         missing = set().union(*words).difference(young) if words else set()
         for word in missing.intersection(old):
             young[word] = old[word]
-        fresh = sorted(missing.difference(old))
+        fresh = list(missing.difference(old))
         for at in range(0, len(fresh), self._chunk):
             part = fresh[at : at + self._chunk]
             young.update(zip(part, self._encode(part), strict=True))
