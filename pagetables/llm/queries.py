@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pagetables.llm import bpe, chat, packing
+from pagetables.llm import bpe, chat, merkle, packing, pii
 from pagetables.llm.common import text_or_empty
 
 
@@ -16,13 +16,22 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 def op2_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     path, pattern = public_tokenizers.path("byte_bpe_multi_50k.tiktoken"), public_tokenizers.PATTERN
-    ids = _table(spark, sf_dir, "documents").select("doc_id", bpe.encoder(spark, path, pattern)(text_or_empty("text")).alias("ids"))
-    both = ids.withColumn("decoded", bpe.decoder(spark, path, pattern)("ids"))
-    return both.select(
+    coded = _table(spark, sf_dir, "documents").select("doc_id", bpe.round_trip(spark, path, pattern)(text_or_empty("text")).alias("coded"))
+    return coded.select(
         "doc_id",
-        F.size("ids").cast("long").alias("n_tokens"),
-        F.sha2(bpe.ids_text(F.col("ids")).cast("binary"), 256).alias("ids_sha256"),
-        F.sha2("decoded", 256).alias("decoded_sha256"),
+        F.size("coded.ids").cast("long").alias("n_tokens"),
+        F.sha2(bpe.ids_text(F.col("coded.ids")).cast("binary"), 256).alias("ids_sha256"),
+        F.sha2("coded.decoded", 256).alias("decoded_sha256"),
+    )
+
+
+def op3_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pairs = merkle.edited_with_next(_table(spark, sf_dir, "documents"))
+    marked = pairs.select("*", merkle.fingerprint(F.col("edited")).alias("edited_fingerprint"))
+    return marked.select(
+        "doc_id", "n_chars", F.sha2(F.col("edited").cast("binary"), 256).alias("edited_sha256"), "fingerprint", "edited_fingerprint",
+        merkle.likeness(F.col("fingerprint"), F.col("edited_fingerprint")).alias("near_edited"),
+        merkle.likeness(F.col("fingerprint"), F.col("next_fingerprint")).alias("near_next"),
     )
 
 
@@ -56,8 +65,24 @@ def op9_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op10_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents")
+    spans = docs.select("doc_id", pii.finder(docs, pii.fit(docs))(text_or_empty("text")).alias("spans"))
+
+    def count(kind: str):
+        return F.size(F.filter("spans", lambda s: s["base"] & (s["kind"] == kind))).cast("long").alias(f"n_{kind}")
+
+    return spans.select(
+        "doc_id", *map(count, pii.KINDS),
+        F.sha2(pii.span_text(F.col("spans"), only_base=True).cast("binary"), 256).alias("base_sha256"),
+        pii.span_text(F.col("spans")).alias("spans"),
+    )
+
+
 QUERIES = {
     "op2_byte_bpe": op2_byte_bpe,
+    "op3_merkle": op3_merkle,
     "op6_packing": op6_packing,
     "op9_chat_format": op9_chat_format,
+    "op10_pii": op10_pii,
 }
