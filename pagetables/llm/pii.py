@@ -165,18 +165,22 @@ class Field:
         self.links = np.zeros((_LABELS, _LABELS)) if links is None else links
 
     @staticmethod
-    def lattice(text: str, before: str = "", after: str = "") -> tuple[list[tuple[int, int]], list[np.ndarray]]:
-        """Token spans; for each end, the features of the segments that end there (segments x features), shortest first."""
+    def spans_and_rows(text: str, before: str = "", after: str = "") -> tuple[list[tuple[int, int]], Iterator[np.ndarray]]:
+        """Token spans; for each end in turn, the features of the segments that end there (segments x features), shortest first."""
         spans = [m.span() for m in _TOKEN.finditer(text)]
-        ends = []
-        for j in range(len(spans)):
-            right = text[spans[j][1]] if spans[j][1] < len(text) else after
-            row = []
-            for k in range(min(j + 1, MAX_TOKENS)):
-                a = spans[j - k][0]
-                row.append(_checks(text[a : spans[j][1]], text[a - 1] if a else before, right, k + 1))
-            ends.append(np.array(row, dtype=float))
-        return spans, ends
+
+        def rows() -> Iterator[np.ndarray]:
+            for j, (_, end) in enumerate(spans):
+                right = text[end] if end < len(text) else after
+                row = []
+                for k in range(min(j + 1, MAX_TOKENS)):
+                    a = spans[j - k][0]
+                    if k and text[a] == "\n":
+                        break  # no entity runs over a line end
+                    row.append(_checks(text[a:end], text[a - 1] if a else before, right, k + 1))
+                yield np.array(row, dtype=float)
+
+        return spans, rows()
 
     def _scores(self, row: np.ndarray) -> np.ndarray:
         """By segment and label; outside segments are one token long."""
@@ -185,22 +189,21 @@ class Field:
         return out
 
     def decode(self, text: str, before: str = "", after: str = "") -> list[tuple[str, int, int]]:
-        """The best segmentation's entities."""
-        spans, ends = self.lattice(text, before, after)
-        best = np.full((len(spans) + 1, _LABELS), -np.inf)
+        """The best segmentation's entities. Holds two small numbers a token and label, and the last MAX_TOKENS scores."""
+        spans, rows = self.spans_and_rows(text, before, after)
+        best = np.full((MAX_TOKENS + 1, _LABELS), -np.inf)  # a ring: the scores of position j stand at j % its size
         best[0, _OUT] = 0.0
-        back: list[list[tuple[int, int]]] = []
-        for j, row in enumerate(ends):
-            scores = self._scores(row)
-            came = best[j - np.arange(len(row)), :, None] + self.links[None]
-            source = came.argmax(axis=1)
-            total = came.max(axis=1) + scores
-            length = total.argmax(axis=0)
-            best[j + 1] = total.max(axis=0)
-            back.append([(int(n), int(source[n, y])) for y, n in enumerate(length)])
-        found, j, label = [], len(spans), int(best[-1].argmax())
+        lengths = np.zeros((len(spans), _LABELS), dtype=np.int8)
+        sources = np.zeros((len(spans), _LABELS), dtype=np.int8)
+        for j, row in enumerate(rows):
+            came = best[(j - np.arange(len(row))) % len(best), :, None] + self.links[None]
+            total = came.max(axis=1) + self._scores(row)
+            lengths[j] = total.argmax(axis=0)
+            sources[j] = came.argmax(axis=1)[lengths[j], np.arange(_LABELS)]
+            best[(j + 1) % len(best)] = total.max(axis=0)
+        found, j, label = [], len(spans), int(best[len(spans) % len(best)].argmax())
         while j > 0:
-            n, source = back[j - 1][label]
+            n, source = int(lengths[j - 1, label]), int(sources[j - 1, label])
             if label != _OUT:
                 found.append((KINDS[label], spans[j - 1 - n][0], spans[j - 1][1]))
             j, label = j - 1 - n, source
@@ -220,8 +223,8 @@ class Field:
         beta = np.full((size + 1, _LABELS), -np.inf)
         beta[size] = 0.0
         for j in range(size - 1, -1, -1):
-            reach = min(MAX_TOKENS, size - j)
-            ahead = np.array([scores[j + k][k] + beta[j + k + 1] for k in range(reach)])
+            reach = range(min(MAX_TOKENS, size - j))
+            ahead = np.array([scores[j + k][k] + beta[j + k + 1] for k in reach if k < len(scores[j + k])])
             beta[j] = _log_sum(self.links + _log_sum(ahead, 0)[None], 1)
         z = _log_sum(alpha[size][None], 1)[0]
         d_weights, d_links = np.zeros_like(self.weights), np.zeros_like(self.links)
@@ -280,7 +283,8 @@ def train(stretches: list[str], epochs: int = 6, rate: float = 0.3, decay: float
         out += text[at:]
         if len(out) > 400:
             continue
-        spans, ends = Field.lattice(out)
+        spans, rows = Field.spans_and_rows(out)
+        ends = list(rows)
         first = {a: i for i, (a, _) in enumerate(spans)}
         last = {b: i for i, (_, b) in enumerate(spans)}
         entities = {last[b]: (last[b] - first[a], KINDS.index(kind)) for kind, a, b in gold if a in first and b in last and last[b] - first[a] < MAX_TOKENS}
@@ -334,19 +338,32 @@ def fit(docs: DataFrame, text: str = "text", train_windows: int = 500) -> Field
 def all_spans(text: str, decode) -> list[tuple[str, int, int, bool]]:
     """Base spans, and the field's spans that touch none of them, by kind and start; the flag marks base spans."""
     base = base_spans(text)
-    taken = _merged(base)
-    added, i = [], 0
-    for start, end in windows(text) if decode else ():
-        for kind, a, b in decode(text[start:end], text[start - 1 : start] if start else "", text[end : end + 1]):
-            a, b = a + start, b + start
-            while i < len(taken) and taken[i][1] <= a:
-                i += 1
-            if i == len(taken) or taken[i][0] >= b:
-                added.append((kind, a, b, False))
+    added = []
+    for start, end in _free(windows(text), _merged(base)) if decode else ():
+        if _ANY.search(text, start, end):
+            found = decode(text[start:end], text[start - 1] if start else "", text[end : end + 1])
+            added += [(kind, a + start, b + start, False) for kind, a, b in found]
     spans = [(*s, True) for s in base] + added
     return sorted(spans, key=lambda s: (KINDS.index(s[0]), s[1]))
 
 
+def _free(stretches: list[tuple[int, int]], taken: list[tuple[int, int]]) -> Iterator[tuple[int, int]]:
+    """What is left of the stretches outside of the taken ones; both in order and disjoint."""
+    i = 0
+    for start, end in stretches:
+        while i < len(taken) and taken[i][1] <= start:
+            i += 1
+        while i < len(taken) and taken[i][0] < end:
+            if start < taken[i][0]:
+                yield start, taken[i][0]
+            start = max(start, taken[i][1])
+            if taken[i][1] > end:
+                break
+            i += 1
+        if start < end:
+            yield start, end
+
+
 def _merged(spans: list[tuple]) -> list[tuple[int, int]]:
     """The stretches that spans cover, disjoint and in order."""
     out: list[tuple[int, int]] = []

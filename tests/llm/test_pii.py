@@ -91,7 +91,8 @@ def test_gradient_is_that_of_the_likelihood(field):
     text, gold = "a@b 1", [(0, 0, 4), (1, 0, 4), (2, 0, 4), (3, 0, 4), (4, 0, 1)]
     rng = np.random.default_rng(0)
     model = pii.Field(rng.normal(size=field.weights.shape) * 0.3, rng.normal(size=field.links.shape) * 0.3)
-    spans, ends = pii.Field.lattice(text)
+    spans, rows = pii.Field.spans_and_rows(text)
+    ends = list(rows)
 
     def paths(j):
         if j == len(ends):
@@ -153,5 +154,15 @@ def test_edges(spark):
     assert docs.select(pii.finder(docs, None)("text").alias("s")).filter("size(s) > 0").count() == 3
 
 
+def test_long_number_table(field):
+    text = "12 345 6 " * 1000
+    spans = sorted((a, b) for _, a, b, _ in pii.all_spans(text, field.decode))
+    assert all(b <= c for (_, b), (c, _) in zip(spans, spans[1:]))
+
+
+def test_free_stretches():
+    assert list(pii._free([(0, 10), (12, 20), (30, 40)], [(2, 4), (8, 14), (35, 50)])) == [(0, 2), (4, 8), (14, 20), (30, 35)]
+
+
 def test_redacting_overlaps():
     assert pii.redacted("0123456789", [("card", 2, 5), ("phone", 1, 5), ("ip", 7, 8)]) == "0[PHONE]56[IP]89"
