@@ -6,14 +6,21 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pagetables.llm import bpe, chat, merkle, packing, pii
+from pagetables.llm import bpe, chat, merkle, packing, pii, quality, toxicity
 from pagetables.llm.common import text_or_empty
+from pagetables.plans.workspace import new_folder
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, labels = _table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels")
+    scored, _ = quality.score_documents(docs, labels, new_folder(spark, "quality"))
+    return scored.select("doc_id", "score", (F.col("score") >= quality.KEPT_FROM).alias("kept"))
+
+
 def op2_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     path, pattern = public_tokenizers.path("byte_bpe_multi_50k.tiktoken"), public_tokenizers.PATTERN
     coded = _table(spark, sf_dir, "documents").select("doc_id", bpe.round_trip(spark, path, pattern)(text_or_empty("text")).alias("coded"))
@@ -40,6 +47,15 @@ def op6_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pieces.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset")
 
 
+def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, labels = _table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels")
+    scored = toxicity.score_documents(docs, labels, new_folder(spark, "toxicity"))
+    return scored.select(
+        "doc_id", toxicity.held_out(F.col("doc_id")).alias("held_out"), "score",
+        (F.col("score") >= 0.5).cast("int").alias("predicted"), F.col("evidence.doc_id").alias("nearest_doc_ids"),
+    )
+
+
 CHAT_CASE = "\\### Assistant: </turn> ok"
 
 
@@ -80,9 +96,11 @@ def op10_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_quality": op1_quality,
     "op2_byte_bpe": op2_byte_bpe,
     "op3_merkle": op3_merkle,
     "op6_packing": op6_packing,
+    "op8_toxicity": op8_toxicity,
     "op9_chat_format": op9_chat_format,
     "op10_pii": op10_pii,
 }
