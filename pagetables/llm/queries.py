@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pagetables.llm import bpe, chat, merkle, packing, pii, quality, toxicity
+from pagetables.llm import bpe, chat, merkle, packing, pii, quality, setjoin, toxicity
 from pagetables.llm.common import text_or_empty
 from pagetables.plans.workspace import new_folder
 
@@ -47,6 +47,11 @@ def op6_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pieces.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset")
 
 
+def op7_set_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    members, _ = setjoin.join_sets(_table(spark, sf_dir, "documents"), new_folder(spark, "setjoin"))
+    return setjoin.smallest_ids(members).select("doc_id", F.col("size").alias("n_shingles"), "component_id")
+
+
 def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs, labels = _table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels")
     scored = toxicity.score_documents(docs, labels, new_folder(spark, "toxicity"))
@@ -100,6 +105,7 @@ QUERIES = {
     "op2_byte_bpe": op2_byte_bpe,
     "op3_merkle": op3_merkle,
     "op6_packing": op6_packing,
+    "op7_set_join": op7_set_join,
     "op8_toxicity": op8_toxicity,
     "op9_chat_format": op9_chat_format,
     "op10_pii": op10_pii,
