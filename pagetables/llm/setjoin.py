@@ -406,3 +406,13 @@ def smallest_ids(members: DataFrame) -> DataFrame:
     """doc_id, size, component_id: the smallest id in the component, for empty sets the row's own."""
     low = members.filter("component is not null").groupBy("component").agg(F.min("doc_id").alias("low"))
     return members.join(low, "component", "left").select("doc_id", "size", F.coalesce("low", "doc_id").alias("component_id"))
+
+
+def one_of_each(docs: DataFrame, folder: str, doc_id: str = "doc_id", text: str = "text", **options) -> DataFrame:
+    """The rows of `docs` that hold the smallest id of their component, all columns kept; of rows equal in id and text one stays.
+
+    Texts with an empty set are in no component and stay.
+    """
+    members, _ = join_sets(docs, folder, doc_id, text, **options)
+    ids = smallest_ids(members).filter(F.col("doc_id").eqNullSafe(F.col("component_id"))).select(F.col("doc_id").alias("_kept_id")).distinct()
+    return docs.join(ids, F.col(doc_id).eqNullSafe(F.col("_kept_id")), "left_semi").dropDuplicates([doc_id, text])
