@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pagetables.llm import bpe, chat, merkle, packing, pii, quality, setjoin, toxicity
+from pagetables.llm import bpe, chat, merkle, packing, pii, quality, rpforest, setjoin, toxicity
 from pagetables.llm.common import text_or_empty
 from pagetables.plans.workspace import new_folder
 
@@ -42,6 +42,11 @@ def op3_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op4_nearest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = _table(spark, sf_dir, "embeddings")
+    return rpforest.nearest(vectors, F.col("vec_id") % 100 == 0, new_folder(spark, "forest"))
+
+
 def op6_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     pieces = packing.pack(_table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
     return pieces.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset")
@@ -104,6 +109,7 @@ QUERIES = {
     "op1_quality": op1_quality,
     "op2_byte_bpe": op2_byte_bpe,
     "op3_merkle": op3_merkle,
+    "op4_nearest": op4_nearest,
     "op6_packing": op6_packing,
     "op7_set_join": op7_set_join,
     "op8_toxicity": op8_toxicity,
