@@ -6,8 +6,9 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pagetables.llm import bpe, chat, merkle, packing, pii, quality, rpforest, setjoin, toxicity
+from pagetables.llm import bpe, chat, merkle, packing, pii, quality, rpforest, setjoin, slots, toxicity
 from pagetables.llm.common import text_or_empty
+from pagetables.llm.tokens import id_type
 from pagetables.plans.workspace import new_folder
 
 
@@ -47,6 +48,22 @@ def op4_nearest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rpforest.nearest(vectors, F.col("vec_id") % 100 == 0, new_folder(spark, "forest"))
 
 
+ORDER_KEY = 20_260
+
+
+def op5_training_order(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every slot, as read back from the shards, beside what its number says it must hold."""
+    path, folder = public_tokenizers.path("word_bpe_49k.json"), new_folder(spark, "order")
+    sequences, shards, total = slots.materialise(_table(spark, sf_dir, "documents"), path, folder, ORDER_KEY)
+    held = sequences.select("sequence", "doc_ids")
+    if not total:
+        return held.select(F.lit(0).cast("long").alias("slot"), "sequence", F.lit(0).cast("long").alias("shard"),
+                           F.lit(0).cast("long").alias("n_tokens"), F.lit(0).cast("long").alias("ids_crc32"), "doc_ids")
+    read = slots.read_shards(spark, f"{folder}/shards", id_type(path))
+    found = read.select("slot", slots.sequence_of(total, ORDER_KEY)("slot").alias("sequence"), "shard", "n_tokens", F.crc32("ids").alias("ids_crc32"))
+    return found.join(held, "sequence").select("slot", "sequence", "shard", "n_tokens", "ids_crc32", "doc_ids")
+
+
 def op6_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     pieces = packing.pack(_table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
     return pieces.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset")
@@ -110,6 +127,7 @@ QUERIES = {
     "op2_byte_bpe": op2_byte_bpe,
     "op3_merkle": op3_merkle,
     "op4_nearest": op4_nearest,
+    "op5_training_order": op5_training_order,
     "op6_packing": op6_packing,
     "op7_set_join": op7_set_join,
     "op8_toxicity": op8_toxicity,
