@@ -8,11 +8,11 @@ from pyspark.sql import functions as F
 from pagetables.functions.presence import variant_text, variant_truthy
 from pagetables.functions.text import first_nonempty, let, nonempty
 
-# Where scripts of the JSON-LD type stand in page source. Comments and other scripts are
-# consumed first, so that look-alikes inside them do not count; only a wanted script fills the group.
+# Where scripts of the JSON-LD type stand in page source. Comments (an open one runs
+# to the end of the page) and other scripts are consumed first, so that look-alikes inside them do not count; only a wanted script fills the group.
 JSON_LD_TYPE = "application/ld+json"
 JSON_LD_PATTERN = (
-    r"(?s)<(?:!--.*?-->"
+    r"(?s)<(?:!--.*?(?:-->|\z)"
     r"|(?i:script)\s(?:[^>]*\s)?(?i:type)\s*=\s*(?:\"application/ld\+json\"|'application/ld\+json'|application/ld\+json(?=[\s>]))"
     r"[^>]*>(.*?)(?:</(?i:script)|\z)"
     r"|(?i:script)\b.*?(?:</(?i:script)|\z))"

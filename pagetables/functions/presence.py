@@ -13,7 +13,10 @@ FALSY_JSON = ("null", "false", "0", '""', "[]", "{}")
 
 
 def variant_truthy(value: Column) -> Column:
-    return F.coalesce(~F.to_json(value).isin(*FALSY_JSON), F.lit(False))
+    """Numbers go by their value: zero in any spelling is false."""
+    is_number = F.schema_of_variant(value).rlike("^(BIGINT|DOUBLE|FLOAT|DECIMAL)")
+    zero = F.coalesce(is_number & (F.try_variant_get(value, "$", "double") == 0), F.lit(False))
+    return F.coalesce(~F.to_json(value).isin(*FALSY_JSON) & ~zero, F.lit(False))
 
 
 def variant_text(value: Column) -> Column:

@@ -19,7 +19,7 @@ SEPARATORS = "\x1c\x1d\x1e\x1f"
 WORD_PATTERN = r"(?U)\S+"
 
 # Tag pattern, shortest line kept, reading speed.
-TAG_PATTERN = r"(?s)</?[^ >/]+.*?>"
+TAG_PATTERN = r"</?[^ >/][^>]*+>"
 MIN_LINE_CHARS = 3
 WORDS_PER_MINUTE = 200
 
@@ -29,12 +29,19 @@ def let(value: Column, body: Callable[[Column], Column]) -> Column:
     return F.element_at(F.transform(F.array(value), body), 1)
 
 
+def literal_array(values: Sequence[str]) -> Column:
+    """An array of strings as one literal, whose plan has the same size for any number of values."""
+    if any("\x00" in v for v in values):
+        return F.array(*[F.lit(v) for v in values])
+    return F.split(F.lit("\x00".join(values)), "\x00")
+
+
 def _fold(text: Column, needles: Sequence[str], change: Callable[[Column, Column], Column]) -> Column:
     """Apply `change` for each needle in turn, but only to texts that contain it: the test costs far less than the change."""
     if not needles:
         return text
     return F.aggregate(
-        F.array(*[F.lit(n) for n in needles]),
+        literal_array(needles),
         text,
         lambda done, needle: F.when(F.contains(done, needle), change(done, needle)).otherwise(done),
     )
@@ -58,7 +65,14 @@ def blank_to_null(text: Column) -> Column:
 
 
 def remove_tags(text: Column) -> Column:
-    return F.when(F.contains(text, F.lit("<")), F.regexp_replace(text, TAG_PATTERN, "")).otherwise(text)
+    """Only what stands before the last ">" is searched, so that each "<" of it ends somewhere and the search is linear."""
+
+    def cut(value: Column) -> Column:
+        tail = F.substring_index(value, ">", -1)
+        head = F.left(value, F.char_length(value) - F.char_length(tail))
+        return F.concat(F.regexp_replace(head, TAG_PATTERN, ""), tail)
+
+    return F.when(F.contains(text, F.lit("<")) & F.contains(text, F.lit(">")), let(text, cut)).otherwise(text)
 
 
 def first_nonempty(values: Column) -> Column:
@@ -71,10 +85,9 @@ def strip_all(values: Column) -> Column:
 
 
 def has_any_phrase(line: Column, phrases: Sequence[str]) -> Column:
-    found = F.lit(False)
-    for phrase in phrases:
-        found = found | F.contains(line, F.lit(phrase))
-    return found
+    if not phrases:
+        return F.lit(False)
+    return F.exists(literal_array(phrases), lambda phrase: F.contains(line, phrase))
 
 
 def cut_at_markers(text: Column, markers: Sequence[str]) -> Column:

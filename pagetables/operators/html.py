@@ -171,6 +171,9 @@ def scan_page(html: str, read_element: Callable[[str, str], tuple]) -> list[tupl
     """The kept elements of one page, in document order, each with its direct text runs."""
     nodes: list[tuple] = []
     stack: list[tuple[str, list | None, tuple[str, ...]]] = []
+    # Where open elements of a tag, and of a rank, stand in the stack: an end tag finds its element without walking.
+    by_tag: dict[str, list[int]] = {}
+    by_rank: dict[int, list[int]] = {}
     run: list[str] = []
     html = html.strip().replace("\x00", "")
     at, pos, size = 0, 0, len(html)
@@ -185,11 +188,18 @@ def scan_page(html: str, read_element: Callable[[str, str], tuple]) -> list[tupl
             texts = []
             nodes.append((pos, tag, elem_id, classes, regions, attrs, texts))
         if tag not in VOID_TAGS:
+            by_tag.setdefault(tag, []).append(len(stack))
+            by_rank.setdefault(END_RANK.get(tag, PLAIN_RANK), []).append(len(stack))
             stack.append((tag, texts, regions))
 
+    def close_top() -> None:
+        tag = stack.pop()[0]
+        by_tag[tag].pop()
+        by_rank[END_RANK.get(tag, PLAIN_RANK)].pop()
+
     def open_body() -> None:
         if stack and stack[-1][0] == "head":
-            stack.pop()
+            close_top()
         if not stack or (stack[-1][0] == "html"):
             open_element("body")
 
@@ -224,10 +234,10 @@ def scan_page(html: str, read_element: Callable[[str, str], tuple]) -> list[tupl
             if tag not in HEAD_TAGS and tag not in ROOT_TAGS:
                 open_body()
             elif tag == "body" and stack and stack[-1][0] == "head":
-                stack.pop()
+                close_top()
             ends = ENDED_BY.get(tag, ())
             while stack and stack[-1][0] in ends:
-                stack.pop()
+                close_top()
             open_element(tag, attributes)
             if tag in RAW_TAGS:
                 close = _RAW_END[tag].search(html, at)
@@ -235,13 +245,13 @@ def scan_page(html: str, read_element: Callable[[str, str], tuple]) -> list[tupl
                 at = close.start()
         elif end_tag:
             tag = end_tag.lower()
-            depth = len(stack) - 1
-            while depth >= 0 and stack[depth][0] != tag:
-                blocked = END_RANK.get(stack[depth][0], PLAIN_RANK) > END_RANK.get(tag, PLAIN_RANK)
-                depth = -1 if blocked else depth - 1
-            if depth >= 0 and tag not in ("html", "body"):
+            rank = END_RANK.get(tag, PLAIN_RANK)
+            depth = by_tag[tag][-1] if by_tag.get(tag) else -1
+            blocked = any(higher > rank and places and places[-1] > depth for higher, places in by_rank.items())
+            if depth >= 0 and not blocked and tag not in ("html", "body"):
                 end_run()
-                del stack[depth:]
+                while len(stack) > depth:
+                    close_top()
         else:
             end_run()
     end_run()

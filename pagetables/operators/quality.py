@@ -15,6 +15,7 @@ from pagetables.functions.text import split_tags, title_prefix
 LONG_CONTENT_CHARS = 100
 OPTIONAL_FIELDS = ("lead", "author", "date_modified", "image_url", "id", "read_time", "section")
 FINAL_REPORT_FIELDS = ("lead", "author", "date_modified", "image_url", "id", "read_time")
+SAMPLE_SHARES = 64
 SAMPLE_ROWS = 3
 SAMPLE_TITLE_CHARS = 60
 TOP_TAGS_LINES = 10
@@ -109,21 +110,23 @@ def missing_samples(
     """(field, n_missing, sample_no, title): the first rows without each field, in `order_by` order.
 
     With `only_if_at_most` a field that is missing everywhere is left out, and one missing in more rows than that
-    keeps its count but shows no sample (null sample_no and title). Spark limits the rows per field before the
-    shuffle, so a field missing in every record sends only `rows` rows per task.
+    keeps its count but shows no sample (null sample_no and title). Rows are ranked in SAMPLE_SHARES shares of each field first,
+    then the best `rows` of each share together: a field missing in every record is no single task's work, for any `rows`.
     """
     counts = field_completeness(records, fields, presence="truthy").select("field", F.col("empty").alias("n_missing"), "total")
     absent = F.array_compact(F.array(*[F.when(~_present(records, f), F.lit(f)) for f in fields]))
     lacking = records.select(F.explode(absent).alias("field"), _text(records, "title").alias("title"), *order_by)
+    shared = lacking.withColumn("share", F.pmod(F.xxhash64("title", *order_by), F.lit(SAMPLE_SHARES)))
+    in_share = F.row_number().over(Window.partitionBy("field", "share").orderBy(*order_by))
+    best = shared.withColumn("place", in_share).filter(F.col("place") <= rows)
     rank = F.row_number().over(Window.partitionBy("field").orderBy(*order_by))
-    samples = lacking.withColumn("sample_no", rank).filter(F.col("sample_no") <= rows)
+    samples = best.withColumn("sample_no", rank).filter(F.col("sample_no") <= rows)
     samples = samples.select("field", "sample_no", title_prefix(F.col("title"), title_chars).alias("title"))
-    # Both sides have at most len(fields) * rows rows.
     if only_if_at_most is None:
-        return samples.join(F.broadcast(counts), "field").select("field", "n_missing", "sample_no", "title")
+        return samples.join(counts, "field").select("field", "n_missing", "sample_no", "title")
     partly = counts.filter((F.col("n_missing") > 0) & (F.col("n_missing") < F.col("total")))
     shown = (partly["field"] == samples["field"]) & (partly["n_missing"] <= only_if_at_most)
-    return partly.join(F.broadcast(samples), shown, "left").select(partly["field"], "n_missing", "sample_no", "title")
+    return partly.join(samples, shown, "left").select(partly["field"], "n_missing", "sample_no", "title")
 
 
 def keyword_occurrences(records: DataFrame, keep_empty: bool = False, keep: Sequence[str] = ()) -> DataFrame:

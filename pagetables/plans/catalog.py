@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from pagetables.functions import dates, jsonld, text, urls
 from pagetables.operators import articles, fetchlog, html, links, quality
 from pagetables.plans.crawl import crawl_pages, crawl_reach
-from pagetables.plans.workspace import new_folder, read_spread
+from pagetables.plans.workspace import new_folder
 from pagetables.profile import NEWS_SITE, CleaningRules, LinkRule, SiteProfile
 from pagetables.sources import jsonl
 from pagetables.streaming import ingest
@@ -40,13 +40,8 @@ SAMPLE_PROFILE = SiteProfile(
 )
 
 
-# Tables with much work per row, and the key to deal their rows out by when the table is small.
-SPREAD_KEYS = {"pages": "page_id", "documents": "doc_id", "lineitem": "l_orderkey"}
-
-
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    path = f"{sf_dir}/{name}.parquet"
-    return read_spread(spark, path, SPREAD_KEYS[name]) if name in SPREAD_KEYS else spark.read.parquet(path)
+    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
 # --- inputs derived from the given tables -------------------------------------------------------------------------
@@ -132,7 +127,7 @@ def document_records(documents: DataFrame, labels: DataFrame) -> DataFrame:
     source = F.col("source")
     return joined.select(
         "doc_id",
-        F.when(source == "src7", F.lit("")).otherwise(F.concat(F.lit("Doc "), "doc_id", F.lit(" "), F.substring("text", 1, 80))).alias("title"),
+        F.when(source == "src7", F.lit("")).otherwise(F.concat(F.lit("Doc "), "doc_id", F.lit(" "), F.substring_index("text", "\n", 1))).alias("title"),
         F.concat(F.lit("https://wiadomosci.example.com/"), source, F.lit("/tekst/d"), "doc_id").alias("url"),
         _document_day().alias("date"),
         F.col("text").alias("content"),
@@ -400,10 +395,15 @@ def summary_records(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def bad_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Bad lines of text files written from the records, with the number of lines their files count before them checked."""
+    """Bad lines of text files written from the records. Each carries its place in its file, which the found number must equal."""
     folder = new_folder(spark, "lines")
-    _lines(spark, sf_dir).select("value").write.text(folder)
-    return jsonl.bad_lines(spark, folder).select("raw", (F.col("line_no") >= 1).alias("numbered"))
+    place = F.monotonically_increasing_id().bitwiseAND(F.lit(2**33 - 1)) + 1
+    lines = _lines(spark, sf_dir).select("value", place.alias("place"))
+    bad = F.col("value").startswith("{bad ")
+    lines.select(F.when(bad, F.concat("value", F.lit(" #"), "place")).otherwise(F.col("value")).alias("value")).write.text(folder)
+    found = jsonl.bad_lines(spark, folder)
+    written = F.regexp_extract("raw", r" #(\d+)$", 1).cast("long")
+    return found.select(F.regexp_replace("raw", r" #\d+$", "").alias("raw"), (F.col("line_no") == written).alias("numbered"))
 
 
 def missing_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -486,7 +486,7 @@ def stream_articles(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _event_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     schema = _table(spark, sf_dir, "events").schema
-    return event_fetches(spark.readStream.schema(schema).parquet(f"{sf_dir}/events*.parquet"))
+    return event_fetches(spark.readStream.schema(schema).parquet(f"{sf_dir}/event[s].parquet"))
 
 
 def _drain(stream: DataFrame, folder: str) -> DataFrame:
@@ -504,10 +504,13 @@ def stream_distinct_urls(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def stream_outcome_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every window with an event in it, those still open at the end of the stream included."""
     classified = fetchlog.classify_fetches(_event_stream(spark, sf_dir), SAMPLE_PROFILE)
+    folder = new_folder(spark, "stream")
     counts = ingest.outcome_counts_by_window(classified, "6 hours", "10 minutes")
-    flat = counts.select(F.date_format("window.start", "yyyy-MM-dd HH:mm:ss").alias("window_start"), "outcome", "host", "n")
-    return _drain(flat, new_folder(spark, "stream"))
+    ingest.write_window_updates(counts, f"{folder}/out", f"{folder}/checkpoint").awaitTermination()
+    last = ingest.read_window_updates(spark, f"{folder}/out")
+    return last.select(F.date_format("window.start", "yyyy-MM-dd HH:mm:ss").alias("window_start"), "outcome", "host", "n")
 
 
 QUERIES: dict[str, Query] = {

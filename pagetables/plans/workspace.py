@@ -8,8 +8,6 @@ from functools import lru_cache
 
 from pyspark.sql import DataFrame, SparkSession
 
-SMALL_BYTES_PER_CORE = 16 * 1024 * 1024
-
 
 @lru_cache(maxsize=None)
 def _local_folder(application: str) -> str:
@@ -30,23 +28,6 @@ def new_folder(spark: SparkSession, name: str) -> str:
     return f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
 
 
-def path_bytes(spark: SparkSession, path: str) -> int:
-    jvm_path = spark._jvm.org.apache.hadoop.fs.Path(path)
-    return jvm_path.getFileSystem(spark._jsc.hadoopConfiguration()).getContentSummary(jvm_path).getLength()
-
-
-def read_spread(spark: SparkSession, path: str, key: str) -> DataFrame:
-    """A parquet table; one too small to fill the cores by its own splits is dealt out over them by `key`.
-
-    Only tables under a few megabytes per core are moved. Larger ones have splits enough and are read as they lie.
-    """
-    table = spark.read.parquet(path)
-    cores = spark.sparkContext.defaultParallelism
-    if path_bytes(spark, path) >= cores * SMALL_BYTES_PER_CORE:
-        return table
-    return table.repartition(cores, key)
-
-
 def store(df: DataFrame, path: str) -> DataFrame:
     """Write and read back: cuts the lineage, and the copy outlives any executor."""
     df.write.mode("overwrite").parquet(path)

@@ -59,5 +59,21 @@ def stream_articles(
 
 
 def outcome_counts_by_window(classified: DataFrame, window: str = "1 hour", delay: str = "10 minutes") -> DataFrame:
-    """Fetch outcomes per host and time window; in append mode a window is emitted once the watermark has passed it."""
+    """Fetch outcomes per host and time window. In append mode a window is emitted once the watermark has passed it; use
+    `write_window_updates` to keep open windows, too."""
     return outcome_counts(classified.withWatermark("ts", delay), F.window("ts", window).alias("window"))
+
+
+def write_window_updates(counts: DataFrame, path: str, checkpoint: str) -> StreamingQuery:
+    """Write every change of a window's counts under the number of its batch; a batch that runs again replaces its own folder."""
+
+    def write(batch: DataFrame, number: int) -> None:
+        batch.write.mode("overwrite").parquet(f"{path}/batch={number}")
+
+    return counts.writeStream.foreachBatch(write).outputMode("update").option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+
+
+def read_window_updates(spark: SparkSession, path: str) -> DataFrame:
+    """The last written count of every window, host and outcome, open windows included."""
+    updates = spark.read.parquet(path)
+    return updates.groupBy("window", "outcome", "host").agg(F.max_by("n", "batch").alias("n"))

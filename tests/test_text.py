@@ -2,6 +2,7 @@
 
 import datetime as dt
 import random
+import time
 
 import pytest
 from pyspark.sql import functions as F
@@ -50,19 +51,42 @@ def test_remove_tags(spark):
     assert run(spark, values, text.remove_tags) == ["x y", "a < b", "1  3", "z", "'>t", "no tags", None]
 
 
-def clean(spark, blocks, phrases=("CLICK HERE", "BUY NOW"), markers=("READ MORE",)):
+def clean(spark, blocks, phrases=("sail loft", "%%"), markers=("~end~",)):
     return run(spark, [blocks], lambda c: text.clean_content(c, phrases, markers), "array<string>")[0]
 
 
-def test_clean_content_cases(spark):
-    assert clean(spark, ["  Title  ", "Introduction paragraph.", "   ", "Content."]) == "Title  \nIntroduction paragraph.\nContent."
-    assert clean(spark, ["Normal content", "This is CLICK HERE to win", "More"]) == "Normal content\nMore"
-    assert clean(spark, ["Start", "Middle", "READ MORE below", "gone"]) == "Start\nMiddle"
-    assert clean(spark, ["   ", "\t\t", "\n", "Actual content here"]) == "Actual content here"
-    assert clean(spark, ["OK", "Yes", "This is a longer line"]) == "Yes\nThis is a longer line"
-    assert clean(spark, []) == ""
+def test_lines_with_a_phrase_go_wherever_it_stands():
+    for place in range(3):
+        blocks = ["keel", "mast", "boom"]
+        blocks[place] += " near the sail loft door"
+        assert clean_model(blocks, ("sail loft",), ()) == "\n".join(b for b in ("keel", "mast", "boom") if b != blocks[place].split()[0])
+
+
+@pytest.mark.parametrize("blocks", [
+    [], ["a%%"], ["ab", "abc", "abcd"], ["tide 1\ntide 2 %%", "~end~", "tide 3"], ["\u2003\u2003", "\v\f", "rope"], ["~end~"],
+    ["in\xa0two\xa0parts \xa0", "\xa0\xa0x"], ["sail", "loft"], ["left of~end~right", "sail loft"],
+])
+def test_clean_content_equals_the_model(spark, blocks):
+    assert clean(spark, blocks) == clean_model(blocks, ("sail loft", "%%"), ("~end~",))
+
+
+def test_no_blocks(spark):
     assert clean(spark, None) == ""
-    assert clean(spark, ["keep\xa0this  ", "  and that "]) == "keep this  \n  and that"
+
+
+def test_thousands_of_phrases_and_markers(spark):
+    phrases = [f"phrase-{i};" for i in range(5000)]
+    markers = [f"[mark {i}]" for i in range(1200)]
+    blocks = ["kept line", "with phrase-4999; inside", "phrase-12", "before [mark 700] after", "lost"]
+    assert clean(spark, blocks, phrases, markers) == "kept line\nphrase-12\nbefore"
+
+
+@pytest.mark.parametrize("unit, n", [("<", 200_000), ("<a", 100_000), ("</", 100_000), ("<b>", 100_000), ("< ", 100_000), (">", 200_000)])
+def test_tag_removal_is_linear(spark, unit, n):
+    start = time.perf_counter()
+    value = run(spark, [unit * n + "x", "<" + "a" * 300_000 + ">y<z"], text.remove_tags)
+    assert time.perf_counter() - start < 20
+    assert value[1] == "y<z"
 
 
 def test_markers_apply_in_order(spark):
