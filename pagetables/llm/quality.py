@@ -137,9 +137,10 @@ def _standing(rows: list, view: str) -> np.ndarray:
     return np.array([r["features"][view] for r in rows], dtype=float)
 
 
-def co_train(table: DataFrame, labels: DataFrame, doc_id: str = "doc_id", label: str = "quality", train_rows: int = 12_000,
+def co_train(table: DataFrame, labels: DataFrame, folder: str, doc_id: str = "doc_id", label: str = "quality", train_rows: int = 12_000,
              rounds: int = 3, grow: int = 500, confident: float = 0.95) -> Model:
-    """Train on a table of doc_id and features. One labelled row in four is kept for calibration."""
+    """Train on a table of doc_id and features; the unlabelled rows are set apart in `folder` once. One labelled row in four is kept
+    for calibration."""
     known = labels.select(F.col(doc_id).alias("doc_id"), F.col(label).alias("label")).filter(F.col("label").isNotNull() & F.col("doc_id").isNotNull())
     known = known.groupBy("doc_id").agg(F.min("label").alias("label"))
     sample = known.orderBy(F.xxhash64("doc_id"), "doc_id").limit(train_rows)
@@ -166,7 +167,7 @@ def co_train(table: DataFrame, labels: DataFrame, doc_id: str = "doc_id", label:
         return fit_logistic(x, target, weight, l2=0.1)
 
     model = Model(trained("content"), trained("metadata"))
-    unlabelled = table.join(known.select("doc_id"), "doc_id", "left_anti")
+    unlabelled = store(table.join(known.select("doc_id"), "doc_id", "left_anti"), folder)
     for _ in range(rounds):
         scored = unlabelled.select("doc_id", "features", scorer(model, both_views=True)("features").alias("p"))
         found = []
@@ -187,7 +188,7 @@ def co_train(table: DataFrame, labels: DataFrame, doc_id: str = "doc_id", label:
 def score_documents(docs: DataFrame, labels: DataFrame, folder: str, doc_id: str = "doc_id", **options) -> tuple[DataFrame, Model]:
     """doc_id and score (1: good) of every row, and the model. Feature arrays of all rows are kept in `folder`."""
     table = store(docs.select(F.col(doc_id).alias("doc_id"), featured(docs).alias("features")), folder)
-    model = co_train(table, labels, **options)
+    model = co_train(table, labels, f"{folder}_unlabelled", **options)
     return table.select("doc_id", scorer(model)("features").alias("score")), model
 
 

