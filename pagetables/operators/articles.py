@@ -83,12 +83,13 @@ def extract_records(
     as_of: Column | dt.date | str,
     keep_stale: bool = False,
     checks: Sequence[Check] = ARTICLE_CHECKS,
+    keep: Sequence[str] = (),
 ) -> DataFrame:
     """Every page that is not too old as an article row plus `outcome` and `errors`.
 
     `pages` needs `url` and `html`; `as_of` is a day or a column of `pages`. Pages whose JSON-LD already shows them
     to be old are dropped before the HTML scan; the rest of the recency test needs the scanned dates. With
-    `keep_stale` those pages stay in the result with outcome `stale`.
+    `keep_stale` those pages stay in the result with outcome `stale`. Columns of `pages` named in `keep` come last.
     """
     sel, steps, rules = profile.selectors, profile.steps, profile.rules
     as_of = as_day(as_of)
@@ -100,7 +101,7 @@ def extract_records(
 
     # The gate sits inside the generator: a filter on `ld` would be pushed down and parse the JSON-LD once more.
     gated = F.array(metadata) if keep_stale else F.filter(F.array(metadata), may_be_fresh)
-    scanned = pages.select("url", "html", as_of.alias("as_of"), F.explode(gated).alias("ld")).withColumn(
+    scanned = pages.select("url", "html", *keep, as_of.alias("as_of"), F.explode(gated).alias("ld")).withColumn(
         "nodes", html_nodes(F.col("html"), spec_for(sel.all()))
     )
 
@@ -130,6 +131,7 @@ def extract_records(
         pick("lead", *texts(sel.lead)).alias("lead"),
         ld["bad_types"].alias("bad_types"),
         "fresh",
+        *keep,
     )
     blocks = fields.withColumn(
         "blocks", _candidates([choose_blocks([F.col(name) for name in text_lists])], steps.get("content", ()))
@@ -147,10 +149,20 @@ def extract_records(
     )
     lead = ["lead"] if profile.keep_lead else []
     return checked.withColumn("title", strip(F.col("title"))).select(
-        *ARTICLE_COLUMNS, *lead, outcome.alias("outcome"), "errors"
+        *ARTICLE_COLUMNS, *lead, outcome.alias("outcome"), "errors", *keep
     )
 
 
+def url_key() -> Column:
+    """What makes two records the same page: the URL, or without one the record's text."""
+    return F.coalesce("url", F.concat(F.lit("?"), F.xxhash64("title", "content").cast("string")))
+
+
+def distinct_pages(records: DataFrame) -> DataFrame:
+    """One record per URL."""
+    return records.withColumn("_key", url_key()).dropDuplicates(["_key"]).drop("_key")
+
+
 def accepted_articles(records: DataFrame) -> DataFrame:
     return records.filter(F.col("outcome") == ACCEPTED).drop("outcome", "errors")
 

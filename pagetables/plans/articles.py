@@ -3,11 +3,12 @@
 from __future__ import annotations
 
 import datetime as dt
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from pagetables.operators.articles import ACCEPTED, extract_records
+from pagetables.operators.articles import ACCEPTED, distinct_pages, extract_records
 from pagetables.profile import SiteProfile
 from pagetables.sources.jsonl import run_path, write_jsonl
 
@@ -19,14 +20,22 @@ def run_article_job(
     base: str,
     run_ts: dt.datetime,
     item_cap: int | None = None,
+    one_per_url: bool = False,
+    stages: Sequence[Callable[[DataFrame], DataFrame]] = (),
 ) -> dict[str, str]:
     """Writes <base>/records (parquet, partitioned by outcome) and <base>/data_<run>.jsonl; returns both paths.
 
     `rejected_articles` of the stored records gives the rejects with their errors. The records are written once and the two outputs read from them, so the HTML scan runs once per page.
+
+    `stages` are applied to the accepted articles, in order, before they are written. `item_cap` keeps that many articles, any of them.
     """
     records_path = f"{base.rstrip('/')}/records/run_ts={run_ts.strftime('%Y-%m-%d_%H-%M-%S')}"
-    extract_records(pages, profile, as_of).write.mode("overwrite").partitionBy("outcome").parquet(records_path)
+    records = extract_records(pages, profile, as_of)
+    (distinct_pages(records) if one_per_url else records).write.mode("overwrite").partitionBy("outcome").parquet(records_path)
     stored = pages.sparkSession.read.parquet(records_path)
     articles_path = run_path(base, run_ts)
-    write_jsonl(stored.filter(F.col("outcome") == ACCEPTED), articles_path, limit=item_cap)
+    accepted = stored.filter(F.col("outcome") == ACCEPTED)
+    for stage in stages:
+        accepted = stage(accepted)
+    write_jsonl(accepted, articles_path, limit=item_cap)
     return {"records": records_path, "articles": articles_path}

@@ -2,17 +2,21 @@
 
 from __future__ import annotations
 
+import datetime as dt
 from collections.abc import Callable
+from dataclasses import replace
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from pagetables.functions import dates, jsonld, text, urls
 from pagetables.operators import articles, fetchlog, html, links, quality
+from pagetables.plans.articles import run_article_job
 from pagetables.plans.crawl import crawl_pages, crawl_reach
 from pagetables.plans.workspace import new_folder
 from pagetables.profile import NEWS_SITE, CleaningRules, LinkRule, SiteProfile
 from pagetables.sources import jsonl
+from pagetables.sources.pages import read_fetch_log, read_pages
 from pagetables.streaming import ingest
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -121,6 +125,41 @@ def document_pages(documents: DataFrame) -> DataFrame:
     return documents.select("doc_id", url.alias("url"), page.alias("html"))
 
 
+LINKED_PROFILE = replace(
+    SAMPLE_PROFILE,
+    link_rules=(
+        LinkRule("card", "follow", allow=(r"/p\d+$",), regions=("card",)),
+        LinkRule("pagination", "follow", allow=(r"example.com",), anchor_class_part="next"),
+        LinkRule("plain", "parse", allow=(r"/p\d+$",)),
+    ),
+    allowed_domains=("example.com",),
+)
+
+
+def linked_pages(documents: DataFrame) -> DataFrame:
+    """A page per document, /p<doc_id>, that links to the pages 2n + 1 and 2n + 2 inside a card, to itself and to its next list page.
+
+    The hrefs take the forms a page may write them in, by doc_id.
+    """
+    def href(target: Column) -> Column:
+        form = F.col("doc_id") % 5
+        return (
+            F.when(form == 0, F.concat(F.lit("/p"), target)).when(form == 1, F.concat(F.lit("p"), target))
+            .when(form == 2, F.concat(F.lit("//example.com/p"), target)).when(form == 3, F.concat(F.lit("https://example.com/p"), target))
+            .otherwise(F.concat(F.lit("./x/../p"), target))
+        )
+
+    def anchor(target: Column, text: str) -> Column:
+        return F.concat(F.lit('<a href="'), href(target), F.lit(f'">{text}</a>'))
+
+    twice = F.col("doc_id") * 2
+    page = F.concat(
+        F.lit('<html><body><div class="list card"><b>'), anchor(twice + 1, "left"), F.lit("</b>"), anchor(twice + 2, "right"),
+        F.lit("</div>"), anchor(F.col("doc_id"), "self"), F.lit('<a class="nav next-page" href="?page=2">more</a></body></html>'),
+    )
+    return documents.select(F.concat(F.lit("https://example.com/p"), "doc_id").alias("url"), page.alias("html"))
+
+
 def document_records(documents: DataFrame, labels: DataFrame) -> DataFrame:
     """Article-shaped records with gaps: labels give read_time (0 or 1) and are missing for most documents."""
     joined = documents.join(labels, "doc_id", "left")
@@ -266,6 +305,19 @@ def page_reach(spark: SparkSession, sf_dir: str) -> DataFrame:
     return crawl_pages(pages, SAMPLE_PROFILE, pages.select("url"))
 
 
+def linked_links(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every href form resolved, and every anchor routed by region, by the class of the anchor or by its place in the rules."""
+    found = links.extract_links(linked_pages(_table(spark, sf_dir, "documents")), LINKED_PROFILE.regions())
+    return links.route_links(found, LINKED_PROFILE).select("src_url", "pos", "href", "dst_url", "rule", "action")
+
+
+def linked_reach(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """From one page down five levels of pages that link to each other."""
+    seeds = spark.createDataFrame([("https://example.com/p0",)], "url string")
+    reached = crawl_pages(linked_pages(_table(spark, sf_dir, "documents")), LINKED_PROFILE, seeds)
+    return reached.filter(~F.col("url").contains("?"))
+
+
 def clean_content(spark: SparkSession, sf_dir: str) -> DataFrame:
     blocks = text.strip_all(F.split("text", "\n"))
     return _table(spark, sf_dir, "documents").select("doc_id", text.clean_content(blocks, PHRASES, MARKERS).alias("content"))
@@ -472,16 +524,52 @@ def fetch_latest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return latest.select("requested_url", "outcome", F.col("effective_status").cast("int").alias("effective_status"), "page_url", "attempts")
 
 
-def stream_articles(spark: SparkSession, sf_dir: str) -> DataFrame:
+def _ingested(spark: SparkSession, sf_dir: str) -> str:
+    """Pages of the documents, each given twice an hour apart, run through the page stream; the folder of what it wrote."""
     folder = new_folder(spark, "stream")
-    pages = document_pages(_table(spark, sf_dir, "documents")).select(
-        "url", "html", F.lit(ARTICLE_DAY).cast("timestamp").alias("fetched_at")
-    )
-    pages.write.parquet(f"{folder}/pages")
-    source = ingest.stream_pages(spark, f"{folder}/pages", schema=pages.schema)
-    query = ingest.write_article_stream(ingest.article_stream(source, SAMPLE_PROFILE), f"{folder}/out", f"{folder}/checkpoint")
-    query.awaitTermination()
-    return jsonl.read_jsonl(spark, f"{folder}/out", mode="strict")
+    pages = document_pages(_table(spark, sf_dir, "documents"))
+    for hour in (8, 9):
+        fetched = F.lit(f"{ARTICLE_DAY} {hour:02d}:00:00").cast("timestamp")
+        pages.select("url", "html", fetched.alias("fetched_at")).write.mode("append").parquet(f"{folder}/pages")
+    schema = spark.read.parquet(f"{folder}/pages").schema
+    records = ingest.record_stream(ingest.stream_pages(spark, f"{folder}/pages", schema=schema), SAMPLE_PROFILE, delay="1 day")
+    ingest.write_record_stream(records, f"{folder}/out", f"{folder}/rejects", f"{folder}/checkpoint").awaitTermination()
+    return folder
+
+
+def stream_articles(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jsonl.read_jsonl(spark, f"{_ingested(spark, sf_dir)}/out/*", mode="strict")
+
+
+def article_job(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The batch job over every page given twice, with one article a URL; the article file read back."""
+    pages = document_pages(_table(spark, sf_dir, "documents")).select("url", "html")
+    paths = run_article_job(
+        pages.unionByName(pages), SAMPLE_PROFILE, ARTICLE_DAY, new_folder(spark, "job"), dt.datetime(2026, 1, 5, 12, 30), one_per_url=True)
+    return jsonl.read_jsonl(spark, paths["articles"], mode="strict")
+
+
+def pages_json(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The given pages written as JSON lines and read as stored pages."""
+    folder = new_folder(spark, "pages")
+    _table(spark, sf_dir, "pages").select("url", "html").write.json(folder)
+    return read_pages(spark, folder, "json").select("url", F.md5(F.col("html").cast("binary")).alias("html_md5"))
+
+
+def pages_parquet(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return read_pages(spark, f"{sf_dir}/pages.parquet").select("url", F.md5(F.col("html").cast("binary")).alias("html_md5"))
+
+
+def fetch_log_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The fetch log written as JSON lines and read by its schema."""
+    folder = new_folder(spark, "fetches")
+    event_fetches(_table(spark, sf_dir, "events")).write.json(folder)
+    return fetchlog.outcome_counts(fetchlog.classify_fetches(read_fetch_log(spark, folder), SAMPLE_PROFILE))
+
+
+def stream_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
+    records = spark.read.parquet(f"{_ingested(spark, sf_dir)}/rejects/*")
+    return articles.rejected_articles(records).select("url", "title", "date", F.array_join("errors", ",").alias("errors"))
 
 
 def _event_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -556,6 +644,13 @@ QUERIES: dict[str, Query] = {
     "fetch_outcome_counts": fetch_outcome_counts,
     "fetch_latest": fetch_latest,
     "stream_articles": stream_articles,
+    "stream_rejects": stream_rejects,
+    "article_job": article_job,
+    "pages_json": pages_json,
+    "pages_parquet": pages_parquet,
+    "fetch_log_counts": fetch_log_counts,
+    "linked_links": linked_links,
+    "linked_reach": linked_reach,
     "stream_distinct_urls": stream_distinct_urls,
     "stream_outcome_windows": stream_outcome_windows,
 }

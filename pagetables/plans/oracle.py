@@ -187,6 +187,12 @@ classified AS (
 _WRITTEN = """CASE event_type WHEN 'view' THEN strftime(ts, '%Y-%m-%dT%H:%M:%S') WHEN 'click' THEN strftime(ts, '%Y-%m-%d %H:%M')
   WHEN 'signup' THEN strftime(ts, '%Y-%-m-%-d') WHEN 'error' THEN 'not-a-date' ELSE ' ' || strftime(ts, '%Y-%m-%d') END"""
 
+_REJECTS = f"""
+WITH {_DOC_FACTS}
+SELECT url, title, day AS date, concat_ws(',', CASE WHEN title IS NULL THEN 'title_missing' END,
+  CASE WHEN url NOT LIKE 'http%' THEN 'url_scheme' END) AS errors
+FROM cleaned WHERE recent AND (title IS NULL OR url NOT LIKE 'http%')"""
+
 ORACLE: dict[str, str] = {
     "page_title": f"SELECT page_id, {_TITLE} AS title FROM pages",
     "page_paragraphs": f"""
@@ -246,11 +252,7 @@ d AS (SELECT *, CASE WHEN contains(written, 'T') THEN split_part(written, 'T', 1
 SELECT event_id, date_part, CASE WHEN event_type IN ('view', 'click', 'signup') THEN strftime(ts, '%Y-%m-%d') END AS day,
   event_type IN ('view', 'click', 'signup') AND date_diff('day', CAST(ts AS DATE), DATE '{EVENT_DAY}') BETWEEN 0 AND 3 AS recent FROM d""",
     "extract_articles": _ARTICLES,
-    "rejects": f"""
-WITH {_DOC_FACTS}
-SELECT url, title, day AS date, concat_ws(',', CASE WHEN title IS NULL THEN 'title_missing' END,
-  CASE WHEN url NOT LIKE 'http%' THEN 'url_scheme' END) AS errors
-FROM cleaned WHERE recent AND (title IS NULL OR url NOT LIKE 'http%')""",
+    "rejects": _REJECTS,
     "page_outcomes": f"""
 WITH {_DOC_FACTS}, {_PARAGRAPHS and f'given AS (SELECT {_PARAGRAPHS} AS blocks FROM pages)'},
 o AS (SELECT CASE WHEN NOT recent THEN 'stale' WHEN title IS NULL OR url NOT LIKE 'http%' THEN 'rejected' ELSE 'accepted' END AS outcome,
@@ -307,6 +309,22 @@ WITH {_FETCHES} SELECT event_id, outcome, effective_status, page_url, 'CONTENT-E
 WITH {_FETCHES} SELECT requested_url, outcome, effective_status, page_url, count(*) OVER (PARTITION BY requested_url) AS attempts FROM classified
 QUALIFY row_number() OVER (PARTITION BY requested_url ORDER BY ts DESC, effective_status DESC, page_url DESC, outcome DESC) = 1""",
     "stream_articles": _ARTICLES,
+    "stream_rejects": _REJECTS,
+    "article_job": _ARTICLES,
+    "pages_json": "SELECT url, md5(html) AS html_md5 FROM pages",
+    "pages_parquet": "SELECT url, md5(html) AS html_md5 FROM pages",
+    "fetch_log_counts": f"WITH {_FETCHES} SELECT outcome, host, count(*) AS n FROM classified GROUP BY outcome, host",
+    "linked_links": """
+WITH a AS (SELECT doc_id, unnest([2 * doc_id + 1, 2 * doc_id + 2, doc_id]) AS target, unnest([0, 1, 2]) AS pos, unnest(['card', 'card', 'plain']) AS rule FROM documents)
+SELECT 'https://example.com/p' || doc_id AS src_url, pos::INTEGER AS pos,
+  ['/p', 'p', '//example.com/p', 'https://example.com/p', './x/../p'][doc_id % 5 + 1] || target AS href,
+  'https://example.com/p' || target AS dst_url, rule, CASE rule WHEN 'card' THEN 'follow' ELSE 'parse' END AS action FROM a
+UNION ALL SELECT 'https://example.com/p' || doc_id, 3, '?page=2', 'https://example.com/p' || doc_id || '?page=2', 'pagination', 'follow' FROM documents""",
+    "linked_reach": """
+WITH RECURSIVE walk AS (
+  SELECT 0::BIGINT AS id, 0 AS depth
+  UNION ALL SELECT 2 * id + k, depth + 1 FROM walk JOIN documents ON doc_id = id, (VALUES (1), (2)) sides(k) WHERE depth < 5)
+SELECT 'https://example.com/p' || id AS url, depth FROM walk""",
     "stream_distinct_urls": f"WITH {_FETCHES} SELECT DISTINCT requested_url FROM requests",
     "stream_outcome_windows": f"""
 WITH {_FETCHES}, w AS (SELECT time_bucket(INTERVAL '6 hours', ts, TIMESTAMP '2024-01-01') AS start, outcome, host FROM classified)

@@ -3,15 +3,17 @@
 from __future__ import annotations
 
 import datetime as dt
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
-from pagetables.operators.articles import ARTICLE_COLUMNS, accepted_articles, extract_records
+from pagetables.operators.articles import ACCEPTED, extract_records, url_key
 from pagetables.operators.fetchlog import outcome_counts
 from pagetables.profile import SiteProfile
+from pagetables.sources.jsonl import write_jsonl
 from pagetables.sources.pages import PAGE_SCHEMA
 
 
@@ -33,29 +35,46 @@ def dedupe_stream(pages: DataFrame, delay: str = "1 hour", time_column: str = "f
     return pages.withWatermark(time_column, delay).dropDuplicatesWithinWatermark([key])
 
 
-def article_stream(pages: DataFrame, profile: SiteProfile, as_of: Column | dt.date | str | None = None) -> DataFrame:
-    """Articles of a page stream. By default a page is judged by the day it was fetched, so reruns give the same rows."""
-    day = F.to_date("fetched_at") if as_of is None else as_of
-    return accepted_articles(extract_records(pages, profile, day)).select(*ARTICLE_COLUMNS)
+def record_stream(
+    pages: DataFrame, profile: SiteProfile, as_of: Column | dt.date | str | None = None, delay: str | None = "1 hour"
+) -> DataFrame:
+    """Records of a page stream with their outcome and errors, stale and rejected ones included.
+
+    By default a page is judged by the day (in UTC) it was fetched, so reruns give the same rows. A URL gives one record within
+    `delay` of event time (None: every page gives one); the pages are read before that, so the shuffle carries records, not pages.
+    """
+    fetched_day = F.to_date(F.to_utc_timestamp("fetched_at", F.current_timezone()))
+    records = extract_records(pages, profile, fetched_day if as_of is None else as_of, keep_stale=True, keep=["fetched_at"])
+    if delay is None:
+        return records
+    keyed = records.withColumn("_key", url_key()).withWatermark("fetched_at", delay)
+    return keyed.dropDuplicatesWithinWatermark(["_key"]).drop("_key")
 
 
-def write_article_stream(articles: DataFrame, path: str, checkpoint: str) -> StreamingQuery:
-    """JSON Lines file sink, exactly-once through its checkpoint; processes what is there and stops."""
-    return (
-        articles.writeStream.format("json")
-        .option("ignoreNullFields", "false")
-        .option("path", path)
-        .option("checkpointLocation", checkpoint)
-        .outputMode("append")
-        .trigger(availableNow=True)
-        .start()
-    )
+def write_record_stream(
+    records: DataFrame, articles: str, rejects: str, checkpoint: str, stages: Sequence[Callable[[DataFrame], DataFrame]] = ()
+) -> StreamingQuery:
+    """Accepted articles as JSON Lines, all other records with outcome and errors as Parquet; processes what is there and stops.
+
+    A batch has a folder of its own in both places, which a repeated batch replaces. `stages` change the accepted articles.
+    """
+
+    def write(batch: DataFrame, number: int) -> None:
+        batch = batch.persist()
+        accepted = batch.filter(F.col("outcome") == ACCEPTED)
+        for stage in stages:
+            accepted = stage(accepted)
+        write_jsonl(accepted, f"{articles}/{number:08d}")
+        batch.filter(F.col("outcome") != ACCEPTED).write.mode("overwrite").parquet(f"{rejects}/{number:08d}")
+        batch.unpersist()
+
+    return records.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
 
 
 def stream_articles(
-    spark: SparkSession, source: str, sink: str, checkpoint: str, profile: SiteProfile, format: str = "parquet"
+    spark: SparkSession, source: str, sink: str, rejects: str, checkpoint: str, profile: SiteProfile, format: str = "parquet"
 ) -> StreamingQuery:
-    return write_article_stream(article_stream(stream_pages(spark, source, format), profile), sink, checkpoint)
+    return write_record_stream(record_stream(stream_pages(spark, source, format), profile), sink, rejects, checkpoint)
 
 
 def outcome_counts_by_window(classified: DataFrame, window: str = "1 hour", delay: str = "10 minutes") -> DataFrame:

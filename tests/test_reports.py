@@ -235,18 +235,34 @@ def page_rows(spark, numbers, fetched="2026-03-02 08:00:00", day=TODAY):
 
 
 def test_article_stream_is_incremental(spark, tmp_path):
-    source, sink, checkpoint = (str(tmp_path / n) for n in ("in", "out", "cp"))
-    run = lambda: ingest.stream_articles(spark, source, sink, checkpoint, NEWS_SITE).awaitTermination()
+    source, sink, rejects, checkpoint = (str(tmp_path / n) for n in ("in", "out", "rejects", "cp"))
+
+    def run():
+        ingest.stream_articles(spark, source, sink, rejects, checkpoint, NEWS_SITE).awaitTermination()
+
     page_rows(spark, range(3)).write.parquet(source)
     run()
-    assert jsonl.read_jsonl(spark, sink, mode="strict").count() == 3
+    assert jsonl.read_jsonl(spark, f"{sink}/*", mode="strict").count() == 3
+    run()
+    page_rows(spark, [*range(3, 5), 1]).write.mode("append").parquet(source)
     run()
-    page_rows(spark, range(3, 5)).write.mode("append").parquet(source)
     page_rows(spark, [7], fetched="2026-03-09 00:00:00").write.mode("append").parquet(source)
     run()
-    written = jsonl.read_jsonl(spark, sink, mode="strict").collect()
+    written = jsonl.read_jsonl(spark, f"{sink}/*", mode="strict").collect()
     assert sorted(r.id for r in written) == ["0", "1", "2", "3", "4"]
-    assert all(set(json.loads(line.value)) == set(ARTICLE_COLUMNS) for line in spark.read.text(sink).collect())
+    assert all(set(json.loads(line.value)) == set(ARTICLE_COLUMNS) for line in spark.read.text(f"{sink}/*").collect())
+    left = spark.read.parquet(f"{rejects}/*").collect()
+    assert [(r.url, r.outcome) for r in left] == [("https://e/7", "stale")]
+
+
+def test_stages_run_before_the_sink(spark, tmp_path):
+    source = str(tmp_path / "in")
+    page_rows(spark, range(4)).write.parquet(source)
+    records = ingest.record_stream(ingest.stream_pages(spark, source), NEWS_SITE, delay=None)
+    paths = [str(tmp_path / n) for n in ("out", "rejects", "cp")]
+    stages = [lambda df: df.filter("id > 1"), lambda df: df.withColumn("section", F.lit("changed"))]
+    ingest.write_record_stream(records, *paths, stages=stages).awaitTermination()
+    assert sorted((r.id, r.section) for r in jsonl.read_jsonl(spark, f"{paths[0]}/*").collect()) == [("2", "changed"), ("3", "changed")]
 
 
 def test_duplicate_urls_in_a_stream(spark, tmp_path):
