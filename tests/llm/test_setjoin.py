@@ -3,10 +3,11 @@ import re
 
 import numpy as np
 import pytest
-from pyspark.sql import functions as F
+from compare import compare, duck
 
 from pagetables.llm import setjoin
 from pagetables.llm.queries import QUERIES
+from pagetables.llm.sql import ORACLE
 
 
 def plain_set(text, k=3):
@@ -91,6 +92,11 @@ def test_query(spark):
     assert len(got) == len(rows)
 
 
+def test_query_against_sql(spark):
+    sf_dir = "/root/testdata/sf0.001"
+    assert compare(QUERIES["op7_set_join"](spark, sf_dir), duck(sf_dir), ORACLE["op7_set_join"]) == []
+
+
 def test_edges(spark, tmp_path):
     long = " ".join(f"word{i}" for i in range(40_000))
     rows = [(1, None, "x", 1), (2, "", "y", 2), (3, " \t\n", None, None), (4, "One two", "x", 0), (5, "one TWO", "x", 0), (6, "one", "x", 0),
