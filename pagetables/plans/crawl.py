@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -9,40 +11,51 @@ from pagetables.operators.links import crawl_edges
 from pagetables.plans.workspace import new_folder, store
 from pagetables.profile import SiteProfile
 
-BROADCAST_LIMIT_BYTES = 64 * 1024 * 1024
+HUB_SHARES = 8
+
+
+def store_edges(edges: DataFrame, folder: str, shares: int = HUB_SHARES) -> str:
+    """Edges as a table bucketed by source and share; the links of a hub page are dealt over `shares`. Returns the table's name."""
+    spark = edges.sparkSession
+    buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    name = f"crawl_edges_{uuid.uuid4().hex}"
+    follow = F.col("follow") if "follow" in edges.columns else F.lit(True)
+    share = F.pmod(F.xxhash64("dst"), F.lit(shares)).cast("int")
+    dealt = edges.select("src", "dst", follow.alias("follow"), share.alias("share")).repartition(buckets, "src", "share")
+    dealt.write.bucketBy(buckets, "src", "share").option("path", folder).saveAsTable(name)
+    return name
 
 
-def _broadcast_if_small(level: DataFrame, size: int) -> DataFrame:
-    return F.broadcast(level) if size <= BROADCAST_LIMIT_BYTES else level
+def next_targets(links: DataFrame, expand: DataFrame, shares: int = HUB_SHARES) -> DataFrame:
+    """(dst, follow) of the links that leave the pages of `expand` (url). The stored links are joined where they lie."""
+    sources = expand.select(F.col("url").alias("src"), F.explode(F.sequence(F.lit(0), F.lit(shares - 1))).alias("share"))
+    return links.join(sources, ["src", "share"]).groupBy("dst").agg(F.bool_or("follow").alias("follow"))
 
 
 def crawl_reach(edges: DataFrame, seeds: DataFrame, max_depth: int = 5) -> DataFrame:
     """(url, depth) with the smallest depth per URL, seeds at depth 0.
 
     `edges` has src, dst and optionally follow: URLs reached only over edges with follow = false are recorded but not
-    expanded. Each level is written to the shared folder, so plans do not grow with depth. A small frontier is
-    broadcast (its size is measured first); a large one is joined by shuffle, where AQE splits pages with very many
-    links. The edges are stored as they come, without a shuffle; repeated ones vanish when the targets of a level are
-    made distinct, by partial aggregation before the shuffle.
+    expanded. Edges move once, into buckets by source; a level moves its frontier and the targets found, not the edges.
+    Each level is written to the shared folder, so plans do not grow with depth. The bucketed table is dropped at the end.
     """
     spark = edges.sparkSession
     folder = new_folder(spark, "crawl")
-    follow = F.col("follow") if "follow" in edges.columns else F.lit(True)
-    links = store(edges.select("src", "dst", follow.alias("follow")), f"{folder}/edges")
-
-    start = seeds.select("url").distinct().select("url", F.lit(0).alias("depth"), F.lit(True).alias("follow"))
-    frontier = reached = store(start, f"{folder}/depth=0")
-    for depth in range(1, max_depth + 1):
-        expand = frontier.filter("follow").select(F.col("url").alias("src"))
-        rows, size = expand.agg(
-            F.count(F.lit(1)), F.coalesce(F.sum(F.octet_length("src") + 64), F.lit(0))
-        ).first()
-        if not rows:
-            break
-        targets = links.join(_broadcast_if_small(expand, size), "src").groupBy("dst").agg(F.bool_or("follow").alias("follow"))
-        fresh = targets.withColumnRenamed("dst", "url").join(reached.select("url"), "url", "left_anti")
-        frontier = store(fresh.select("url", F.lit(depth).alias("depth"), "follow"), f"{folder}/depth={depth}")
-        reached = reached.unionByName(frontier)
+    table = store_edges(edges, f"{folder}/edges")
+    try:
+        links = spark.table(table)
+        start = seeds.select("url").distinct().select("url", F.lit(0).alias("depth"), F.lit(True).alias("follow"))
+        frontier = reached = store(start, f"{folder}/depth=0")
+        for depth in range(1, max_depth + 1):
+            expand = frontier.filter("follow").select("url")
+            if expand.isEmpty():
+                break
+            targets = next_targets(links, expand).withColumnRenamed("dst", "url")
+            fresh = targets.join(reached.select("url"), "url", "left_anti")
+            frontier = store(fresh.select("url", F.lit(depth).alias("depth"), "follow"), f"{folder}/depth={depth}")
+            reached = reached.unionByName(frontier)
+    finally:
+        spark.sql(f"DROP TABLE IF EXISTS {table}")
     return reached.select("url", "depth")
 
 

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from pagetables.functions import urls
 from pagetables.operators import fetchlog, links
-from pagetables.plans.crawl import crawl_pages, crawl_reach
+from pagetables.plans.crawl import crawl_pages, crawl_reach, next_targets, store_edges
 from pagetables.profile import NEWS_SITE
 
 HOME = "https://wiadomosci.onet.pl/"
@@ -107,7 +107,7 @@ def reach_model(edges, seeds, max_depth):
     return sorted((url, d) for url, (d, _) in depth.items())
 
 
-def test_reach_against_model(spark, monkeypatch):
+def test_reach_against_model(spark):
     rng = random.Random(3)
     nodes = [f"/n{i}" for i in range(60)]
     # One hub holds a third of all edges, and edges repeat.
@@ -117,9 +117,23 @@ def test_reach_against_model(spark, monkeypatch):
     seeds = spark.createDataFrame([("/n7",), ("/n7",), ("/gone",)], "url string")
     for depth in (1, 3):
         assert sorted(tuple(r) for r in crawl_reach(df, seeds, depth).collect()) == reach_model(edges, ["/n7", "/gone"], depth)
-    import pagetables.plans.crawl as crawl
-    monkeypatch.setattr(crawl, "BROADCAST_LIMIT_BYTES", 0)
-    assert sorted(tuple(r) for r in crawl_reach(df, seeds, 3).collect()) == reach_model(edges, ["/n7", "/gone"], 3)
+
+
+def test_levels_do_not_move_the_edges(spark, tmp_path):
+    edges = spark.range(500).select(F.concat(F.lit("/n"), F.col("id") % 50).alias("src"), F.concat(F.lit("/n"), "id").alias("dst"))
+    table = store_edges(edges, str(tmp_path / "edges"))
+    threshold = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        found = next_targets(spark.table(table), spark.createDataFrame([("/n3",)], "url string"))
+        plan = found._jdf.queryExecution().executedPlan().toString()
+        assert found.count() == 10
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
+        spark.sql(f"DROP TABLE {table}")
+    scan = next(i for i, line in enumerate(plan.splitlines()) if "Bucketed: true" in line)
+    join = next(i for i, line in enumerate(plan.splitlines()) if "Join" in line)
+    assert join < scan and not any("Exchange" in line for line in plan.splitlines()[join:scan])
 
 
 def test_crawl_over_stored_pages(spark):
