@@ -28,8 +28,8 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pagetables.llm.common import ship, text_or_empty
-from pagetables.llm.tokens import id_type, packed_ids
+from pagetables.llm.common import add_file, ship, text_or_empty
+from pagetables.llm.tokens import id_type, word_tokenizer
 from pagetables.plans.workspace import store
 
 STRIDE = 1024
@@ -91,7 +91,8 @@ def cut_sequences(docs: DataFrame, tokenizer_path: str, doc_id: str = "doc_id",
     ship(docs.sparkSession)
     dtype = np.dtype(id_type(tokenizer_path))
     kind = docs.schema[doc_id].dataType.simpleString()
-    tokens = docs.select(F.col(doc_id).alias("doc_id"), packed_ids(docs.sparkSession, tokenizer_path, dtype.str, closing_id)(text_or_empty(text)).alias("ids"))
+    name = add_file(docs.sparkSession, tokenizer_path)
+    closing = np.array([closing_id], dtype=dtype).tobytes()
     full = stride * dtype.itemsize
     names = ["task", "number", "doc_ids", "n_tokens", "ids"]
 
@@ -113,23 +114,28 @@ def cut_sequences(docs: DataFrame, tokenizer_path: str, doc_id: str = "doc_id",
             made.append((task, number, owners, len(piece) // dtype.itemsize, packed))
             number += 1
 
-        for batch in batches:
-            for owner, ids in zip(batch.column(0).to_pylist(), batch.column(1)):
-                ids = ids.as_buffer().to_pybytes()
-                at = 0
-                while len(rest) + len(ids) - at >= full:
-                    need = full - len(rest)
-                    take(rest + ids[at : at + need], [*rest_docs, owner] if need else rest_docs)
-                    at, rest, rest_docs = at + need, b"", []
-                if at < len(ids):
-                    rest, rest_docs = rest + ids[at:], [*rest_docs, owner]
-                if len(made) >= 1000:
+        # Tokenising here, rather than in a column of its own, saves a second Python worker and the way of all ids through the JVM.
+        tokenizer = word_tokenizer(name, dtype.str)
+        for whole in batches:
+            for start in range(0, whole.num_rows, 500):
+                part = whole.slice(start, 500)
+                coded = tokenizer.encode(part.column(1).to_pylist())
+                for owner, ids in zip(part.column(0).to_pylist(), coded):
+                    ids, at = ids + closing, 0
+                    while len(rest) + len(ids) - at >= full:
+                        need = full - len(rest)
+                        take(rest + ids[at : at + need], [*rest_docs, owner] if need else rest_docs)
+                        at, rest, rest_docs = at + need, b"", []
+                    if at < len(ids):
+                        rest, rest_docs = rest + ids[at:], [*rest_docs, owner]
+                if made:
                     yield flush()
         if rest:
             take(rest, rest_docs)
         yield flush()
 
-    return tokens.mapInArrow(cut, f"task long, number long, doc_ids array<{kind}>, n_tokens long, ids binary")
+    texts = docs.select(F.col(doc_id).alias("doc_id"), text_or_empty(text).alias("text"))
+    return texts.mapInArrow(cut, f"task long, number long, doc_ids array<{kind}>, n_tokens long, ids binary")
 
 
 def numbered(sequences: DataFrame) -> tuple[DataFrame, int]:
