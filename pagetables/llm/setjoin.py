@@ -111,8 +111,14 @@ class Ranges:
         own = self.of(size)
         return [own, own + 1] if size * 100 // self.percent >= self.starts[own + 1] else [own]
 
+    def slack(self, i: int) -> int:
+        """Parts beyond one more than the differences: so many that hardly any set of the range has as many empty parts."""
+        n = self.differences(i) + 1
+        expected = n * math.exp(-self.starts[i] / n)
+        return SLACK + math.ceil(2.5 * expected + 3 * math.sqrt(expected))
+
     def parts(self, i: int) -> int:
-        return self.differences(i) + 1 + SLACK
+        return self.differences(i) + 1 + self.slack(i)
 
 
 def light_keys(tokens: np.ndarray, percent: int, boundary: int) -> list[tuple[int, int]]:
@@ -139,8 +145,8 @@ def heavy_keys(tokens: np.ndarray, ranges: Ranges) -> list[tuple[int, np.ndarray
         n = ranges.parts(i)
         part = (tokens % np.uint64(n)).astype(np.int64)
         filled = np.bincount(part, minlength=n) > 0
-        # Sets that agree on empty parts only have at least SLACK + 1 of them in common.
-        kept = filled if (~filled).sum() <= SLACK else np.ones(n, dtype=bool)
+        # Sets that agree on empty parts only have more of them in common than the slack.
+        kept = filled if (~filled).sum() <= ranges.slack(i) else np.ones(n, dtype=bool)
         at = np.flatnonzero(kept).astype(np.uint64)
         keys = mixed(sums_by(part, values, n)[kept] + mixed(at * np.uint64(4096) + np.uint64(i)))
         cells = CELLS_A_PART * n
