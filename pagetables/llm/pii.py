@@ -412,6 +412,13 @@ def span_text(spans: Column, only_base: bool = False) -> Column:
     return F.array_join(F.transform(kept, lambda s: F.concat_ws(":", s["kind"], s["start"], s["stop"])), ",")
 
 
+def redacted_fully(text: str, decode) -> str:
+    """Redact until nothing is found: what stands beside a replaced span may be a match of its own then. Every turn removes text."""
+    while spans := all_spans(text, decode):
+        text = redacted(text, spans)
+    return text
+
+
 def redactor(docs: DataFrame, field: Field | None):
     """A function Column -> Column: texts with all spans replaced; nulls stay null."""
     ship(docs.sparkSession)
@@ -421,6 +428,6 @@ def redactor(docs: DataFrame, field: Field | None):
     def redact(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         decode = None if weights is None else lru_cache(maxsize=50_000)(Field(*weights).decode)
         for batch in batches:
-            yield pa.array([redacted(t, all_spans(t, decode)) if t else t for t in batch.to_pylist()], pa.string())
+            yield pa.array([redacted_fully(t, decode) if t else t for t in batch.to_pylist()], pa.string())
 
     return redact.asNondeterministic()

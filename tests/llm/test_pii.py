@@ -164,5 +164,13 @@ def test_free_stretches():
     assert list(pii._free([(0, 10), (12, 20), (30, 40)], [(2, 4), (8, 14), (35, 50)])) == [(0, 2), (4, 8), (14, 20), (30, 35)]
 
 
+def test_redacting_goes_on_until_nothing_is_left(field):
+    text = "call +1 (605) 555-9305 4078918989542222 today"
+    assert pii.base_spans(text) == []
+    clean = pii.redacted_fully(text, lambda t, *_: [("phone", t.index("+"), t.index(" 4078"))] if "+" in t else [])
+    assert clean == "call [PHONE] [CARD] today"
+    assert pii.all_spans(pii.redacted_fully(text, field.decode), field.decode) == []
+
+
 def test_redacting_overlaps():
     assert pii.redacted("0123456789", [("card", 2, 5), ("phone", 1, 5), ("ip", 7, 8)]) == "0[PHONE]56[IP]89"
