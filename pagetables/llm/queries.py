@@ -59,8 +59,8 @@ def op5_training_order(spark: SparkSession, sf_dir: str) -> DataFrame:
     if not total:
         return held.select(F.lit(0).cast("long").alias("slot"), "sequence", F.lit(0).cast("long").alias("shard"),
                            F.lit(0).cast("long").alias("n_tokens"), F.lit(0).cast("long").alias("ids_crc32"), "doc_ids")
-    read = slots.read_shards(spark, f"{folder}/shards", id_type(path))
-    found = read.select("slot", slots.sequence_of(total, ORDER_KEY)("slot").alias("sequence"), "shard", "n_tokens", F.crc32("ids").alias("ids_crc32"))
+    read = slots.read_shards(spark, f"{folder}/shards", id_type(path), order=(total, ORDER_KEY))
+    found = read.select("slot", "sequence", "shard", "n_tokens", F.crc32("ids").alias("ids_crc32"))
     return found.join(held, "sequence").select("slot", "sequence", "shard", "n_tokens", "ids_crc32", "doc_ids")
 
 

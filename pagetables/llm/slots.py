@@ -84,7 +84,7 @@ def _permuted(n: int, key: int, back: bool):
 
 
 def cut_sequences(docs: DataFrame, tokenizer_path: str, doc_id: str = "doc_id", text: str = "text", closing_id: int = 2, stride: int = STRIDE) -> DataFrame:
-    """task, number (within the task), doc_ids, n_tokens, ids: compressed tokens of full sequences, the last of a task may be shorter.
+    """task, number (within the task), doc_ids, n_tokens, ids: packed tokens of full sequences, the last of a task may be shorter.
 
     The ids of a document run on over sequences; `doc_ids` lists those that a sequence holds tokens of.
     """
@@ -110,8 +110,7 @@ def cut_sequences(docs: DataFrame, tokenizer_path: str, doc_id: str = "doc_id",
 
         def take(piece: bytes, owners: list) -> None:
             nonlocal number
-            packed = pa.compress(piece, codec="zstd", asbytes=True)
-            made.append((task, number, owners, len(piece) // dtype.itemsize, packed))
+            made.append((task, number, owners, len(piece) // dtype.itemsize, piece))
             number += 1
 
         # Tokenising here, rather than in a column of its own, saves a second Python worker and the way of all ids through the JVM.
@@ -150,10 +149,20 @@ def numbered(sequences: DataFrame) -> tuple[DataFrame, int]:
     return sequences.join(F.broadcast(offsets), "task").withColumn("sequence", F.col("before") + F.col("number")).drop("before"), total
 
 
+def _squeezer():
+    """A function Column -> Column: ids compressed one by one, for the shuffle, whose own codec finds little in token ids."""
+    @F.arrow_udf("binary")
+    def squeezed(ids: pa.Array) -> pa.Array:
+        codec = pa.Codec("zstd", compression_level=3)
+        return pa.array([codec.compress(x.as_buffer(), asbytes=True) for x in ids], pa.binary())
+
+    return squeezed
+
+
 def write_shards(sequences: DataFrame, total: int, folder: str, key: int, dtype: str, stride: int = STRIDE, shard_slots: int = SHARD_SLOTS, filler: int = 65535) -> DataFrame:
     """Write the shards under `folder`; returns shard, first_slot, slots, bytes, crc32 of each. Evaluate it once; store() does."""
     shards = -(-total // shard_slots)
-    placed = sequences.select(slot_of(total, key)("sequence").alias("slot"), "ids", "n_tokens").withColumn("shard", F.floor(F.col("slot") / shard_slots).cast("long"))
+    placed = sequences.select(slot_of(total, key)("sequence").alias("slot"), _squeezer()("ids").alias("ids"), "n_tokens").withColumn("shard", F.floor(F.col("slot") / shard_slots).cast("long"))
     laid = placed.repartitionByRange(max(1, min(shards, 20_000)), "shard").sortWithinPartitions("slot").select("shard", "slot", "n_tokens", "ids")
     empty = np.full(stride, filler, dtype=dtype)
     width = np.dtype(dtype).itemsize
@@ -187,28 +196,34 @@ def write_shards(sequences: DataFrame, total: int, folder: str, key: int, dtype:
     return laid.mapInArrow(write, "shard long, first_slot long, slots long, bytes long, crc32 long")
 
 
-def read_shards(spark: SparkSession, folder: str, dtype: str, stride: int = STRIDE, shard_slots: int = SHARD_SLOTS, from_slot: int = 0, filler: int = 65535) -> DataFrame:
-    """slot, shard, n_tokens, ids of all slots from `from_slot` on. Shards before it are not opened."""
+def read_shards(spark: SparkSession, folder: str, dtype: str, stride: int = STRIDE, shard_slots: int = SHARD_SLOTS, from_slot: int = 0, filler: int = 65535,
+                order: tuple[int, int] | None = None) -> DataFrame:
+    """slot, sequence, shard, n_tokens, ids of all slots from `from_slot` on. Shards before it are not opened.
+
+    `order` is (number of sequences, key); without it sequence is null. It is worked out here, with the slots, in one Python worker.
+    """
     files = spark.read.format("binaryFile").option("pathGlobFilter", "*.tokens").load(folder)
     number = F.regexp_extract("path", r"(\d+)\.tokens$", 1).cast("long")
     wanted = files.withColumn("shard", number).filter(F.col("shard") >= from_slot // shard_slots).select("shard", "content")
-    size = stride * np.dtype(dtype).itemsize
 
     def split(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for shard, content in zip(batch.column(0).to_pylist(), batch.column(1)):
                 data = np.frombuffer(content.as_buffer(), dtype=dtype).reshape(-1, stride)
                 lengths = (data != filler).sum(axis=1)
+                at = shard * shard_slots + np.arange(len(data))
+                sequence = pa.array(permute(at, *order, back=True)) if order else pa.nulls(len(data), pa.int64())
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(shard * shard_slots + np.arange(len(data))), pa.array(np.full(len(data), shard)), pa.array(lengths),
-                     pa.array([row[:n].tobytes() for row, n in zip(data, lengths)], pa.binary())], names=["slot", "shard", "n_tokens", "ids"])
+                    [pa.array(at), sequence, pa.array(np.full(len(data), shard)), pa.array(lengths),
+                     pa.array([row[:n].tobytes() for row, n in zip(data, lengths)], pa.binary())], names=["slot", "sequence", "shard", "n_tokens", "ids"])
 
-    assert size > 0
-    return wanted.mapInArrow(split, "slot long, shard long, n_tokens long, ids binary").filter(F.col("slot") >= from_slot)
+    return wanted.mapInArrow(split, "slot long, sequence long, shard long, n_tokens long, ids binary").filter(F.col("slot") >= from_slot)
 
 
 def materialise(docs: DataFrame, tokenizer_path: str, folder: str, key: int, stride: int = STRIDE, shard_slots: int = SHARD_SLOTS, **columns: str) -> tuple[DataFrame, DataFrame, int]:
     """Write a corpus in training order: the stored sequences with their global numbers, the stored list of shards, and the number of sequences."""
-    sequences, total = numbered(store(cut_sequences(docs, tokenizer_path, stride=stride, **columns), f"{folder}/sequences"))
+    cut = cut_sequences(docs, tokenizer_path, stride=stride, **columns)
+    cut.write.option("compression", "zstd").parquet(f"{folder}/sequences")
+    sequences, total = numbered(docs.sparkSession.read.schema(cut.schema).parquet(f"{folder}/sequences"))
     shards = write_shards(sequences, total, f"{folder}/shards", key, id_type(tokenizer_path), stride, shard_slots)
     return sequences, store(shards, f"{folder}/list"), total

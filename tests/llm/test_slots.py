@@ -51,6 +51,8 @@ def test_round_trip_and_resuming(spark, tmp_path):
     for r in shards.collect():
         data = (tmp_path / "shards" / f"{r.shard:010d}.tokens").read_bytes()
         assert len(data) == r.bytes == r.slots * 64 and zlib.crc32(data) == r.crc32 and r.first_slot == r.shard * 8
+    placed = slots.read_shards(spark, f"{folder}/shards", "<u2", 32, 8, order=(total, 3)).select("slot", "sequence", slots.sequence_of(total, 3)("slot").alias("again"))
+    assert all(r.sequence == r.again for r in placed.collect())
     rest = read_all(spark, folder, total, 3, 32, 8, from_slot=13)
     assert len(rest) == total - 13 and all(got[s] == ids for s, ids in rest.items())
 
