@@ -24,14 +24,6 @@ def test_words_encode_like_whole_texts(text):
     assert got + [2] == want_ids(text)
 
 
-def test_many_words_at_once():
-    words = ["a", "b,c", "It's", "©", "x©y", "\u0301", "e\u0301", "<|endoftext|>", "12", "...", "Σ", "漢字", "®", "°C"] * 300 + [f"w{i}" for i in range(5000)]
-    tokenizer = WordTokenizer(PATH, "<u2")
-    assert tokenizer.separator
-    for word, ids in zip(words, tokenizer._encode(words), strict=True):
-        assert np.frombuffer(ids, dtype="<u2").tolist() == LIBRARY.encode(word, add_special_tokens=False).ids
-
-
 def check(rows, texts):
     """Every id once, gapless sequences, no padding."""
     by_doc, by_sequence = {}, {}
