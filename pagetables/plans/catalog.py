@@ -568,8 +568,9 @@ def fetch_log_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def stream_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The rejects of the page stream, which writes one for every fetch; the equal ones of a page's two fetches are shown once."""
     records = spark.read.parquet(f"{_ingested(spark, sf_dir)}/rejects/*")
-    return articles.rejected_articles(records).select("url", "title", "date", F.array_join("errors", ",").alias("errors"))
+    return articles.rejected_articles(records).select("url", "title", "date", F.array_join("errors", ",").alias("errors")).distinct()
 
 
 def _event_stream(spark: SparkSession, sf_dir: str) -> DataFrame:

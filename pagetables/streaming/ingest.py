@@ -10,12 +10,15 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
-from pagetables.operators.articles import ACCEPTED, extract_records, url_key
+from pagetables.operators.articles import ACCEPTED, extract_records
 from pagetables.operators.fetchlog import outcome_counts
 from pagetables.profile import SiteProfile
 from pagetables.sources.jsonl import write_jsonl
 from pagetables.sources.pages import PAGE_SCHEMA
 
+REPEAT_MICROS = "_repeat_micros"  # column: an article within so much event time of another one of its URL repeats it
+DAY_MICROS = 24 * 60 * 60 * 1_000_000
+
 
 def stream_pages(
     spark: SparkSession,
@@ -38,17 +41,40 @@ def dedupe_stream(pages: DataFrame, delay: str = "1 hour", time_column: str = "f
 def record_stream(
     pages: DataFrame, profile: SiteProfile, as_of: Column | dt.date | str | None = None, delay: str | None = "1 hour"
 ) -> DataFrame:
-    """Records of a page stream with their outcome and errors, stale and rejected ones included.
+    """Records of a page stream with their outcome and errors, stale and rejected ones included; no page is left out, however late.
 
-    By default a page is judged by the day (in UTC) it was fetched, so reruns give the same rows. A URL gives one record within
-    `delay` of event time (None: every page gives one); the pages are read before that, so the shuffle carries records, not pages.
+    By default a page is judged by the day (in UTC) it was fetched, so reruns give the same rows. `delay` is noted on the records
+    for `write_record_stream`: a URL gives one article within that much event time (None: every good page gives one).
     """
     fetched_day = F.to_date(F.to_utc_timestamp("fetched_at", F.current_timezone()))
     records = extract_records(pages, profile, fetched_day if as_of is None else as_of, keep_stale=True, keep=["fetched_at"])
     if delay is None:
         return records
-    keyed = records.withColumn("_key", url_key()).withWatermark("fetched_at", delay)
-    return keyed.dropDuplicatesWithinWatermark(["_key"]).drop("_key")
+    return records.withColumn(REPEAT_MICROS, F.unix_micros(F.timestamp_micros(F.lit(0)) + F.lit(delay).cast("interval")))
+
+
+def first_articles(accepted: DataFrame, written: DataFrame) -> DataFrame:
+    """The articles of a batch that repeat no article of their URL, by time of fetching: neither one of `written` (url, at) nor an
+    earlier one of the batch lies nearer than their REPEAT_MICROS. Equal times: any order of the columns' values, always the same.
+
+    Articles without URL or time are no repeats. Only URLs and times are grouped by URL.
+    """
+    timed = accepted.withColumn("at", F.unix_micros("fetched_at"))
+    known = F.col("url").isNotNull() & F.col("at").isNotNull()
+    one = timed.filter(known).groupBy("url", "at").agg(F.min(F.struct(*accepted.columns)).alias("first"))
+    new = timed.filter(known).groupBy("url").agg(F.sort_array(F.collect_set("at")).alias("new"), F.max(REPEAT_MICROS).alias("span"))
+    old = written.groupBy("url").agg(F.collect_set("at").alias("old"))
+
+    def kept(span: Column, old: Column, new: Column) -> Column:
+        def add(found: Column, at: Column) -> Column:
+            repeats = F.exists(old, lambda o: F.abs(o - at) < span) | F.coalesce(at - F.try_element_at(found, F.lit(-1)) < span, F.lit(False))
+            return F.when(repeats, found).otherwise(F.concat(found, F.array(at)))
+
+        return F.aggregate(new, F.array().cast("array<bigint>"), add)
+
+    no_times = F.array().cast("array<bigint>")
+    first = new.join(old, "url", "left").select("url", F.explode(kept(F.col("span"), F.coalesce("old", no_times), F.col("new"))).alias("at"))
+    return one.join(first, ["url", "at"], "left_semi").select("first.*").unionByName(accepted.filter(F.col("url").isNull() | F.col("fetched_at").isNull()))
 
 
 def write_record_stream(
@@ -56,16 +82,36 @@ def write_record_stream(
 ) -> StreamingQuery:
     """Accepted articles as JSON Lines, all other records with outcome and errors as Parquet; processes what is there and stops.
 
-    A batch has a folder of its own in both places, which a repeated batch replaces. `stages` change the accepted articles.
+    A batch has a folder of its own in both places, which a repeated batch replaces. `stages` change the accepted articles. Repeated
+    articles of a URL are left out (see `record_stream`), by a table of the URLs and times written so far, which lies with the checkpoint;
+    it is laid out by day, and a batch reads the days around its own. Every other record is written.
     """
+    spark, table = records.sparkSession, f"{checkpoint}/articles-written"
+    seen = T.StructType.fromDDL("url string, at bigint, batch bigint, day bigint")
+    once = REPEAT_MICROS in records.columns
+    if once:  # so that the first batch finds an empty table
+        spark.createDataFrame([], seen).write.mode("append").partitionBy("batch", "day").parquet(table)
+
+    def unrepeated(accepted: DataFrame, number: int) -> DataFrame:
+        at = F.unix_micros("fetched_at")
+        low, high = accepted.agg(F.min(at - F.col(REPEAT_MICROS)), F.max(at + F.col(REPEAT_MICROS))).first()
+        days = F.col("day").between(*[None if t is None else t // DAY_MICROS for t in (low, high)])
+        written = accepted.sparkSession.read.schema(seen).parquet(table).filter((F.col("batch") < number) & days)
+        first = first_articles(accepted, written).persist()
+        noted = first.select("url", at.alias("at")).filter("url is not null and at is not null")
+        noted.withColumn("day", F.floor(F.col("at") / DAY_MICROS)).write.mode("overwrite").partitionBy("day").parquet(f"{table}/batch={number}")
+        return first
 
     def write(batch: DataFrame, number: int) -> None:
         batch = batch.persist()
         accepted = batch.filter(F.col("outcome") == ACCEPTED)
+        first = unrepeated(accepted, number) if once else accepted
+        accepted = first.drop(REPEAT_MICROS)
         for stage in stages:
             accepted = stage(accepted)
         write_jsonl(accepted, f"{articles}/{number:08d}")
-        batch.filter(F.col("outcome") != ACCEPTED).write.mode("overwrite").parquet(f"{rejects}/{number:08d}")
+        batch.filter(F.col("outcome") != ACCEPTED).drop(REPEAT_MICROS).write.mode("overwrite").parquet(f"{rejects}/{number:08d}")
+        first.unpersist()
         batch.unpersist()
 
     return records.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()

@@ -272,3 +272,20 @@ def test_duplicate_urls_in_a_stream(spark, tmp_path):
     query = stream.writeStream.format("memory").queryName("dedupe").option("checkpointLocation", str(tmp_path / "cp")).trigger(availableNow=True).start()
     query.awaitTermination()
     assert sorted(r.url for r in spark.table("dedupe").collect()) == ["https://e/1", "https://e/2"]
+
+
+def test_late_pages_are_written(spark, tmp_path):
+    source, sink, rejects, checkpoint = (str(tmp_path / n) for n in ("in", "out", "rejects", "cp"))
+
+    def run(pages_read):
+        pages_read.write.mode("append").parquet(source)
+        ingest.stream_articles(spark, source, sink, rejects, checkpoint, NEWS_SITE).awaitTermination()
+        return sorted(r.id for r in jsonl.read_jsonl(spark, f"{sink}/*", mode="strict").collect())
+
+    assert run(page_rows(spark, [1, 2], fetched="2026-03-02 20:00:00")) == ["1", "2"]
+    late = page_rows(spark, [3], fetched="2026-03-02 08:00:00").unionByName(page_rows(spark, [4], "2026-03-01 08:00:00", dt.date(2025, 1, 1)))
+    assert run(late) == ["1", "2", "3"]
+    assert [(r.url, r.outcome) for r in spark.read.parquet(f"{rejects}/*").collect()] == [("https://e/4", "stale")]
+    # Repeats within the hour, also of a late page; later fetches are articles of their own.
+    again = page_rows(spark, [1, 3], fetched="2026-03-02 08:59:00").unionByName(page_rows(spark, [2], fetched="2026-03-02 20:30:00"))
+    assert run(again.unionByName(page_rows(spark, [2], fetched="2026-03-02 21:00:00"))) == ["1", "1", "2", "2", "3"]
