@@ -153,14 +153,17 @@ def extract_records(
     )
 
 
-def url_key() -> Column:
-    """What makes two records the same page: the URL, or without one the record's text."""
-    return F.coalesce("url", F.concat(F.lit("?"), F.xxhash64("title", "content").cast("string")))
-
-
 def distinct_pages(records: DataFrame) -> DataFrame:
-    """One record per URL."""
-    return records.withColumn("_key", url_key()).dropDuplicates(["_key"]).drop("_key")
+    """One record per URL: an accepted one if there is any, else a rejected one; of these the first by `fetched_at`, if that is a column
+    (null last), then by the values of all columns. Records without URL all stay.
+    """
+    outcome = F.col("outcome")
+    order = [F.when(outcome == ACCEPTED, 0).when(outcome == REJECTED, 1).otherwise(2).alias("_rank")]
+    if "fetched_at" in records.columns:
+        order += [F.col("fetched_at").isNull().alias("_untimed"), F.col("fetched_at").alias("_time")]
+    alone = F.when(F.col("url").isNull(), F.monotonically_increasing_id())
+    choice = F.min(F.struct(*order, F.struct(*records.columns).alias("record"))).alias("first")
+    return records.withColumn("_alone", alone).groupBy("url", "_alone").agg(choice).select("first.record.*")
 
 
 def accepted_articles(records: DataFrame) -> DataFrame:

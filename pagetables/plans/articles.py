@@ -28,10 +28,12 @@ def run_article_job(
     `rejected_articles` of the stored records gives the rejects with their errors. The records are written once and the two outputs read from them, so the HTML scan runs once per page.
 
     `stages` are applied to the accepted articles, in order, before they are written. `item_cap` keeps that many articles, any of them.
+    `one_per_url` keeps one record per URL, see `distinct_pages`; `fetched_at` of the pages, if there, decides between equals.
     """
     records_path = f"{base.rstrip('/')}/records/run_ts={run_ts.strftime('%Y-%m-%d_%H-%M-%S')}"
-    records = extract_records(pages, profile, as_of)
-    (distinct_pages(records) if one_per_url else records).write.mode("overwrite").partitionBy("outcome").parquet(records_path)
+    timed = [c for c in ("fetched_at",) if one_per_url and c in pages.columns]
+    records = extract_records(pages, profile, as_of, keep=timed)
+    (distinct_pages(records).drop(*timed) if one_per_url else records).write.mode("overwrite").partitionBy("outcome").parquet(records_path)
     stored = pages.sparkSession.read.parquet(records_path)
     articles_path = run_path(base, run_ts)
     accepted = stored.filter(F.col("outcome") == ACCEPTED)

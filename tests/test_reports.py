@@ -8,7 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from pagetables.operators import quality
-from pagetables.operators.articles import ARTICLE_COLUMNS, ARTICLE_SCHEMA, rejected_articles
+from pagetables.operators.articles import ARTICLE_COLUMNS, ARTICLE_SCHEMA, distinct_pages, rejected_articles
 from pagetables.operators.fetchlog import classify_fetches
 from pagetables.plans.articles import run_article_job
 from pagetables.plans.workspace import shared_folder
@@ -289,3 +289,38 @@ def test_late_pages_are_written(spark, tmp_path):
     # Repeats within the hour, also of a late page; later fetches are articles of their own.
     again = page_rows(spark, [1, 3], fetched="2026-03-02 08:59:00").unionByName(page_rows(spark, [2], fetched="2026-03-02 20:30:00"))
     assert run(again.unionByName(page_rows(spark, [2], fetched="2026-03-02 21:00:00"))) == ["1", "1", "2", "2", "3"]
+
+
+def good_and_broken(spark):
+    """Four URLs with a good and a broken or stale fetch, the bad one earlier or later; and two broken pages without URL."""
+    broken = f'<html><body><span class="date">{TODAY} 10:00</span></body></html>'
+    bad = {0: broken, 1: broken, 2: html(2, dt.date(2025, 1, 1)), 3: html(3, dt.date(2025, 1, 1))}
+    rows = []
+    for i, page in bad.items():
+        hours = (8, 9) if i % 2 else (9, 8)
+        rows += [(f"https://e/{i}", p, 200, None, dt.datetime(2026, 3, 2, h)) for p, h in zip((html(i, TODAY), page), hours)]
+    rows += [(None, broken, 200, None, dt.datetime(2026, 3, 2, 8))] * 2
+    return spark.createDataFrame(rows, pages.PAGE_SCHEMA).repartition(5)
+
+
+def test_one_per_url_keeps_the_good_fetch(spark, tmp_path):
+    paths = run_article_job(
+        good_and_broken(spark), NEWS_SITE, TODAY, str(tmp_path), dt.datetime(2026, 3, 2, 12), one_per_url=True)
+    assert sorted(r.id for r in jsonl.read_jsonl(spark, paths["articles"]).collect()) == ["0", "1", "2", "3"]
+    assert [r.url for r in rejected_articles(spark.read.parquet(paths["records"])).collect()] == [None, None]
+
+
+def test_order_of_records_of_a_url(spark):
+    rows = [("u", "rejected", 1, "a"), ("u", "accepted", 3, "b"), ("u", "accepted", 2, "c"), ("u", "accepted", None, "d"), ("v", "stale", 1, "e"), ("v", "rejected", 2, "f")]
+    got = distinct_pages(spark.createDataFrame(rows, "url string, outcome string, fetched_at int, title string")).collect()
+    assert sorted(r.title for r in got) == ["c", "f"]
+
+
+def test_stream_keeps_the_good_fetch_and_every_reject(spark, tmp_path):
+    source, *paths = (str(tmp_path / n) for n in ("in", "out", "rejects", "cp"))
+    good_and_broken(spark).write.parquet(source)
+    records = ingest.record_stream(ingest.stream_pages(spark, source), NEWS_SITE, delay="1 day")
+    ingest.write_record_stream(records, *paths).awaitTermination()
+    assert sorted(r.id for r in jsonl.read_jsonl(spark, f"{paths[0]}/*").collect()) == ["0", "1", "2", "3"]
+    left = spark.read.parquet(f"{paths[1]}/*").groupBy("outcome").count().collect()
+    assert {r.outcome: r["count"] for r in left} == {"stale": 2, "rejected": 4}
