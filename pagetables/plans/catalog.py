@@ -596,10 +596,9 @@ def stream_outcome_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every window with an event in it, those still open at the end of the stream included."""
     classified = fetchlog.classify_fetches(_event_stream(spark, sf_dir), SAMPLE_PROFILE)
     folder = new_folder(spark, "stream")
-    counts = ingest.outcome_counts_by_window(classified, "6 hours", "10 minutes")
-    ingest.write_window_updates(counts, f"{folder}/out", f"{folder}/checkpoint").awaitTermination()
-    last = ingest.read_window_updates(spark, f"{folder}/out")
-    return last.select(F.date_format("window.start", "yyyy-MM-dd HH:mm:ss").alias("window_start"), "outcome", "host", "n")
+    ingest.write_window_counts(classified, f"{folder}/out", f"{folder}/checkpoint", "6 hours").awaitTermination()
+    counts = ingest.read_window_counts(spark, f"{folder}/out")
+    return counts.select(F.date_format("window.start", "yyyy-MM-dd HH:mm:ss").alias("window_start"), "outcome", "host", "n")
 
 
 QUERIES: dict[str, Query] = {

@@ -123,22 +123,22 @@ def stream_articles(
     return write_record_stream(record_stream(stream_pages(spark, source, format), profile), sink, rejects, checkpoint)
 
 
-def outcome_counts_by_window(classified: DataFrame, window: str = "1 hour", delay: str = "10 minutes") -> DataFrame:
-    """Fetch outcomes per host and time window. In append mode a window is emitted once the watermark has passed it; use
-    `write_window_updates` to keep open windows, too."""
-    return outcome_counts(classified.withWatermark("ts", delay), F.window("ts", window).alias("window"))
+def outcome_counts_by_window(classified: DataFrame, window: str = "1 hour") -> DataFrame:
+    """Fetch outcomes per host and time window, of a table or of one batch of a stream."""
+    return outcome_counts(classified, F.window("ts", window).alias("window"))
 
 
-def write_window_updates(counts: DataFrame, path: str, checkpoint: str) -> StreamingQuery:
-    """Write every change of a window's counts under the number of its batch; a batch that runs again replaces its own folder."""
+def write_window_counts(classified: DataFrame, path: str, checkpoint: str, window: str = "1 hour") -> StreamingQuery:
+    """Write each batch's own counts under its number; a batch that runs again replaces its own folder. There is no watermark and no
+    state: an event counts in its window however late it comes. `read_window_counts` adds the batches up.
+    """
 
     def write(batch: DataFrame, number: int) -> None:
-        batch.write.mode("overwrite").parquet(f"{path}/batch={number}")
+        outcome_counts_by_window(batch, window).write.mode("overwrite").parquet(f"{path}/batch={number}")
 
-    return counts.writeStream.foreachBatch(write).outputMode("update").option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+    return classified.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
 
 
-def read_window_updates(spark: SparkSession, path: str) -> DataFrame:
-    """The last written count of every window, host and outcome, open windows included."""
-    updates = spark.read.parquet(path)
-    return updates.groupBy("window", "outcome", "host").agg(F.max_by("n", "batch").alias("n"))
+def read_window_counts(spark: SparkSession, path: str) -> DataFrame:
+    """The count so far of every window, host and outcome, open windows included."""
+    return spark.read.parquet(path).groupBy("window", "outcome", "host").agg(F.sum("n").alias("n"))

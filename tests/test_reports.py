@@ -324,3 +324,18 @@ def test_stream_keeps_the_good_fetch_and_every_reject(spark, tmp_path):
     assert sorted(r.id for r in jsonl.read_jsonl(spark, f"{paths[0]}/*").collect()) == ["0", "1", "2", "3"]
     left = spark.read.parquet(f"{paths[1]}/*").groupBy("outcome").count().collect()
     assert {r.outcome: r["count"] for r in left} == {"stale": 2, "rejected": 4}
+
+
+def test_late_events_are_counted(spark, tmp_path):
+    source, path, checkpoint = (str(tmp_path / n) for n in ("in", "out", "cp"))
+    schema = "requested_url string, outcome string, ts timestamp"
+
+    def run(*times):
+        rows = [("https://e/1", "ok", dt.datetime.fromisoformat(f"2026-03-02 {t}")) for t in times]
+        spark.createDataFrame(rows, schema).coalesce(1).write.mode("append").parquet(source)
+        ingest.write_window_counts(spark.readStream.schema(schema).parquet(source), path, checkpoint).awaitTermination()
+        counts = ingest.read_window_counts(spark, path).select(F.date_format("window.start", "HH").alias("hour"), "host", "outcome", "n")
+        return sorted(tuple(r) for r in counts.collect())
+
+    assert run("08:10:00", "12:30:00") == [("08", "e", "ok", 1), ("12", "e", "ok", 1)]
+    assert run("08:20:00", "07:00:00", "12:40:00") == [("07", "e", "ok", 1), ("08", "e", "ok", 2), ("12", "e", "ok", 2)]
