@@ -14,6 +14,9 @@ Lists are searched without making all pairs of a group. First each member is com
 only; what links is one component. Only members that are then still in different components are compared with each other.
 Every candidate is checked on the whole sets, so the links are exact (up to collisions of 64-bit hashes).
 
+That gives the components, but not all links inside them. As links never leave a component, their number is counted there: all sets of
+a component are compared with each other, whole and blockwise, and each class gets the number of classes it links with. Pairs stay in the task.
+
 Defined results: null texts and texts without words have an empty set and link with nothing; texts with fewer words than a shingle have
 one shingle, the whole. Repeated rows and equal texts link; null ids are members like others and come after all ids. Other
 columns are not read. Intermediate tables lie in `folder`.
@@ -38,6 +41,8 @@ SLACK = 3
 RANGE_GROWTH = 1.25
 CELLS_A_PART = 4
 BLOCK = 1024  # members of a list that a task compares at once
+LINK_BLOCK = 2048  # classes of a component that a task holds of each side when it counts links,
+LINK_TOKENS = 2**20  # and their shingles
 LIGHT_LIMIT = 64  # sizes above are always heavy: their subsets are too many to be worth a thought
 CHECK_COST = 8  # of checking a candidate that a part's list may bring, in emitted keys
 
@@ -306,9 +311,101 @@ def components(edges: DataFrame, folder: str) -> DataFrame:
     return labels.select("node", F.col("label").alias("component"))
 
 
-def join_sets(docs: DataFrame, folder: str, doc_id: str = "doc_id", text: str = "text", words_each: int = 3, percent: int = 90) -> tuple[DataFrame, DataFrame]:
-    """(members, links). Members: doc_id, size, class, component (a class number; null for empty sets). Links: pairs (a, b) of classes
-    that were compared and link; they connect every component, and pairs that the components imply are not all listed.
+def links_of_members(sets: list[np.ndarray], percent: int, split: int) -> np.ndarray:
+    """With how many of the sets each one links. With `split` the sets are in two blocks and only pairs across count (0: all pairs)."""
+    n = len(sets)
+    sizes = np.array([len(x) for x in sets])
+    tokens, owner = np.concatenate(sets), np.repeat(np.arange(n), sizes)
+    order = np.argsort(tokens, kind="stable")
+    tokens, owner = tokens[order], owner[order]
+    number = np.cumsum(np.r_[False, tokens[1:] != tokens[:-1]])
+    shared = np.bincount(number) > 1  # other shingles are in no overlap
+    keep = shared[number]
+    owner, column = owner[keep], (np.cumsum(shared) - 1)[number[keep]]
+    columns, width = int(shared.sum()), max(1, 2**22 // n)
+    common = np.zeros((split or n, n - split), dtype=np.float32)  # counts below 2 ** 24 are exact
+    for start in range(0, columns, width):
+        low, high = np.searchsorted(column, [start, start + width])
+        has = np.zeros((n, min(width, columns - start)), dtype=np.float32)
+        has[owner[low:high], column[low:high] - start] = 1
+        common += has[: split or n] @ has[split:].T
+    found = np.zeros(n, dtype=np.int64)
+    for start in range(0, len(common), 256):
+        overlap = common[start : start + 256].astype(np.int64)
+        rows = np.arange(start, start + len(overlap))
+        linked = 100 * overlap >= percent * (sizes[rows][:, None] + sizes[split:][None] - overlap)
+        if split:
+            found[split:] += linked.sum(axis=0)
+        else:
+            linked[np.arange(len(rows)), rows] = False
+        found[rows] += linked.sum(axis=1)
+    return found
+
+
+def link_counts(labels: DataFrame, sizes: DataFrame, sets: DataFrame, ranges: Ranges, percent: int) -> DataFrame:
+    """class, n_links of the classes of components. labels: node, component; sizes: class, size; sets: class, tokens.
+
+    Large components are parted by size range, of which only neighbours can link, and the ranges into blocks, compared two at a time.
+    """
+    placed = labels.withColumnRenamed("node", "class").join(sizes.select("class", "size"), "class")
+    blocks = F.greatest(F.ceil(F.count(F.lit(1)) / LINK_BLOCK), F.ceil(F.sum("size") / LINK_TOKENS)).cast("int")
+    whole = placed.groupBy("component").agg(blocks.alias("whole"))
+    own_range = F.size(F.filter(F.lit(ranges.starts), lambda start: start <= F.col("size")))
+    ranged = placed.join(whole, "component").withColumn("range", F.when(F.col("whole") == 1, 0).otherwise(own_range)).drop("whole")
+    number = ranged.groupBy("component", "range").agg(blocks.alias("blocks"))
+    around = number.join(number.select("component", (F.col("range") - 1).alias("range"), F.col("blocks").alias("above")), ["component", "range"], "left")
+    around = around.join(number.select("component", (F.col("range") + 1).alias("range"), F.col("blocks").alias("below")), ["component", "range"], "left")
+    block = F.pmod(F.xxhash64("class"), F.col("blocks")).cast("int")
+
+    def tiles(n: str, tile):
+        return F.when(F.col(n) > 0, F.transform(F.sequence(F.lit(0), F.col(n) - 1), tile)).otherwise(F.array())
+
+    def tile(low, i, high, j, second):
+        return F.struct(low.alias("low"), i.alias("i"), high.alias("high"), j.alias("j"), second.alias("second"))
+
+    own, x = F.col("range"), F.col("block")
+    every = F.concat(
+        tiles("blocks", lambda y: tile(own, F.least(x, y), own, F.greatest(x, y), x > y)),
+        tiles("above", lambda y: tile(own, x, own + 1, y, F.lit(False))),
+        tiles("below", lambda y: tile(own - 1, y, own, x, F.lit(True))),
+    )
+    laid = ranged.join(around, ["component", "range"]).withColumn("block", block).select("component", "class", F.explode(every).alias("tile"))
+    keys = ["component", "low", "i", "high", "j"]
+    rows = laid.select("component", "tile.*", "class").join(sets, "class").repartition(*keys).sortWithinPartitions(*keys, "second", "class")
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[tuple] = []
+        current = None
+        for batch in batches:
+            out: list[tuple[int, int]] = []
+            for row in zip(*[batch.column(c).to_pylist() for c in (*keys, "second", "class", "tokens")]):
+                if row[:5] != current:
+                    out += counted(held)
+                    held, current = [], row[:5]
+                held.append(row[1:])
+            yield pack(out)
+        yield pack(counted(held))
+
+    def counted(rows: list[tuple]) -> list[tuple[int, int]]:
+        if len(rows) < 2:
+            return []
+        low, i, high, j = rows[0][:4]
+        split = 0 if (low, i) == (high, j) else sum(not r[4] for r in rows)
+        if (low, i) != (high, j) and split in (0, len(rows)):
+            return []
+        found = links_of_members([np.frombuffer(r[6], dtype=np.uint64) for r in rows], percent, split)
+        return [(r[5], n) for r, n in zip(rows, found.tolist()) if n]
+
+    def pack(found: list[tuple[int, int]]) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([pa.array([c for c, _ in found], pa.int64()), pa.array([n for _, n in found], pa.int64())], names=["class", "n"])
+
+    return rows.mapInArrow(count, "class long, n long").groupBy("class").agg(F.sum("n").alias("n_links"))
+
+
+def join_sets(docs: DataFrame, folder: str, doc_id: str = "doc_id", text: str = "text", words_each: int = 3, percent: int = 90, count_links: bool = True) -> tuple[DataFrame, DataFrame]:
+    """(members, connections). Members: doc_id, size, class, component (a class number; null for empty sets), and n_links, the exact number
+    of other classes that the class links with (left out without `count_links`). Connections: pairs (a, b) of classes that link and
+    connect every component; the other links inside components are counted, not listed.
     """
     ship(docs.sparkSession)
     texts = docs.select(F.col(doc_id).alias("doc_id"), text_or_empty(text).alias("text"))
@@ -344,7 +441,13 @@ def join_sets(docs: DataFrame, folder: str, doc_id: str = "doc_id", text: str =
     links = first.unionByName(second)
     final = components(links, f"{folder}/components2")
     members = digests.join(classes.select("digest", "class"), "digest", "left").join(final.withColumnRenamed("node", "class"), "class", "left")
-    return members.select("doc_id", "size", "class", F.coalesce("component", "class").alias("component")), links
+    shown = ["doc_id", "size", "class", F.coalesce("component", "class").alias("component")]
+    if not count_links:
+        return members.select(shown), links
+    sets, more = (docs.sparkSession.read.schema("class long, tokens binary").parquet(f"{folder}/{n}_sets") for n in ("first", "second"))
+    sets = sets.unionByName(more.join(sets.select("class"), "class", "left_anti"))
+    counts = store(link_counts(final, classes, sets, ranges, percent), f"{folder}/n_links")
+    return members.join(counts, "class", "left").select(*shown, F.coalesce("n_links", F.lit(0)).alias("n_links")), links
 
 
 def _compare_lists(members: DataFrame, sketches: DataFrame, ranges: Ranges, percent: int) -> DataFrame:
@@ -419,6 +522,6 @@ def one_of_each(docs: DataFrame, folder: str, doc_id: str = "doc_id", text: str
 
     Texts with an empty set are in no component and stay.
     """
-    members, _ = join_sets(docs, folder, doc_id, text, **options)
+    members, _ = join_sets(docs, folder, doc_id, text, count_links=False, **options)
     ids = smallest_ids(members).filter(F.col("doc_id").eqNullSafe(F.col("component_id"))).select(F.col("doc_id").alias("_kept_id")).distinct()
     return docs.join(ids, F.col(doc_id).eqNullSafe(F.col("_kept_id")), "left_semi").dropDuplicates([doc_id, text])

@@ -135,3 +135,26 @@ def test_components_of_a_path(spark, tmp_path):
     edges = spark.createDataFrame([(i, i + 1) for i in range(40)] + [(100, 101)], "a long, b long")
     got = {r.node: r.component for r in setjoin.components(edges, str(tmp_path)).collect()}
     assert got == {**{i: 0 for i in range(41)}, 100: 100, 101: 100}
+
+
+def plain_links(rows, percent=90, k=3):
+    """For every row, with how many different sets its set links."""
+    sets = {doc: frozenset(plain_set(t, k)) for doc, t in rows}
+    different = {s for s in sets.values() if s}
+    n = {s: sum(100 * len(s & t) >= percent * len(s | t) for t in different if t != s) for s in different}
+    return {doc: n.get(s, 0) for doc, s in sets.items()}
+
+
+@pytest.mark.parametrize("block", [5, 2048])
+def test_number_of_links(spark, tmp_path, monkeypatch, block):
+    monkeypatch.setattr(setjoin, "LINK_BLOCK", block)
+    rng = random.Random(3)
+    words = [f"w{i}" for i in range(300)]
+    texts = [t for length in (4, 12, 40, 120) for t in near_copies(rng, words, 12, length, max(1, length // 40))]
+    base = [rng.choice(words) for _ in range(150)]
+    texts += [" ".join(base[:n]) for n in range(60, 150, 3)]  # one component over several size ranges
+    rows = list(enumerate([*texts, *texts[:5], "", None]))
+    members, _ = setjoin.join_sets(spark.createDataFrame(rows, "doc_id long, text string").repartition(3), str(tmp_path))
+    got = {r.doc_id: r.n_links for r in members.collect()}
+    assert got == plain_links(rows)
+    assert max(got.values()) > 2
