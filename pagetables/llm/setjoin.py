@@ -38,7 +38,7 @@ from pagetables.llm.common import ship, text_or_empty
 from pagetables.plans.workspace import store
 
 SLACK = 3
-RANGE_GROWTH = 1.25
+RANGE_PERCENT = 80  # size ranges grow by 100 / 80, or by 100 / percent where that is more: partners then lie in neighbouring ranges
 CELLS_A_PART = 4
 BLOCK = 1024  # members of a list that a task compares at once
 LINK_BLOCK = 2048  # classes of a component that a task holds of each side when it counts links,
@@ -102,7 +102,7 @@ class Ranges:
     def __init__(self, percent: int, largest: int):
         self.percent, self.starts = percent, [1]
         while self.starts[-1] <= largest:
-            self.starts.append(int(self.starts[-1] * RANGE_GROWTH) + 1)
+            self.starts.append(self.starts[-1] * 100 // min(percent, RANGE_PERCENT) + 1)
 
     def of(self, size: int) -> int:
         return int(np.searchsorted(self.starts, size, side="right")) - 1

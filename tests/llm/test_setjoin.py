@@ -158,3 +158,12 @@ def test_number_of_links(spark, tmp_path, monkeypatch, block):
     got = {r.doc_id: r.n_links for r in members.collect()}
     assert got == plain_links(rows)
     assert max(got.values()) > 2
+
+
+@pytest.mark.parametrize("percent", range(50, 100, 5))
+def test_partners_share_a_range(percent):
+    ranges = setjoin.Ranges(percent, 800)
+    for t in range(1, 401):
+        for s in range(-(-t * percent // 100), t + 1):
+            i = ranges.of(t)
+            assert i in ranges.listed(s) and s + t - 2 * setjoin.needed(s, t, percent) <= ranges.differences(i)
