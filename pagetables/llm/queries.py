@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pagetables.llm import bpe, chat, merkle, packing, pii, quality, rpforest, setjoin, slots, toxicity
+from pagetables.llm import bpe, chat, infill, manifest, merkle, packing, pii, quality, rpforest, setjoin, slots, toxicity
 from pagetables.llm.common import text_or_empty
 from pagetables.llm.tokens import id_type
 from pagetables.plans.workspace import new_folder
@@ -122,6 +122,19 @@ def op10_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op11_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    made = infill.fill_in_middle(_table(spark, sf_dir, "documents"))
+    return made.select(
+        "doc_id", "n", "form", "prefix_chars", "middle_chars",
+        F.sha2(F.col("output").cast("binary"), 256).alias("output_sha256"),
+        F.sha2(infill.restored(F.col("output"), F.col("form")).cast("binary"), 256).alias("restored_sha256"),
+    )
+
+
+def op12_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return manifest.verify(manifest.manifest(_table(spark, sf_dir, "documents")))
+
+
 QUERIES = {
     "op1_quality": op1_quality,
     "op2_byte_bpe": op2_byte_bpe,
@@ -133,4 +146,6 @@ QUERIES = {
     "op8_toxicity": op8_toxicity,
     "op9_chat_format": op9_chat_format,
     "op10_pii": op10_pii,
+    "op11_fill_in_middle": op11_fill_in_middle,
+    "op12_manifest": op12_manifest,
 }
