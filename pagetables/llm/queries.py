@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pagetables.llm import bpe, chat, infill, manifest, merkle, packing, pii, quality, rpforest, setjoin, slots, toxicity
+from pagetables.llm import bpe, chat, infill, manifest, merkle, packing, pii, quality, repeats, rpforest, setjoin, slots, toxicity
 from pagetables.llm.common import text_or_empty
 from pagetables.llm.tokens import id_type
 from pagetables.plans.workspace import new_folder
@@ -135,6 +135,12 @@ def op12_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return manifest.verify(manifest.manifest(_table(spark, sf_dir, "documents")))
 
 
+def op13_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    cleaned = repeats.remove_repeats(_table(spark, sf_dir, "documents"))
+    removed = F.aggregate("spans", F.lit(0).cast("long"), lambda total, s: total + s["end"] - s["start"])
+    return cleaned.select("doc_id", "n_bytes", removed.alias("n_removed"), F.size("spans").cast("long").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256"))
+
+
 QUERIES = {
     "op1_quality": op1_quality,
     "op2_byte_bpe": op2_byte_bpe,
@@ -148,4 +154,5 @@ QUERIES = {
     "op10_pii": op10_pii,
     "op11_fill_in_middle": op11_fill_in_middle,
     "op12_manifest": op12_manifest,
+    "op13_repeats": op13_repeats,
 }
