@@ -1,24 +1,25 @@
 """Removal of byte strings that occur earlier, by threshold-bounded interval expansion on Burrows-Wheeler transforms.
 
 Every string of `length` bytes that also starts earlier (in an earlier text, or earlier in its own) is covered; what remains of a text are the
-bytes that no such string covers. Texts are ordered by id (null first) and content.
+bytes that no such string covers. Texts are ordered by id (null first), texts of one id by a hash.
 
-*Candidates.* Of equal texts only the first is searched; the others are covered whole. A text is cut into segments: runs of starts whose
-windows of `length` bytes have the same smallest hash of a `gram`-byte string in them. Equal windows have equal smallest hashes,
-wherever they stand, so they meet in that hash's bucket. Segments of equal content are one entry that knows its first place; all but the first place of an
-entry are covered without more. Only entries whose bucket holds another one, or whose own windows may repeat, go on.
+*Candidates.* A text is cut into segments: runs of starts whose windows of `length` bytes have the same smallest hash of a `gram`-byte
+string in them. Equal windows have equal smallest hashes, wherever they stand, so they meet in that hash's bucket. A batch of texts keeps the first
+place of segments of equal content; its other places are covered, as runs, and need no bucket. So however common a segment is, its bucket gets one
+row a batch. In a bucket the same is done once more, and only first places whose bucket holds other contents, or whose own windows may repeat, go on.
 
-*Expansion.* Whole buckets come together in blocks of about BLOCK_BYTES. A block's entries, a separator behind each, are sorted by suffix as deep as
-needed, and its Burrows-Wheeler transform is taken. Starting from the intervals of single symbols, breadth-first backward extension finds the intervals of
+*Expansion.* Whole buckets come together in blocks of about BLOCK_BYTES. A block's strings, a separator behind each, are sorted by suffix as deep as
+needed, and the Burrows-Wheeler transform is taken. Starting from the intervals of single symbols, breadth-first backward extension finds the intervals of
 longer strings, level by level; an interval whose right end is new gives that end its common prefix, the level, and is extended further.
 Levels stop at `length`: ends without a value then lie inside strings of that many bytes, and what lies between two ends with a value
 is one repeated string, whose first place is kept.
 
-*Crowded buckets.* The segments at the edges of a passage that very many texts share all fall into few buckets. A bucket of more than
-CROWD entries is cut anew by grams of `length` - 1 bytes: these buckets hold at most one free byte on either side, 65,536 strings. Pieces of
-equal content are one entry again, and go through blocks like all others. Nothing is capped or left out.
+*Crowded buckets.* The segments at the edges of a passage that very many texts share differ, but fall into few buckets. Which these are
+is seen on a sample of the texts (it decides where rows go, not what is found; no more than SHARES buckets a partition can be that large). Their
+segments are cut anew by grams of `length` - 1 bytes: such a bucket holds at most one free byte on either side, 65,536 strings.
 
-Hashes only choose where strings meet, but for two uses: texts are equal by SHA-256, segments by their bucket's 64-bit hash, a second one and their length.
+Hashes only choose where strings meet, but for one use: segments are equal when their bucket's 64-bit hash, a second one and their length are.
+Texts of one id are told apart by a 64-bit hash.
 
 Defined results: null texts are empty; texts shorter than `length` are kept; repeated rows of one id are copies of each other, one of them is
 the first; an empty table gives no rows; only id and text are read, other columns may have any names.
@@ -37,10 +38,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from pagetables.llm.common import ship
-from pagetables.llm.positions import with_starts
 from pagetables.plans.workspace import new_folder, store
 
-CROWD = 2_000
+SAMPLE = 1 / 16
+SHARES = 8
+LEAST_CROWD = 48
 BLOCK_BYTES = 1 << 20
 # Bytes cut at a time; positions in a stretch must fit the low 24 bits of a key.
 STRETCH = 1 << 21
@@ -243,138 +245,188 @@ def _signed(values: np.ndarray) -> pa.Array:
     return pa.array(values.astype(np.uint64).view(np.int64))
 
 
-def _segments(texts: DataFrame, length: int, gram: int) -> DataFrame:
-    """(bucket, content, place, base, starts, again) of all segments of `texts` (base, place, text)."""
-    def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            data, offsets = _bytes_of(batch.column(2))
-            found, held = cut(data, offsets, length, gram), memoryview(data)
-            begins = offsets[found.text] + found.start
-            content = [xxhash.xxh3_64_intdigest(held[a:z]) for a, z in zip(begins.tolist(), (begins + found.starts + length - 1).tolist())]
-            base, place = (batch.column(i).to_numpy(zero_copy_only=False).astype(np.int64)[found.text] for i in (0, 1))
-            columns = [_signed(found.bucket), _signed(np.array(content, np.uint64)), pa.array(place + found.start), pa.array(base),
-                       pa.array(found.starts.astype(np.int32)), pa.array(found.again)]
-            yield pa.RecordBatch.from_arrays(columns, names=["bucket", "content", "place", "base", "starts", "again"])
-
-    return texts.select("base", "place", F.col("text").cast("binary")).mapInArrow(emit, "bucket long, content long, place long, base long, starts int, again boolean")
+# A segment's row: start, number of windows (at most 4096) and whether it may repeat itself, in one number; covered runs have a negative one.
+_STARTS_BITS = 14
+_ROW = "bucket long, content long, at long, mark long, packed long"
 
 
-def _entries(segments: DataFrame) -> DataFrame:
-    """Segments of equal content as one entry with its first place and their number."""
-    return segments.groupBy("bucket", "content", "starts").agg(
-        F.min("place").alias("place"), F.min("base").alias("base"), F.max("again").alias("again"), F.count(F.lit(1)).alias("times"))
+def _ranks(at: np.ndarray, mark: np.ndarray) -> np.ndarray:
+    """Numbers of texts in order of id and hash; equal texts of one id share one."""
+    order = np.lexsort((mark, at))
+    new = np.concatenate([[0], (at[order][1:] != at[order][:-1]) | (mark[order][1:] != mark[order][:-1])])
+    rank = np.empty(len(at), np.int64)
+    rank[order] = np.cumsum(new)
+    return rank
 
 
-def _later_places(segments: DataFrame, entries: DataFrame) -> DataFrame:
-    """(base, place, starts) of all segments but each entry's first."""
-    first = entries.filter("times > 1").select("bucket", "content", "starts", F.col("place").alias("first"))
-    return segments.select("bucket", "content", "starts", "place", "base").join(first, ["bucket", "content", "starts"]).filter("place > first").select("base", "place", "starts")
+def _cut_batch(data: np.ndarray, offsets: np.ndarray, length: int, gram: int, crowded: np.ndarray) -> tuple[Segments, np.ndarray]:
+    """Segments of a batch, those of crowded buckets cut anew, and a second hash of each one's content."""
+    found, held = cut(data, offsets, length, gram), memoryview(data)
+    if len(crowded) and (hot := np.isin(found.bucket, crowded)).any():
+        text, start, size = found.text[hot], found.start[hot], found.starts[hot] + length - 1
+        begin = offsets[text] + start
+        joint = np.frombuffer(b"".join([held[a:z] for a, z in zip(begin.tolist(), (begin + size).tolist())]), np.uint8)
+        anew = cut(joint, np.concatenate([[0], np.cumsum(size)]), length, length - 1)
+        parts = Segments(text[anew.text], start[anew.text] + anew.start, anew.starts, anew.bucket, anew.again)
+        found = Segments(*(np.concatenate([getattr(found, f)[~hot], getattr(parts, f)]) for f in Segments.__dataclass_fields__))
+    begin = offsets[found.text] + found.start
+    content = [xxhash.xxh3_64_intdigest(held[a:z]) for a, z in zip(begin.tolist(), (begin + found.starts + length - 1).tolist())]
+    return found, np.array(content, np.uint64)
 
 
-def _contested(entries: DataFrame) -> DataFrame:
-    """Entries that may share a window with another entry or with themselves, and how many their bucket holds."""
-    buckets = entries.groupBy("bucket").agg(F.count(F.lit(1)).alias("entries"), F.max("again").alias("any_again")).filter("entries > 1 or any_again")
-    return entries.join(buckets.select("bucket", "entries"), "bucket").select("bucket", "place", "base", "starts", "entries")
-
-
-def _with_content(entries: DataFrame, texts: DataFrame, length: int) -> DataFrame:
-    """(bucket, entries, base, place, text) of contested entries, their bytes taken from the texts they first stand in."""
-    asked = entries.groupBy("base").agg(F.collect_list(F.struct("bucket", "entries", "place", "starts")).alias("asked"))
+def _segments(texts: DataFrame, length: int, gram: int, crowded: np.ndarray) -> DataFrame:
+    """The first places a batch of all segments of `texts` (at, mark, text), and its covered runs."""
+    def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            data, offsets = _bytes_of(batch.column(2))
+            found, content = _cut_batch(data, offsets, length, gram, crowded)
+            at, mark = (batch.column(i).to_numpy(zero_copy_only=False).astype(np.int64) for i in (0, 1))
+            place = (_ranks(at, mark)[found.text] << 40) + found.start
+            order = np.lexsort((place, found.starts, content, found.bucket))
+            b, c, n, p = found.bucket[order], content[order], found.starts[order], place[order]
+            new = np.ones(len(order), bool)
+            new[1:] = (b[1:] != b[:-1]) | (c[1:] != c[:-1]) | (n[1:] != n[:-1])
+            first = order[new]
+            packed = (found.start[first] << _STARTS_BITS) | (found.starts[first] << 1) | found.again[first]
+            owner = found.text[first]
+            yield _rows(b[new].view(np.int64), c[new].view(np.int64), at[owner], mark[owner], packed)
+            later = order[p > p[np.maximum.accumulate(np.where(new, np.arange(len(order)), 0))]]
+            later = later[np.argsort(place[later], kind="stable")]
+            begin, size = place[later], found.starts[later]
+            if len(later):
+                joined = np.concatenate([[True], begin[1:] > (begin + size)[:-1]])
+                run = np.flatnonzero(joined)
+                owner, start = found.text[later[run]], found.start[later[run]]
+                reach = np.maximum.reduceat(begin + size, run) - begin[run]
+                yield _rows((start ^ mark[owner]) * 0x5851F42D, reach, at[owner], mark[owner], (-1 - start))
+
+    return texts.select("at", "mark", F.col("text").cast("binary")).mapInArrow(emit, _ROW)
+
+
+def _rows(*columns: np.ndarray) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array(c.astype(np.int64)) for c in columns], names=["bucket", "content", "at", "mark", "packed"])
+
+
+def _crowded_buckets(texts: DataFrame, length: int, gram: int) -> np.ndarray:
+    """Buckets that would hold much of a partition, by the distinct contents of a sample. Their number is bounded by that of the partitions."""
+    partitions = int(texts.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    sampled = _segments(texts.sample(SAMPLE, seed=7), length, gram, np.empty(0, np.uint64)).filter("packed >= 0")
+    counts = sampled.groupBy("bucket", "content").agg(F.count(F.lit(1)).alias("n")).groupBy("bucket").agg(F.count(F.lit(1)).alias("n"))
+    total = counts.agg(F.sum("n")).first()[0] or 0
+    most = max(LEAST_CROWD, total / (SHARES * partitions))
+    found = counts.filter(F.col("n") > most).collect()
+    return np.sort(np.array([r.bucket for r in found], np.int64).view(np.uint64))
+
+
+def _met(segments: DataFrame) -> DataFrame:
+    """What buckets show: covered places (bucket null) and contested first places, as (bucket, at, mark, start, starts)."""
+    def meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        names = ["bucket", "at", "mark", "start", "starts"]
+
+        def rows(covered: list[np.ndarray], contested: list[np.ndarray]) -> pa.RecordBatch:
+            nothing = len(covered[0])
+            bucket = pa.array(np.concatenate([np.zeros(nothing, np.int64), contested[0]]), mask=np.arange(nothing + len(contested[0])) < nothing)
+            return pa.RecordBatch.from_arrays([bucket, *(pa.array(np.concatenate(x)) for x in zip(covered, contested[1:]))], names=names)
+
+        def settle(b: np.ndarray, c: np.ndarray, at: np.ndarray, mark: np.ndarray, packed: np.ndarray) -> pa.RecordBatch:
+            """Rows of whole buckets in order of bucket, content and place."""
+            start, starts, again = packed >> _STARTS_BITS, (packed >> 1) & ((1 << (_STARTS_BITS - 1)) - 1), packed & 1
+            apart = np.ones(len(b), bool)
+            apart[1:] = b[1:] != b[:-1]
+            new = apart.copy()
+            new[1:] |= (c[1:] != c[:-1]) | (starts[1:] != starts[:-1])
+            head = np.maximum.accumulate(np.where(new, np.arange(len(b)), 0))
+            later = (at != at[head]) | (mark != mark[head]) | (start != start[head])
+            number = np.cumsum(apart) - 1
+            contested = (np.bincount(number, new) > 1) | (np.bincount(number, again) > 0)
+            kept = new & contested[number]
+            return rows([x[later] for x in (at, mark, start, starts)], [x[kept] for x in (b, at, mark, start, starts)])
+
+        held = [np.empty(0, np.int64)] * 5
+        for batch in batches:
+            columns = [batch.column(i).to_numpy(zero_copy_only=False) for i in range(5)]
+            runs_here = columns[4] < 0
+            if runs_here.any():
+                _, n, at, mark, packed = (x[runs_here] for x in columns)
+                yield rows([at, mark, -1 - packed, n], [np.empty(0, np.int64)] * 5)
+                columns = [x[~runs_here] for x in columns]
+            held = [np.concatenate(x) for x in zip(held, columns)]
+            if not len(held[0]):
+                continue
+            whole = int(np.searchsorted(held[0], held[0][-1]))
+            if whole:
+                yield settle(*(x[:whole] for x in held))
+                held = [x[whole:] for x in held]
+        if len(held[0]):
+            yield settle(*held)
+
+    # Content stands before starts in `packed`'s order only through equal contents, whose starts are equal, too.
+    dealt = segments.repartition("bucket").sortWithinPartitions("bucket", "content", "at", "mark", "packed")
+    return dealt.mapInArrow(meet, "bucket long, at long, mark long, start long, starts long")
+
+
+def _with_content(contested: DataFrame, texts: DataFrame, length: int) -> DataFrame:
+    """(bucket, at, mark, start, text) of contested places: the bytes of their windows, taken from the texts."""
+    asked = contested.groupBy("at", "mark").agg(F.collect_list(F.struct("bucket", "start", "starts")).alias("asked"))
 
     def take(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            data, offsets = _bytes_of(batch.column(1))
-            lists, base = batch.column(2), batch.column(0).to_numpy(zero_copy_only=False)
-            begins = lists.offsets.to_numpy()
-            flat = lists.flatten()
-            text = np.repeat(np.arange(len(base)), np.diff(begins))
+            data, offsets = _bytes_of(batch.column(2))
+            lists, at, mark = batch.column(3), *(batch.column(i).to_numpy(zero_copy_only=False) for i in (0, 1))
+            flat, text, held = lists.flatten(), np.repeat(np.arange(len(lists)), np.diff(lists.offsets.to_numpy())), memoryview(data)
             for a in range(0, len(flat), 50_000):
                 part, owner = flat.slice(a, 50_000), text[a : a + 50_000]
-                place = part.field(2).to_numpy()
-                low = offsets[owner] + place - base[owner]
-                high, held = low + part.field(3).to_numpy() + length - 1, memoryview(data)
+                start = part.field(1).to_numpy()
+                low = offsets[owner] + start
+                high = low + part.field(2).to_numpy() + length - 1
                 content = pa.array([bytes(held[x:y]) for x, y in zip(low.tolist(), high.tolist())], pa.binary())
-                yield pa.RecordBatch.from_arrays([part.field(0), part.field(1), pa.array(base[owner]), pa.array(place), content], names=["bucket", "entries", "base", "place", "text"])
+                yield pa.RecordBatch.from_arrays([part.field(0), pa.array(at[owner]), pa.array(mark[owner]), pa.array(start), content], names=["bucket", "at", "mark", "start", "text"])
 
-    joined = texts.join(asked, "base").select("base", F.col("text").cast("binary").alias("text"), "asked")
-    return joined.mapInArrow(take, "bucket long, entries long, base long, place long, text binary")
+    joined = texts.join(asked, ["at", "mark"]).select("at", "mark", F.col("text").cast("binary").alias("text"), "asked")
+    return joined.mapInArrow(take, "bucket long, at long, mark long, start long, text binary")
 
 
 def _expand(entries: DataFrame, length: int) -> DataFrame:
-    """(base, place, starts) of the windows of contested entries (bucket, base, place, text) that are equal to one of smaller place."""
+    """(at, mark, start, starts) of the windows of contested strings (bucket, at, mark, start, text) that are equal to one of smaller place."""
     def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: list[tuple[int, int, bytes]] = []
+        held: list[tuple[int, int, int, bytes]] = []
         size, last = 0, None
 
         def block() -> pa.RecordBatch:
-            base, place, texts = zip(*held)
-            places = np.array(place, np.int64)
-            text, start = later_windows(list(texts), places, length)
+            *keys, texts = zip(*held)
+            at, mark, start = (np.array(k, np.int64) for k in keys)
+            text, window = later_windows(list(texts), (_ranks(at, mark) << 40) + start, length)
             # Keyed by text, so that runs do not go on from one text to the next.
             wide = max(map(len, texts)) + 2
-            first, n = runs(np.sort(text * wide + start))
+            first, n = runs(np.sort(text * wide + window))
             owner = first // wide
-            columns = [np.array(base, np.int64)[owner], places[owner] + first % wide, n.astype(np.int32)]
-            return pa.RecordBatch.from_arrays([pa.array(c) for c in columns], names=["base", "place", "starts"])
+            return pa.RecordBatch.from_arrays([pa.array(c) for c in (at[owner], mark[owner], start[owner] + first % wide, n)], names=["at", "mark", "start", "starts"])
 
         for batch in batches:
-            for bucket, *entry in zip(*(batch.column(i).to_pylist() for i in range(4))):
+            for bucket, *entry in zip(*(batch.column(i).to_pylist() for i in range(5))):
                 if size >= BLOCK_BYTES and bucket != last:
                     yield block()
                     held, size = [], 0
                 held.append(tuple(entry))
-                size += len(entry[2])
+                size += len(entry[3])
                 last = bucket
         if held:
             yield block()
 
-    dealt = entries.select("bucket", "base", "place", "text").repartition("bucket").sortWithinPartitions("bucket")
-    return dealt.mapInArrow(search, "base long, place long, starts int")
+    dealt = entries.repartition("bucket").sortWithinPartitions("bucket")
+    return dealt.mapInArrow(search, "at long, mark long, start long, starts long")
 
 
-def _crowded(entries: DataFrame, length: int, folder: str) -> DataFrame:
-    """The same for the entries of crowded buckets, by pieces with at most one free byte on either side."""
-    def pieces(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            data, offsets = _bytes_of(batch.column(2))
-            found, held = cut(data, offsets, length, length - 1), memoryview(data)
-            begins = offsets[found.text] + found.start
-            base, place = (batch.column(i).to_numpy(zero_copy_only=False)[found.text] for i in (0, 1))
-            for a in range(0, len(begins), 50_000):
-                part = slice(a, a + 50_000)
-                content = [bytes(held[x:y]) for x, y in zip(begins[part].tolist(), (begins + found.starts + length - 1)[part].tolist())]
-                columns = [_signed(found.bucket[part]), pa.array(content, pa.binary()), pa.array((place + found.start)[part]), pa.array(base[part]),
-                           pa.array(found.starts[part].astype(np.int32)), pa.array(found.again[part])]
-                yield pa.RecordBatch.from_arrays(columns, names=["bucket", "content", "place", "base", "starts", "again"])
-
-    cut_anew = entries.select("base", "place", "text").mapInArrow(pieces, "bucket long, content binary, place long, base long, starts int, again boolean")
-    stored = store(cut_anew, f"{folder}/pieces")
-    firsts = store(_entries(stored), f"{folder}/piece-entries")
-    buckets = firsts.groupBy("bucket").agg(F.count(F.lit(1)).alias("entries"), F.max("again").alias("any_again")).filter("entries > 1 or any_again").select("bucket")
-    contested = firsts.join(buckets, "bucket").select("bucket", "base", "place", F.col("content").alias("text"))
-    return _later_places(stored, firsts).unionByName(_expand(contested, length))
-
-
-def _first_texts(docs: DataFrame, doc_id: str, text: str, length: int, folder: str) -> tuple[DataFrame, str]:
-    """Rows by id and text with their number, the first of each text with its base (the bytes before it), short texts inline; and the table of the first rows' texts."""
+def _stored_texts(docs: DataFrame, doc_id: str, text: str, folder: str) -> str:
+    """The table (doc_id, at, mark, text) of all documents, bucketed by what identifies them, so that texts move once."""
     spark = docs.sparkSession
     content = F.coalesce(F.col(text).cast("binary"), F.lit(b""))
-    read = docs.select(F.col(doc_id).alias("doc_id"), content.alias("text")).withColumn("digest", F.unhex(F.sha2("text", 256)))
-    size = F.octet_length("text")
-    grouped = read.groupBy("doc_id", "digest", size.cast("long").alias("n_bytes"), F.when(size < length, F.col("text")).alias("short"))
-    rows = store(grouped.agg(F.count(F.lit(1)).alias("times")), f"{folder}/rows")
-    least = rows.groupBy("digest").agg(F.min("doc_id").alias("least"), F.bool_or(F.col("doc_id").isNull()).alias("unnamed"), F.max(F.col("n_bytes") + 1).alias("room"))
-    firsts = with_starts(least.select(F.when(~F.col("unnamed"), F.col("least")).alias("doc_id"), "digest", "room"), ["doc_id", "digest"], "room", start="base").drop("total", "room")
-    firsts = store(firsts, f"{folder}/firsts")
-    same = rows.alias("r").join(firsts.alias("f"), (F.col("r.digest") == F.col("f.digest")) & F.col("r.doc_id").eqNullSafe(F.col("f.doc_id")), "left")
-    marked = store(same.select("r.*", "f.base"), f"{folder}/marked")
-    found = marked.filter(F.col("base").isNotNull()).select("doc_id", "digest", "base", "times")
-    named = read.alias("r").join(found.alias("f"), (F.col("r.digest") == F.col("f.digest")) & F.col("r.doc_id").eqNullSafe(F.col("f.doc_id")))
-    texts = named.select("f.base", "f.doc_id", "r.text", "f.times")
-    single = texts.filter("times = 1").drop("times").unionByName(texts.filter("times > 1").drop("times").dropDuplicates(["base"]))
+    at = F.coalesce(F.col(doc_id).cast("long"), F.lit(-(1 << 63)))
+    rows = docs.select(F.col(doc_id).alias("doc_id"), at.alias("at"), F.xxhash64(content).alias("mark"), content.alias("text"))
     table, buckets = f"repeats_{uuid.uuid4().hex}", int(spark.conf.get("spark.sql.shuffle.partitions"))
-    single.repartition(buckets, "base").write.bucketBy(buckets, "base").option("path", f"{folder}/texts").saveAsTable(table)
-    return marked, table
+    writer = rows.repartition(buckets, "at", "mark").write.bucketBy(buckets, "at", "mark")
+    writer.option("path", f"{folder}/texts").option("compression", "zstd").saveAsTable(table)
+    return table
 
 
 def remove_repeats(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", length: int = 100, gram: int = 32) -> DataFrame:
@@ -384,27 +436,29 @@ def remove_repeats(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     spark = docs.sparkSession
     ship(spark)
     folder = new_folder(spark, "repeats")
-    marked, table = _first_texts(docs, doc_id, text, length, folder)
+    table = _stored_texts(docs, doc_id, text, folder)
     try:
         texts = spark.table(table)
         long = texts.filter(F.octet_length("text") >= length)
-        segments = store(_segments(long.withColumn("place", F.col("base")), length, gram), f"{folder}/segments")
-        entries = store(_entries(segments), f"{folder}/entries")
-        contested = store(_with_content(_contested(entries), long, length), f"{folder}/contested")
-        spread = _expand(contested.filter(F.col("entries") <= CROWD), length)
-        crowded = _crowded(contested.filter(F.col("entries") > CROWD), length, folder)
-        covered = _later_places(segments, entries).unionByName(spread).unionByName(crowded)
-        by_text = store(covered.groupBy("base").agg(F.collect_list(F.struct((F.col("place") - F.col("base")).alias("start"), "starts")).alias("covered")), f"{folder}/covered")
-        cleaned = _cleaned(texts.join(by_text, "base", "left"), length)
+        met = store(_met(_segments(long, length, gram, _crowded_buckets(long, length, gram))), f"{folder}/met")
+        places = ["at", "mark", "start", "starts"]
+        expanded = _expand(_with_content(met.filter(F.col("bucket").isNotNull()), long, length), length)
+        covered = met.filter(F.col("bucket").isNull()).select(places).unionByName(expanded)
+        repeated = texts.groupBy("at", "mark").agg(F.count(F.lit(1)).alias("times")).filter("times > 1")
+        span = F.when(F.col("starts").isNotNull(), F.struct("start", "starts"))
+        told = covered.withColumn("times", F.lit(1).cast("long")).unionByName(repeated, allowMissingColumns=True)
+        by_text = told.groupBy("at", "mark").agg(F.collect_list(span).alias("covered"), F.max("times").alias("times"))
+        known = texts.join(store(by_text, f"{folder}/covered"), ["at", "mark"], "left")
+        several = F.coalesce("times", F.lit(1)) > 1
+        heads = known.filter(several).dropDuplicates(["at", "mark"])
+        cleaned = _cleaned(known.filter(~several).drop("times").unionByName(heads.drop("times")), length)
     finally:
         spark.sql(f"DROP TABLE IF EXISTS {table}")
-    again = F.col("times") - F.when(F.col("base").isNotNull(), 1).otherwise(0)
-    copies = marked.filter(again > 0).withColumn("copy", F.explode(F.sequence(F.lit(1).cast("long"), again)))
-    whole = F.array(F.struct(F.lit(0).cast("long").alias("start"), F.col("n_bytes").alias("end")))
-    none = F.array().cast("array<struct<start:bigint,end:bigint>>")
-    is_long = F.col("short").isNull()
+    n, is_long = F.octet_length("text").cast("long"), F.octet_length("text") >= length
+    whole, none = F.array(F.struct(F.lit(0).cast("long").alias("start"), n.alias("end"))), F.array().cast("array<struct<start:bigint,end:bigint>>")
+    copies = heads.withColumn("copy", F.explode(F.sequence(F.lit(2).cast("long"), F.col("times"))))
     return cleaned.unionByName(copies.select(
-        "doc_id", "n_bytes", F.when(is_long, whole).otherwise(none).alias("spans"), F.coalesce("short", F.lit(b"")).alias("kept")))
+        "doc_id", n.alias("n_bytes"), F.when(is_long, whole).otherwise(none).alias("spans"), F.when(is_long, F.lit(b"")).otherwise(F.col("text")).alias("kept")))
 
 
 def _cleaned(texts: DataFrame, length: int) -> DataFrame:
@@ -426,7 +480,7 @@ def _cleaned(texts: DataFrame, length: int) -> DataFrame:
             yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "n_bytes", "spans", "kept"])
 
     id_type = texts.schema["doc_id"].dataType.simpleString()
-    empty = F.array().cast("array<struct<start:bigint,starts:int>>")
+    empty = F.array().cast("array<struct<start:bigint,starts:bigint>>")
     asked = texts.select("doc_id", F.col("text").cast("binary").alias("text"), F.coalesce("covered", empty).alias("covered"))
     return asked.mapInArrow(clean, f"doc_id {id_type}, n_bytes long, spans array<struct<start:bigint,end:bigint>>, kept binary")
 

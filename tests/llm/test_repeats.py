@@ -102,7 +102,9 @@ def test_edges(spark, rows):
 
 
 def test_crowded_buckets_and_small_blocks(spark, monkeypatch):
-    monkeypatch.setattr(repeats, "CROWD", 3)
+    monkeypatch.setattr(repeats, "SAMPLE", 1.0)
+    monkeypatch.setattr(repeats, "LEAST_CROWD", 1)
+    monkeypatch.setattr(repeats, "SHARES", 10**9)
     rows = _texts() + EDGES[1] + EDGES[3]
     docs = spark.createDataFrame(rows, "doc_id long, text string")
     assert got(repeats.remove_repeats(docs)) == plain_repeats(rows)
