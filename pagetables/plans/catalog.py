@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 from dataclasses import replace
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -525,20 +525,23 @@ def fetch_latest(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _ingested(spark: SparkSession, sf_dir: str) -> str:
-    """Pages of the documents, each given twice an hour apart, run through the page stream; the folder of what it wrote."""
+    """Pages of the documents run through the page stream three times: the newer half of the sources, then, fetched earlier, the
+    others, then all of them again an hour later. Returns the checkpoint, which knows what was written.
+    """
     folder = new_folder(spark, "stream")
     pages = document_pages(_table(spark, sf_dir, "documents"))
-    for hour in (8, 9):
-        fetched = F.lit(f"{ARTICLE_DAY} {hour:02d}:00:00").cast("timestamp")
-        pages.select("url", "html", fetched.alias("fetched_at")).write.mode("append").parquet(f"{folder}/pages")
-    schema = spark.read.parquet(f"{folder}/pages").schema
-    records = ingest.record_stream(ingest.stream_pages(spark, f"{folder}/pages", schema=schema), SAMPLE_PROFILE, delay="1 day")
-    ingest.write_record_stream(records, f"{folder}/out", f"{folder}/rejects", f"{folder}/checkpoint").awaitTermination()
-    return folder
+    late = F.crc32("url") % 2 == 0
+    for fetched, some in (("09:00", ~late), ("08:00", late), ("10:00", F.lit(True))):
+        at = F.lit(f"{ARTICLE_DAY} {fetched}:00").cast("timestamp").alias("fetched_at")
+        pages.filter(some).select("url", "html", at).write.mode("append").parquet(f"{folder}/pages")
+        schema = spark.read.parquet(f"{folder}/pages").schema
+        records = ingest.record_stream(ingest.stream_pages(spark, f"{folder}/pages", schema=schema), SAMPLE_PROFILE, delay="1 day")
+        ingest.write_record_stream(records, f"{folder}/out", f"{folder}/rejects", f"{folder}/checkpoint", roll_every=2).awaitTermination()
+    return f"{folder}/checkpoint"
 
 
 def stream_articles(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return jsonl.read_jsonl(spark, f"{_ingested(spark, sf_dir)}/out/*", mode="strict")
+    return ingest.read_articles(spark, _ingested(spark, sf_dir))
 
 
 def article_job(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -568,35 +571,36 @@ def fetch_log_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def stream_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The rejects of the page stream, which writes one for every fetch; the equal ones of a page's two fetches are shown once."""
-    records = spark.read.parquet(f"{_ingested(spark, sf_dir)}/rejects/*")
-    return articles.rejected_articles(records).select("url", "title", "date", F.array_join("errors", ",").alias("errors")).distinct()
-
+    """The rejects of the page stream, which writes one for every fetch; every page was fetched twice."""
+    records = ingest.read_rejects(spark, _ingested(spark, sf_dir))
+    return articles.rejected_articles(records).select("url", "title", "date", F.array_join("errors", ",").alias("errors"))
 
-def _event_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
-    schema = _table(spark, sf_dir, "events").schema
-    return event_fetches(spark.readStream.schema(schema).parquet(f"{sf_dir}/event[s].parquet"))
 
-
-def _drain(stream: DataFrame, folder: str) -> DataFrame:
-    query = (
-        stream.writeStream.format("parquet").option("path", f"{folder}/out").option("checkpointLocation", f"{folder}/checkpoint")
-        .outputMode("append").trigger(availableNow=True).start()
-    )
-    query.awaitTermination()
-    return stream.sparkSession.read.schema(stream.schema).parquet(f"{folder}/out")
+def _event_runs(spark: SparkSession, sf_dir: str, folder: str) -> Iterator[DataFrame]:
+    """The events as a stream that gets its files in two parts, the older events last."""
+    events = _table(spark, sf_dir, "events")
+    middle = events.agg(F.percentile_approx(F.unix_micros(F.col("ts").cast("timestamp")), 0.5)).first()[0]
+    is_new = F.unix_micros(F.col("ts").cast("timestamp")) >= middle
+    for part in (is_new, ~is_new):
+        events.filter(part).write.mode("append").parquet(f"{folder}/events")
+        yield event_fetches(spark.readStream.schema(events.schema).parquet(f"{folder}/events"))
 
 
 def stream_distinct_urls(spark: SparkSession, sf_dir: str) -> DataFrame:
-    first = ingest.dedupe_stream(_event_stream(spark, sf_dir), "60 days", "ts", "requested_url")
-    return _drain(first.select("requested_url"), new_folder(spark, "stream"))
+    """One request a URL, of a stream whose second run brings the older half."""
+    folder = new_folder(spark, "stream")
+    for stream in _event_runs(spark, sf_dir, folder):
+        requests = stream.select("requested_url", "ts")
+        ingest.write_distinct_stream(requests, f"{folder}/out", f"{folder}/checkpoint", "60 days", "ts", "requested_url").awaitTermination()
+    return ingest.read_committed(spark, f"{folder}/checkpoint", "rows", requests.schema).select("requested_url")
 
 
 def stream_outcome_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every window with an event in it, those still open at the end of the stream included."""
-    classified = fetchlog.classify_fetches(_event_stream(spark, sf_dir), SAMPLE_PROFILE)
     folder = new_folder(spark, "stream")
-    ingest.write_window_counts(classified, f"{folder}/out", f"{folder}/checkpoint", "6 hours").awaitTermination()
+    for stream in _event_runs(spark, sf_dir, folder):
+        classified = fetchlog.classify_fetches(stream, SAMPLE_PROFILE)
+        ingest.write_window_counts(classified, f"{folder}/out", f"{folder}/checkpoint", "6 hours", roll_every=2).awaitTermination()
     counts = ingest.read_window_counts(spark, f"{folder}/out")
     return counts.select(F.date_format("window.start", "yyyy-MM-dd HH:mm:ss").alias("window_start"), "outcome", "host", "n")
 

@@ -309,7 +309,7 @@ WITH {_FETCHES} SELECT event_id, outcome, effective_status, page_url, 'CONTENT-E
 WITH {_FETCHES} SELECT requested_url, outcome, effective_status, page_url, count(*) OVER (PARTITION BY requested_url) AS attempts FROM classified
 QUALIFY row_number() OVER (PARTITION BY requested_url ORDER BY ts DESC, effective_status DESC, page_url DESC, outcome DESC) = 1""",
     "stream_articles": _ARTICLES,
-    "stream_rejects": _REJECTS,
+    "stream_rejects": f"SELECT r.* FROM ({_REJECTS}) AS r JOIN range(2) ON true",
     "article_job": _ARTICLES,
     "pages_json": "SELECT url, md5(html) AS html_md5 FROM pages",
     "pages_parquet": "SELECT url, md5(html) AS html_md5 FROM pages",

@@ -32,3 +32,9 @@ def store(df: DataFrame, path: str) -> DataFrame:
     """Write and read back: cuts the lineage, and the copy outlives any executor."""
     df.write.mode("overwrite").parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def delete_folder(spark: SparkSession, path: str) -> None:
+    """Delete a folder with all that is in it, on whatever file system it lies; nothing happens if it is not there."""
+    place = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(place, True)

@@ -75,7 +75,7 @@ def bad_lines(spark: SparkSession, path: str) -> DataFrame:
 
 
 def read_jsonl(
-    spark: SparkSession, path: str, mode: str = "lenient", schema: T.StructType = ARTICLE_SCHEMA
+    spark: SparkSession, path: str | list[str], mode: str = "lenient", schema: T.StructType = ARTICLE_SCHEMA
 ) -> DataFrame:
     """Typed records. `strict` fails on any bad line; `lenient` keeps its text in `_corrupt` with null fields."""
     if mode == "strict":

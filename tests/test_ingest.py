@@ -1,0 +1,150 @@
+"""Streams over several runs: late rows, repeats, commits and roll-ups."""
+
+import datetime as dt
+import json
+import os
+import random
+
+import pytest
+from pyspark.sql import functions as F
+from test_reports import TODAY, html
+
+from pagetables.profile import NEWS_SITE
+from pagetables.sources import pages
+from pagetables.streaming import ingest
+from pagetables.streaming.ledger import Ledger, attempt_folder, merge_rows
+
+HOUR = 3_600_000_000
+FETCH = "url string, fetched_at timestamp, n int"
+
+
+def at(minutes):
+    return dt.datetime(2026, 3, 2) + dt.timedelta(minutes=minutes)
+
+
+def kept_times(fetches, old=(), span=60):
+    """Which (url, minute) a plain scan keeps, given the old ones."""
+    kept = []
+    for url, minute in sorted(set(fetches)):
+        near_old = any(u == url and abs(m - minute) < span for u, m in old)
+        if not near_old and not any(u == url and minute - m < span for u, m in kept):
+            kept.append((url, minute))
+    return kept
+
+
+@pytest.fixture
+def distinct(spark, tmp_path):
+    source, out, checkpoint = (str(tmp_path / n) for n in ("in", "out", "cp"))
+
+    def run(rows, **options):
+        spark.createDataFrame([(u, None if m is None else at(m), i) for i, (u, m) in enumerate(rows)], FETCH).write.mode("append").parquet(source)
+        stream = spark.readStream.schema(FETCH).parquet(source)
+        ingest.write_distinct_stream(stream, out, checkpoint, **options).awaitTermination()
+        found = ingest.read_committed(spark, checkpoint, "rows", FETCH).collect()
+        return sorted(((r.url, None if r.fetched_at is None else int((r.fetched_at - at(0)).total_seconds() // 60)) for r in found), key=str)
+
+    return run
+
+
+def test_late_rows_of_new_keys_stay_and_repeats_go(distinct):
+    assert distinct([("a", 3000), ("a", 3000), ("a", 3059), ("c", 3000)]) == [("a", 3000), ("c", 3000)]
+    # A day older, in a later run: nothing is lost; repeats of what lies around are found on either side.
+    assert distinct([("b", 10), ("a", 2941), ("c", 3060), (None, 5), (None, 5), ("d", None), ("d", None)]) == sorted(
+        [("a", 3000), ("b", 10), ("c", 3000), ("c", 3060), (None, 5), (None, 5), ("d", None), ("d", None)], key=str)
+    assert ("b", 10) in distinct([("b", 69), ("b", -49)]) and len(distinct([("b", 70)])) == 9
+
+
+@pytest.mark.parametrize("seed", [1, 2])
+def test_runs_against_a_plain_scan(distinct, seed):
+    draw, old = random.Random(seed), []
+    for _ in range(4):
+        rows = [(f"u{draw.randrange(6)}", draw.randrange(-2000, 4000, 7)) for _ in range(120)]
+        old += kept_times(rows, old)
+        assert distinct(rows, roll_every=2) == sorted(old, key=str)
+
+
+def test_chosen_times_of_a_very_common_key(spark):
+    """One key with most rows: the scan is linear and keeps what a plain scan keeps."""
+    minutes = [i * 7 for i in range(20_000)]
+    old = [i * 997 for i in range(50)]
+    rows = [(1, 1, m * 60_000_000, HOUR, i) for i, m in enumerate(minutes)] + [(1, 1, m * 60_000_000, 0, None) for m in old] + [(2, i, 5, HOUR, 100_000 + i) for i in range(30)]
+    times = spark.createDataFrame(rows, "k1 long, k2 long, at long, span long, row long").repartition(6)
+    want, last = [], None
+    stops = sorted(old)
+    for i, m in enumerate(minutes):
+        if not any(abs(m - o) < 60 for o in stops) and (last is None or m - last >= 60):
+            want.append(i)
+            last = m
+    got = sorted(r.row for r in ingest.chosen_times(times).collect())
+    assert got == [*want, *range(100_000, 100_030)]
+
+
+def test_a_batch_counts_whole_or_not_at_all(spark, tmp_path):
+    """What an attempt without commit left is not read, and a batch that comes again after its commit is skipped."""
+    source, out, rejects, checkpoint = (str(tmp_path / n) for n in ("in", "out", "rejects", "cp"))
+    rows = [(f"https://e/{i}", html(i, TODAY), 200, None, dt.datetime(2026, 3, 2, 8)) for i in range(3)]
+    spark.createDataFrame(rows, pages.PAGE_SCHEMA).write.parquet(source)
+    assert ingest.read_articles(spark, checkpoint).count() == 0 and ingest.read_rejects(spark, checkpoint) is None
+    dead = attempt_folder(out, 0)
+    os.makedirs(dead)
+    with open(f"{dead}/part-0.json", "w") as f:
+        f.write('{"title": "half"')
+    ingest.stream_articles(spark, source, out, rejects, checkpoint, NEWS_SITE).awaitTermination()
+    assert sorted(r.id for r in ingest.read_articles(spark, checkpoint).collect()) == ["0", "1", "2"]
+    assert ingest.read_rejects(spark, checkpoint).count() == 0
+    # The stream forgets that batch 0 ended, as if the driver had died between the two commits.
+    os.remove(f"{checkpoint}/commits/0")
+    os.remove(f"{checkpoint}/commits/.0.crc")
+    folders = set(os.listdir(out))
+    ingest.stream_articles(spark, source, out, rejects, checkpoint, NEWS_SITE).awaitTermination()
+    assert set(os.listdir(out)) == folders
+    assert ingest.read_articles(spark, checkpoint).count() == 3
+
+
+def test_roll_up_bounds_folders_and_entries(spark, tmp_path):
+    base, log = str(tmp_path / "data"), str(tmp_path / "log")
+    ledger, sizes = Ledger(spark, log, roll_every=4), []
+    for batch in range(25):
+        folder = attempt_folder(base, batch)
+        spark.range(batch, batch + 1).write.parquet(folder)
+        assert not ledger.committed().holds(batch)
+        ledger.commit(batch, {"rows": folder})
+        before = ledger.committed()
+        rolled = ledger.roll_up({"rows": (base, merge_rows(spark))})
+        state = ledger.committed()
+        assert rolled == (batch % 4 == 3) and all(state.holds(b) for b in range(batch + 1))
+        # Readers that asked just before the roll-up still find their files.
+        for folders in (before.folders["rows"], state.folders["rows"]):
+            assert sorted(r.id for r in spark.read.parquet(*folders).collect()) == list(range(batch + 1))
+        sizes.append((len(os.listdir(base)), len([n for n in os.listdir(log)])))
+    assert max(s[0] for s in sizes) <= 10 and max(s[1] for s in sizes) <= 6
+
+
+def test_window_counts_before_and_after_a_roll_up(spark, tmp_path):
+    source, path, checkpoint = (str(tmp_path / n) for n in ("in", "out", "cp"))
+    schema, expected = "requested_url string, outcome string, ts timestamp", {}
+    draw = random.Random(3)
+    for _ in range(5):
+        minutes = [draw.randrange(600) for _ in range(20)]
+        spark.createDataFrame([("https://e/1", "ok", at(m)) for m in minutes], schema).coalesce(1).write.mode("append").parquet(source)
+        ingest.write_window_counts(spark.readStream.schema(schema).parquet(source), path, checkpoint, roll_every=2).awaitTermination()
+        for m in minutes:
+            expected[m // 60] = expected.get(m // 60, 0) + 1
+        counts = ingest.read_window_counts(spark, path).select(F.hour("window.start").alias("hour"), "n").collect()
+        assert {r.hour: r.n for r in counts} == expected
+    assert len(Ledger(spark, f"{path}/log").committed().folders["counts"]) <= 2
+
+
+def test_seen_days_are_pruned(spark, tmp_path):
+    rows = spark.createDataFrame([("u", at(24 * 60 * d)) for d in range(9)], "url string, fetched_at timestamp")
+    ingest.note_seen(rows, "url", "fetched_at", str(tmp_path / "seen"))
+    low = int(at(24 * 60 * 4).replace(tzinfo=dt.timezone.utc).timestamp() * 1_000_000)
+    around = ingest.SeenKeys(spark, [str(tmp_path / "seen")]).around(low - HOUR, low + HOUR)
+    assert around.count() == 2
+    assert "PartitionFilters: [isnotnull(day" in around._jdf.queryExecution().executedPlan().toString()
+
+
+def test_entries_are_plain_json(spark, tmp_path):
+    Ledger(spark, str(tmp_path / "log")).commit(7, {"rows": "/x"})
+    line = spark.read.text(f"{tmp_path}/log/*").first().value
+    assert json.loads(line) == {"batch": 7, "rolled": False, "folders": {"rows": "/x"}, "replaced": []}

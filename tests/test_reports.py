@@ -265,15 +265,6 @@ def test_stages_run_before_the_sink(spark, tmp_path):
     assert sorted((r.id, r.section) for r in jsonl.read_jsonl(spark, f"{paths[0]}/*").collect()) == [("2", "changed"), ("3", "changed")]
 
 
-def test_duplicate_urls_in_a_stream(spark, tmp_path):
-    source = str(tmp_path / "in")
-    page_rows(spark, [1, 1, 2]).write.parquet(source)
-    stream = ingest.dedupe_stream(ingest.stream_pages(spark, source))
-    query = stream.writeStream.format("memory").queryName("dedupe").option("checkpointLocation", str(tmp_path / "cp")).trigger(availableNow=True).start()
-    query.awaitTermination()
-    assert sorted(r.url for r in spark.table("dedupe").collect()) == ["https://e/1", "https://e/2"]
-
-
 def test_late_pages_are_written(spark, tmp_path):
     source, sink, rejects, checkpoint = (str(tmp_path / n) for n in ("in", "out", "rejects", "cp"))
 
