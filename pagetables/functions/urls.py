@@ -111,3 +111,48 @@ def url_id(url: Column) -> Column:
 
 def drop_trailing_slashes(url: Column) -> Column:
     return F.rtrim(url, F.lit("/"))
+
+
+# What a path carries as it is, besides letters, digits and "-._*", which the encoder leaves alone.
+PATH_MARKS = "!$&'()+,;=:@~"
+
+
+# URLs that are canonical as they stand: no query, fragment or escape, host in lower case.
+PLAIN_URL = r"^(?:[a-z][a-z0-9+.\-]*://[^/?#A-Z]+)?/[A-Za-z0-9/._*!$&'()+,;=:@~-]*$"
+
+
+def _normal_escapes(text: Column, form: bool) -> Column:
+    """The text with escapes only where they are needed, in one spelling; text that cannot be decoded stays. In a `form`, plus is space."""
+    if form:
+        return F.coalesce(F.url_encode(F.try_url_decode(text)), text)
+    encoded = F.replace(F.url_encode(F.try_url_decode(F.replace(text, F.lit("+"), F.lit("%2B")))), F.lit("+"), F.lit("%20"))
+    for mark in PATH_MARKS:
+        encoded = F.replace(encoded, F.lit(f"%{ord(mark):02X}"), F.lit(mark))
+    return F.coalesce(encoded, text)
+
+
+def _sorted_query(query: Column) -> Column:
+    """Arguments by name and value, escapes normal, a missing value empty; empty for a query without arguments."""
+    pairs = F.transform(F.filter(F.split(query, "&"), lambda a: a != ""), lambda a: F.struct(
+        _normal_escapes(F.substring_index(a, "=", 1), True).alias("name"),
+        _normal_escapes(F.when(F.contains(a, F.lit("=")), F.substr(a, F.instr(a, "=") + 1)).otherwise(F.lit("")), True).alias("value")))
+    return F.array_join(F.transform(F.array_sort(pairs), lambda p: F.concat(p["name"], F.lit("="), p["value"])), "&")
+
+
+def canonical_url(url: Column) -> Column:
+    """What makes two URLs one page: scheme and host in lower case, normal escapes, sorted query, no fragment, at least "/" as path.
+
+    Text that is no absolute URL keeps its path and has its query sorted alike.
+    """
+    def path(text: Column) -> Column:
+        segments = F.transform(F.split(text, "/"), lambda s: _normal_escapes(s, False))
+        return F.when(text.rlike(r"[^A-Za-z0-9/._*!$&'()+,;=:@~-]"), F.array_join(segments, "/")).otherwise(text)
+
+    def build(part: Column) -> Column:
+        root = F.when(part["scheme"] != "", F.concat(F.lower(part["scheme"]), F.lit(":"))).otherwise(F.lit(""))
+        host = F.when(part["authority"] != "", F.concat(F.lit("//"), F.lower(part["authority"]))).otherwise(F.lit(""))
+        below = F.when((part["authority"] != "") & (part["path"] == ""), F.lit("/")).otherwise(path(part["path"]))
+        query = let(_sorted_query(F.substr(part["query"], F.lit(2))), lambda q: F.when(q == "", F.lit("")).otherwise(F.concat(F.lit("?"), q)))
+        return F.concat(root, host, below, F.when(part["query"] == "", F.lit("")).otherwise(query))
+
+    return F.when(url.rlike(PLAIN_URL), url).otherwise(let(url_parts(url), build))

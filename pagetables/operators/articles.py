@@ -153,17 +153,34 @@ def extract_records(
     )
 
 
-def distinct_pages(records: DataFrame) -> DataFrame:
-    """One record per URL: an accepted one if there is any, else a rejected one; of these the first by `fetched_at`, if that is a column
-    (null last), then by the values of all columns. Records without URL all stay.
-    """
+# Microseconds from year 1 to 1970: times of the calendar count from here, in 18 digits.
+_FIRST_MICROS = 62_135_596_800_000_000
+
+
+def _preference(records: DataFrame, row: str) -> Column:
+    """A record's place in the order of choice, as one number: outcome, whether it has a time, time, row number."""
     outcome = F.col("outcome")
-    order = [F.when(outcome == ACCEPTED, 0).when(outcome == REJECTED, 1).otherwise(2).alias("_rank")]
+    rank = F.when(outcome == ACCEPTED, 0).when(outcome == REJECTED, 1).otherwise(2)
+    time = F.lit(0).cast("long")
     if "fetched_at" in records.columns:
-        order += [F.col("fetched_at").isNull().alias("_untimed"), F.col("fetched_at").alias("_time")]
-    alone = F.when(F.col("url").isNull(), F.monotonically_increasing_id())
-    choice = F.min(F.struct(*order, F.struct(*records.columns).alias("record"))).alias("first")
-    return records.withColumn("_alone", alone).groupBy("url", "_alone").agg(choice).select("first.record.*")
+        timed = records.schema["fetched_at"].dataType
+        time = F.unix_micros("fetched_at") if isinstance(timed, T.TimestampType) else F.col("fetched_at").cast("long")
+    digits = F.coalesce(time + _FIRST_MICROS, F.lit(10**18 - 1)).cast("decimal(18,0)")
+    return (rank.cast("decimal(2,0)") * F.lit(10**18).cast("decimal(19,0)") + digits).cast("decimal(20,0)") * F.lit(10**18).cast("decimal(19,0)") + F.col(row)
+
+
+def distinct_pages(stored: DataFrame, row: str) -> DataFrame:
+    """One record per URL: an accepted one if there is any, else a rejected one; of these the first by `fetched_at`, if that is a column
+    (null last), then by `row`, a column of numbers below 10 ** 18 that tells stored records apart. Records without URL all stay.
+
+    URLs are compared as 128-bit hashes, and the choice is one number, so that it is a hash aggregation of narrow rows. What is joined
+    with the records are the numbers of those that go; they come by broadcast when they are few, and the records then stay where they are.
+    """
+    keyed = stored.filter(F.col("url").isNotNull()).select(
+        F.xxhash64("url").alias("k1"), F.xxhash64("url", F.lit(1)).alias("k2"), F.col(row).alias("gone"), _preference(stored, row).cast("decimal(38,0)").alias("choice"))
+    best = keyed.groupBy("k1", "k2").agg(F.min("choice").alias("best"), F.count(F.lit(1)).alias("n")).filter("n > 1").drop("n")
+    gone = keyed.join(best, ["k1", "k2"]).filter("choice > best").select("gone")
+    return stored.join(gone, F.col(row) == F.col("gone"), "left_anti")
 
 
 def accepted_articles(records: DataFrame) -> DataFrame:

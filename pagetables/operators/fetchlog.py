@@ -60,7 +60,17 @@ def outcome_counts(classified: DataFrame, *extra_keys: Column) -> DataFrame:
 
 
 def latest_outcome(classified: DataFrame) -> DataFrame:
-    """The last attempt per requested URL. Ties in time go to the greater (status, final_url, outcome)."""
-    state = F.struct("ts", "effective_status", "page_url", "outcome")
-    last = classified.groupBy("requested_url").agg(F.max(state).alias("last"), F.count(F.lit(1)).alias("attempts"))
-    return last.select("requested_url", "last.ts", "last.outcome", "last.effective_status", "last.page_url", "attempts")
+    """The last attempt per requested URL. Ties in time go to the greater (effective_status, page_url, outcome), nulls lowest.
+
+    Time and status make one number, so that attempts are counted and the last one is found by a hash aggregation in fixed-width buffers.
+    Only attempts that are last by both are looked at again; several of one URL are rare, and the join spreads them by URL and number.
+    """
+    micros = F.coalesce(F.unix_micros(F.col("ts").cast("timestamp")), F.lit(-(1 << 62)))
+    status = F.coalesce(F.col("effective_status") + 1, F.lit(0))
+    number = (micros.cast("decimal(19,0)") * F.lit(10**10).cast("decimal(11,0)") + status.cast("decimal(10,0)")).cast("decimal(38,0)")
+    numbered = classified.select("requested_url", "ts", "effective_status", "page_url", "outcome", number.alias("number"))
+    best = numbered.groupBy("requested_url").agg(F.max("number").alias("number"), F.count(F.lit(1)).alias("attempts"))
+    last = numbered.alias("n").join(best.alias("b"), F.col("n.requested_url").eqNullSafe(F.col("b.requested_url")) & (F.col("n.number") == F.col("b.number")))
+    tied = F.collect_set(F.struct("n.page_url", "n.outcome")).alias("tied")
+    found = last.groupBy("b.requested_url", "b.number", "b.attempts", "n.ts", "n.effective_status").agg(tied).withColumn("last", F.array_max("tied"))
+    return found.select("requested_url", "ts", "last.outcome", "effective_status", "last.page_url", "attempts")

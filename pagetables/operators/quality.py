@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_type
 
 from pagetables.functions.presence import is_present, text_of
 from pagetables.functions.text import split_tags, title_prefix
@@ -15,7 +18,6 @@ from pagetables.functions.text import split_tags, title_prefix
 LONG_CONTENT_CHARS = 100
 OPTIONAL_FIELDS = ("lead", "author", "date_modified", "image_url", "id", "read_time", "section")
 FINAL_REPORT_FIELDS = ("lead", "author", "date_modified", "image_url", "id", "read_time")
-SAMPLE_SHARES = 64
 SAMPLE_ROWS = 3
 SAMPLE_TITLE_CHARS = 60
 TOP_TAGS_LINES = 10
@@ -99,6 +101,42 @@ def missing_counts(records: DataFrame, fields: Sequence[str] = ("lead", "author"
     return complete.select("field", F.col("empty").alias("missing"), F.col("filled").alias("present"))
 
 
+def _first_missing(lacking: DataFrame, fields: Sequence[str], order_by: Sequence[str], rows: int) -> DataFrame:
+    """What each task has found in its records: per field a row with their number and how many lack the field, and its first `rows` of those.
+
+    `lacking` has absent (a flag per field), the order columns and title. A task keeps `rows` records a field, whatever it reads.
+    """
+    order = [(c, "ascending") for c in order_by]
+
+    def gather(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        best: list[pa.Table | None] = [None] * len(fields)
+        missing, total = [0] * len(fields), 0
+        for batch in batches:
+            total += batch.num_rows
+            flags = batch.column(0).flatten().to_numpy(zero_copy_only=False).reshape(batch.num_rows, len(fields))
+            held = pa.Table.from_batches([batch.select([*order_by, "title"])])
+            for i in range(len(fields)):
+                here = held.filter(pa.array(flags[:, i]))
+                missing[i] += here.num_rows
+                joined = here if best[i] is None else pa.concat_tables([best[i], here])
+                best[i] = joined.take(pc.sort_indices(joined, sort_keys=order, null_placement="at_start")[:rows]) if joined.num_rows else best[i]
+        for i, found in enumerate(best):
+            if total:
+                yield from _told(fields[i], missing[i], total, found)
+
+    def _told(field: str, n: int, total: int, found: pa.Table | None) -> Iterator[pa.RecordBatch]:
+        size = 0 if found is None else found.num_rows
+        columns = [pa.array([field] * (size + 1)), pa.array([False] + [True] * size), pa.array([n] + [0] * size, pa.int64()), pa.array([total] + [0] * size, pa.int64())]
+        for name, kind in zip([*order_by, "title"], kinds):
+            values = [None] if found is None else [None, *found.column(name).to_pylist()]
+            columns.append(pa.array(values, kind))
+        yield pa.RecordBatch.from_arrays(columns, names=["field", "sample", "n", "of", *order_by, "title"])
+
+    kinds = [to_arrow_type(lacking.schema[c].dataType) for c in (*order_by, "title")]
+    types = ", ".join(f"`{c}` {lacking.schema[c].dataType.simpleString()}" for c in (*order_by, "title"))
+    return lacking.select("absent", *order_by, "title").mapInArrow(gather, f"field string, sample boolean, n long, of long, {types}")
+
+
 def missing_samples(
     records: DataFrame,
     fields: Sequence[str],
@@ -107,26 +145,30 @@ def missing_samples(
     title_chars: int = SAMPLE_TITLE_CHARS,
     only_if_at_most: int | None = None,
 ) -> DataFrame:
-    """(field, n_missing, sample_no, title): the first rows without each field, in `order_by` order.
+    """(field, n_missing, sample_no, title): the first rows without each field, in `order_by` order (nulls first).
 
     With `only_if_at_most` a field that is missing everywhere is left out, and one missing in more rows than that
-    keeps its count but shows no sample (null sample_no and title). Rows are ranked in SAMPLE_SHARES shares of each field first,
-    then the best `rows` of each share together: a field missing in every record is no single task's work, for any `rows`.
+    keeps its count but shows no sample (null sample_no and title). The records are read once: every task counts and keeps its first
+    `rows` of each field, and only those are shuffled, by field.
     """
-    counts = field_completeness(records, fields, presence="truthy").select("field", F.col("empty").alias("n_missing"), "total")
-    absent = F.array_compact(F.array(*[F.when(~_present(records, f), F.lit(f)) for f in fields]))
-    lacking = records.select(F.explode(absent).alias("field"), _text(records, "title").alias("title"), *order_by)
-    shared = lacking.withColumn("share", F.pmod(F.xxhash64("title", *order_by), F.lit(SAMPLE_SHARES)))
-    in_share = F.row_number().over(Window.partitionBy("field", "share").orderBy(*order_by))
-    best = shared.withColumn("place", in_share).filter(F.col("place") <= rows)
-    rank = F.row_number().over(Window.partitionBy("field").orderBy(*order_by))
-    samples = best.withColumn("sample_no", rank).filter(F.col("sample_no") <= rows)
-    samples = samples.select("field", "sample_no", title_prefix(F.col("title"), title_chars).alias("title"))
+    absent = F.array(*[~F.coalesce(_present(records, f), F.lit(False)) for f in fields])
+    title = title_prefix(_text(records, "title"), title_chars)
+    order = [f"order_{i}" for i in range(len(order_by))]
+    named = [F.col(c).alias(name) for c, name in zip(order_by, order)]
+    found = _first_missing(records.select(absent.alias("absent"), *named, title.alias("title")), fields, order, rows)
+    by_field = Window.partitionBy("field")
+    ranked = found.select(
+        "field", "sample", "title", F.sum("n").over(by_field).alias("n_missing"), F.sum("of").over(by_field).alias("total"),
+        F.row_number().over(by_field.orderBy("sample", *order)).alias("place"), F.count_if(~F.col("sample")).over(by_field).alias("tasks"),
+    ).withColumn("sample_no", (F.col("place") - F.col("tasks")).cast("int"))
+    samples = F.col("sample") & (F.col("sample_no") <= rows)
     if only_if_at_most is None:
-        return samples.join(counts, "field").select("field", "n_missing", "sample_no", "title")
-    partly = counts.filter((F.col("n_missing") > 0) & (F.col("n_missing") < F.col("total")))
-    shown = (partly["field"] == samples["field"]) & (partly["n_missing"] <= only_if_at_most)
-    return partly.join(samples, shown, "left").select(partly["field"], "n_missing", "sample_no", "title")
+        return ranked.filter(samples).select("field", "n_missing", "sample_no", "title")
+    partly = ranked.filter((F.col("n_missing") > 0) & (F.col("n_missing") < F.col("total")))
+    shown = F.col("n_missing") <= only_if_at_most
+    hidden = ~shown & (F.col("place") == 1)
+    return partly.filter(F.when(shown, samples).otherwise(hidden)).select(
+        "field", "n_missing", F.when(shown, F.col("sample_no")).alias("sample_no"), F.when(shown, F.col("title")).alias("title"))
 
 
 def keyword_occurrences(records: DataFrame, keep_empty: bool = False, keep: Sequence[str] = ()) -> DataFrame:
@@ -168,3 +210,13 @@ def distinct_keywords(records: DataFrame, keep_empty: bool = False, approximate:
     if approximate:
         return tags.agg(F.approx_count_distinct("tag").alias("n_tags"))
     return tags.agg(F.count_distinct("tag").alias("n_tags"))
+
+
+def store_tag_sketch(records: DataFrame, path: str, keep_empty: bool = False) -> None:
+    """Write a sketch of a run's distinct tags, a few kilobytes whatever the run; sketches of runs can be united."""
+    keyword_occurrences(records, keep_empty).agg(F.hll_sketch_agg("tag", F.lit(14)).alias("sketch")).write.mode("overwrite").parquet(path)
+
+
+def distinct_over_runs(sketches: DataFrame) -> DataFrame:
+    """(n_tags) over the runs of some stored sketches (column `sketch`), without reading records again; about 1 % off for large counts."""
+    return sketches.agg(F.coalesce(F.hll_sketch_estimate(F.hll_union_agg("sketch")), F.lit(0)).alias("n_tags"))

@@ -17,6 +17,7 @@ from pagetables.plans.workspace import new_folder
 from pagetables.profile import NEWS_SITE, CleaningRules, LinkRule, SiteProfile
 from pagetables.sources import jsonl
 from pagetables.sources.pages import read_fetch_log, read_pages
+from pagetables.sources.rules import load_rules
 from pagetables.streaming import ingest
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -314,8 +315,32 @@ def linked_links(spark: SparkSession, sf_dir: str) -> DataFrame:
 def linked_reach(spark: SparkSession, sf_dir: str) -> DataFrame:
     """From one page down five levels of pages that link to each other."""
     seeds = spark.createDataFrame([("https://example.com/p0",)], "url string")
-    reached = crawl_pages(linked_pages(_table(spark, sf_dir, "documents")), LINKED_PROFILE, seeds)
-    return reached.filter(~F.col("url").contains("?"))
+    return crawl_pages(linked_pages(_table(spark, sf_dir, "documents")), LINKED_PROFILE, seeds)
+
+
+LIST_PROFILE = replace(LINKED_PROFILE, link_rules=(LinkRule("list", "follow", allow=(r"/list\?",)),))
+
+
+def list_pages(documents: DataFrame) -> DataFrame:
+    """A page per document, found by its query, that links to the pages 2n + 1 and 2n + 2 and to itself in ever other spellings."""
+    def href(target: Column, form: Column) -> Column:
+        return (
+            F.when(form == 0, F.concat(F.lit("//Example.COM/list?v=a%20b&id="), target))
+            .when(form == 1, F.concat(F.lit("/list?id="), target, F.lit("&v=a+b#top")))
+            .when(form == 2, F.concat(F.lit("/list?&v=%61%20b&&id="), target))
+            .otherwise(F.concat(F.lit("list?v=a b&amp;id="), target, F.lit("#"), "doc_id"))
+        )
+
+    twice = F.col("doc_id") * 2
+    anchors = [F.concat(F.lit('<a href="'), href(t, (F.col("doc_id") + i) % 4), F.lit('">x</a>')) for i, t in enumerate((twice + 1, twice + 2, F.col("doc_id")))]
+    url = F.concat(F.lit("https://example.com/list?v=a+b&id="), "doc_id", F.lit("#page"))
+    return documents.select(url.alias("url"), F.concat(F.lit("<html><body>"), *anchors, F.lit("</body></html>")).alias("html"))
+
+
+def canonical_reach(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Reach over pages whose links name them with arguments in another order, other escapes, other case or a fragment."""
+    seeds = spark.createDataFrame([("https://EXAMPLE.com/list?id=0&v=a%20b",)], "url string")
+    return crawl_pages(list_pages(_table(spark, sf_dir, "documents")), LIST_PROFILE, seeds)
 
 
 def clean_content(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -323,6 +348,18 @@ def clean_content(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _table(spark, sf_dir, "documents").select("doc_id", text.clean_content(blocks, PHRASES, MARKERS).alias("content"))
 
 
+def clean_by_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Texts with no-break spaces, cleaned by the rules of a file: the phrases are the first words of all benchmark lines."""
+    lines = _table(spark, sf_dir, "benchmark").select(F.explode(F.split("text", "\n")).alias("line"))
+    phrases = lines.select(F.regexp_extract("line", r"^\S+ \S+ \S+", 0).alias("phrase")).filter("phrase <> ''")
+    markers = text.literal_array(MARKERS).alias("cutoff_markers")
+    folder = new_folder(spark, "rules")
+    phrases.agg(F.to_json(F.struct(F.collect_set("phrase").alias("scam_phrases"), markers))).write.text(folder)
+    rules = load_rules(spark, folder)
+    blocks = F.split(F.replace(F.col("text"), F.lit(" the "), F.lit("\xa0the\xa0")), "\n")
+    return _table(spark, sf_dir, "documents").select("doc_id", text.clean_content(blocks, rules.scam_phrases, rules.cutoff_markers).alias("content"))
+
+
 def read_time(spark: SparkSession, sf_dir: str) -> DataFrame:
     body = F.col("text")
     return _table(spark, sf_dir, "documents").select(
@@ -467,9 +504,10 @@ def missing_samples(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def missing_partly(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Fields missing in part; titles are shown where at most three rows lack the field."""
+    """Fields missing in part; titles are shown where at most three rows lack the field, as some rows do their id."""
+    rare = F.when(F.col("doc_id") % 397 == 5, F.lit("")).otherwise(F.col("id"))
     return quality.missing_samples(
-        _records(spark, sf_dir), (*quality.OPTIONAL_FIELDS, "title"), ["doc_id"], only_if_at_most=quality.SAMPLE_ROWS
+        _records(spark, sf_dir).withColumn("id", rare), (*quality.OPTIONAL_FIELDS, "title"), ["doc_id"], only_if_at_most=quality.SAMPLE_ROWS
     )
 
 
@@ -494,6 +532,16 @@ def keyword_distinct(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.distinct_keywords(_page_keywords(spark, sf_dir))
 
 
+def keyword_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Distinct tags over three runs: exact, and whether the united sketches of the runs come within 3 % of it."""
+    folder, keywords = new_folder(spark, "sketches"), _page_keywords(spark, sf_dir)
+    for run in range(3):
+        quality.store_tag_sketch(keywords.filter(F.col("page_id") % 3 == run), f"{folder}/run={run}")
+    united = quality.distinct_over_runs(spark.read.parquet(folder)).select(F.col("n_tags").alias("estimate"))
+    exact = quality.distinct_keywords(keywords)
+    return exact.select("n_tags", (F.abs(united.scalar() - F.col("n_tags")) <= F.col("n_tags") * 0.03).alias("near"))
+
+
 def jsonl_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = new_folder(spark, "articles")
     jsonl.write_jsonl(_records(spark, sf_dir), path)
@@ -525,17 +573,19 @@ def fetch_latest(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _ingested(spark: SparkSession, sf_dir: str) -> str:
-    """Pages of the documents run through the page stream three times: the newer half of the sources, then, fetched earlier, the
-    others, then all of them again an hour later. Returns the checkpoint, which knows what was written.
+    """Pages of the documents run through the page stream twice: half of them, then the others, fetched earlier, and all of them
+    again an hour later. Returns the checkpoint, which knows what was written.
     """
     folder = new_folder(spark, "stream")
     pages = document_pages(_table(spark, sf_dir, "documents"))
     late = F.crc32("url") % 2 == 0
-    for fetched, some in (("09:00", ~late), ("08:00", late), ("10:00", F.lit(True))):
-        at = F.lit(f"{ARTICLE_DAY} {fetched}:00").cast("timestamp").alias("fetched_at")
-        pages.filter(some).select("url", "html", at).write.mode("append").parquet(f"{folder}/pages")
-        schema = spark.read.parquet(f"{folder}/pages").schema
-        records = ingest.record_stream(ingest.stream_pages(spark, f"{folder}/pages", schema=schema), SAMPLE_PROFILE, delay="1 day")
+
+    def fetched(some: Column, hour: str) -> DataFrame:
+        return pages.filter(some).select("url", "html", F.lit(f"{ARTICLE_DAY} {hour}:00").cast("timestamp").alias("fetched_at"))
+
+    for part in (fetched(~late, "09:00"), fetched(late, "08:00").unionByName(fetched(F.lit(True), "10:00"))):
+        part.write.mode("append").parquet(f"{folder}/pages")
+        records = ingest.record_stream(ingest.stream_pages(spark, f"{folder}/pages", schema=part.schema), SAMPLE_PROFILE, delay="1 day")
         ingest.write_record_stream(records, f"{folder}/out", f"{folder}/rejects", f"{folder}/checkpoint", roll_every=2).awaitTermination()
     return f"{folder}/checkpoint"
 
@@ -552,6 +602,17 @@ def article_job(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jsonl.read_jsonl(spark, paths["articles"], mode="strict")
 
 
+def article_stages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The batch job with leads and two stages before the sink: one that writes the lead into the title, one that drops short articles."""
+    pages = document_pages(_table(spark, sf_dir, "documents"))
+    lead = F.concat(F.lit('</h1><div id="lead"> Lead of '), F.element_at(F.split("url", "/"), 4), F.lit(" </div>"))
+    led = pages.select("url", F.replace(F.col("html"), F.lit("</h1>"), lead).alias("html"))
+    stages = [lambda df: df.withColumn("title", F.concat_ws(" | ", "title", "lead")), lambda df: df.filter("read_time > 1")]
+    paths = run_article_job(
+        led, replace(SAMPLE_PROFILE, keep_lead=True), ARTICLE_DAY, new_folder(spark, "job"), dt.datetime(2026, 1, 5, 12, 30), stages=stages)
+    return jsonl.read_jsonl(spark, paths["articles"], mode="strict")
+
+
 def pages_json(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The given pages written as JSON lines and read as stored pages."""
     folder = new_folder(spark, "pages")
@@ -655,6 +716,10 @@ QUERIES: dict[str, Query] = {
     "fetch_log_counts": fetch_log_counts,
     "linked_links": linked_links,
     "linked_reach": linked_reach,
+    "canonical_reach": canonical_reach,
+    "clean_by_rules": clean_by_rules,
+    "article_stages": article_stages,
+    "keyword_runs": keyword_runs,
     "stream_distinct_urls": stream_distinct_urls,
     "stream_outcome_windows": stream_outcome_windows,
 }

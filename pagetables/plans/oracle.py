@@ -24,10 +24,15 @@ def _unescape_attribute(x: str) -> str:
     return f"replace(replace({x}, '&quot;', '\"'), '&amp;', '&')"
 
 
-def _clean(x: str) -> str:
-    """Cleaned text of newline-joined, already stripped blocks."""
+def _cut(x: str) -> str:
     for marker in MARKERS:
         x = f"split_part({x}, '{marker}', 1)"
+    return x
+
+
+def _clean(x: str) -> str:
+    """Cleaned text of newline-joined, already stripped blocks."""
+    x = _cut(x)
     keep = " AND ".join([f"length({_strip('l')}) >= 3", *[f"NOT contains(l, '{p}')" for p in PHRASES]])
     return _strip(f"array_to_string(list_filter(string_split({x}, chr(10)), lambda l: {keep}), chr(10))")
 
@@ -230,9 +235,9 @@ leaves AS (
 SELECT url, CAST(depth AS INTEGER) AS depth FROM (SELECT * FROM walked UNION ALL SELECT * FROM leaves)""",
     "page_reach": f"""
 WITH {_LINKS}
-SELECT DISTINCT url, 0 AS depth FROM pages
-UNION ALL SELECT DISTINCT dst_url, 1 FROM distinct_links
-WHERE action IN ('parse', 'follow') AND in_domain AND dst_url NOT IN (SELECT url FROM pages)""",
+SELECT DISTINCT split_part(url, '#', 1) AS url, 0 AS depth FROM pages
+UNION ALL SELECT DISTINCT split_part(dst_url, '#', 1), 1 FROM distinct_links
+WHERE action IN ('parse', 'follow') AND in_domain AND split_part(dst_url, '#', 1) NOT IN (SELECT split_part(url, '#', 1) FROM pages)""",
     "clean_content": _cleaned("documents", "doc_id", _stripped_lines("text")),
     "read_time": f"SELECT doc_id, CAST({_words('text')} AS BIGINT) AS words, {_minutes('text')} AS read_time FROM documents",
     "text_steps": f"""
@@ -287,7 +292,8 @@ SELECT *, total - with_keywords AS empty_keywords, with_title * 100.0::DOUBLE /
         f"SELECT '{f}' AS field, count(*) FILTER (WHERE {_missing(f)}) AS missing, count(*) FILTER (WHERE {_TRUTHY[f]}) AS present FROM records"
         for f in ("lead", "author", "date_modified")),
     "missing_samples": f"WITH {_RECORDS} {_samples(('lead', 'author', 'image_url'), 55)}",
-    "missing_partly": f"WITH {_RECORDS}, s AS ({_samples(tuple(_TRUTHY), 60)}), t AS (SELECT count(*) AS total FROM records)"
+    "missing_partly": f"WITH {_RECORDS.replace('records AS', 'whole AS', 1)}, records AS (SELECT * REPLACE (CASE WHEN doc_id % 397 = 5 THEN '' ELSE id END AS id) FROM whole),"
+    f" s AS ({_samples(tuple(_TRUTHY), 60)}), t AS (SELECT count(*) AS total FROM records)"
     """ SELECT DISTINCT field, n_missing, CASE WHEN n_missing <= 3 THEN sample_no END AS sample_no, CASE WHEN n_missing <= 3 THEN title END AS title
 FROM s, t WHERE n_missing < total""",
     "keyword_counts": f"WITH {_TAGS} SELECT tag, count(*) AS n FROM kept GROUP BY tag",
@@ -324,7 +330,22 @@ UNION ALL SELECT 'https://example.com/p' || doc_id, 3, '?page=2', 'https://examp
 WITH RECURSIVE walk AS (
   SELECT 0::BIGINT AS id, 0 AS depth
   UNION ALL SELECT 2 * id + k, depth + 1 FROM walk JOIN documents ON doc_id = id, (VALUES (1), (2)) sides(k) WHERE depth < 5)
-SELECT 'https://example.com/p' || id AS url, depth FROM walk""",
+SELECT 'https://example.com/p' || id AS url, depth FROM walk
+UNION ALL SELECT 'https://example.com/p' || id || '?page=2', depth + 1 FROM walk JOIN documents ON doc_id = id WHERE depth < 5""",
+    "canonical_reach": """
+WITH RECURSIVE walk AS (
+  SELECT 0::BIGINT AS id, 0 AS depth
+  UNION ALL SELECT 2 * id + k, depth + 1 FROM walk JOIN documents ON doc_id = id, (VALUES (1), (2)) sides(k) WHERE depth < 5)
+SELECT 'https://example.com/list?id=' || id || '&v=a+b' AS url, depth FROM walk""",
+    "clean_by_rules": f"""
+WITH p AS (
+  SELECT list(DISTINCT w) AS phrases FROM (
+    SELECT regexp_extract(unnest(string_split(text, chr(10))), '^[^ \\t\\r\\f]+ [^ \\t\\r\\f]+ [^ \\t\\r\\f]+', 0) AS w FROM benchmark) WHERE w <> ''),
+cut AS (SELECT doc_id, {_cut('text')} AS x FROM documents)
+SELECT doc_id, {_strip("array_to_string(list_filter(string_split(x, chr(10)), lambda l: length(" + _strip('l') + ") >= 3 AND len(list_filter(phrases, lambda q: contains(l, q))) = 0), chr(10))")} AS content
+FROM cut JOIN p ON true""",
+    "article_stages": f"SELECT * REPLACE (title || ' |  Lead of ' || split_part(url, '/', 4) || ' ' AS title) FROM ({_ARTICLES}) WHERE read_time > 1",
+    "keyword_runs": f"WITH {_TAGS} SELECT count(DISTINCT tag) AS n_tags, true AS near FROM kept",
     "stream_distinct_urls": f"WITH {_FETCHES} SELECT DISTINCT requested_url FROM requests",
     "stream_outcome_windows": f"""
 WITH {_FETCHES}, w AS (SELECT time_bucket(INTERVAL '6 hours', ts, TIMESTAMP '2024-01-01') AS start, outcome, host FROM classified)

@@ -156,7 +156,7 @@ def page(head="", body="", cls=' class="hyphenate"'):
     return f"<html>\n<head>{head}</head>\n<body{cls}>{body}</body>\n</html>"
 
 
-def extract(spark, html, url="https://example.test/kraj/tytul/abc123xyz", profile=NEWS_SITE, keep_stale=False):
+def extract(spark, html, url="https://pages.test/north/42/k7m9", profile=NEWS_SITE, keep_stale=False):
     pages = spark.createDataFrame([(url, html)], "url string, html string")
     return articles.extract_records(pages, profile, TODAY, keep_stale).collect()
 
@@ -269,13 +269,14 @@ def test_own_checks_and_steps(spark):
 
 def test_fields_without_selectors_stay_empty(spark):
     bare = replace(NEWS_SITE, selectors=Selectors(*[()] * 9))
-    row = one(extract(spark, page(full_head(), "<h1>T</h1><p>x</p>"), profile=bare))
+    known = script({"datePublished": TODAY, "author": {"name": "B. Writer"}})
+    row = one(extract(spark, page(known, "<h1>T</h1><p>x</p>"), profile=bare))
     assert (row.outcome, row.errors) == ("rejected", ["title_missing"])
-    assert (row.author, row.date, row.content, row.keywords, row.id) == ("Test Author", TODAY, None, None, "abc123xyz")
+    assert (row.author, row.date, row.content, row.keywords, row.id) == ("B. Writer", TODAY, None, None, "k7m9")
 
 
 def test_html_is_scanned_once_and_only_needed_columns_are_read(spark, tmp_path):
-    pages = spark.createDataFrame([("https://e/a", page(full_head()), 1, "x")], "url string, html string, status int, other string")
+    pages = spark.createDataFrame([("https://e/a", page(script({"datePublished": TODAY})), 1, "x")], "url string, html string, status int, other string")
     pages.write.parquet(str(tmp_path / "p"))
     good, bad = articles.extract_articles(spark.read.parquet(str(tmp_path / "p")), NEWS_SITE, TODAY)
     for df in (good, bad):

@@ -121,11 +121,11 @@ def test_reach_against_model(spark):
 
 def test_levels_do_not_move_the_edges(spark, tmp_path):
     edges = spark.range(500).select(F.concat(F.lit("/n"), F.col("id") % 50).alias("src"), F.concat(F.lit("/n"), "id").alias("dst"))
-    table = store_edges(edges, str(tmp_path / "edges"))
+    table, hubs = store_edges(edges, str(tmp_path / "edges"))
     threshold = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     try:
-        found = next_targets(spark.table(table), spark.createDataFrame([("/n3",)], "url string"))
+        found = next_targets(spark.table(table), hubs, spark.createDataFrame([("/n3",)], "url string"))
         plan = found._jdf.queryExecution().executedPlan().toString()
         assert found.count() == 10
     finally:
@@ -136,6 +136,41 @@ def test_levels_do_not_move_the_edges(spark, tmp_path):
     assert join < scan and not any("Exchange" in line for line in plan.splitlines()[join:scan])
 
 
+def test_only_hubs_are_dealt_over_shares(spark, tmp_path):
+    edges = spark.range(3000).select(F.when(F.col("id") < 2500, F.lit("/hub")).otherwise(F.concat(F.lit("/n"), F.col("id") % 50)).alias("src"), F.concat(F.lit("/d"), "id").alias("dst"))
+    table, hubs = store_edges(edges, str(tmp_path / "edges"), links_a_share=100)
+    assert [tuple(r) for r in hubs.collect()] == [("/hub", 25)]
+    shares = spark.table(table).groupBy("src").agg(F.count_distinct("share").alias("n"), F.max("share").alias("top")).collect()
+    assert {r.src: r.top for r in shares if r.top} == {"/hub": 24} and len(shares) == 51
+    wanted = spark.createDataFrame([("/hub",), ("/n3",)], "url string")
+    assert next_targets(spark.table(table), hubs, wanted).count() == 2510
+    spark.sql(f"DROP TABLE {table}")
+
+
+CANONICAL = [
+    ("HTTP://User@Example.COM:81?b=2&a=1#f", "http://user@example.com:81/?a=1&b=2"),
+    ("https://e.com/a%41%2fb%7E/./x?", "https://e.com/aA%2Fb~/./x"),
+    ("https://e.com/p?b&a=&&a=%20+c&a=%2B", "https://e.com/p?a=&a=%2B&a=++c&b="),
+    ("https://e.com/?x=%zz&a=1", "https://e.com/?a=1&x=%zz"),
+    ("https://e.com/ż%C5%BC?q=ż", "https://e.com/%C5%BC%C5%BC?q=%C5%BC"),
+    ("https://e.com/a,b;%2c%3B/(x)", "https://e.com/a,b;,;/(x)"), ("https://e.com/a b", "https://e.com/a%20b"),
+    ("/part/7", "/part/7"), ("", ""), (None, None),
+]
+
+
+def test_canonical_urls(spark):
+    rows = spark.createDataFrame([(i, u) for i, (u, _) in enumerate(CANONICAL)], "i int, url string")
+    once = rows.withColumn("once", urls.canonical_url(F.col("url"))).withColumn("twice", urls.canonical_url(F.col("once")))
+    for row in once.collect():
+        assert row.once == CANONICAL[row.i][1] and row.twice == row.once
+
+
+def test_spellings_of_a_page_are_one(spark):
+    edges = spark.createDataFrame([("https://e/a?x=1&y=2", "https://E/b#1"), ("https://e/b", "https://e/a?y=2&x=1#z"), ("https://e/b#2", "https://e/c?q=a%20b"), ("https://e/c?q=a+b", "https://e/d")], "src string, dst string")
+    got = crawl_reach(edges, spark.createDataFrame([("https://e/a?y=2&x=1",), ("https://e/a?x=1&y=2#t",)], "url string"))
+    assert sorted(tuple(r) for r in got.collect()) == [("https://e/a?x=1&y=2", 0), ("https://e/b", 1), ("https://e/c?q=a+b", 2), ("https://e/d", 3)]
+
+
 def test_crawl_over_stored_pages(spark):
     def page(path, *hrefs):
         return HOME + path, "<body><div class=ods-o-card>" + "".join(f'<a href="/{h}">x</a>' for h in hrefs) + "</div></body>"
@@ -176,6 +211,24 @@ def test_latest_outcome(spark):
     assert sorted((r.requested_url[-1], r.outcome, r.effective_status, r.attempts) for r in latest.collect()) == [("u", "ok", 200, 2), ("v", "error", 504, 2)]
 
 
+def test_latest_outcome_ties_and_plan(spark, tmp_path):
+    draw = random.Random(4)
+    rows = [(f"u{draw.randrange(5)}" if i % 3 else "hot", None if i % 50 == 0 else dt.datetime(2026, 1, 1, 0, i % 7), draw.choice([None, 200, 504]),
+             draw.choice(["a", "b", None]), draw.choice(["ok", "block"])) for i in range(600)]
+    schema = "requested_url string, ts timestamp, effective_status int, page_url string, outcome string"
+    spark.createDataFrame(rows, schema).repartition(5).write.parquet(str(tmp_path / "f"))
+    latest = fetchlog.latest_outcome(spark.read.parquet(str(tmp_path / "f")))
+    low = lambda v: (v is not None, v or 0)
+    text = lambda v: (v is not None, v or "")
+    best = {}
+    for r in rows:
+        key = ((r[1] is not None, r[1] or dt.datetime.min), low(r[2]), text(r[3]), text(r[4]))
+        best[r[0]] = max(best.get(r[0], (key, r)), (key, r), key=lambda x: x[0])
+    got = {r.requested_url: (r.ts, r.effective_status, r.page_url, r.outcome, r.attempts) for r in latest.collect()}
+    assert got == {u: (r[1], r[2], r[3], r[4], sum(x[0] == u for x in rows)) for u, (_, r) in best.items()}
+    assert "SortAggregate" not in latest._jdf.queryExecution().executedPlan().toString()
+
+
 def test_urls_of_model_are_split_like_the_library(spark):
     url = "https://h.example.com:81/a/b?x=1#f"
     part = spark.range(1).select(urls.url_parts(F.lit(url)).alias("p")).first().p

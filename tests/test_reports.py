@@ -134,7 +134,23 @@ def test_reports_shuffle_little(records, spark, tmp_path):
     typed = spark.read.parquet(str(tmp_path / "r"))
     assert "SortAggregate" not in plan(quality.keyword_topk(typed, 3, ["seq"]))
     assert "TakeOrderedAndProject" in plan(quality.keyword_topk(typed, 3, ["seq"]))
-    assert "WindowGroupLimit" in plan(quality.missing_samples(typed, ["keywords", "title"], ["seq"]))
+    samples = plan(quality.missing_samples(typed, ["keywords", "title"], ["seq"], only_if_at_most=3))
+    assert samples.count("FileScan") == 1 and samples.count("Exchange") == 1
+
+
+@pytest.mark.parametrize("rows", [1, 3, 2000])
+def test_missing_samples_of_many_tasks(spark, rows):
+    """Fields missing in one, some and most records, over many tasks and with equal order values, against a sort of all of them."""
+    records = [(i % 400, f"T{i}", None if i == 777 else "x", "" if i % 3 else "x", None) for i in range(1200)]
+    df = spark.createDataFrame(records, "seq int, title string, one string, most string, never string").repartition(9)
+    got = quality.missing_samples(df, ["one", "most", "never", "title"], ["seq", "title"], rows, title_chars=9)
+    want = []
+    for at, field in ((2, "one"), (3, "most"), (4, "never")):
+        lacking = sorted(((r[0], r[1]) for r in records if not r[at]))
+        want += [(field, len(lacking), i + 1, t + "...") for i, (_, t) in enumerate(lacking[:rows])]
+    assert sorted(tuple(r) for r in got.collect()) == sorted(want)
+    partly = quality.missing_samples(df, ["one", "most", "never"], ["seq"], rows, only_if_at_most=3).collect()
+    assert sorted((r.field, r.n_missing, r.sample_no, r.title) for r in partly) == [("most", 800, None, None), ("one", 1, 1, "T777...")]
 
 
 def test_bad_lines(spark, path):
@@ -303,8 +319,23 @@ def test_one_per_url_keeps_the_good_fetch(spark, tmp_path):
 
 def test_order_of_records_of_a_url(spark):
     rows = [("u", "rejected", 1, "a"), ("u", "accepted", 3, "b"), ("u", "accepted", 2, "c"), ("u", "accepted", None, "d"), ("v", "stale", 1, "e"), ("v", "rejected", 2, "f")]
-    got = distinct_pages(spark.createDataFrame(rows, "url string, outcome string, fetched_at int, title string")).collect()
-    assert sorted(r.title for r in got) == ["c", "f"]
+    rows += [(None, "stale", 1, "g"), (None, "stale", 1, "g"), ("w", "accepted", 5, "h"), ("w", "accepted", 5, "i")]
+    numbered = [(*r, i) for i, r in enumerate(rows)]
+    got = distinct_pages(spark.createDataFrame(numbered, "url string, outcome string, fetched_at int, title string, n long"), "n").collect()
+    assert sorted(r.title for r in got) == ["c", "f", "g", "g", "h"]
+
+
+def test_choice_moves_narrow_rows_only(spark, tmp_path):
+    """No sort and no content below an exchange, whatever the share of one URL."""
+    rows = [("hot" if i % 3 == 0 else f"u{i}", "accepted", i, "text " * 50, i) for i in range(3000)]
+    spark.createDataFrame(rows, "url string, outcome string, fetched_at int, content string, n long").write.parquet(str(tmp_path / "r"))
+    chosen = distinct_pages(spark.read.parquet(str(tmp_path / "r")), "n")
+    assert chosen.count() == 2001
+    chosen.collect()
+    text = chosen._jdf.queryExecution().executedPlan().toString()
+    final = text[: text.index("Initial Plan")] if "Initial Plan" in text else text
+    assert "SortAggregate" not in text and "Sort " not in final
+    assert not any("Exchange" in part and "content" in part for part in final.split("\n"))
 
 
 def test_stream_keeps_the_good_fetch_and_every_reject(spark, tmp_path):

@@ -1,6 +1,7 @@
 """Text and date functions against plain Python."""
 
 import datetime as dt
+import json
 import random
 import time
 
@@ -8,6 +9,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from pagetables.functions import dates, text
+from pagetables.sources.rules import load_rules
 
 SPACES = [chr(c) for c in range(0x10000) if chr(c).isspace()]
 
@@ -157,3 +159,30 @@ def test_date_part(spark):
 def test_run_stamp(spark):
     df = spark.sql("SELECT TIMESTAMP '2026-05-20 12:00:00' AS ts")
     assert df.select(dates.run_stamp(F.col("ts"))).first()[0] == "2026-05-20_12-00-00"
+
+
+PHRASES_ALIKE = ["a", "ab", "abc.d", "b*", "(x", "[y]", "zażółć", "z a", "\\E", "|", "$^", "żx", "日本", "😀b", "line\tend"]
+
+
+@pytest.mark.parametrize("phrases", [PHRASES_ALIKE, PHRASES_ALIKE[3:], ["long common start one", "long common start two", "long common start"] + [f"p{i}" for i in range(20)]])
+def test_phrase_tree_equals_containment(spark, phrases):
+    draw = random.Random(2)
+    pieces = [*phrases, *"bcdxyz .*()[]|$^\\", "zaż", "long common", "日", "😀", "p1"]
+    lines = ["".join(draw.choices(pieces, k=draw.randrange(4))) for _ in range(300)] + ["", "bcd", "p", "long common star"]
+    df = spark.createDataFrame([(line,) for line in lines], "line string")
+    got = df.select("line", text.has_any_phrase(F.col("line"), phrases).alias("found")).collect()
+    assert len(phrases) > text.FEW_PHRASES
+    assert [r.found for r in got] == [any(p in r.line for p in phrases) for r in got]
+
+
+def test_fifty_thousand_phrases_cost_no_more_than_the_text(spark, tmp_path):
+    draw = random.Random(8)
+    phrases = sorted({"".join(draw.choices("abcdefghijklmnop qrst", k=draw.randrange(8, 30))) for _ in range(50_000)})
+    (tmp_path / "rules.json").write_text(json.dumps({"scam_phrases": phrases}), encoding="utf-8")
+    rules = load_rules(spark, str(tmp_path / "rules.json"))
+    assert len(rules.scam_phrases) == len(phrases)
+    lines = [f"word {i} " * 30 + (phrases[i * 7] if i % 5 == 0 else "") for i in range(4_000)]
+    df = spark.createDataFrame([(line,) for line in lines], "line string").repartition(4)
+    begin = time.time()
+    assert df.filter(text.has_any_phrase(F.col("line"), rules.scam_phrases)).count() == 800
+    assert time.time() - begin < 60  # 200 million containment tests would take far longer
