@@ -67,25 +67,35 @@ class WordCache:
     `encode` gets a list of words not seen lately and returns their encodings, as bytes, in the same order.
     """
 
-    def __init__(self, encode: Callable[[list[str]], list[bytes]], limit: int = 250_000, chunk: int = 40_000):
+    def __init__(self, encode: Callable[[list[str]], list[bytes]], limit: int = 150_000, chunk: int = 20_000):
         self._encode, self._limit, self._chunk = encode, limit, chunk
         self._young: dict[str, bytes] = {}
         self._old: dict[str, bytes] = {}
 
-    def lookup(self, words: list[list[str]]) -> list[bytes]:
-        """The concatenated encodings of each list of words."""
+    def each(self, words: Iterable[str]) -> list[bytes]:
+        """The encoding of each of some distinct words."""
         young, old = self._young, self._old
         if len(young) > self._limit:
             old, young = young, {}
-        missing = set().union(*words).difference(young) if words else set()
-        for word in missing.intersection(old):
-            young[word] = old[word]
-        fresh = list(missing.difference(old))
+        words = list(words)
+        missing = [w for w in words if w not in young]
+        fresh = []
+        for word in missing:
+            if word in old:
+                young[word] = old[word]
+            else:
+                fresh.append(word)
         for at in range(0, len(fresh), self._chunk):
             part = fresh[at : at + self._chunk]
             young.update(zip(part, self._encode(part), strict=True))
         self._young, self._old = young, old
-        return [b"".join(map(young.__getitem__, ws)) for ws in words]
+        return [young[w] for w in words]
+
+    def lookup(self, words: list[list[str]]) -> list[bytes]:
+        """The concatenated encodings of each list of words."""
+        distinct = list(set().union(*words)) if words else []
+        known = dict(zip(distinct, self.each(distinct)))
+        return [b"".join(map(known.__getitem__, ws)) for ws in words]
 
 
 def text_or_empty(column: str | Column) -> Column:

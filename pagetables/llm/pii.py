@@ -397,7 +397,7 @@ def finder(docs: DataFrame, field: Field | None):
 
     @F.arrow_udf(SPAN_TYPE)
     def find(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
-        decode = None if weights is None else lru_cache(maxsize=50_000)(Field(*weights).decode)
+        decode = None if weights is None else lru_cache(maxsize=10_000)(Field(*weights).decode)
         kind = pa.list_(pa.struct([("kind", pa.string()), ("start", pa.int64()), ("stop", pa.int64()), ("base", pa.bool_())]))
         names = ("kind", "start", "stop", "base")
         for batch in batches:
@@ -426,7 +426,7 @@ def redactor(docs: DataFrame, field: Field | None):
 
     @F.arrow_udf("string")
     def redact(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
-        decode = None if weights is None else lru_cache(maxsize=50_000)(Field(*weights).decode)
+        decode = None if weights is None else lru_cache(maxsize=10_000)(Field(*weights).decode)
         for batch in batches:
             yield pa.array([redacted_fully(t, decode) if t else t for t in batch.to_pylist()], pa.string())
 

@@ -71,7 +71,7 @@ def op6_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op7_set_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     members, _ = setjoin.join_sets(_table(spark, sf_dir, "documents"), new_folder(spark, "setjoin"))
-    return setjoin.smallest_ids(members).select("doc_id", F.col("size").alias("n_shingles"), "component_id")
+    return setjoin.smallest_ids(members, "n_links").select("doc_id", F.col("size").alias("n_shingles"), "component_id", "n_links")
 
 
 def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -34,12 +34,11 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from pagetables.llm.common import ship, text_or_empty
+from pagetables.llm.common import free_name, ship, text_or_empty
 from pagetables.plans.workspace import store
 
 SLACK = 3
 RANGE_PERCENT = 80  # size ranges grow by 100 / 80, or by 100 / percent where that is more: partners then lie in neighbouring ranges
-CELLS_A_PART = 4
 BLOCK = 1024  # members of a list that a task compares at once
 LINK_BLOCK = 2048  # classes of a component that a task holds of each side when it counts links,
 LINK_TOKENS = 2**20  # and their shingles
@@ -57,7 +56,7 @@ def shingle_set(text: str, words_each: int = 3) -> np.ndarray:
         return np.zeros(0, dtype=np.uint64)
     if len(words) < words_each:
         return np.array([xxhash.xxh3_64_intdigest(b" ".join(words), 1)], dtype=np.uint64)
-    if len(_WORD_HASHES) > 500_000:
+    if len(_WORD_HASHES) > 150_000:
         _WORD_HASHES.clear()
     for w in set(words).difference(_WORD_HASHES):
         _WORD_HASHES[w] = xxhash.xxh3_64_intdigest(w)
@@ -138,12 +137,8 @@ def light_keys(tokens: np.ndarray, percent: int, boundary: int) -> list[tuple[in
     return keys
 
 
-def heavy_keys(tokens: np.ndarray, ranges: Ranges) -> list[tuple[int, np.ndarray, bytes]]:
-    """For each size range that lists the set: the range, the keys of its parts, a sketch of one byte a cell.
-
-    Cells are finer than parts. As every difference spoils one cell at most, sets whose sketches differ in more cells than linked sets
-    may have differences do not link.
-    """
+def heavy_keys(tokens: np.ndarray, ranges: Ranges) -> list[tuple[int, np.ndarray]]:
+    """For each size range that lists the set: the range, and the keys of its parts."""
     out = []
     values = mixed(tokens ^ np.uint64(0x5851F42D4C957F2D))
     for i in ranges.listed(len(tokens)):
@@ -154,9 +149,7 @@ def heavy_keys(tokens: np.ndarray, ranges: Ranges) -> list[tuple[int, np.ndarray
         kept = filled if (~filled).sum() <= ranges.slack(i) else np.ones(n, dtype=bool)
         at = np.flatnonzero(kept).astype(np.uint64)
         keys = mixed(sums_by(part, values, n)[kept] + mixed(at * np.uint64(4096) + np.uint64(i)))
-        cells = CELLS_A_PART * n
-        cell = ((tokens >> np.uint64(24)) % np.uint64(cells)).astype(np.int64)
-        out.append((i, keys, (mixed(sums_by(cell, values, cells)) >> np.uint64(56)).astype(np.uint8).tobytes()))
+        out.append((i, keys))
     return out
 
 
@@ -205,9 +198,9 @@ def set_digests(docs: DataFrame, doc_id: str, text: str, words_each: int, percen
 def _keys(docs: DataFrame, words_each: int, percent: int, boundary: int, ranges: Ranges):
     """Column -> Column: digest, size, and the lists of a text. `need` is the subset size of a light key, 0 for a heavy one."""
     smallest_heavy_partner = -(-(boundary + 1) * percent // 100)
-    listing = [("need", pa.int32()), ("range", pa.int32()), ("keys", pa.list_(pa.int64())), ("sketch", pa.binary())]
+    listing = [("need", pa.int32()), ("range", pa.int32()), ("keys", pa.list_(pa.int64()))]
 
-    @F.arrow_udf("struct<digest:binary,size:long,lists:array<struct<need:int,range:int,keys:array<long>,sketch:binary>>>")
+    @F.arrow_udf("struct<digest:binary,size:long,lists:array<struct<need:int,range:int,keys:array<long>>>>")
     def keys(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         for batch in batches:
             digests, sizes, lists = [], [], []
@@ -219,9 +212,9 @@ def _keys(docs: DataFrame, words_each: int, percent: int, boundary: int, ranges:
                     by_need: dict[int, list[int]] = {}
                     for need, key in light_keys(tokens, percent, boundary):
                         by_need.setdefault(need, []).append(key)
-                    row += [{"need": o, "range": -1, "keys": _as_long(k), "sketch": b""} for o, k in by_need.items()]
+                    row += [{"need": o, "range": -1, "keys": _as_long(k)} for o, k in by_need.items()]
                 if n and n >= smallest_heavy_partner:
-                    row += [{"need": 0, "range": i, "keys": _as_long(k), "sketch": sketch} for i, k, sketch in heavy_keys(tokens, ranges)]
+                    row += [{"need": 0, "range": i, "keys": _as_long(k)} for i, k in heavy_keys(tokens, ranges)]
                 digests.append(xxhash.xxh3_128_digest(tokens.tobytes()))
                 sizes.append(n)
                 lists.append(row)
@@ -243,41 +236,6 @@ def _sets(docs: DataFrame, words_each: int):
     return sets.asNondeterministic()
 
 
-def compare_members(sizes: np.ndarray, groups: np.ndarray, sketches: list[bytes], need: int, most: int, percent: int, split: int) -> list[tuple[int, int]]:
-    """Pairs of members of different groups that may link.
-
-    For a light list (need > 0) sharing the key decides, and pairs that others already connect are left out. `split` parts the members in
-    two blocks of which only pairs across are wanted (0: all pairs).
-    """
-    n = len(sizes)
-    root = {int(g): int(g) for g in groups}
-
-    def find(x: int) -> int:
-        while root[x] != x:
-            root[x] = root[root[x]]
-            x = root[x]
-        return x
-
-    out = []
-    cells = np.frombuffer(b"".join(sketches), dtype=np.uint8).reshape(n, -1) if need == 0 else None
-    for i in range(split or n - 1):
-        rest = np.arange(max(split, i + 1), n)
-        low, high = np.minimum(sizes[i], sizes[rest]), np.maximum(sizes[i], sizes[rest])
-        keep = (groups[rest] != groups[i]) & (100 * low >= percent * high)
-        if need:
-            keep &= -(-percent * (low + high) // (100 + percent)) <= need
-            for j in rest[keep].tolist():
-                a, b = find(int(groups[i])), find(int(groups[j]))
-                if a != b:
-                    root[a] = b
-                    out.append((i, j))
-        else:
-            rest = rest[keep]
-            if len(rest):
-                out += [(i, j) for j in rest[(cells[rest] != cells[i]).sum(axis=1) <= most].tolist()]
-    return out
-
-
 def _linked(docs: DataFrame, percent: int):
     """Columns -> Column: whether two packed sets link."""
     @F.arrow_udf("boolean")
@@ -308,11 +266,15 @@ def components(edges: DataFrame, folder: str) -> DataFrame:
         if new.filter("label < was").isEmpty():
             break
         labels = new.select("node", "label")
+    else:
+        raise RuntimeError("labels still change after 999 rounds")
     return labels.select("node", F.col("label").alias("component"))
 
 
-def links_of_members(sets: list[np.ndarray], percent: int, split: int) -> np.ndarray:
-    """With how many of the sets each one links. With `split` the sets are in two blocks and only pairs across count (0: all pairs)."""
+def linked_rows(sets: list[np.ndarray], percent: int, split: int) -> Iterator[tuple[int, np.ndarray]]:
+    """Which sets link, as (number of the first row, rows of a matrix of flags). Rows are all sets, or with `split` those of the first block;
+    columns are all sets, or those of the second block. Overlaps are counted exactly.
+    """
     n = len(sets)
     sizes = np.array([len(x) for x in sets])
     tokens, owner = np.concatenate(sets), np.repeat(np.arange(n), sizes)
@@ -329,19 +291,39 @@ def links_of_members(sets: list[np.ndarray], percent: int, split: int) -> np.nda
         has = np.zeros((n, min(width, columns - start)), dtype=np.float32)
         has[owner[low:high], column[low:high] - start] = 1
         common += has[: split or n] @ has[split:].T
-    found = np.zeros(n, dtype=np.int64)
     for start in range(0, len(common), 256):
         overlap = common[start : start + 256].astype(np.int64)
         rows = np.arange(start, start + len(overlap))
         linked = 100 * overlap >= percent * (sizes[rows][:, None] + sizes[split:][None] - overlap)
+        if not split:
+            linked[np.arange(len(rows)), rows] = False
+        yield start, linked
+
+
+def links_of_members(sets: list[np.ndarray], percent: int, split: int) -> np.ndarray:
+    """With how many of the sets each one links. With `split` the sets are in two blocks and only pairs across count (0: all pairs)."""
+    found = np.zeros(len(sets), dtype=np.int64)
+    for start, linked in linked_rows(sets, percent, split):
+        found[start : start + len(linked)] += linked.sum(axis=1)
         if split:
             found[split:] += linked.sum(axis=0)
-        else:
-            linked[np.arange(len(rows)), rows] = False
-        found[rows] += linked.sum(axis=1)
     return found
 
 
+def forest_of_members(sets: list[np.ndarray], groups: np.ndarray, percent: int, split: int) -> list[tuple[int, int]]:
+    """Links that connect all groups of members that links connect: a spanning forest, at most one pair less than members."""
+    label, out = groups.copy(), []
+    for start, linked in linked_rows(sets, percent, split):
+        for row in np.flatnonzero((linked & (label[split:][None] != label[start : start + len(linked)][:, None])).any(axis=1)).tolist():
+            i = start + row
+            others = split + np.flatnonzero(linked[row])
+            while len(others := others[label[others] != label[i]]):
+                j = int(others[0])
+                out.append((i, j))
+                label[label == label[j]] = label[i]
+    return out
+
+
 def link_counts(labels: DataFrame, sizes: DataFrame, sets: DataFrame, ranges: Ranges, percent: int) -> DataFrame:
     """class, n_links of the classes of components. labels: node, component; sizes: class, size; sets: class, tokens.
 
@@ -433,43 +415,41 @@ def join_sets(docs: DataFrame, folder: str, doc_id: str = "doc_id", text: str =
     first = store(_check(texts, digests, classes, star, words_each, percent, f"{folder}/first"), f"{folder}/links1")
     found = components(first, f"{folder}/components1")
 
-    # Then: members of a list that are in different components still.
+    # Then: members of a list that are in different components still, compared whole inside a task.
     grouped = postings.join(found.withColumnRenamed("node", "class"), "class", "left").withColumn("group", F.coalesce("component", "class"))
-    mixed_lists = grouped.groupBy("need", "key").agg(F.min("group").alias("low"), F.max("group").alias("high")).filter("low < high").select("need", "key")
-    rest = _compare_lists(grouped.join(mixed_lists, ["need", "key"]), listed.select("class", "l.range", "l.sketch"), ranges, percent)
-    second = store(_check(texts, digests, classes, rest.distinct(), words_each, percent, f"{folder}/second"), f"{folder}/links2")
+    blocks = F.greatest(F.ceil(F.count(F.lit(1)) / BLOCK), F.ceil(F.sum("size") / LINK_TOKENS)).cast("int").alias("blocks")
+    mixed_lists = grouped.groupBy("need", "key").agg(F.min("group").alias("low"), F.max("group").alias("high"), blocks).filter("low < high").select("need", "key", "blocks")
+    mixed = store(grouped.join(mixed_lists, ["need", "key"]).select("need", "key", "blocks", "class", "group"), f"{folder}/mixed")
+    sets = docs.sparkSession.read.schema("class long, tokens binary").parquet(f"{folder}/first_sets")
+    missing = mixed.select("class").distinct().join(sets.select("class"), "class", "left_anti")
+    sets = sets.unionByName(_made_sets(texts, digests, classes, missing, words_each, f"{folder}/second_sets"))
+    second = store(_compare_lists(mixed, sets, percent).distinct(), f"{folder}/links2")
     links = first.unionByName(second)
     final = components(links, f"{folder}/components2")
     members = digests.join(classes.select("digest", "class"), "digest", "left").join(final.withColumnRenamed("node", "class"), "class", "left")
     shown = ["doc_id", "size", "class", F.coalesce("component", "class").alias("component")]
     if not count_links:
         return members.select(shown), links
-    sets, more = (docs.sparkSession.read.schema("class long, tokens binary").parquet(f"{folder}/{n}_sets") for n in ("first", "second"))
-    sets = sets.unionByName(more.join(sets.select("class"), "class", "left_anti"))
     counts = store(link_counts(final, classes, sets, ranges, percent), f"{folder}/n_links")
     return members.join(counts, "class", "left").select(*shown, F.coalesce("n_links", F.lit(0)).alias("n_links")), links
 
 
-def _compare_lists(members: DataFrame, sketches: DataFrame, ranges: Ranges, percent: int) -> DataFrame:
-    """Pairs (a, b) of a list's members in different groups that may link. Long lists are cut into blocks, compared two at a time."""
-    most = [ranges.differences(i) for i in range(len(ranges.starts) - 1)]
-    blocks = F.ceil(F.col("n") / BLOCK).cast("int")
-    block = F.pmod(F.xxhash64("class"), blocks).cast("int")
-    placed = members.join(sketches, ["class", "range"]).filter("range >= 0").unionByName(
-        members.filter("range < 0").withColumn("sketch", F.lit(None).cast("binary")))
-    tiles = placed.withColumn("block", block).withColumn("other", F.explode(F.sequence(F.lit(0), blocks - 1)))
+def _compare_lists(members: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """Links (a, b) between members of a list in different groups, as many as connect what links connect. Long lists are cut into blocks,
+    compared two at a time; the sets come into the task, and no pair leaves it that does not link.
+    """
+    block = F.pmod(F.xxhash64("class"), F.col("blocks")).cast("int")
+    tiles = members.withColumn("block", block).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
     keys = [F.col("need"), F.col("key"), F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j")]
-    rows = tiles.select(*keys, (F.col("block") > F.col("other")).alias("second"), "class", "size", "group", "range", "sketch")
-    # Which block a member counts to in a tile of two blocks: the first (i) or the second (j).
-    rows = rows.withColumn("second", (F.col("i") != F.col("j")) & F.col("second"))
+    rows = tiles.select(*keys, (F.col("block") > F.col("other")).alias("second"), "class", "group")
     tile = ["need", "key", "i", "j"]
-    laid = rows.repartition(*tile).sortWithinPartitions(*tile, "second", "class")
+    laid = rows.join(sets, "class").repartition(*tile).sortWithinPartitions(*tile, "second", "class")
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[tuple] = []
         current = None
         for batch in batches:
-            columns = [batch.column(c).to_pylist() for c in (*tile, "second", "class", "size", "group", "range", "sketch")]
+            columns = [batch.column(c).to_pylist() for c in (*tile, "second", "class", "group", "tokens")]
             out: list[tuple[int, int]] = []
             for row in zip(*columns):
                 if row[:4] != current:
@@ -482,39 +462,44 @@ def _compare_lists(members: DataFrame, sketches: DataFrame, ranges: Ranges, perc
     def pairs(rows: list[tuple]) -> list[tuple[int, int]]:
         if len(rows) < 2:
             return []
-        need, _, i, j = rows[0][:4]
+        _, _, i, j = rows[0][:4]
         split = sum(not r[4] for r in rows) if i != j else 0
-        if i != j and split in (0, len(rows)):
+        groups = np.array([r[6] for r in rows])
+        if i != j and split in (0, len(rows)) or (groups == groups[0]).all():
             return []
-        at = compare_members(np.array([r[6] for r in rows]), np.array([r[7] for r in rows]), [r[9] for r in rows], need, most[rows[0][8]], percent, split)
-        return [(min(rows[x][5], rows[y][5]), max(rows[x][5], rows[y][5])) for x, y in at]
+        found = forest_of_members([np.frombuffer(r[7], dtype=np.uint64) for r in rows], groups, percent, split)
+        return [(min(rows[x][5], rows[y][5]), max(rows[x][5], rows[y][5])) for x, y in found]
 
     def pack(found: list[tuple[int, int]]) -> pa.RecordBatch:
-        found = list(set(found))
         return pa.RecordBatch.from_arrays([pa.array([a for a, _ in found], pa.int64()), pa.array([b for _, b in found], pa.int64())], names=["a", "b"])
 
     return laid.mapInArrow(compare, "a long, b long")
 
 
+def _made_sets(texts: DataFrame, digests: DataFrame, classes: DataFrame, wanted: DataFrame, words_each: int, folder: str) -> DataFrame:
+    """(class, tokens): the sets of some classes, made anew from one text of each."""
+    last = F.lit(2**63 - 1)
+    named = wanted.join(classes, "class").select("class", "digest")
+    ids = digests.join(named, "digest").groupBy("class").agg(F.min(F.coalesce("doc_id", last)).alias("id")).select("id").distinct()
+    rows = texts.withColumn("id", F.coalesce(F.col("doc_id").cast("long"), last)).join(ids, "id", "left_semi")
+    made = rows.select(_sets(texts, words_each)("text").alias("s")).select("s.*").join(named, "digest").dropDuplicates(["class"])
+    return store(made.select("class", "tokens"), folder)
+
+
 def _check(texts: DataFrame, digests: DataFrame, classes: DataFrame, pairs: DataFrame, words_each: int, percent: int, folder: str) -> DataFrame:
-    """The pairs of classes that link, by their whole sets. The sets are made anew from one text of each class that is in a pair."""
+    """The pairs of classes that link, by their whole sets."""
     pairs = store(pairs, f"{folder}_pairs")
-    last = F.lit(2**63 - 1)
     involved = pairs.select(F.col("a").alias("class")).union(pairs.select("b")).distinct()
-    wanted = involved.join(classes, "class").select("class", "digest")
-    ids = digests.join(wanted, "digest").groupBy("class").agg(F.min(F.coalesce("doc_id", last)).alias("id")).select("id").distinct()
-    rows = texts.withColumn("id", F.coalesce(F.col("doc_id").cast("long"), last)).join(ids, "id", "left_semi")
-    made = rows.select(_sets(texts, words_each)("text").alias("s")).select("s.*").join(wanted, "digest").dropDuplicates(["class"])
-    sets = store(made.select("class", "tokens"), f"{folder}_sets")
+    sets = _made_sets(texts, digests, classes, involved, words_each, f"{folder}_sets")
     left, right = sets.toDF("a", "left"), sets.toDF("b", "right")
     both = pairs.join(left, "a").join(right, "b")
     return both.filter(_linked(texts, percent)("left", "right")).select("a", "b")
 
 
-def smallest_ids(members: DataFrame) -> DataFrame:
-    """doc_id, size, component_id: the smallest id in the component, for empty sets the row's own."""
+def smallest_ids(members: DataFrame, *carried: str) -> DataFrame:
+    """doc_id, size, component_id and `carried` columns: the smallest id in the component, for empty sets the row's own."""
     low = members.filter("component is not null").groupBy("component").agg(F.min("doc_id").alias("low"))
-    return members.join(low, "component", "left").select("doc_id", "size", F.coalesce("low", "doc_id").alias("component_id"))
+    return members.join(low, "component", "left").select("doc_id", "size", F.coalesce("low", "doc_id").alias("component_id"), *carried)
 
 
 def one_of_each(docs: DataFrame, folder: str, doc_id: str = "doc_id", text: str = "text", **options) -> DataFrame:
@@ -523,5 +508,6 @@ def one_of_each(docs: DataFrame, folder: str, doc_id: str = "doc_id", text: str
     Texts with an empty set are in no component and stay.
     """
     members, _ = join_sets(docs, folder, doc_id, text, count_links=False, **options)
-    ids = smallest_ids(members).filter(F.col("doc_id").eqNullSafe(F.col("component_id"))).select(F.col("doc_id").alias("_kept_id")).distinct()
-    return docs.join(ids, F.col(doc_id).eqNullSafe(F.col("_kept_id")), "left_semi").dropDuplicates([doc_id, text])
+    kept = free_name(docs, "kept_id")
+    ids = smallest_ids(members).filter(F.col("doc_id").eqNullSafe(F.col("component_id"))).select(F.col("doc_id").alias(kept)).distinct()
+    return docs.join(ids, F.col(doc_id).eqNullSafe(F.col(kept)), "left_semi").dropDuplicates([doc_id, text])

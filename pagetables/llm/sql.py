@@ -33,9 +33,12 @@ links AS (
   GROUP BY a.doc_id, b.doc_id, a.n, b.n HAVING 100 * count(*) >= 90 * (a.n + b.n - count(*))),
 reach AS (
   SELECT doc_id AS a, doc_id AS b FROM documents
-  UNION SELECT r.a, l.b FROM reach r JOIN links l ON l.a = r.b)
-SELECT doc_id, len(s)::BIGINT AS n_shingles, component_id
-FROM sets JOIN (SELECT a, min(b) AS component_id FROM reach GROUP BY a) ON a = doc_id
+  UNION SELECT r.a, l.b FROM reach r JOIN links l ON l.a = r.b),
+keys AS (SELECT doc_id, md5(array_to_string(list_sort(s), chr(1))) AS k FROM sets),
+counted AS (
+  SELECT l.a, count(DISTINCT y.k) AS n FROM links l JOIN keys x ON x.doc_id = l.a JOIN keys y ON y.doc_id = l.b AND y.k <> x.k GROUP BY l.a)
+SELECT doc_id, len(s)::BIGINT AS n_shingles, component_id, coalesce(n, 0) AS n_links
+FROM sets JOIN (SELECT a, min(b) AS component_id FROM reach GROUP BY a) r ON r.a = doc_id LEFT JOIN counted c ON c.a = doc_id
 """
 
 # Four draws from a hash of the id; cuts in code points. The last columns are hashes of the written and of the given text.

@@ -33,7 +33,7 @@ from pagetables.plans.workspace import store
 PREFIXES = (4, 5)
 REPEATS = (2, 3)
 _LETTERS = regex.compile(r"\p{L}+")
-_KNOWN_WORDS = 400_000
+_KNOWN_WORDS = 150_000
 
 
 def held_out(doc_id: Column) -> Column:
@@ -174,8 +174,8 @@ def choose(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str
     allowed = labels.select(F.col(doc_id).alias("doc_id"), F.col(label).alias("label")).filter(F.col("label").isNotNull() & ~held_out(F.col("doc_id")))
     sample = allowed.groupBy("doc_id").agg(F.max("label").alias("label")).orderBy(F.xxhash64("doc_id"), "doc_id").limit(train_rows)
     texts = docs.select(F.col(doc_id).alias("doc_id"), text_or_empty(text).alias("text"))
-    # train_rows bounds the broadcast side.
-    rows = texts.join(F.broadcast(sample), "doc_id")
+    # train_rows bounds the broadcast side, and as each id gives one example, what reaches the driver.
+    rows = texts.join(F.broadcast(sample), "doc_id").groupBy("doc_id").agg(F.max("label").alias("label"), F.min_by("text", F.xxhash64("text")).alias("text"))
     per_label = rows.groupBy("label").count().collect()
     n1 = sum(r["count"] for r in per_label if r["label"] == 1)
     n0 = sum(r["count"] for r in per_label) - n1
@@ -225,18 +225,28 @@ def counter(docs: DataFrame, model: Model):
 
 def weigh(model: Model, counted: DataFrame) -> Model:
     """Complete a model by document frequencies over all rows of `counted` (its column `counts`), and fit the calibration."""
-    n = counted.count()
-    held = counted.select(F.explode("counts.f").alias("f")).groupBy("f").count().collect()  # at most max_features rows
-    frequency = np.zeros(len(model.vocabulary))
-    for r in held:
-        frequency[r.f] = r["count"]
+    size = len(model.vocabulary)
+
+    def add_up(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """The counts of a task: how many rows hold each feature, and all rows as feature -1."""
+        found = np.zeros(size + 1, np.int64)
+        for batch in batches:
+            found[0] += batch.num_rows
+            found[1:] += np.bincount(batch.column(0).flatten().field(0).to_numpy(), minlength=size)[:size]
+        at = np.flatnonzero(found)
+        yield pa.RecordBatch.from_arrays([pa.array((at - 1).astype(np.int32)), pa.array(found[at])], names=["f", "n"])
+
+    held = {r.f: r.n for r in counted.select("counts").mapInArrow(add_up, "f int, n long").groupBy("f").agg(F.sum("n").alias("n")).collect()}
+    n, frequency = held.pop(-1, 0), np.zeros(size)
+    for f, count in held.items():
+        frequency[f] = count
     model.idf = np.log((1 + n) / (1 + frequency)) + 1
     return _index(model)
 
 
 def _with_examples(model: Model, rows: DataFrame) -> Model:
     counted = rows.select("doc_id", "label", counter(rows, model)("text").alias("counts"))
-    model.examples = sorted((r.doc_id, int(r.label == 1), {c.f: c.n for c in r.counts}) for r in counted.collect())
+    model.examples = [(r.doc_id, int(r.label == 1), {c.f: c.n for c in r.counts}) for r in sorted(counted.collect(), key=lambda r: r.doc_id)]
     return model
 
 
