@@ -1,7 +1,6 @@
 """Token ids of whole texts from a `tokenizers` file whose words never cross white space, as packed little-endian bytes.
 
-A slice of texts is split into words and the words are numbered by Arrow; only its distinct words reach Python, and those not
-seen lately the tokenizer. Ids are then gathered by offsets. A text holding one of the characters that Arrow splits at
+Words are encoded once per worker and generation of its cache. A text holding one of the characters that Python splits at
 and the tokenizer does not (U+001C to U+001F) is encoded in one piece. Nulls and empty texts give no ids.
 """
 
@@ -14,14 +13,12 @@ from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
-import pyarrow.compute as pc
 from pyspark.sql import SparkSession
 from pyspark.sql import functions as F
 
 from pagetables.llm.common import WordCache, add_file, local_file, ship, slices
 
 SLICE_CHARS = 4_000_000
-GROUP_WORDS = 256
 _ODD_SPACE = re.compile("[\x1c-\x1f]")
 
 
@@ -32,51 +29,17 @@ class WordTokenizer:
 
         self.tokenizer = Tokenizer.from_file(path)
         self.dtype = np.dtype(dtype)
-        special = sorted((i, t.content) for i, t in self.tokenizer.get_added_tokens_decoder().items() if t.special)
-        self.mark_id, self.mark = special[-1] if special else (-1, "")
-        self.words = WordCache(self._encode)
+        self.words = WordCache(self._encode, limit=120_000)
 
     def _encode(self, words: list[str]) -> list[bytes]:
-        """Words are encoded many at a time, a special token between them; words that hold its text, alone."""
-        found: dict[str, bytes] = {}
-        if self.mark:
-            plain = [w for w in words if w and self.mark not in w]
-            groups = [plain[i : i + GROUP_WORDS] for i in range(0, len(plain), GROUP_WORDS)]
-            for group, coded in zip(groups, self.tokenizer.encode_batch_fast([f" {self.mark} ".join(g) for g in groups], add_special_tokens=False)):
-                ids = np.array(coded.ids, dtype=self.dtype)
-                cuts = np.flatnonzero(ids == self.mark_id)
-                if len(cuts) == len(group) - 1:
-                    begins, ends, held = [0, *(cuts + 1).tolist()], [*cuts.tolist(), len(ids)], ids.tobytes()
-                    size = self.dtype.itemsize
-                    found.update((w, held[x * size : y * size]) for w, x, y in zip(group, begins, ends))
-        rest = [w for w in words if w not in found]
-        alone = self.tokenizer.encode_batch_fast(rest, add_special_tokens=False)
-        found.update((w, np.array(e.ids, dtype=self.dtype).tobytes()) for w, e in zip(rest, alone))
-        return [found[w] for w in words]
+        found = self.tokenizer.encode_batch_fast(words, add_special_tokens=False)
+        return [np.array(e.ids, dtype=self.dtype).tobytes() for e in found]
 
     def encode(self, texts: list[str]) -> list[bytes]:
-        coded: list[bytes] = []
+        out: list[bytes] = []
         for a, b in slices(map(len, texts), SLICE_CHARS):
-            part = texts[a:b]
-            coded += self._slice(part) if not any(map(_ODD_SPACE.search, part)) else [self._piece(t) if _ODD_SPACE.search(t) else self._slice([t])[0] for t in part]
-        return coded
-
-    def _piece(self, text: str) -> bytes:
-        return self.words.lookup([[text]])[0]
-
-    def _slice(self, texts: list[str]) -> list[bytes]:
-        split = pc.utf8_split_whitespace(pa.array(texts, pa.large_string()))
-        ends = split.offsets.to_numpy()
-        numbered = split.flatten().dictionary_encode()
-        word = np.asarray(numbered.indices)
-        ids = self.words.each(numbered.dictionary.to_pylist())
-        size = np.fromiter(map(len, ids), np.int64, len(ids)) // self.dtype.itemsize
-        first = np.concatenate([[0], np.cumsum(size)])[:-1]
-        pool, taken = np.frombuffer(b"".join(ids), self.dtype), size[word]
-        before = np.concatenate([[0], np.cumsum(taken)])
-        gathered = pool[np.arange(before[-1]) + np.repeat(first[word] - before[:-1], taken)]
-        edges, held = before[ends - ends[0]] * self.dtype.itemsize, memoryview(gathered.tobytes())
-        return [bytes(held[a:b]) for a, b in zip(edges[:-1].tolist(), edges[1:].tolist())]
+            out += self.words.lookup([[t] if _ODD_SPACE.search(t) else t.split() for t in texts[a:b]])
+        return out
 
 
 @lru_cache(maxsize=2)
