@@ -418,7 +418,10 @@ def join_sets(docs: DataFrame, folder: str, doc_id: str = "doc_id", text: str =
     # Then: members of a list that are in different components still, compared whole inside a task.
     grouped = postings.join(found.withColumnRenamed("node", "class"), "class", "left").withColumn("group", F.coalesce("component", "class"))
     blocks = F.greatest(F.ceil(F.count(F.lit(1)) / BLOCK), F.ceil(F.sum("size") / LINK_TOKENS)).cast("int").alias("blocks")
-    mixed_lists = grouped.groupBy("need", "key").agg(F.min("group").alias("low"), F.max("group").alias("high"), blocks).filter("low < high").select("need", "key", "blocks")
+    # Near sets agree on many parts and meet in many lists of the same members: one list of each membership (128 bits and a count) will do.
+    membership = [F.bit_xor(F.xxhash64("class")).alias("m1"), F.bit_xor(F.xxhash64("class", F.lit(1))).alias("m2"), F.count(F.lit(1)).alias("m3")]
+    mixed_lists = grouped.groupBy("need", "key").agg(F.min("group").alias("low"), F.max("group").alias("high"), blocks, *membership).filter("low < high")
+    mixed_lists = mixed_lists.dropDuplicates(["m1", "m2", "m3"]).select("need", "key", "blocks")
     mixed = store(grouped.join(mixed_lists, ["need", "key"]).select("need", "key", "blocks", "class", "group"), f"{folder}/mixed")
     sets = docs.sparkSession.read.schema("class long, tokens binary").parquet(f"{folder}/first_sets")
     missing = mixed.select("class").distinct().join(sets.select("class"), "class", "left_anti")
