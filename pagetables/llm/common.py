@@ -61,30 +61,44 @@ def slices(sizes: Iterable[int], limit: int) -> Iterable[tuple[int, int]]:
         yield start, end
 
 
+_DROPS: dict[str, Callable[[], object]] = {}
+
+
+def at_work(operator: str, drop: Callable[[], object]) -> None:
+    """Inside a task: `operator` runs here now, and what other operators left in this worker's caches goes; `drop` empties its own."""
+    for other in [o for o in _DROPS if o != operator]:
+        _DROPS.pop(other)()
+    _DROPS[operator] = drop
+
+
 class WordCache:
-    """Encoded words, kept between batches and tasks of a worker. Two generations of `limit` words bound its size.
+    """Encoded words, kept between batches and tasks of a worker. A generation ends at `limit` bytes; two generations are held.
 
     `encode` gets a list of words not seen lately and returns their encodings, as bytes, in the same order.
     """
 
-    def __init__(self, encode: Callable[[list[str]], list[bytes]], limit: int = 250_000, chunk: int = 40_000):
+    ENTRY = 200  # bytes of an entry; three more for every letter
+
+    def __init__(self, encode: Callable[[list[str]], list[bytes]], limit: int = 64_000_000, chunk: int = 40_000):
         self._encode, self._limit, self._chunk = encode, limit, chunk
         self._young: dict[str, bytes] = {}
         self._old: dict[str, bytes] = {}
+        self._bytes = 0
 
     def lookup(self, words: list[list[str]]) -> list[bytes]:
         """The concatenated encodings of each list of words."""
+        if self._bytes > self._limit:
+            self._old, self._young, self._bytes = self._young, {}, 0
         young, old = self._young, self._old
-        if len(young) > self._limit:
-            old, young = young, {}
         missing = set().union(*words).difference(young) if words else set()
-        for word in missing.intersection(old):
+        known = missing.intersection(old)
+        for word in known:
             young[word] = old[word]
-        fresh = list(missing.difference(old))
+        fresh = list(missing.difference(known))
         for at in range(0, len(fresh), self._chunk):
             part = fresh[at : at + self._chunk]
             young.update(zip(part, self._encode(part), strict=True))
-        self._young, self._old = young, old
+        self._bytes += self.ENTRY * len(missing) + 3 * sum(map(len, missing))
         return [b"".join(map(young.__getitem__, ws)) for ws in words]
 
 

@@ -1,13 +1,15 @@
 """Token ids of whole texts from a `tokenizers` file whose words never cross white space, as packed little-endian bytes.
 
-Words are encoded once per worker and generation of its cache. A text holding one of the characters that Python splits at
+Words are encoded once per worker and generation of its cache, which other operators' work drops. A text holding one of the characters that Python splits at
 and the tokenizer does not (U+001C to U+001F) is encoded in one piece. Nulls and empty texts give no ids.
 """
 
 from __future__ import annotations
 
+import json
 import os
 import re
+from array import array
 from collections.abc import Iterator
 from functools import lru_cache
 
@@ -16,24 +18,72 @@ import pyarrow as pa
 from pyspark.sql import SparkSession
 from pyspark.sql import functions as F
 
-from pagetables.llm.common import WordCache, add_file, local_file, ship, slices
+from pagetables.llm.common import WordCache, add_file, at_work, local_file, ship, slices
 
-SLICE_CHARS = 4_000_000
+SLICE_CHARS = 2_000_000
 _ODD_SPACE = re.compile("[\x1c-\x1f]")
 
 
+# Letters of the plain way: Latin ones that are in composed form and have one small form of one character.
+_LATIN = "A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u012f\u0131-\u017f"
+_WORD = re.compile(f"[{_LATIN}]+")
+_LETTERS = frozenset(chr(c) for c in range(0x180) if _WORD.match(chr(c)))
+_ENDS = ".,;:!?)\""
+# Fixed value: the pre-tokenizer's pattern for which the plain way holds.
+_SPLIT = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
+
+
+def splits_at_letters(path: str) -> bool:
+    """Whether a tokenizer file lower-cases, cuts runs of letters from signs and then knows bytes only, so that Latin words can go to its model."""
+    with open(path, encoding="utf-8") as file:
+        made = json.load(file)
+    normal = [n["type"] for n in (made["normalizer"] or {}).get("normalizers", [])]
+    cuts = (made["pre_tokenizer"] or {}).get("pretokenizers", [])
+    return (
+        normal == ["NFC", "Replace", "Lowercase"] and [c["type"] for c in cuts] == ["Split", "ByteLevel"]
+        and cuts[0]["pattern"] == {"Regex": _SPLIT} and cuts[0]["invert"] and cuts[0]["behavior"] == "Removed"
+        and not cuts[1]["add_prefix_space"] and not cuts[1]["use_regex"]
+        and made["model"]["type"] == "BPE" and not made["model"]["dropout"] and all("<" in t["content"] for t in made["added_tokens"])
+    )
+
+
 class WordTokenizer:
+    """Where the tokenizer file allows it (`splits_at_letters`), signs at a word's end are cut off after a letter, as the tokenizer does it,
+    and words of Latin letters go straight to the model; all else goes through the whole tokenizer. The ids are the same.
+    """
+
     def __init__(self, path: str, dtype: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        from tokenizers import Tokenizer
+        from tokenizers import Tokenizer, pre_tokenizers
 
         self.tokenizer = Tokenizer.from_file(path)
         self.dtype = np.dtype(dtype)
-        self.words = WordCache(self._encode, limit=120_000)
+        self.model = self.tokenizer.model if splits_at_letters(path) else None
+        coded = pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)
+        self.small = {ord(c): coded.pre_tokenize_str(c.lower())[0][0] for c in _LETTERS}
+        self.words = WordCache(self._encode if self.model else self._encode_whole, limit=32_000_000)
+
+    def _encode_whole(self, words: list[str]) -> list[bytes]:
+        out: list[bytes] = []
+        for a in range(0, len(words), 4_000):
+            found = self.tokenizer.encode_batch_fast(words[a : a + 4_000], add_special_tokens=False)
+            out += [np.array(e.ids, dtype=self.dtype).tobytes() for e in found]
+        return out
 
     def _encode(self, words: list[str]) -> list[bytes]:
-        found = self.tokenizer.encode_batch_fast(words, add_special_tokens=False)
-        return [np.array(e.ids, dtype=self.dtype).tobytes() for e in found]
+        parts = []
+        for word in words:
+            core = word.rstrip(_ENDS)
+            parts.append((core, word[len(core) :]) if len(core) < len(word) and core[-1:] in _LETTERS else (word,))
+        code, tokenize, small = self.dtype.char, self.model.tokenize, self.small
+        ids, rest = {}, []
+        for part in set().union(*parts):
+            if _WORD.fullmatch(part):
+                ids[part] = array(code, [t.id for t in tokenize(part.translate(small))]).tobytes()
+            else:
+                rest.append(part)
+        ids.update(zip(rest, self._encode_whole(rest), strict=True))
+        return [b"".join(map(ids.__getitem__, p)) for p in parts]
 
     def encode(self, texts: list[str]) -> list[bytes]:
         out: list[bytes] = []
@@ -42,8 +92,9 @@ class WordTokenizer:
         return out
 
 
-@lru_cache(maxsize=2)
+@lru_cache(maxsize=1)
 def word_tokenizer(name: str, dtype: str) -> WordTokenizer:
+    at_work("tokens", word_tokenizer.cache_clear)
     return WordTokenizer(local_file(name), dtype)
 
 
