@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from pagetables.llm.common import ship
+from pagetables.llm.common import at_work, ship
 
 KINDS = ("email", "ip", "card", "phone")
 MAX_TOKENS = 24
@@ -397,6 +397,7 @@ def finder(docs: DataFrame, field: Field | None):
 
     @F.arrow_udf(SPAN_TYPE)
     def find(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        at_work("pii", dict)
         decode = None if weights is None else lru_cache(maxsize=10_000)(Field(*weights).decode)
         kind = pa.list_(pa.struct([("kind", pa.string()), ("start", pa.int64()), ("stop", pa.int64()), ("base", pa.bool_())]))
         names = ("kind", "start", "stop", "base")
@@ -413,8 +414,12 @@ def span_text(spans: Column, only_base: bool = False) -> Column:
 
 
 def redacted_fully(text: str, decode) -> str:
-    """Redact until nothing is found: what stands beside a replaced span may be a match of its own then. Every turn removes text."""
-    while spans := all_spans(text, decode):
+    """Redact until no span with a digit or "@" is found: what stands beside a replaced span may be a match of its own then.
+
+    What replaces a span holds neither sign, so that every turn after the first leaves fewer of them and the last turn comes.
+    """
+    text = redacted(text, all_spans(text, decode))
+    while spans := [s for s in all_spans(text, decode) if any(c == "@" or c.isdigit() for c in text[s[1] : s[2]])]:
         text = redacted(text, spans)
     return text
 
@@ -426,6 +431,7 @@ def redactor(docs: DataFrame, field: Field | None):
 
     @F.arrow_udf("string")
     def redact(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        at_work("pii", dict)
         decode = None if weights is None else lru_cache(maxsize=10_000)(Field(*weights).decode)
         for batch in batches:
             yield pa.array([redacted_fully(t, decode) if t else t for t in batch.to_pylist()], pa.string())

@@ -34,7 +34,7 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from pagetables.llm.common import free_name, ship, text_or_empty
+from pagetables.llm.common import at_work, free_name, ship, text_or_empty
 from pagetables.plans.workspace import store
 
 SLACK = 3
@@ -186,6 +186,7 @@ def set_digests(docs: DataFrame, doc_id: str, text: str, words_each: int, percen
 
     @F.arrow_udf("struct<size:long,digest:binary>")
     def digest(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        at_work("setjoin", _WORD_HASHES.clear)
         for batch in batches:
             sets = (shingle_set(t, words_each) for t in batch.to_pylist())
             rows = [(len(s), xxhash.xxh3_128_digest(s.tobytes())) for s in sets]
@@ -202,6 +203,7 @@ def _keys(docs: DataFrame, words_each: int, percent: int, boundary: int, ranges:
 
     @F.arrow_udf("struct<digest:binary,size:long,lists:array<struct<need:int,range:int,keys:array<long>>>>")
     def keys(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        at_work("setjoin", _WORD_HASHES.clear)
         for batch in batches:
             digests, sizes, lists = [], [], []
             for t in batch.to_pylist():
@@ -228,6 +230,7 @@ def _sets(docs: DataFrame, words_each: int):
     """Column -> Column: digest and packed set of a text."""
     @F.arrow_udf("struct<digest:binary,tokens:binary>")
     def sets(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        at_work("setjoin", _WORD_HASHES.clear)
         for batch in batches:
             packed = [shingle_set(t, words_each).tobytes() for t in batch.to_pylist()]
             yield pa.StructArray.from_arrays(
