@@ -11,7 +11,9 @@ size range; a set is listed in its own range and, where partners may lie there,
 these, too, so that nothing is lost. The boundary between light and heavy is the one of least cost, from the sizes of all classes.
 
 Lists are searched without making all pairs of a group. First each member is compared with its list's most typical member
-only; what links is one component. Only members that are then still in different components are compared with each other.
+only; what links is one component. Only members that are then still in different components are compared with each other. Their
+sketches come first: the parities of a set's shingles by hash cell. Two sketches differ in no more cells than the sets do in shingles, so
+that lists shrink to members whose sketches are near, without losing a link, before any whole set moves.
 Every candidate is checked on the whole sets, so the links are exact (up to collisions of 64-bit hashes).
 
 That gives the components, but not all links inside them. As links never leave a component, their number is counted there: all sets of
@@ -81,6 +83,48 @@ def mixed(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(32))
 
 
+def sketch(tokens: np.ndarray) -> bytes:
+    """A bit a cell: whether it holds an odd number of shingles. A power of two of cells, two a shingle or more."""
+    cells = max(64, 1 << (2 * len(tokens) - 1).bit_length())
+    at = mixed(tokens ^ np.uint64(0x2545F4914F6CDD1D)) & np.uint64(cells - 1)
+    return np.packbits((np.bincount(at.astype(np.int64), minlength=cells) & 1).astype(np.uint8), bitorder="little").tobytes()
+
+
+def folded(bits: bytes, size: int) -> np.ndarray:
+    """The sketch with fewer cells, of `size` bytes."""
+    out = np.frombuffer(bits, dtype=np.uint8)
+    while len(out) > size:
+        out = out[: len(out) // 2] ^ out[len(out) // 2 :]
+    return out
+
+
+def near_parts(sketches: list[bytes], sizes: np.ndarray, groups: np.ndarray, percent: int, split: int) -> np.ndarray:
+    """For each member the number of the part it is in, -1 for none: parts are what pairs of different groups whose sketches allow a link connect.
+
+    With `split` the members are in two blocks and only pairs across count (0: all pairs).
+    """
+    n, width = len(sketches), min(map(len, sketches))
+    bits = np.unpackbits(np.stack([folded(x, width) for x in sketches]), axis=1).astype(np.float32)
+    ones = bits.sum(axis=1)
+    top = split or n
+    apart = ones[:top, None] + ones[None, split:] - 2 * (bits[:top] @ bits[split:].T)  # counts below 2 ** 24 are exact
+    total = sizes[:top, None] + sizes[None, split:]
+    near = (apart <= total - 2 * -(-percent * total // (100 + percent))) & (groups[:top, None] != groups[None, split:])
+    left, right = np.nonzero(near)
+    right = right + split
+    label = np.arange(n)
+    while True:
+        low, new = np.minimum(label[left], label[right]), label.copy()
+        np.minimum.at(new, left, low)
+        np.minimum.at(new, right, low)
+        if (new == label).all():
+            break
+        label = new[new]
+    out = np.full(n, -1)
+    out[left], out[right] = label[left], label[right]
+    return out
+
+
 def needed(s: int, t: int, percent: int) -> int:
     """The least overlap of linked sets of sizes s and t."""
     return -(-percent * (s + t) // (100 + percent))
@@ -197,15 +241,15 @@ def set_digests(docs: DataFrame, doc_id: str, text: str, words_each: int, percen
 
 
 def _keys(docs: DataFrame, words_each: int, percent: int, boundary: int, ranges: Ranges):
-    """Column -> Column: digest, size, and the lists of a text. `need` is the subset size of a light key, 0 for a heavy one."""
+    """Column -> Column: digest, size, sketch, and the lists of a text. `need` is the subset size of a light key, 0 for a heavy one."""
     smallest_heavy_partner = -(-(boundary + 1) * percent // 100)
     listing = [("need", pa.int32()), ("range", pa.int32()), ("keys", pa.list_(pa.int64()))]
 
-    @F.arrow_udf("struct<digest:binary,size:long,lists:array<struct<need:int,range:int,keys:array<long>>>>")
+    @F.arrow_udf("struct<digest:binary,size:long,sketch:binary,lists:array<struct<need:int,range:int,keys:array<long>>>>")
     def keys(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         at_work("setjoin", _WORD_HASHES.clear)
         for batch in batches:
-            digests, sizes, lists = [], [], []
+            digests, sizes, sketches, lists = [], [], [], []
             for t in batch.to_pylist():
                 tokens = shingle_set(t, words_each)
                 n = len(tokens)
@@ -219,9 +263,11 @@ def _keys(docs: DataFrame, words_each: int, percent: int, boundary: int, ranges:
                     row += [{"need": 0, "range": i, "keys": _as_long(k)} for i, k in heavy_keys(tokens, ranges)]
                 digests.append(xxhash.xxh3_128_digest(tokens.tobytes()))
                 sizes.append(n)
+                sketches.append(sketch(tokens))
                 lists.append(row)
             yield pa.StructArray.from_arrays(
-                [pa.array(digests, pa.binary()), pa.array(sizes, pa.int64()), pa.array(lists, pa.list_(pa.struct(listing)))], ["digest", "size", "lists"])
+                [pa.array(digests, pa.binary()), pa.array(sizes, pa.int64()), pa.array(sketches, pa.binary()), pa.array(lists, pa.list_(pa.struct(listing)))],
+                ["digest", "size", "sketch", "lists"])
 
     return keys.asNondeterministic()
 
@@ -422,14 +468,16 @@ def join_sets(docs: DataFrame, folder: str, doc_id: str = "doc_id", text: str =
     grouped = postings.join(found.withColumnRenamed("node", "class"), "class", "left").withColumn("group", F.coalesce("component", "class"))
     blocks = F.greatest(F.ceil(F.count(F.lit(1)) / BLOCK), F.ceil(F.sum("size") / LINK_TOKENS)).cast("int").alias("blocks")
     # Near sets agree on many parts and meet in many lists of the same members: one list of each membership (128 bits and a count) will do.
-    membership = [F.bit_xor(F.xxhash64("class")).alias("m1"), F.bit_xor(F.xxhash64("class", F.lit(1))).alias("m2"), F.count(F.lit(1)).alias("m3")]
-    mixed_lists = grouped.groupBy("need", "key").agg(F.min("group").alias("low"), F.max("group").alias("high"), blocks, *membership).filter("low < high")
+    mixed_lists = grouped.groupBy("need", "key").agg(F.min("group").alias("low"), F.max("group").alias("high"), blocks, *_membership("class")).filter("low < high")
     mixed_lists = mixed_lists.dropDuplicates(["m1", "m2", "m3"]).select("need", "key", "blocks")
-    mixed = store(grouped.join(mixed_lists, ["need", "key"]).select("need", "key", "blocks", "class", "group"), f"{folder}/mixed")
+    mixed_members = grouped.join(mixed_lists, ["need", "key"]).select("need", "key", "blocks", "class", "group")
+    parts = store(_narrowed(mixed_members, numbered.select("class", "size", "sketch"), percent), f"{folder}/mixed")
+    kept = parts.groupBy(*TILE).agg(*_membership("class", "second")).dropDuplicates(["m1", "m2", "m3"]).select(*TILE)
+    parts = parts.join(kept, TILE)
     sets = docs.sparkSession.read.schema("class long, tokens binary").parquet(f"{folder}/first_sets")
-    missing = mixed.select("class").distinct().join(sets.select("class"), "class", "left_anti")
+    missing = parts.select("class").distinct().join(sets.select("class"), "class", "left_anti")
     sets = sets.unionByName(_made_sets(texts, digests, classes, missing, words_each, f"{folder}/second_sets"))
-    second = store(_compare_lists(mixed, sets, percent).distinct(), f"{folder}/links2")
+    second = store(_compare_lists(parts, sets, percent).distinct(), f"{folder}/links2")
     links = first.unionByName(second)
     final = components(links, f"{folder}/components2")
     members = digests.join(classes.select("digest", "class"), "digest", "left").join(final.withColumnRenamed("node", "class"), "class", "left")
@@ -440,41 +488,84 @@ def join_sets(docs: DataFrame, folder: str, doc_id: str = "doc_id", text: str =
     return members.join(counts, "class", "left").select(*shown, F.coalesce("n_links", F.lit(0)).alias("n_links")), links
 
 
-def _compare_lists(members: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """Links (a, b) between members of a list in different groups, as many as connect what links connect. Long lists are cut into blocks,
-    compared two at a time; the sets come into the task, and no pair leaves it that does not link.
+TILE = ["need", "key", "i", "j", "part"]
+
+
+def _membership(*columns: str) -> list:
+    return [F.bit_xor(F.xxhash64(*columns)).alias("m1"), F.bit_xor(F.xxhash64(*columns, F.lit(1))).alias("m2"), F.count(F.lit(1)).alias("m3")]
+
+
+def _by_tile(batches: Iterator[pa.RecordBatch], columns: list[str], width: int) -> Iterator[list[tuple]]:
+    """The rows of each tile, which the first `width` columns name and in whose order the rows come."""
+    held: list[tuple] = []
+    for batch in batches:
+        for row in zip(*[batch.column(c).to_pylist() for c in columns]):
+            if held and row[:width] != held[0][:width]:
+                yield held
+                held = []
+            held.append(row)
+    if held:
+        yield held
+
+
+def _narrowed(members: DataFrame, sketches: DataFrame, percent: int) -> DataFrame:
+    """Lists cut into tiles and these into parts (TILE, second, class, group): the members whose sketches allow a link with one of another group.
+
+    Long lists are cut into blocks, compared two at a time. A tile returns no more rows than it has members.
     """
     block = F.pmod(F.xxhash64("class"), F.col("blocks")).cast("int")
     tiles = members.withColumn("block", block).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
     keys = [F.col("need"), F.col("key"), F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j")]
     rows = tiles.select(*keys, (F.col("block") > F.col("other")).alias("second"), "class", "group")
-    tile = ["need", "key", "i", "j"]
-    laid = rows.join(sets, "class").repartition(*tile).sortWithinPartitions(*tile, "second", "class")
-
-    def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: list[tuple] = []
-        current = None
-        for batch in batches:
-            columns = [batch.column(c).to_pylist() for c in (*tile, "second", "class", "group", "tokens")]
-            out: list[tuple[int, int]] = []
-            for row in zip(*columns):
-                if row[:4] != current:
-                    out += pairs(held)
-                    held, current = [], row[:4]
-                held.append(row)
-            yield pack(out)
-        yield pack(pairs(held))
-
-    def pairs(rows: list[tuple]) -> list[tuple[int, int]]:
-        if len(rows) < 2:
-            return []
+    tile = TILE[:4]
+    laid = rows.join(sketches, "class").repartition(*tile).sortWithinPartitions(*tile, "second", "class")
+    schema = "need int, key long, i int, j int, part long, second boolean, class long, group long"
+    types = [pa.int32(), pa.int64(), pa.int32(), pa.int32(), pa.int64(), pa.bool_(), pa.int64(), pa.int64()]
+
+    def narrow(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        out: list[tuple] = []
+        for rows in _by_tile(batches, [*tile, "second", "class", "group", "size", "sketch"], 4):
+            out += parts(rows)
+            if len(out) >= 10_000:
+                yield pack(out)
+                out = []
+        yield pack(out)
+
+    def parts(rows: list[tuple]) -> list[tuple]:
         _, _, i, j = rows[0][:4]
         split = sum(not r[4] for r in rows) if i != j else 0
         groups = np.array([r[6] for r in rows])
         if i != j and split in (0, len(rows)) or (groups == groups[0]).all():
             return []
-        found = forest_of_members([np.frombuffer(r[7], dtype=np.uint64) for r in rows], groups, percent, split)
-        return [(min(rows[x][5], rows[y][5]), max(rows[x][5], rows[y][5])) for x, y in found]
+        found = near_parts([r[8] for r in rows], np.array([r[7] for r in rows]), groups, percent, split).tolist()
+        return [(*r[:4], rows[at][5], *r[4:7]) for r, at in zip(rows, found) if at >= 0]
+
+    def pack(found: list[tuple]) -> pa.RecordBatch:
+        columns = list(zip(*found)) or [()] * len(types)
+        return pa.RecordBatch.from_arrays([pa.array(list(c), t) for c, t in zip(columns, types)], names=[*TILE, "second", "class", "group"])
+
+    return laid.mapInArrow(narrow, schema)
+
+
+def _compare_lists(parts: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """Links (a, b) between members of a part in different groups, as many as connect what links connect. The sets come into the
+    task, and no pair leaves it that does not link.
+    """
+    laid = parts.join(sets, "class").repartition(*TILE).sortWithinPartitions(*TILE, "second", "class")
+
+    def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        out: list[tuple[int, int]] = []
+        for rows in _by_tile(batches, [*TILE, "second", "class", "group", "tokens"], len(TILE)):
+            out += pairs(rows)
+            if len(out) >= 10_000:
+                yield pack(out)
+                out = []
+        yield pack(out)
+
+    def pairs(rows: list[tuple]) -> list[tuple[int, int]]:
+        split = sum(not r[5] for r in rows) if rows[0][2] != rows[0][3] else 0
+        found = forest_of_members([np.frombuffer(r[8], dtype=np.uint64) for r in rows], np.array([r[7] for r in rows]), percent, split)
+        return [(min(rows[x][6], rows[y][6]), max(rows[x][6], rows[y][6])) for x, y in found]
 
     def pack(found: list[tuple[int, int]]) -> pa.RecordBatch:
         return pa.RecordBatch.from_arrays([pa.array([a for a, _ in found], pa.int64()), pa.array([b for _, b in found], pa.int64())], names=["a", "b"])

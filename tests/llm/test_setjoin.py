@@ -167,3 +167,32 @@ def test_partners_share_a_range(percent):
         for s in range(-(-t * percent // 100), t + 1):
             i = ranges.of(t)
             assert i in ranges.listed(s) and s + t - 2 * setjoin.needed(s, t, percent) <= ranges.differences(i)
+
+
+@pytest.mark.parametrize("percent", [50, 80, 90])
+@pytest.mark.parametrize("split", [0, 13])
+def test_sketches_lose_no_link(percent, split):
+    rng = np.random.default_rng(percent + split)
+    base = [rng.integers(0, 2**63, 40 + 25 * i).astype(np.uint64) for i in range(4)]
+    sets = [np.unique(np.concatenate([b[int(len(b) * rng.random() * 0.3) :], rng.integers(0, 2**63, rng.integers(0, 20)).astype(np.uint64)])) for b in base * 8]
+    sets += [np.arange(n, dtype=np.uint64) for n in (1, 2, 3)]
+    groups = rng.integers(0, 6, len(sets))
+    sizes = np.array([len(x) for x in sets])
+    parts = setjoin.near_parts([setjoin.sketch(x) for x in sets], sizes, groups, percent, split)
+    top = split or len(sets)
+    linked = 0
+    for i in range(top):
+        for j in range(split, len(sets)):
+            common = len(np.intersect1d(sets[i], sets[j]))
+            if groups[i] != groups[j] and 100 * common >= percent * (sizes[i] + sizes[j] - common):
+                linked += 1
+                assert parts[i] == parts[j] >= 0
+    assert linked > 10
+
+
+def test_folding_a_sketch_keeps_its_bound():
+    rng = np.random.default_rng(3)
+    a = rng.integers(0, 2**63, 500).astype(np.uint64)
+    b = np.concatenate([a[20:], rng.integers(0, 2**63, 15).astype(np.uint64)])
+    for size in (128, 64, 8):
+        assert np.unpackbits(setjoin.folded(setjoin.sketch(a), size) ^ setjoin.folded(setjoin.sketch(b), size)).sum() <= 35
