@@ -174,7 +174,7 @@ def test_partners_share_a_range(percent):
 def test_sketches_lose_no_link(percent, split):
     rng = np.random.default_rng(percent + split)
     base = [rng.integers(0, 2**63, 40 + 25 * i).astype(np.uint64) for i in range(4)]
-    sets = [np.unique(np.concatenate([b[int(len(b) * rng.random() * 0.3) :], rng.integers(0, 2**63, rng.integers(0, 20)).astype(np.uint64)])) for b in base * 8]
+    sets = [np.unique(np.concatenate([b[int(len(b) * rng.random() * 0.15) :], rng.integers(0, 2**63, rng.integers(0, 5)).astype(np.uint64)])) for b in base * 8]
     sets += [np.arange(n, dtype=np.uint64) for n in (1, 2, 3)]
     groups = rng.integers(0, 6, len(sets))
     sizes = np.array([len(x) for x in sets])
