@@ -159,8 +159,12 @@ def _squeezer():
     return squeezed
 
 
-def write_shards(sequences: DataFrame, total: int, folder: str, key: int, dtype: str, stride: int = STRIDE, shard_slots: int = SHARD_SLOTS, filler: int = 65535) -> DataFrame:
-    """Write the shards under `folder`; returns shard, first_slot, slots, bytes, crc32 of each. Evaluate it once; store() does."""
+def write_shards(sequences: DataFrame, total: int, folder: str, key: int, dtype: str, stride: int = STRIDE, shard_slots: int = SHARD_SLOTS, filler: int | None = None) -> DataFrame:
+    """Write the shards under `folder`; returns shard, first_slot, slots, bytes, crc32 of each. Evaluate it once; store() does.
+
+    `filler` stands behind the last token of a slot: by default the largest number of the type, which id_type keeps free of ids.
+    """
+    filler = np.iinfo(dtype).max if filler is None else filler
     shards = -(-total // shard_slots)
     placed = sequences.select(slot_of(total, key)("sequence").alias("slot"), _squeezer()("ids").alias("ids"), "n_tokens").withColumn("shard", F.floor(F.col("slot") / shard_slots).cast("long"))
     laid = placed.repartitionByRange(max(1, min(shards, 20_000)), "shard").sortWithinPartitions("slot").select("shard", "slot", "n_tokens", "ids")
@@ -196,12 +200,13 @@ def write_shards(sequences: DataFrame, total: int, folder: str, key: int, dtype:
     return laid.mapInArrow(write, "shard long, first_slot long, slots long, bytes long, crc32 long")
 
 
-def read_shards(spark: SparkSession, folder: str, dtype: str, stride: int = STRIDE, shard_slots: int = SHARD_SLOTS, from_slot: int = 0, filler: int = 65535,
+def read_shards(spark: SparkSession, folder: str, dtype: str, stride: int = STRIDE, shard_slots: int = SHARD_SLOTS, from_slot: int = 0, filler: int | None = None,
                 order: tuple[int, int] | None = None) -> DataFrame:
     """slot, sequence, shard, n_tokens, ids of all slots from `from_slot` on. Shards before it are not opened.
 
     `order` is (number of sequences, key); without it sequence is null. It is worked out here, with the slots, in one Python worker.
     """
+    filler = np.iinfo(dtype).max if filler is None else filler
     files = spark.read.format("binaryFile").option("pathGlobFilter", "*.tokens").load(folder)
     number = F.regexp_extract("path", r"(\d+)\.tokens$", 1).cast("long")
     wanted = files.withColumn("shard", number).filter(F.col("shard") >= from_slot // shard_slots).select("shard", "content")

@@ -99,10 +99,10 @@ def word_tokenizer(name: str, dtype: str) -> WordTokenizer:
 
 
 def id_type(path: str) -> str:
-    """The narrowest little-endian integer that holds every id of a tokenizer file."""
+    """The narrowest little-endian integer that holds every id of a tokenizer file and one number more, for filling."""
     from tokenizers import Tokenizer
 
-    return "<u2" if Tokenizer.from_file(path).get_vocab_size() <= 1 << 16 else "<u4"
+    return "<u2" if Tokenizer.from_file(path).get_vocab_size() < 1 << 16 else "<u4"
 
 
 def packed_ids(spark: SparkSession, path: str, dtype: str, closing_id: int | None = None):

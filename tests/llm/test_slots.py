@@ -73,3 +73,11 @@ def test_empty_table(spark, tmp_path):
     docs.write.parquet(str(tmp_path / "sf" / "documents.parquet"))
     assert QUERIES["op5_training_order"](spark, str(tmp_path / "sf")).count() == 0
     assert spark.range(0).select(slots.slot_of(5, 1)("id")).filter(F.lit(True)).count() == 0
+
+
+def test_ids_above_16_bits_and_the_old_filler_survive(spark, tmp_path):
+    ids = np.array([65_535, 7, 70_000], dtype="<u4")
+    rows = spark.createDataFrame([(0, 3, ids.tobytes()), (1, 1, ids[:1].tobytes())], "sequence long, n_tokens long, ids binary")
+    slots.write_shards(rows, 2, str(tmp_path / "s"), 3, "<u4", 4, 8).collect()
+    got = slots.read_shards(spark, str(tmp_path / "s"), "<u4", 4, 8, order=(2, 3)).collect()
+    assert {r.sequence: np.frombuffer(bytes(r.ids), dtype="<u4").tolist() for r in got} == {0: ids.tolist(), 1: [65_535]}
