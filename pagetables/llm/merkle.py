@@ -17,6 +17,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from pagetables.llm.common import free_name
+
 BLOCK = r"\s*+(?:\S{1,64}+\s*+){1,16}+|\s++"
 BUCKET_ROWS = 500
 MAX_BUCKETS = 65_536
@@ -101,17 +103,18 @@ def with_next(rows: DataFrame, key: str, carried: list[str]) -> DataFrame:
     def looked_up(values: list, at: Column) -> Column:
         return F.element_at(F.split(F.lit(",".join("" if v is None else str(v) for v in values)), ",").cast("array<bigint>"), at + 1)
 
-    in_bucket = rows.withColumn("_bucket", looked_up(bucket_of, cell).cast("int")).withColumn("_mix", F.xxhash64(*carried))
-    first = F.col(key).eqNullSafe(looked_up(tops, F.col("_bucket")))
-    before = F.when(F.col("_bucket") == 0, max(len(tops), 1) - 1).otherwise(F.col("_bucket") - 1)
+    bucket, mix, place, guest = (free_name(rows, name) for name in ("bucket", "mix", "place", "guest"))
+    in_bucket = rows.withColumn(bucket, looked_up(bucket_of, cell).cast("int")).withColumn(mix, F.xxhash64(*carried))
+    first = F.col(key).eqNullSafe(looked_up(tops, F.col(bucket)))
+    before = F.when(F.col(bucket) == 0, max(len(tops), 1) - 1).otherwise(F.col(bucket) - 1)
     places = F.array_compact(F.array(
-        F.struct(F.col("_bucket").alias("bucket"), F.lit(False).alias("guest")),
+        F.struct(F.col(bucket).alias("bucket"), F.lit(False).alias("guest")),
         F.when(first, F.struct(before.alias("bucket"), F.lit(True).alias("guest"))),
     ))
-    placed = in_bucket.withColumn("_place", F.explode(places)).withColumn("_bucket", F.col("_place.bucket")).withColumn("_guest", F.col("_place.guest"))
-    order = Window.partitionBy("_bucket").orderBy("_guest", F.desc_nulls_last(key), "_mix")
+    placed = in_bucket.withColumn(place, F.explode(places)).withColumn(bucket, F.col(place)["bucket"]).withColumn(guest, F.col(place)["guest"])
+    order = Window.partitionBy(bucket).orderBy(guest, F.desc_nulls_last(key), mix)
     following = [F.lead(c).over(order).alias(f"next_{c}") for c in carried]
-    return placed.select("*", *following).filter(~F.col("_guest")).drop("_bucket", "_mix", "_place", "_guest")
+    return placed.select("*", *following).filter(~F.col(guest)).drop(bucket, mix, place, guest)
 
 
 def edited_with_next(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:

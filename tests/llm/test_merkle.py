@@ -103,3 +103,10 @@ def test_long_text(spark):
     text = "word and word\n" * 100_000 + "z" * 300_000
     got = one(spark, merkle.fingerprint(F.repeat(F.lit("word and word\n"), F.lit(100_000))).alias("a"), merkle.fingerprint(F.lit(text)).alias("b"))
     assert got.b == plain_fingerprint(text) and got.a != got.b
+
+
+def test_helper_columns_clash_with_none(spark):
+    rows = spark.createDataFrame([(i, f"t{i}", 1, 2, 3, 4) for i in range(5)], "doc_id long, text string, bucket int, mix int, place int, guest int")
+    got = merkle.with_next(rows, "doc_id", ["text"])
+    assert got.columns == [*rows.columns, "next_text"]
+    assert {r.doc_id: r.next_text for r in got.collect()} == {0: "t4", 1: "t0", 2: "t1", 3: "t2", 4: "t3"}
