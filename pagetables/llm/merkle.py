@@ -1,8 +1,10 @@
 """Merkle fingerprints of texts: blocks of words under paragraphs under sections under one root.
 
-A paragraph is a line with its line end. Its leaves are blocks of up to 16 words (of at most 64 characters each, longer
-ones are cut) with the white space around them, so that every character is in a leaf. A section ends after an empty line,
-or after a paragraph whose hash starts with 1 or 2: boundaries follow content, and an insertion moves no other section.
+A paragraph is a line with its line end. Its leaves are blocks of words (of at most 64 characters each, longer ones are
+cut) with the white space around them, so that every character is in a leaf. A block ends after a word that ends in one of
+BLOCK_ENDS, at the latest after 16 words: boundaries follow content, and a word inserted into a line moves no block but its
+own. The first 16 words of a text are a leaf each, so that short texts have leaves to share. A section ends after an empty
+line, or after a paragraph whose hash starts with 1 or 2, so an insertion moves no other section either.
 
 Written form: `root/section;section`, a section is `hash=paragraph,paragraph`, a paragraph `hash:leaf.leaf`. Every hash
 covers what stands under it; the root is SHA-256, the others are 64-bit. Equal roots mean equal texts, and the differing
@@ -19,9 +21,14 @@ from pyspark.sql import functions as F
 
 from pagetables.llm.common import free_name
 
-BLOCK = r"\s*+(?:\S{1,64}+\s*+){1,16}+|\s++"
+BLOCK_ENDS = "dgkp.?!"
+BLOCK = rf"\s*+(?:\S{{1,64}}+\s*+){{1,15}}?(?<=[{BLOCK_ENDS}]\s)|\s*+(?:\S{{1,64}}+\s*+){{1,16}}+|\s++"
+HEAD = r"^\s*+(?:\S{1,64}+\s*+){1,16}+"
+WORD = r"\s*+\S{1,64}+\s*+"
 BUCKET_ROWS = 500
 MAX_BUCKETS = 65_536
+SAMPLED = 8  # sampled keys a bucket
+_CHUNK = 256
 
 
 def _hash(text: Column) -> Column:
@@ -30,8 +37,7 @@ def _hash(text: Column) -> Column:
 
 def fingerprint(text: Column) -> Column:
     paragraphs = F.filter(F.split(text, r"(?<=\n)"), lambda p: p != "")
-    leaves = F.transform(paragraphs, lambda p: F.array_join(
-        F.transform(F.regexp_extract_all(p, F.lit(BLOCK), F.lit(0)), _hash), "."))
+    leaves = F.transform(paragraphs, lambda p, i: F.array_join(F.transform(F.when(i == 0, _opening(p)).otherwise(_blocks(p)), _hash), "."))
     hashed = F.transform(leaves, lambda ls: F.concat(_hash(ls), F.lit(":"), ls))
     blank = _blank_leaf()
     ended = F.transform(hashed, lambda p: F.concat(p, F.when(p.rlike("^[12]") | (p == blank), F.lit(";")).otherwise(F.lit(","))))
@@ -40,6 +46,16 @@ def fingerprint(text: Column) -> Column:
     return F.aggregate(F.array(body), F.lit(""), lambda _, b: F.concat(F.sha2(b.cast("binary"), 256), F.lit("/"), b))
 
 
+def _blocks(text: Column) -> Column:
+    return F.regexp_extract_all(text, F.lit(BLOCK), F.lit(0))
+
+
+def _opening(paragraph: Column) -> Column:
+    """The blocks of a text's first paragraph."""
+    head = F.regexp_extract(paragraph, HEAD, 0)
+    return F.concat(F.regexp_extract_all(head, F.lit(WORD), F.lit(0)), _blocks(F.substring(paragraph, F.char_length(head) + 1, F.char_length(paragraph))))
+
+
 def _blank_leaf() -> Column:
     """The paragraph of a line end alone."""
     leaf = _hash(F.lit("\n"))
@@ -81,32 +97,32 @@ def changed_paragraphs(a: Column, b: Column) -> Column:
 def with_next(rows: DataFrame, key: str, carried: list[str]) -> DataFrame:
     """`rows` with `next_<column>` of the row that follows in descending `key`, after the last the first again.
 
-    No global window: keys fall into buckets of about BUCKET_ROWS rows, made from counts per cell of the key range (key column
-    only; MAX_BUCKETS cells at most reach the driver). The first row of each bucket is sent to the bucket before it, too. Rows
-    move once. Null keys come last; rows of equal key are ordered by a hash of what they carry.
+    No global window: keys fall into buckets of about BUCKET_ROWS rows, between bounds that are keys of a sample of the rows
+    (SAMPLED keys a bucket, MAX_BUCKETS buckets at most), so that no gap or outlier among the keys crowds a bucket; the sample decides
+    where rows meet, not what follows what. The first row of each bucket is sent to the bucket before it, too. Rows move
+    once. Null keys come last; rows of equal key stand in one bucket and are ordered by a hash of what they carry.
     """
-    low, high, n = rows.agg(F.min(key), F.max(key), F.count(F.lit(1))).first()
-    if low is None:
-        low = high = 0
-    cells = max(1, min(MAX_BUCKETS, -(-n // BUCKET_ROWS)))
-    width = (high - low) // cells + 1
-    cell = F.expr(f"cast((cast({high} as decimal(20, 0)) - coalesce(`{key}`, {low})) div cast({width} as decimal(20, 0)) as int)")
-    counts = rows.groupBy(cell.alias("cell")).agg(F.count(F.lit(1)).alias("n"), F.max(key).alias("top")).orderBy("cell").collect()
-    bucket_of, tops, held = [0] * cells, [], 0
-    for row in counts:
-        if not tops or held >= BUCKET_ROWS:
-            tops.append(row.top)
-            held = 0
-        bucket_of[row["cell"]] = len(tops) - 1
-        held += row.n
-
-    def looked_up(values: list, at: Column) -> Column:
-        return F.element_at(F.split(F.lit(",".join("" if v is None else str(v) for v in values)), ",").cast("array<bigint>"), at + 1)
-
+    top, n = rows.agg(F.max(key), F.count(key)).first()
+    buckets = max(1, min(MAX_BUCKETS, -(-n // BUCKET_ROWS)))
+    bounds: list[int] = []
+    if buckets > 1:
+        seen = sorted(r[0] for r in rows.select(key).dropna().sample(min(1.0, SAMPLED * buckets / n), seed=1).collect())
+        bounds = sorted({seen[len(seen) * i // buckets] for i in range(1, buckets)} - {top}) if seen else []
+
+    def listed(values: list[int]) -> Column:
+        # one literal, folded when planned
+        return (F.split(F.lit(",".join(map(str, values))), ",") if values else F.array()).cast("array<bigint>")
+
+    def below(values: Column) -> Column:
+        return F.size(F.filter(values, lambda b: b < F.col(key)))
+
+    # Bounds below the key: whole chunks first, then those of the chunk where the key falls.
+    chunks = below(listed(bounds[_CHUNK - 1 :: _CHUNK])) * _CHUNK
+    near = F.slice(listed(bounds), chunks + 1, F.lit(_CHUNK))
     bucket, mix, place, guest = (free_name(rows, name) for name in ("bucket", "mix", "place", "guest"))
-    in_bucket = rows.withColumn(bucket, looked_up(bucket_of, cell).cast("int")).withColumn(mix, F.xxhash64(*carried))
-    first = F.col(key).eqNullSafe(looked_up(tops, F.col(bucket)))
-    before = F.when(F.col(bucket) == 0, max(len(tops), 1) - 1).otherwise(F.col(bucket) - 1)
+    in_bucket = rows.withColumn(bucket, F.lit(len(bounds)) - chunks - below(near)).withColumn(mix, F.xxhash64(*carried))
+    first = F.coalesce(F.array_contains(near, F.col(key)), F.lit(False)) | F.col(key).eqNullSafe(F.lit(top))
+    before = F.when(F.col(bucket) == 0, len(bounds)).otherwise(F.col(bucket) - 1)
     places = F.array_compact(F.array(
         F.struct(F.col(bucket).alias("bucket"), F.lit(False).alias("guest")),
         F.when(first, F.struct(before.alias("bucket"), F.lit(True).alias("guest"))),

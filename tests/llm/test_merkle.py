@@ -8,19 +8,31 @@ from pyspark.sql import functions as F
 from pagetables.llm import merkle
 from pagetables.llm.queries import QUERIES
 
-_BLOCK = re.compile(r"[ \t\n\x0b\f\r]*+(?:[^ \t\n\x0b\f\r]{1,64}+[ \t\n\x0b\f\r]*+){1,16}+|[ \t\n\x0b\f\r]++")
+_S, _W = "[ \t\n\x0b\f\r]", "[^ \t\n\x0b\f\r]{1,64}+"
 
 
 def h(text):
     return format(xxhash.xxh64(text.encode(), seed=42).intdigest(), "x")
 
 
+def plain_leaves(line, opens):
+    """Words with the space around them, gathered one by one."""
+    pieces = re.findall(f"{_S}*+{_W}{_S}*+|{_S}++", line)
+    head, blocks, block = (pieces[:16] if opens else []), [], []
+    for word in pieces[len(head):]:
+        block.append(word)
+        if len(block) == 16 or (len(block) < 16 and re.search(f"[{re.escape(merkle.BLOCK_ENDS)}]{_S}$", word)):
+            blocks.append("".join(block))
+            block = []
+    return [*head, *blocks, *(["".join(block)] if block else [])]
+
+
 def plain_fingerprint(text):
     """The tree node by node."""
     sections, current = [], []
     for line in re.split(r"(?<=\n)", text):
         if line:
-            leaves = ".".join(h(b) for b in _BLOCK.findall(line))
+            leaves = ".".join(h(b) for b in plain_leaves(line, not (sections or current)))
             current.append(f"{h(leaves)}:{leaves}")
             if line == "\n" or h(leaves)[0] in "12":
                 sections.append(current)
@@ -61,6 +73,8 @@ def test_query(spark):
         assert r.near_next == pytest.approx(plain_likeness(fp, plain_fingerprint(after)))
     long = [r for r in got if r.n_chars > 600]
     assert sum(r.near_edited > 0.4 for r in long) > 0.97 * len(long)
+    short = [r for r in got if 3 <= len(texts[r.doc_id].split()) <= 50 and texts[r.doc_id] != want[r.doc_id][1]]
+    assert len(short) > 20 and all(r.near_edited > r.near_next for r in short)
 
 
 @pytest.mark.parametrize("rows", [
@@ -99,6 +113,29 @@ def test_branches_locate_edits(spark):
     assert 0.97 < row.near < 1
 
 
+def test_an_inserted_word_moves_one_block(spark):
+    words = [w for i in range(300) for w in (f"word{i}", "and", f"thing{i}", "stop.")]
+    a, b = (merkle.fingerprint(F.lit(" ".join(ws))) for ws in (words, [*words[:40], "new", *words[40:]]))
+    assert one(spark, merkle.likeness(a, b).alias("near")).near > 0.98
+
+
+def test_outlying_keys_crowd_no_bucket(spark, monkeypatch):
+    """Dense keys beside a far one: bounds follow the keys there are."""
+    monkeypatch.setattr(merkle, "BUCKET_ROWS", 50)
+    monkeypatch.setattr(merkle, "_CHUNK", 7)
+    keys = [*range(2_000), 2**62, -(2**62), None]
+    found = merkle.with_next(spark.createDataFrame([(k, f"t{k}") for k in keys], "doc_id long, text string"), "doc_id", ["text"])
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        spread = found.select("doc_id", "next_text", F.spark_partition_id().alias("part")).collect()
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    after = [*sorted((k for k in keys if k is not None), reverse=True), None]
+    assert {r.doc_id: r.next_text for r in spread} == {k: f"t{n}" for k, n in zip(after, [*after[1:], after[0]])}
+    parts = [sum(r.part == p for r in spread) for p in {r.part for r in spread}]
+    assert len(parts) > 1 and max(parts) < 1_200
+
+
 def test_long_text(spark):
     text = "word and word\n" * 100_000 + "z" * 300_000
     got = one(spark, merkle.fingerprint(F.repeat(F.lit("word and word\n"), F.lit(100_000))).alias("a"), merkle.fingerprint(F.lit(text)).alias("b"))
