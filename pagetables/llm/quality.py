@@ -1,17 +1,21 @@
-"""Document quality by co-training two views: what the text is like, and what surrounds it.
-
-The content view describes characters, words and repetition; the metadata view describes language, source, size and
-layout. Each view has a logistic classifier. In every round each classifier scores all unlabelled documents, and hands its most
-confident ones of either class to the other as pseudo-labelled examples. At the end both views are calibrated and combined by
-a logistic model on labelled rows that neither was trained on, and the combination scores every document.
-
-Documents become short feature arrays in one pass over the texts, kept as a table; the rounds read that table only. Bounds:
-`train_rows` labelled rows, and `grow` pseudo-labels per view, class and round with a confidence of at least `confident`,
-the most confident of all documents. Nothing else is limited.
-
-Defined results: null and empty texts have the feature values of an empty text; null languages and sources are a value of
-their own; null labels are none, of several labels of a document the smallest counts. Without labels of both classes every score
-is 1 (nothing can be told to be bad) or 0 (all labels are 0). Repeated rows are scored alike. Texts are read whole.
+"""Document quality by co-training two views: what the text is like, and what is said about it.
+
+The content view describes characters, words and repetition of the whole text; the metadata view describes language, source
+and stated size, and sees nothing of the text. Each view has a logistic classifier. In every round each classifier scores all
+unlabelled documents, and hands every one it is confident of, of either class, to the other as a pseudo-labelled example. At the
+end each view is calibrated, and a logistic model combines the calibrated views, both on labelled rows that neither view
+was trained on; the combination scores every document.
+
+Documents become short feature arrays in one pass over the texts, kept as a table; the rounds read that table only. Equal
+feature arrays are one example, so that copies do not outvote the rest. Pseudo-labelled examples never reach the driver: each task
+adds up their gradients and Hessians, and Newton's steps are taken on the sums. An example weighs `weight`, less where a class has more of
+them than labels: together they weigh at most `weight` times the labels of their class. The only bound is `train_rows` labelled rows.
+
+Defined results: null and empty texts have the feature values of an empty text; null languages, sources and sizes are a value of
+their own, and so is a missing size column; null labels are none, of several labels of a document the smallest counts; of several texts of a labelled document
+that with the smallest feature hash is trained on. Without labels of both classes every score is 1 (nothing can be told to be bad) or 0 (all
+labels are 0). Where the labelled rows kept for calibration hold one class only, the training rows are used for it as well.
+Repeated rows are scored alike. Texts are read whole.
 """
 
 from __future__ import annotations
@@ -26,7 +30,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from pagetables.llm.common import ship, text_or_empty
-from pagetables.llm.learn import fit_logistic, logit, predict_logistic
+from pagetables.llm.learn import fit_logistic, logit, predict_logistic, sigmoid
 from pagetables.plans.workspace import store
 
 _CLASSES = np.zeros((256, 7))
@@ -61,127 +65,178 @@ def content_features(text: str) -> list[float]:
     ]
 
 
-def metadata_features(lang: str | None, source: str | None, text: str) -> list[float]:
-    """Hashed language and source, size and layout."""
+def metadata_features(lang: str | None, source: str | None, size: int | None) -> list[float]:
+    """Hashed language and source, stated size."""
     out = [0.0] * (2 * HASHED)
     out[zlib.crc32((lang or "\0").encode()) % HASHED] = 1.0
     out[HASHED + zlib.crc32((source or "\0").encode()) % HASHED] = 1.0
-    lines = text.count("\n") + 1
-    size = np.log1p(len(text))
-    per_line = np.log1p(len(text) / lines)
-    return [*out, size / 10, (size / 10) ** 2, np.log1p(lines) / 5, per_line / 5, (per_line / 5) ** 2]
+    log = np.log1p(max(size or 0, 0)) / 10
+    return [*out, float(size is None), log, log**2]
 
 
 N_CONTENT = len(content_features("a"))
-N_METADATA = len(metadata_features(None, None, ""))
+N_METADATA = len(metadata_features(None, None, None))
+WIDTHS = {"content": N_CONTENT, "metadata": N_METADATA}
 
 
-def featured(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", lang: str = "lang", source: str = "source"):
+def featured(docs: DataFrame, text: str = "text", lang: str = "lang", source: str = "source", size: str = "n_chars"):
     """A Column of both views' features."""
     ship(docs.sparkSession)
 
     @F.arrow_udf("struct<content:array<float>,metadata:array<float>>")
     def features(batches: Iterator[tuple[pa.Array, ...]]) -> Iterator[pa.Array]:
         one = pa.list_(pa.float32())
-        for texts, langs, sources in batches:
-            content, metadata = [], []
-            for t, ln, s in zip(texts.to_pylist(), langs.to_pylist(), sources.to_pylist()):
-                content.append(content_features(t))
-                metadata.append(metadata_features(ln, s, t))
+        for texts, *about in batches:
+            content = [content_features(t) for t in texts.to_pylist()]
+            metadata = [metadata_features(*row) for row in zip(*(column.to_pylist() for column in about))]
             yield pa.StructArray.from_arrays([pa.array(content, one), pa.array(metadata, one)], ["content", "metadata"])
 
-    return features.asNondeterministic()(text_or_empty(text), F.col(lang).cast("string"), F.col(source).cast("string"))
+    stated = F.col(size) if size in docs.columns else F.lit(None)
+    return features.asNondeterministic()(text_or_empty(text), F.col(lang).cast("string"), F.col(source).cast("string"), stated.cast("long"))
 
 
 @dataclass
 class Model:
-    """A logistic classifier a view and their combination; without classifiers, one score for all."""
+    """A logistic classifier and a calibration (slope, shift) a view, and their combination; without classifiers, one score for all."""
 
     content: np.ndarray | None = None
     metadata: np.ndarray | None = None
+    calibration: dict[str, np.ndarray] | None = None
     mix: np.ndarray | None = None
     constant: float = 1.0
 
     def views(self, content: np.ndarray, metadata: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         return predict_logistic(content, self.content), predict_logistic(metadata, self.metadata)
 
+    def calibrated(self, content: np.ndarray, metadata: np.ndarray) -> np.ndarray:
+        """Both views' calibrated log odds, side by side."""
+        scales = [self.calibration[view] for view in WIDTHS]
+        return np.column_stack([logit(p) * slope + shift for p, (slope, shift) in zip(self.views(content, metadata), scales)])
+
     def combined(self, content: np.ndarray, metadata: np.ndarray) -> np.ndarray:
-        a, b = self.views(content, metadata)
-        return predict_logistic(np.column_stack([logit(a), logit(b)]), self.mix)
+        return predict_logistic(self.calibrated(content, metadata), self.mix)
 
 
 def _matrix(column: pa.Array, width: int) -> np.ndarray:
     return column.flatten().to_numpy(zero_copy_only=False).astype(float).reshape(-1, width)
 
 
-def scorer(model: Model, both_views: bool = False):
-    """A function Column -> Column: feature structs to the combined score, or to a struct of both views' scores."""
-    kind = "struct<content:double,metadata:double>" if both_views else "double"
+def scorer(model: Model):
+    """A function Column -> Column: feature structs to the combined score."""
 
-    @F.arrow_udf(kind)
+    @F.arrow_udf("double")
     def score(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         for batch in batches:
-            content, metadata = _matrix(batch.field("content"), N_CONTENT), _matrix(batch.field("metadata"), N_METADATA)
-            if both_views:
-                a, b = model.views(content, metadata)
-                yield pa.StructArray.from_arrays([pa.array(a), pa.array(b)], ["content", "metadata"])
-            elif model.mix is None:
+            if model.mix is None:
                 yield pa.array(np.full(len(batch), model.constant))
             else:
-                yield pa.array(model.combined(content, metadata))
+                yield pa.array(model.combined(*(_matrix(batch.field(view), n) for view, n in WIDTHS.items())))
 
     return score.asNondeterministic()
 
 
-def _standing(rows: list, view: str) -> np.ndarray:
-    return np.array([r["features"][view] for r in rows], dtype=float)
+# What a view learns from: per class the number of examples, the gradient and the Hessian of their loss.
+Sums = dict[str, dict[int, tuple[float, np.ndarray, np.ndarray]]]
+
+
+def taught(features: dict[str, np.ndarray], teachers: Model, learners: dict[str, np.ndarray], confident: float) -> list[np.ndarray]:
+    """The parts of Sums, view by view and class by class, of the rows that the other view is confident of."""
+    parts = []
+    for view, p in zip(WIDTHS, reversed(teachers.views(**features))):
+        x = np.column_stack([features[view], np.ones(len(p))])
+        learnt = sigmoid(x @ learners[view])
+        for label in (0, 1):
+            sure = (p if label else 1 - p) >= confident
+            rows, q = x[sure], learnt[sure]
+            parts += [np.array([float(len(rows))]), rows.T @ (q - label), ((rows * (q * (1 - q))[:, None]).T @ rows).ravel()]
+    return parts
+
+
+def _sums(flat: np.ndarray) -> Sums:
+    out: Sums = {}
+    at = 0
+    for view, n in WIDTHS.items():
+        for label in (0, 1):
+            d = n + 1
+            out.setdefault(view, {})[label] = (flat[at], flat[at + 1 : at + 1 + d], flat[at + 1 + d : at + 1 + d + d * d].reshape(d, d))
+            at += 1 + d + d * d
+    return out
+
+
+def _gathered(unlabelled: DataFrame, teachers: Model, learners: dict[str, np.ndarray], confident: float) -> Sums:
+    """`taught` over all rows: one row of sums a task, a few at the driver."""
+    length = sum(2 * (1 + (n + 1) + (n + 1) ** 2) for n in WIDTHS.values())
+
+    def row(total: np.ndarray) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([pa.array([total], pa.list_(pa.float64()))], ["sums"])
+
+    def learn(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total = np.zeros(length)
+        for batch in batches:
+            total += np.concatenate(taught({v: _matrix(batch.column(v), n) for v, n in WIDTHS.items()}, teachers, learners, confident))
+        yield row(total)
+
+    def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total = np.zeros(length)
+        for batch in batches:
+            total += batch.column("sums").flatten().to_numpy().reshape(-1, length).sum(axis=0)
+        yield row(total)
+
+    kind = "sums array<double>"
+    found = unlabelled.select("features.content", "features.metadata").mapInArrow(learn, kind).repartition(8).mapInArrow(add, kind).collect()
+    return _sums(np.sum([np.zeros(length), *(np.array(r.sums) for r in found)], axis=0))
+
+
+def newton_step(w: np.ndarray, x: np.ndarray, y: np.ndarray, sums: dict[int, tuple[float, np.ndarray, np.ndarray]], weight: float, l2: float = 0.1) -> np.ndarray:
+    """One step of the logistic fit on labelled rows together with the sums of pseudo-labelled ones."""
+    x = np.column_stack([x, np.ones(len(x))])
+    p = sigmoid(x @ w)
+    penalty = np.full(len(w), l2)
+    penalty[-1] = 1e-6
+    gradient = x.T @ (p - y) + penalty * w
+    hessian = (x * (p * (1 - p))[:, None]).T @ x + np.diag(penalty + 1e-9)
+    for label, (n, slope, bend) in sums.items():
+        each = weight * min(1.0, (y == label).sum() / max(n, 1.0))
+        gradient, hessian = gradient + each * slope, hessian + each * bend
+    step = np.linalg.solve(hessian, gradient)
+    return w - step / max(1.0, np.abs(step).max() / 5)
 
 
 def co_train(table: DataFrame, labels: DataFrame, folder: str, doc_id: str = "doc_id", label: str = "quality", train_rows: int = 12_000,
-             rounds: int = 3, grow: int = 500, confident: float = 0.95) -> Model:
-    """Train on a table of doc_id and features; the unlabelled rows are set apart in `folder` once. One labelled row in four is kept
-    for calibration."""
+             rounds: int = 3, steps: int = 4, confident: float = 0.95, weight: float = 0.3) -> Model:
+    """Train on a table of doc_id and features; the features of the unlabelled rows are set apart in `folder` once. A round takes `steps` steps
+    of Newton's method from the last round's classifiers. One labelled row in four is kept for calibration, half of them for the
+    views, half for the combination."""
     known = labels.select(F.col(doc_id).alias("doc_id"), F.col(label).alias("label")).filter(F.col("label").isNotNull() & F.col("doc_id").isNotNull())
     known = known.groupBy("doc_id").agg(F.min("label").alias("label"))
     sample = known.orderBy(F.xxhash64("doc_id"), "doc_id").limit(train_rows)
-    # train_rows bounds the broadcast side and what reaches the driver.
-    rows = sorted(table.join(F.broadcast(sample), "doc_id").select("doc_id", "label", "features").collect(), key=lambda r: r.doc_id)
+    # train_rows bounds the broadcast side and, as each id gives one row, what reaches the driver.
+    one_each = table.join(F.broadcast(sample), "doc_id").groupBy("doc_id", "label").agg(F.min_by("features", F.xxhash64("features")).alias("features"))
+    rows = sorted(one_each.collect(), key=lambda r: r.doc_id)
     y = np.array([float(r.label == 1) for r in rows])
     if len(set(y.tolist())) < 2:
         return Model(constant=0.0 if len(y) and y[0] == 0 else 1.0)
-    kept = np.array([zlib.crc32(str(r.doc_id).encode()) % 4 == 0 for r in rows])
+    drawn = np.array([zlib.crc32(str(r.doc_id).encode()) for r in rows])
+    kept = drawn % 4 == 0
     if len(set(y[kept].tolist())) < 2 or len(set(y[~kept].tolist())) < 2:
         kept[:] = False
     held = kept if kept.any() else ~kept
-    views = {v: _standing(rows, v) for v in ("content", "metadata")}
-    extra: dict[str, list[tuple[np.ndarray, float]]] = {"content": [], "metadata": []}
-
-    def trained(view: str) -> np.ndarray:
-        x, target = views[view][~kept], y[~kept]
-        weight = np.ones(len(target))
-        if extra[view]:
-            x = np.vstack([x, *(f for f, _ in extra[view])])
-            target = np.concatenate([target, *(np.full(len(f), c) for f, c in extra[view])])
-            # A pseudo-label weighs less than a label.
-            weight = np.concatenate([weight, np.full(len(target) - len(weight), 0.3)])
-        return fit_logistic(x, target, weight, l2=0.1)
-
-    model = Model(trained("content"), trained("metadata"))
-    unlabelled = store(table.join(known.select("doc_id"), "doc_id", "left_anti"), folder)
+    halves = [held & (drawn // 4 % 2 == half) for half in (0, 1)]
+    if any(len(set(y[half].tolist())) < 2 for half in halves):
+        halves = [held, held]
+    views = {v: np.array([r["features"][v] for r in rows], dtype=float) for v in WIDTHS}
+    fitted = {v: fit_logistic(x[~kept], y[~kept], l2=0.1) for v, x in views.items()}
+    unlabelled = store(table.join(known.select("doc_id"), "doc_id", "left_anti").select("features").distinct(), folder)
     for _ in range(rounds):
-        scored = unlabelled.select("doc_id", "features", scorer(model, both_views=True)("features").alias("p"))
-        found = []
-        for teacher, learner in (("content", "metadata"), ("metadata", "content")):
-            for good in (True, False):
-                p = F.col(f"p.{teacher}") if good else 1 - F.col(f"p.{teacher}")
-                best = scored.withColumn("sure", p).filter(F.col("sure") >= confident).orderBy(F.desc("sure"), F.xxhash64("doc_id"), "doc_id").limit(grow)
-                found.append((learner, float(good), _standing(best.select("features").collect(), learner)))
-        for learner, target, x in found:
-            if len(x):
-                extra[learner].append((x, target))
-        model = Model(trained("content"), trained("metadata"))
-    a, b = model.views(views["content"][held], views["metadata"][held])
-    model.mix = fit_logistic(np.column_stack([logit(a), logit(b)]), y[held], l2=0.1)
+        teachers = Model(**fitted)
+        for _ in range(steps):
+            sums = _gathered(unlabelled, teachers, fitted, confident)
+            fitted = {v: newton_step(fitted[v], x[~kept], y[~kept], sums[v], weight) for v, x in views.items()}
+    model = Model(**fitted)
+    first, second = ({v: x[half] for v, x in views.items()} for half in halves)
+    odds = dict(zip(WIDTHS, map(logit, model.views(**first))))
+    model.calibration = {v: fit_logistic(z[:, None], y[halves[0]], l2=0.1) for v, z in odds.items()}
+    model.mix = fit_logistic(model.calibrated(**second), y[halves[1]], l2=0.1)
     return model
 
 

@@ -2,7 +2,6 @@ import zlib
 
 import numpy as np
 import pytest
-from pyspark.sql import functions as F
 
 from pagetables.llm import quality
 from pagetables.llm.learn import area_under_roc, fit_logistic, predict_logistic
@@ -24,7 +23,7 @@ def test_query_on_rows_kept_from_the_views(spark):
 
 @pytest.mark.parametrize("text", ["", " ", "\n\n", "a", "é漢😀", "x" * 100_000, "!!!" * 1000])
 def test_features_are_finite(text):
-    for values, n in ((quality.content_features(text), quality.N_CONTENT), (quality.metadata_features(None, "s", text), quality.N_METADATA)):
+    for values, n in ((quality.content_features(text), quality.N_CONTENT), (quality.metadata_features(None, "s", len(text)), quality.N_METADATA)):
         assert len(values) == n and np.isfinite(values).all()
 
 
@@ -49,17 +48,72 @@ def test_edges(spark, tmp_path):
         assert {r.score for r in scores.collect()} == {constant}
 
 
-def test_views_teach_each_other(spark, tmp_path):
-    """With few labelled rows the rounds find more: pseudo-labels change the metadata view."""
-    docs = documents(spark, 400)
-    labels = spark.createDataFrame([(i, int(i % 4 > 0)) for i in range(80)], "doc_id long, quality int")
-    table = docs.select("doc_id", quality.featured(docs).alias("features"))
-    table.write.parquet(str(tmp_path / "t"))
+def described(spark, n=600):
+    """Texts and sources both tell the quality, each wrongly for a few; groups of copies of one bad text."""
+    rng = np.random.default_rng(3)
+    rows = []
+    for i in range(n):
+        good = i % 3 > 0
+        looks, comes = (good ^ (rng.random() < 0.06) for _ in range(2))
+        words = " ".join(rng.choice(["plain", "words", "of", "prose", "here."], 5 + i % 40))
+        rows.append((i, words if looks else words.upper() + " $$$ !!!", "en", "paper" if comes else "spam", int(rng.integers(20, 400))))
+    return spark.createDataFrame(rows + [(n + i, "WIN $$$", "en", "spam", 7) for i in range(300)], "doc_id long, text string, lang string, source string, n_chars int")
+
+
+def plain_co_training(table, truth, rounds, steps, confident, weight):
+    """The same rounds on whole matrices, with every pseudo-labelled example in hand."""
+    views = ("content", "metadata")
+    train = sorted((i, x) for i, x in table if i in truth and zlib.crc32(str(i).encode()) % 4)
+    y = np.array([float(truth[i]) for i, _ in train])
+    x = {v: np.array([f[k] for _, f in train]) for k, v in enumerate(views)}
+    rest = sorted({f for i, f in table if i not in truth})
+    u = {v: np.array([f[k] for f in rest]) for k, v in enumerate(views)}
+    w = {v: fit_logistic(x[v], y, l2=0.1) for v in views}
+    for _ in range(rounds):
+        p = {v: predict_logistic(u[v], w[v]) for v in views}
+        for view, teacher in zip(views, reversed(views)):
+            xs, ys, ws = [x[view]], [y], [np.ones(len(y))]
+            for label in (0, 1):
+                sure = u[view][(p[teacher] if label else 1 - p[teacher]) >= confident]
+                xs.append(sure)
+                ys.append(np.full(len(sure), float(label)))
+                ws.append(np.full(len(sure), weight * min(1, (y == label).sum() / max(len(sure), 1))))
+            all_x = np.column_stack([np.vstack(xs), np.ones(sum(map(len, xs)))])
+            all_y, all_w = np.concatenate(ys), np.concatenate(ws)
+            penalty = np.array([0.1] * x[view].shape[1] + [1e-6])
+            for _ in range(steps):
+                q = 1 / (1 + np.exp(-(all_x @ w[view])))
+                step = np.linalg.solve(all_x.T @ (all_x * (all_w * q * (1 - q))[:, None]) + np.diag(penalty + 1e-9), all_x.T @ (all_w * (q - all_y)) + penalty * w[view])
+                w[view] = w[view] - step / max(1, np.abs(step).max() / 5)
+    return w
+
+
+def test_rounds_equal_brute_force(spark, tmp_path):
+    """Every confident document counts once; both views follow; the combination is right where one view is not."""
+    docs = described(spark)
+    truth = {i: int(i % 3 > 0) for i in range(200)}
+    labels = spark.createDataFrame(list(truth.items()), "doc_id long, quality int")
+    docs.select("doc_id", quality.featured(docs).alias("features")).write.parquet(str(tmp_path / "t"))
     table = spark.read.parquet(str(tmp_path / "t"))
-    alone, taught = quality.co_train(table, labels, str(tmp_path / "u"), rounds=0), quality.co_train(table, labels, str(tmp_path / "v"), rounds=2, confident=0.6)
-    assert not np.allclose(alone.metadata, taught.metadata)
-    wrong = table.select("doc_id", quality.scorer(taught)("features").alias("s")).filter((F.col("s") >= 0.5) != (F.col("doc_id") % 4 > 0))
-    assert wrong.filter("doc_id < 400").count() < 20
+    options = {"rounds": 2, "steps": 3, "confident": 0.8, "weight": 0.3}
+    alone = quality.co_train(table, labels, str(tmp_path / "u"), **{**options, "rounds": 0})
+    taught = quality.co_train(table, labels, str(tmp_path / "v"), **options)
+    local = [(r.doc_id, (tuple(r.features.content), tuple(r.features.metadata))) for r in table.collect()]
+    want = plain_co_training(local, truth, **options)
+    assert taught.content == pytest.approx(want["content"], rel=1e-4, abs=1e-4)
+    assert taught.metadata == pytest.approx(want["metadata"], rel=1e-4, abs=1e-4)
+    assert not np.allclose(alone.content, taught.content) and not np.allclose(alone.metadata, taught.metadata)
+    scores = {r.doc_id: r.s for r in table.select("doc_id", quality.scorer(taught)("features").alias("s")).collect()}
+    assert sum((scores[i] >= 0.5) != (i % 3 > 0) for i in range(200, 600)) < 50 and all(scores[i] < 0.5 for i in range(600, 900))
+    assert np.array(list(taught.calibration.values())).shape == (2, 2)
+
+
+def test_one_text_a_labelled_id(spark, tmp_path):
+    """An id on very many rows gives one example; a size column that is missing or null is a value of its own."""
+    docs = documents(spark).unionByName(spark.range(500).selectExpr("cast(5 as long) doc_id", "concat('text ', id) text", "'en' lang", "'s1' source", "'x' features"))
+    labels = spark.createDataFrame([(i, int(i % 4 > 0)) for i in range(120)], "doc_id long, quality int")
+    assert quality.score_documents(docs, labels, str(tmp_path / "a"))[0].count() == docs.count()
+    assert quality.metadata_features("en", "s", None) != quality.metadata_features("en", "s", 0)
 
 
 def test_logistic_recovers_weights():
