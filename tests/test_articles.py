@@ -3,6 +3,7 @@
 import json
 import time
 
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -293,3 +294,17 @@ def test_broken_markup_takes_linear_time(page):
     start = time.process_time()
     html.scan_page(page, html.element_reader(spec_for([by_tag("p")])))
     assert time.process_time() - start < 5
+
+
+def test_pages_of_a_batch_are_scanned_a_few_megabytes_at_a_time(spark):
+    pages = pa.array(["x" * 40, None, "y" * 70, "", "z" * 300, "é" * 60])
+    runs = html.page_runs(pages, limit=100)
+    assert [len(r) for r in runs] == [3, 2, 1] and pa.concat_arrays(runs) == pages
+    assert html.page_runs(pages.slice(0, 0)) == []
+    # 20 MB of HTML in one batch: Python gets it in several runs, and every row its own nodes.
+    source = F.when(F.col("id") % 7 != 0, F.concat(F.lit("<h1>"), F.col("id"), F.lit("</h1>"), F.repeat(F.lit("-"), 200_000)))
+    rows = spark.range(0, 100, 1, 1).select("id", source.alias("html"))
+    runs = html.page_runs(pa.array(r.html for r in rows.collect()))
+    assert len(runs) > 5 and max(sum(len(x or "") for x in r.to_pylist()) for r in runs) < html.SCANNED_BYTES + 200_100
+    title = select_texts(html_nodes(F.col("html"), spec_for([by_tag("h1")])), by_tag("h1"))
+    assert [(r.id, r.t) for r in rows.select("id", title.alias("t")).collect()] == [(i, [str(i)] if i % 7 else None) for i in range(100)]
