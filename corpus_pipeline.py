@@ -25,8 +25,8 @@ def keep_good(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents whose nearest labelled examples do not make them toxic."""
     model = toxicity.fit(docs, _labels(spark, sf_dir))
-    counts, score = free_name(docs, "counts"), free_name(docs, "score")
-    scored = docs.withColumn(counts, toxicity.counter(docs, model)(text_or_empty("text"))).withColumn(score, toxicity.scorer(docs, model)(counts)["score"])
+    score = free_name(docs, "score")
+    scored = docs.withColumn(score, toxicity.text_scorer(docs, model)(text_or_empty("text"))["score"])
     return scored.filter(F.col(score) < 0.5).select(docs.columns)
 
 

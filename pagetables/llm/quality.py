@@ -44,6 +44,7 @@ for _b in range(256):
     _CLASSES[_b, 5] = _b >= 128
 _CLASSES[:, 6] = 1 - _CLASSES[:, :6].sum(axis=1)
 HASHED = 16
+ROWS_AT_ONCE = 250  # rows of a batch that are Python objects at a time
 KEPT_FROM = 0.5
 
 
@@ -86,10 +87,12 @@ def featured(docs: DataFrame, text: str = "text", lang: str = "lang", source: st
     @F.arrow_udf("struct<content:array<float>,metadata:array<float>>")
     def features(batches: Iterator[tuple[pa.Array, ...]]) -> Iterator[pa.Array]:
         one = pa.list_(pa.float32())
-        for texts, *about in batches:
-            content = [content_features(t) for t in texts.to_pylist()]
-            metadata = [metadata_features(*row) for row in zip(*(column.to_pylist() for column in about))]
-            yield pa.StructArray.from_arrays([pa.array(content, one), pa.array(metadata, one)], ["content", "metadata"])
+        for columns in batches:
+            for start in range(0, len(columns[0]), ROWS_AT_ONCE):
+                texts, *about = (column.slice(start, ROWS_AT_ONCE).to_pylist() for column in columns)
+                content = [content_features(t) for t in texts]
+                metadata = [metadata_features(*row) for row in zip(*about)]
+                yield pa.StructArray.from_arrays([pa.array(content, one), pa.array(metadata, one)], ["content", "metadata"])
 
     stated = F.col(size) if size in docs.columns else F.lit(None)
     return features.asNondeterministic()(text_or_empty(text), F.col(lang).cast("string"), F.col(source).cast("string"), stated.cast("long"))

@@ -26,7 +26,7 @@ import regex
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from pagetables.llm.common import ship, text_or_empty
+from pagetables.llm.common import at_work, ship, text_or_empty
 from pagetables.llm.learn import fit_logistic, sigmoid
 from pagetables.plans.workspace import store
 
@@ -196,7 +196,7 @@ def choose(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str
 
 def _count_by_label(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Partial counts of a batch."""
-    for batch in batches:
+    for batch in (whole.slice(start, 4 * ROWS_AT_ONCE) for whole in batches for start in range(0, whole.num_rows, 4 * ROWS_AT_ONCE)):
         found: dict[str, list[int]] = {}
         for label, text in zip(batch.column("label").to_pylist(), batch.column("text").to_pylist()):
             for f in text_features(text):
@@ -206,6 +206,22 @@ def _count_by_label(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatc
             names=["feature", "with1", "with0"])
 
 
+ROWS_AT_ONCE = 250
+
+
+def _row_runs(batch: pa.Array) -> Iterator[pa.Array]:
+    """A batch in runs of rows, so that few of them are Python objects at a time."""
+    for start in range(0, len(batch), ROWS_AT_ONCE):
+        yield batch.slice(start, ROWS_AT_ONCE)
+
+
+def _packed_counts(counts: list[dict[int, int]]) -> pa.Array:
+    sizes = np.cumsum([0, *map(len, counts)])
+    f = np.fromiter((f for c in counts for f in c), np.int32, sizes[-1])
+    n = np.fromiter((n for c in counts for n in c.values()), np.int32, sizes[-1])
+    return pa.ListArray.from_arrays(pa.array(sizes, pa.int32()), pa.StructArray.from_arrays([pa.array(f), pa.array(n)], ["f", "n"]))
+
+
 COUNT_TYPE = "array<struct<f:int,n:int>>"
 
 
@@ -216,27 +232,40 @@ def counter(docs: DataFrame, model: Model):
 
     @F.arrow_udf(COUNT_TYPE)
     def count(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
-        kind = pa.list_(pa.struct([("f", pa.int32()), ("n", pa.int32())]))
+        at_work("toxicity", plain.known.clear)
         for batch in batches:
-            yield pa.array([[{"f": f, "n": n} for f, n in plain.counts(t or "").items()] for t in batch.to_pylist()], kind)
+            for rows in _row_runs(batch):
+                yield _packed_counts([plain.counts(t or "") for t in rows.to_pylist()])
 
     return count.asNondeterministic()
 
 
+def _added_up(size: int, counts: Iterator[pa.Array]) -> pa.RecordBatch:
+    """The counts of a task: how many rows hold each feature, and all rows as feature -1."""
+    found = np.zeros(size + 1, np.int64)
+    for rows in counts:
+        found[0] += len(rows)
+        found[1:] += np.bincount(rows.flatten().field(0).to_numpy(), minlength=size)[:size]
+    at = np.flatnonzero(found)
+    return pa.RecordBatch.from_arrays([pa.array((at - 1).astype(np.int32)), pa.array(found[at])], names=["f", "n"])
+
+
+FREQUENCIES = "f int, n long"
+
+
 def weigh(model: Model, counted: DataFrame) -> Model:
     """Complete a model by document frequencies over all rows of `counted` (its column `counts`), and fit the calibration."""
     size = len(model.vocabulary)
 
     def add_up(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        """The counts of a task: how many rows hold each feature, and all rows as feature -1."""
-        found = np.zeros(size + 1, np.int64)
-        for batch in batches:
-            found[0] += batch.num_rows
-            found[1:] += np.bincount(batch.column(0).flatten().field(0).to_numpy(), minlength=size)[:size]
-        at = np.flatnonzero(found)
-        yield pa.RecordBatch.from_arrays([pa.array((at - 1).astype(np.int32)), pa.array(found[at])], names=["f", "n"])
+        yield _added_up(size, (batch.column(0) for batch in batches))
+
+    return _weighed(model, counted.select("counts").mapInArrow(add_up, FREQUENCIES))
 
-    held = {r.f: r.n for r in counted.select("counts").mapInArrow(add_up, "f int, n long").groupBy("f").agg(F.sum("n").alias("n")).collect()}
+
+def _weighed(model: Model, frequencies: DataFrame) -> Model:
+    size = len(model.vocabulary)
+    held = {r.f: r.n for r in frequencies.groupBy("f").agg(F.sum("n").alias("n")).collect()}
     n, frequency = held.pop(-1, 0), np.zeros(size)
     for f, count in held.items():
         frequency[f] = count
@@ -268,6 +297,12 @@ def _index(model: Model) -> Model:
 SCORE_TYPE = "struct<score:double,evidence:array<struct<doc_id:long,label:int,cosine:double>>>"
 
 
+def _packed_scores(found: list[tuple[float, list[tuple[int, int, float]]]]) -> pa.Array:
+    one = pa.list_(pa.struct([("doc_id", pa.int64()), ("label", pa.int32()), ("cosine", pa.float64())]))
+    evidence = [[dict(zip(("doc_id", "label", "cosine"), e)) for e in ev] for _, ev in found]
+    return pa.StructArray.from_arrays([pa.array([s for s, _ in found], pa.float64()), pa.array(evidence, one)], ["score", "evidence"])
+
+
 def scorer(docs: DataFrame, model: Model):
     """A function Column -> Column: counted features (see counter) to (score, evidence), the evidence being the nearest examples."""
     ship(docs.sparkSession)
@@ -275,11 +310,9 @@ def scorer(docs: DataFrame, model: Model):
 
     @F.arrow_udf(SCORE_TYPE)
     def score(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
-        one = pa.list_(pa.struct([("doc_id", pa.int64()), ("label", pa.int32()), ("cosine", pa.float64())]))
         for batch in batches:
-            found = [model.score({c["f"]: c["n"] for c in counts or ()}) for counts in batch.to_pylist()]
-            evidence = [[dict(zip(("doc_id", "label", "cosine"), e)) for e in ev] for _, ev in found]
-            yield pa.StructArray.from_arrays([pa.array([s for s, _ in found], pa.float64()), pa.array(evidence, one)], ["score", "evidence"])
+            for rows in _row_runs(batch):
+                yield _packed_scores([model.score({c["f"]: c["n"] for c in counts or ()}) for counts in rows.to_pylist()])
 
     return score.asNondeterministic()
 
@@ -287,7 +320,30 @@ def scorer(docs: DataFrame, model: Model):
 def fit(docs: DataFrame, labels: DataFrame, **options) -> Model:
     """A complete model, its document frequencies counted over `docs`."""
     model = choose(docs, labels, **options)
-    return weigh(model, docs.select(counter(docs, model)(F.col(options.get("text", "text"))).alias("counts")))
+    plain = Model(vocabulary=model.vocabulary)
+
+    def add_up(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        # Counting here, rather than in a column of its own, saves each task a second Python worker.
+        at_work("toxicity", plain.known.clear)
+        runs = (rows for batch in batches for rows in _row_runs(batch.column(0)))
+        yield _added_up(len(plain.vocabulary), (_packed_counts([plain.counts(t or "") for t in rows.to_pylist()]) for rows in runs))
+
+    return _weighed(model, docs.select(F.col(options.get("text", "text"))).mapInArrow(add_up, FREQUENCIES))
+
+
+def text_scorer(docs: DataFrame, model: Model):
+    """A function Column -> Column: texts to (score, evidence), counted and scored by one Python worker a task."""
+    ship(docs.sparkSession)
+    model.examples = []
+
+    @F.arrow_udf(SCORE_TYPE)
+    def score(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        at_work("toxicity", model.known.clear)
+        for batch in batches:
+            for rows in _row_runs(batch):
+                yield _packed_scores([model.score(model.counts(t or "")) for t in rows.to_pylist()])
+
+    return score.asNondeterministic()
 
 
 def score_documents(docs: DataFrame, labels: DataFrame, folder: str, doc_id: str = "doc_id", text: str = "text", **options) -> DataFrame:

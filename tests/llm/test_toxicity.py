@@ -76,3 +76,21 @@ def test_edges(spark, tmp_path):
     assert toxicity.score_documents(docs.limit(0), labels, str(tmp_path / "b")).count() == 0
     none = toxicity.score_documents(docs, labels.limit(0), str(tmp_path / "c")).collect()
     assert {r.score for r in none} == {0.0}
+
+
+def test_counting_and_scoring_of_texts_take_one_python_worker_a_task(spark):
+    docs, labels = spark.read.parquet(f"{SF_DIR}/documents.parquet").limit(3_000), spark.read.parquet(f"{SF_DIR}/labels.parquet")
+    model = toxicity.fit(docs, labels, train_rows=300)
+    counted = docs.select("doc_id", toxicity.counter(docs, model)("text").alias("counts"))
+    two = toxicity.weigh(toxicity.choose(docs, labels, train_rows=300), counted)
+    assert model.idf.tolist() == two.idf.tolist() and (model.slope, model.shift, model.blank) == (two.slope, two.shift, two.blank)
+    scored = docs.select("doc_id", toxicity.text_scorer(docs, model)("text").alias("found"))
+    assert scored._jdf.queryExecution().executedPlan().toString().count("ArrowEvalPython") == 1
+    want = {r.doc_id: r.found for r in counted.select("doc_id", toxicity.scorer(docs, two)("counts").alias("found")).collect()}
+    assert {r.doc_id: r.found for r in scored.collect()} == want
+
+
+def test_counts_are_packed_without_a_python_object_a_count():
+    rows = [{3: 1, 1: 2}, {}, {7: 5}]
+    assert toxicity._packed_counts(rows).to_pylist() == [[{"f": f, "n": n} for f, n in c.items()] for c in rows]
+    assert toxicity._packed_counts([]).to_pylist() == []
