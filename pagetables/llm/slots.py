@@ -116,8 +116,8 @@ def cut_sequences(docs: DataFrame, tokenizer_path: str, doc_id: str = "doc_id",
         # Tokenising here, rather than in a column of its own, saves a second Python worker and the way of all ids through the JVM.
         tokenizer = word_tokenizer(name, dtype.str)
         for whole in batches:
-            for start in range(0, whole.num_rows, 500):
-                part = whole.slice(start, 500)
+            for start in range(0, whole.num_rows, 2_000):
+                part = whole.slice(start, 2_000)
                 coded = tokenizer.encode(part.column(1).to_pylist())
                 for owner, ids in zip(part.column(0).to_pylist(), coded):
                     ids, at = ids + closing, 0

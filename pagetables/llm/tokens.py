@@ -1,6 +1,6 @@
 """Token ids of whole texts from a `tokenizers` file whose words never cross white space, as packed little-endian bytes.
 
-Words are encoded once per worker and generation of its cache, which other operators' work drops. A text holding one of the characters that Python splits at
+A worker keeps the words it has encoded lately as packed arrays, until another operator's work drops them. A text holding one of the characters that Python splits at
 and the tokenizer does not (U+001C to U+001F) is encoded in one piece. Nulls and empty texts give no ids.
 """
 
@@ -10,17 +10,19 @@ import json
 import os
 import re
 from array import array
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from functools import lru_cache
+from itertools import pairwise
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import SparkSession
 from pyspark.sql import functions as F
 
-from pagetables.llm.common import WordCache, add_file, at_work, local_file, ship, slices
+from pagetables.llm.common import add_file, at_work, local_file, ship, slices
 
-SLICE_CHARS = 2_000_000
+SLICE_CHARS = 4_000_000
 _ODD_SPACE = re.compile("[\x1c-\x1f]")
 
 
@@ -28,7 +30,8 @@ _ODD_SPACE = re.compile("[\x1c-\x1f]")
 _LATIN = "A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u012f\u0131-\u017f"
 _WORD = re.compile(f"[{_LATIN}]+")
 _LETTERS = frozenset(chr(c) for c in range(0x180) if _WORD.match(chr(c)))
-_ENDS = ".,;:!?)\""
+# Signs that no rule of that pattern but the last one takes, and that no added token holds.
+_ENDS = "!\"#$%&()*+,-./:;=>?@[\\]^_`{|}~"
 # Fixed value: the pre-tokenizer's pattern for which the plain way holds.
 _SPLIT = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
 
@@ -47,6 +50,59 @@ def splits_at_letters(path: str) -> bool:
     )
 
 
+class CodedWords:
+    """Encoded words, kept between batches and tasks of a worker as packed arrays and found by a hash join, so that words
+    already known never become Python strings. Over `limit` bytes, those not seen for the longest time go, half of them or more.
+
+    `encode` gets a list of distinct unknown words and returns their ids, as bytes, in the same order.
+    """
+
+    ENTRY = 28  # bytes of an entry besides its word and ids
+
+    def __init__(self, encode: Callable[[list[str]], list[bytes]], dtype: np.dtype, limit: int = 24_000_000, chunk: int = 40_000):
+        self._encode, self._limit, self._chunk = encode, limit, chunk
+        self._words = pa.array([], pa.large_string())
+        self._turn, self._seen = 0, np.zeros(0, np.int32)
+        self.ids, self.starts, self.sizes = np.zeros(0, dtype), np.zeros(0, np.int64), np.zeros(0, np.int64)
+
+    def held(self) -> int:
+        return self.ENTRY * len(self._words) + self._words.nbytes + self.ids.nbytes
+
+    def find(self, words: pa.LargeStringArray) -> np.ndarray:
+        """Where `starts` and `sizes` have the place in `ids` of each of these distinct words; good until the next call."""
+        if self.held() > self._limit:
+            self._keep(np.flatnonzero(self._seen > np.median(self._seen)))
+            if self.held() > self._limit:
+                self._keep(np.zeros(0, np.int64))
+        found = pc.index_in(words, value_set=self._words)
+        at = found.fill_null(-1).to_numpy().astype(np.int64)
+        unknown = words.filter(found.is_null())
+        at[at < 0] = len(self._words) + np.arange(len(unknown))
+        coded: list[bytes] = []
+        for start in range(0, len(unknown), self._chunk):
+            coded += self._encode(unknown.slice(start, self._chunk).to_numpy(zero_copy_only=False).tolist())
+        sizes = np.fromiter(map(len, coded), np.int64, len(unknown)) // self.ids.itemsize
+        self._words = pa.concat_arrays([self._words, unknown])
+        self.starts = np.concatenate([self.starts, len(self.ids) + np.cumsum(sizes) - sizes])
+        self.sizes = np.concatenate([self.sizes, sizes])
+        self.ids = np.concatenate([self.ids, np.frombuffer(b"".join(coded), self.ids.dtype)])
+        self._turn += 1
+        self._seen = np.concatenate([self._seen, np.zeros(len(unknown), np.int32)])
+        self._seen[at] = self._turn
+        return at
+
+    def _keep(self, at: np.ndarray) -> None:
+        self.ids = self.laid_out(at)
+        self._words, self._seen, self.sizes = self._words.take(pa.array(at)), self._seen[at], self.sizes[at]
+        self.starts = np.cumsum(self.sizes) - self.sizes
+
+    def laid_out(self, at: np.ndarray) -> np.ndarray:
+        """The ids of the words at these places, one after the other."""
+        sizes = self.sizes[at]
+        ends = np.cumsum(sizes)
+        return self.ids[np.arange(sizes.sum()) + np.repeat(self.starts[at] - (ends - sizes), sizes)]
+
+
 class WordTokenizer:
     """Where the tokenizer file allows it (`splits_at_letters`), signs at a word's end are cut off after a letter, as the tokenizer does it,
     and words of Latin letters go straight to the model; all else goes through the whole tokenizer. The ids are the same.
@@ -61,7 +117,7 @@ class WordTokenizer:
         self.model = self.tokenizer.model if splits_at_letters(path) else None
         coded = pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)
         self.small = {ord(c): coded.pre_tokenize_str(c.lower())[0][0] for c in _LETTERS}
-        self.words = WordCache(self._encode if self.model else self._encode_whole, limit=32_000_000)
+        self.words = CodedWords(self._encode if self.model else self._encode_whole, self.dtype)
 
     def _encode_whole(self, words: list[str]) -> list[bytes]:
         out: list[bytes] = []
@@ -71,24 +127,50 @@ class WordTokenizer:
         return out
 
     def _encode(self, words: list[str]) -> list[bytes]:
-        parts = []
-        for word in words:
+        code, tokenize, small, plain = self.dtype.char, self.model.tokenize, self.small, _WORD.fullmatch
+        out: list[bytes | None] = []
+        ids: dict[str, bytes] = {}
+        tails: dict[str, list[int]] = {}
+        rest: dict[str, list[int]] = {}
+        for at, word in enumerate(words):
             core = word.rstrip(_ENDS)
-            parts.append((core, word[len(core) :]) if len(core) < len(word) and core[-1:] in _LETTERS else (word,))
-        code, tokenize, small = self.dtype.char, self.model.tokenize, self.small
-        ids, rest = {}, []
-        for part in set().union(*parts):
-            if _WORD.fullmatch(part):
-                ids[part] = array(code, [t.id for t in tokenize(part.translate(small))]).tobytes()
-            else:
-                rest.append(part)
-        ids.update(zip(rest, self._encode_whole(rest), strict=True))
-        return [b"".join(map(ids.__getitem__, p)) for p in parts]
+            if not plain(core):
+                rest.setdefault(word, []).append(at)
+                out.append(None)
+                continue
+            found = ids.get(core)
+            if found is None:
+                coded = core.lower() if core.isascii() else core.translate(small)
+                found = ids[core] = array(code, [t.id for t in tokenize(coded)]).tobytes()
+            if len(core) < len(word):
+                tails.setdefault(word[len(core) :], []).append(at)
+            out.append(found)
+        for tail, found in zip(tails, self._encode_whole(list(tails)), strict=True):
+            for at in tails[tail]:
+                out[at] += found
+        for word, found in zip(rest, self._encode_whole(list(rest)), strict=True):
+            for at in rest[word]:
+                out[at] = found
+        return out
 
     def encode(self, texts: list[str]) -> list[bytes]:
         out: list[bytes] = []
         for a, b in slices(map(len, texts), SLICE_CHARS):
-            out += self.words.lookup([[t] if _ODD_SPACE.search(t) else t.split() for t in texts[a:b]])
+            out += self._encode_slice(texts[a:b])
+        return out
+
+    def _encode_slice(self, texts: list[str]) -> list[bytes]:
+        """Each distinct word is looked up once; the words' ids are then laid out for all texts at once."""
+        pieces = pc.utf8_split_whitespace(pa.array(["" if _ODD_SPACE.search(t) else t for t in texts], pa.large_string()))
+        coded = pieces.flatten().dictionary_encode()
+        at = self.words.find(coded.dictionary)[coded.indices.to_numpy()]
+        ids = self.words.laid_out(at).tobytes()
+        ends = np.concatenate([[0], np.cumsum(self.words.sizes[at])])
+        cuts = ends[np.concatenate([[0], np.cumsum(pc.list_value_length(pieces).to_numpy())])] * self.dtype.itemsize
+        out = [ids[a:b] for a, b in pairwise(cuts.tolist())]
+        for i, text in enumerate(texts):
+            if _ODD_SPACE.search(text):
+                out[i] = self._encode_whole([text])[0]
         return out
 
 

@@ -1,6 +1,8 @@
 import random
 
 import public_tokenizers
+import pyarrow as pa
+import pyarrow.compute as pc
 import pytest
 
 from pagetables.llm import common, tokens
@@ -29,6 +31,47 @@ def test_texts_equal_the_library(tokenizer):
     assert [list(memoryview(b).cast("H")) for b in tokenizer.encode(texts)] == want
 
 
+def test_signs_at_a_words_end_leave_the_word_to_the_model(monkeypatch):
+    tokenizer, whole = tokens.WordTokenizer(PATH, "<u2"), []
+    real = tokenizer._encode_whole
+    monkeypatch.setattr(tokenizer, "_encode_whole", lambda words: whole.extend(words) or real(words))
+    texts = ["harbour&&& quay### tide--- (mole)/", "mole&&& it's"]
+    assert [list(memoryview(b).cast("H")) for b in tokenizer.encode(texts)] == [tokenizer.tokenizer.encode(t, add_special_tokens=False).ids for t in texts]
+    assert sorted(whole) == ["###", "&&&", "(mole)/", "---", "it's"]
+
+
+def test_a_word_is_looked_up_once_a_slice(monkeypatch):
+    tokenizer, asked = tokens.WordTokenizer(PATH, "<u2"), []
+    real = tokenizer.words.find
+    monkeypatch.setattr(tokenizer.words, "find", lambda words: asked.append(words.to_pylist()) or real(words))
+    a, both, odd, none = tokenizer.encode(["tide", " tide mole\ntide\u2003mole ", "tide\x1cmole", ""])
+    assert both == b"".join([a, tokenizer.encode(["mole"])[0]] * 2) and none == b""
+    assert list(memoryview(odd).cast("H")) == tokenizer.tokenizer.encode("tide\x1cmole", add_special_tokens=False).ids
+    assert sorted(filter(None, asked[0])) == ["mole", "tide"]
+
+
+def test_coded_words_stay_within_their_bytes_and_known_ones_are_not_encoded_again():
+    seen = []
+    words = tokens.CodedWords(lambda ws: seen.extend(ws) or [w.encode() for w in ws], tokens.np.dtype("<u1"), limit=5_000)
+
+    def find(*asked):
+        at = words.find(pa.array(asked, pa.large_string()))
+        return [words.laid_out(at[i : i + 1]).tobytes().decode() for i in range(len(asked))], words.laid_out(at).tobytes().decode()
+
+    for i in range(1_000):
+        assert find(f"w{i}", "the", "") == ([f"w{i}", "the", ""], f"w{i}the")
+        assert words.held() < 5_200
+    assert seen.count("the") == 1 and len(seen) == 1_002
+    assert find("z" * 10_000, "the")[0] == ["z" * 10_000, "the"]
+    assert find("a")[0] == ["a"] and words.held() < 5_200
+
+
+def test_words_are_cut_at_all_spaces_as_python_cuts_them():
+    texts = [f"a{chr(c)}b" for c in range(0x110000) if not 0xD800 <= c < 0xE000]
+    cut = pc.utf8_split_whitespace(pa.array(texts))
+    assert [t for t, n in zip(texts, pc.list_value_length(cut).to_pylist()) if n != len(t.split())] == []
+
+
 def test_other_tokenizers_go_whole(tmp_path):
     text = open(PATH, encoding="utf-8").read()
     other = tmp_path / "other.json"
