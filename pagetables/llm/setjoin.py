@@ -1,6 +1,6 @@
 """Size-aware heavy-light join: texts whose sets of word shingles have a Jaccard likeness of at least a threshold.
 
-A text's set holds 64-bit hashes of its distinct shingles. Texts of equal sets form a class, and one member stands for it. Two
+A text's set holds 64-bit hashes of its distinct shingles. Texts of equal sets (by 63 bits of a hash) form a class, and one member stands for it. Two
 sets of sizes s and t link when they share at least o(s, t) = ceil(theta / (1 + theta) * (s + t)) shingles.
 
 Light sets (up to a boundary) enumerate their subsets of exactly o(s, t) shingles, for all partner sizes t: sets that share such a
@@ -11,8 +11,8 @@ size range; a set is listed in its own range and, where partners may lie there,
 these, too, so that nothing is lost. The boundary between light and heavy is the one of least cost, from the sizes of all classes.
 
 Lists are searched without making all pairs of a group. First each member is compared with its list's most typical member
-only; what links is one component. Only members that are then still in different components are compared with each other. Their
-sketches come first: the parities of a set's shingles by hash cell. Two sketches differ in no more cells than the sets do in shingles, so
+only, by their sketches and then, if these allow a link, by their whole sets; what links is one component. Only members that are then still in different components are compared with each other. Their
+sketches come first, too: the parities of a set's shingles by hash cell. Two sketches differ in no more cells than the sets do in shingles, so
 that lists shrink to members whose sketches are near, without losing a link, before any whole set moves.
 Every candidate is checked on the whole sets, so the links are exact (up to collisions of 64-bit hashes).
 
@@ -21,7 +21,8 @@ a component are compared with each other, whole and blockwise, and each class ge
 
 Defined results: null texts and texts without words have an empty set and link with nothing; texts with fewer words than a shingle have
 one shingle, the whole. Repeated rows and equal texts link; null ids are members like others and come after all ids. Other
-columns are not read. Intermediate tables lie in `folder`.
+columns are not read. Intermediate tables lie in `folder`; what the results do not read is deleted. Keys go from the texts straight to the lists
+and are never stored, and most are alone in theirs and end there.
 """
 
 from __future__ import annotations
@@ -37,7 +38,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from pagetables.llm.common import at_work, free_name, ship, text_or_empty
-from pagetables.plans.workspace import store
+from pagetables.plans.workspace import delete_folder, store
 
 SLACK = 3
 RANGE_PERCENT = 80  # size ranges grow by 100 / 80, or by 100 / percent where that is more: partners then lie in neighbouring ranges
@@ -45,6 +46,7 @@ BLOCK = 1024  # members of a list that a task compares at once
 LINK_BLOCK = 2048  # classes of a component that a task holds of each side when it counts links,
 LINK_TOKENS = 2**20  # and their shingles
 LIGHT_LIMIT = 64  # sizes above are always heavy: their subsets are too many to be worth a thought
+SEEN_CLASSES = 500_000  # that a task knows the last of, so that their copies are not listed again
 CHECK_COST = 8  # of checking a candidate that a part's list may bring, in emitted keys
 
 
@@ -224,67 +226,88 @@ def _as_long(keys) -> np.ndarray:
     return np.asarray(keys, dtype=np.uint64).view(np.int64)
 
 
-def set_digests(docs: DataFrame, doc_id: str, text: str, words_each: int, percent: int) -> DataFrame:
-    """doc_id, size, digest of the set."""
+def set_class(tokens: np.ndarray) -> int:
+    """The number of the class of a set: 63 bits of its hash."""
+    return xxhash.xxh3_64_intdigest(tokens.tobytes()) >> 1
+
+
+def set_digests(docs: DataFrame, doc_id: str, text: str, words_each: int) -> DataFrame:
+    """doc_id, size, class and sketch of the set; class and sketch are null for an empty set."""
     ship(docs.sparkSession)
 
-    @F.arrow_udf("struct<size:long,digest:binary>")
+    @F.arrow_udf("struct<size:long,class:long,sketch:binary>")
     def digest(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         at_work("setjoin", _WORD_HASHES.clear)
         for batch in batches:
             sets = (shingle_set(t, words_each) for t in batch.to_pylist())
-            rows = [(len(s), xxhash.xxh3_128_digest(s.tobytes())) for s in sets]
-            yield pa.StructArray.from_arrays([pa.array([n for n, _ in rows], pa.int64()), pa.array([d for _, d in rows], pa.binary())], ["size", "digest"])
+            rows = [(len(s), set_class(s), sketch(s)) if len(s) else (0, None, None) for s in sets]
+            columns = list(zip(*rows)) or [()] * 3
+            yield pa.StructArray.from_arrays([pa.array(c, t) for c, t in zip(columns, (pa.int64(), pa.int64(), pa.binary()))], ["size", "class", "sketch"])
 
     found = docs.select(F.col(doc_id).alias("doc_id"), digest.asNondeterministic()(text_or_empty(text)).alias("d"))
-    return found.select("doc_id", "d.size", "d.digest")
+    return found.select("doc_id", "d.size", "d.class", "d.sketch")
 
 
 def _keys(docs: DataFrame, words_each: int, percent: int, boundary: int, ranges: Ranges):
-    """Column -> Column: digest, size, sketch, and the lists of a text. `need` is the subset size of a light key, 0 for a heavy one."""
+    """Column -> Column: class, and the keys of the lists of a text's set. Of the copies of a set that a task comes by only the first has keys;
+    after `SEEN_CLASSES` classes it begins anew.
+    """
     smallest_heavy_partner = -(-(boundary + 1) * percent // 100)
-    listing = [("need", pa.int32()), ("range", pa.int32()), ("keys", pa.list_(pa.int64()))]
 
-    @F.arrow_udf("struct<digest:binary,size:long,sketch:binary,lists:array<struct<need:int,range:int,keys:array<long>>>>")
+    @F.arrow_udf("struct<class:long,keys:array<long>>")
     def keys(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         at_work("setjoin", _WORD_HASHES.clear)
+        seen: set[int] = set()
         for batch in batches:
-            digests, sizes, sketches, lists = [], [], [], []
+            classes, lists = [], []
             for t in batch.to_pylist():
                 tokens = shingle_set(t, words_each)
-                n = len(tokens)
-                row = []
-                if 0 < n <= boundary:
-                    by_need: dict[int, list[int]] = {}
-                    for need, key in light_keys(tokens, percent, boundary):
-                        by_need.setdefault(need, []).append(key)
-                    row += [{"need": o, "range": -1, "keys": _as_long(k)} for o, k in by_need.items()]
-                if n and n >= smallest_heavy_partner:
-                    row += [{"need": 0, "range": i, "keys": _as_long(k)} for i, k in heavy_keys(tokens, ranges)]
-                digests.append(xxhash.xxh3_128_digest(tokens.tobytes()))
-                sizes.append(n)
-                sketches.append(sketch(tokens))
-                lists.append(row)
-            yield pa.StructArray.from_arrays(
-                [pa.array(digests, pa.binary()), pa.array(sizes, pa.int64()), pa.array(sketches, pa.binary()), pa.array(lists, pa.list_(pa.struct(listing)))],
-                ["digest", "size", "sketch", "lists"])
+                n, number = len(tokens), set_class(tokens)
+                row = [np.zeros(0, dtype=np.uint64)]
+                if number not in seen:
+                    if len(seen) >= SEEN_CLASSES:
+                        seen.clear()
+                    seen.add(number)
+                    if 0 < n <= boundary:
+                        row.append(np.array([key for _, key in light_keys(tokens, percent, boundary)], dtype=np.uint64))
+                    if n and n >= smallest_heavy_partner:
+                        row += [found for _, found in heavy_keys(tokens, ranges)]
+                classes.append(number)
+                lists.append(_as_long(np.concatenate(row)))
+            yield pa.StructArray.from_arrays([pa.array(classes, pa.int64()), pa.array(lists, pa.list_(pa.int64()))], ["class", "keys"])
 
     return keys.asNondeterministic()
 
 
 def _sets(docs: DataFrame, words_each: int):
-    """Column -> Column: digest and packed set of a text."""
-    @F.arrow_udf("struct<digest:binary,tokens:binary>")
+    """Column -> Column: class and packed set of a text."""
+    @F.arrow_udf("struct<class:long,tokens:binary>")
     def sets(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         at_work("setjoin", _WORD_HASHES.clear)
         for batch in batches:
-            packed = [shingle_set(t, words_each).tobytes() for t in batch.to_pylist()]
-            yield pa.StructArray.from_arrays(
-                [pa.array([xxhash.xxh3_128_digest(p) for p in packed], pa.binary()), pa.array(packed, pa.binary())], ["digest", "tokens"])
+            found = [shingle_set(t, words_each) for t in batch.to_pylist()]
+            yield pa.StructArray.from_arrays([pa.array(map(set_class, found), pa.int64()), pa.array([s.tobytes() for s in found], pa.binary())], ["class", "tokens"])
 
     return sets.asNondeterministic()
 
 
+def sketches_near(a: bytes, b: bytes, s: int, t: int, percent: int) -> bool:
+    """Whether the sketches of sets of sizes s and t allow a link: they differ in no more cells than the sets do in shingles."""
+    width = min(len(a), len(b))
+    apart = int.from_bytes((folded(a, width) ^ folded(b, width)).tobytes(), "little").bit_count()
+    return apart <= s + t - 2 * needed(s, t, percent)
+
+
+def _near(percent: int):
+    """Columns -> Column: whether two sketches allow a link of their sets, whose sizes follow."""
+    @F.arrow_udf("boolean")
+    def near(batches: Iterator[tuple[pa.Array, ...]]) -> Iterator[pa.Array]:
+        for columns in batches:
+            yield pa.array([sketches_near(*row, percent) for row in zip(*(c.to_pylist() for c in columns))], pa.bool_())
+
+    return near.asNondeterministic()
+
+
 def _linked(docs: DataFrame, percent: int):
     """Columns -> Column: whether two packed sets link."""
     @F.arrow_udf("boolean")
@@ -439,56 +462,60 @@ def join_sets(docs: DataFrame, folder: str, doc_id: str = "doc_id", text: str =
     connect every component; the other links inside components are counted, not listed.
     """
     ship(docs.sparkSession)
+    spark, work = docs.sparkSession, f"{folder}/work"
     texts = docs.select(F.col(doc_id).alias("doc_id"), text_or_empty(text).alias("text"))
-    digests = store(set_digests(texts, "doc_id", "text", words_each, percent), f"{folder}/digests")
-    histogram = {r["size"]: r["n"] for r in digests.filter(F.col("size") <= LIGHT_LIMIT).groupBy("size").agg(F.count_distinct("digest").alias("n")).collect()}
+    digests = store(set_digests(texts, "doc_id", "text", words_each), f"{folder}/digests")
+    classes = store(digests.filter("size > 0").select("class", "size", "sketch").dropDuplicates(["class"]), f"{work}/classes")
+    histogram = {r["size"]: r["count"] for r in classes.filter(F.col("size") <= LIGHT_LIMIT).groupBy("size").count().collect()}
     boundary = choose_boundary(histogram, percent)
-    largest = digests.agg(F.max("size")).first()[0] or 1
+    largest = classes.agg(F.max("size")).first()[0] or 1
     ranges = Ranges(percent, largest * 100 // percent + 1)
 
-    keyed = texts.select(_keys(docs, words_each, percent, boundary, ranges)("text").alias("k")).select("k.*").filter("size > 0")
-    numbered = store(keyed.dropDuplicates(["digest"]).withColumn("class", F.monotonically_increasing_id()), f"{folder}/classes")
-    classes = numbered.select("class", "digest", "size")
-    listed = numbered.select("class", "size", F.explode("lists").alias("l"))
-    every = listed.select("class", "size", "l.need", "l.range", F.explode("l.keys").alias("key"))
-    in_list = Window.partitionBy("need", "key")
-    postings = store(every.withColumn("n", F.count(F.lit(1)).over(in_list)).filter("n > 1"), f"{folder}/postings")
+    # Most keys stand alone. All that moves before these are gone is a key and a class, straight from the texts.
+    listed = texts.select(_keys(docs, words_each, percent, boundary, ranges)("text").alias("k")).select("k.class", F.explode("k.keys").alias("key"))
+    in_list = Window.partitionBy("key")
+    shared = listed.withColumns({"low": F.min("class").over(in_list), "high": F.max("class").over(in_list)}).filter("low < high")
+    postings = shared.select("key", "class").dropDuplicates().withColumn("n", F.count(F.lit(1)).over(in_list))
+    postings = store(postings, f"{work}/postings")
 
     # First: every member with the most typical member of its list, the one that shares lists with most others.
-    typical = postings.groupBy("class").agg(F.sum("n").alias("typical"))
-    best = postings.join(typical, "class").groupBy("need", "key").agg(F.max(F.struct("typical", (-F.col("class")).alias("minus"), "size")).alias("best"))
+    typical = postings.groupBy("class").agg(F.sum("n").alias("typical")).join(classes.select("class", "size"), "class")
+    sized = postings.select("key", "class").join(typical, "class")
+    best = sized.groupBy("key").agg(F.max(F.struct("typical", (-F.col("class")).alias("minus"), "size")).alias("best"))
     pivot = -F.col("best.minus")
     near = (F.least("size", "best.size") * 100 >= F.greatest("size", "best.size") * percent) & (F.col("class") != pivot)
-    star = postings.join(best, ["need", "key"]).filter(near).select(
-        F.least("class", pivot).alias("a"), F.greatest("class", pivot).alias("b")).distinct()
-    first = store(_check(texts, digests, classes, star, words_each, percent, f"{folder}/first"), f"{folder}/links1")
-    found = components(first, f"{folder}/components1")
+    star = sized.join(best, "key").filter(near).select(F.least("class", pivot).alias("a"), F.greatest("class", pivot).alias("b")).distinct()
+    first = store(_check(texts, digests, classes, star, words_each, percent, f"{work}/first"), f"{folder}/links1")
+    found = components(first, f"{work}/components1")
 
     # Then: members of a list that are in different components still, compared whole inside a task.
-    grouped = postings.join(found.withColumnRenamed("node", "class"), "class", "left").withColumn("group", F.coalesce("component", "class"))
+    grouped = postings.join(classes.select("class", "size"), "class").join(found.withColumnRenamed("node", "class"), "class", "left")
+    grouped = grouped.withColumn("group", F.coalesce("component", "class"))
     blocks = F.greatest(F.ceil(F.count(F.lit(1)) / BLOCK), F.ceil(F.sum("size") / LINK_TOKENS)).cast("int").alias("blocks")
     # Near sets agree on many parts and meet in many lists of the same members: one list of each membership (128 bits and a count) will do.
-    mixed_lists = grouped.groupBy("need", "key").agg(F.min("group").alias("low"), F.max("group").alias("high"), blocks, *_membership("class")).filter("low < high")
-    mixed_lists = mixed_lists.dropDuplicates(["m1", "m2", "m3"]).select("need", "key", "blocks")
-    mixed_members = grouped.join(mixed_lists, ["need", "key"]).select("need", "key", "blocks", "class", "group")
-    parts = store(_narrowed(mixed_members, numbered.select("class", "size", "sketch"), percent), f"{folder}/mixed")
+    mixed_lists = grouped.groupBy("key").agg(F.min("group").alias("low"), F.max("group").alias("high"), blocks, *_membership("class")).filter("low < high")
+    mixed_lists = mixed_lists.dropDuplicates(["m1", "m2", "m3"]).select("key", "blocks")
+    mixed_members = grouped.join(mixed_lists, "key").select("key", "blocks", "class", "group")
+    parts = store(_narrowed(mixed_members, classes, percent), f"{work}/mixed")
     kept = parts.groupBy(*TILE).agg(*_membership("class", "second")).dropDuplicates(["m1", "m2", "m3"]).select(*TILE)
     parts = parts.join(kept, TILE)
-    sets = docs.sparkSession.read.schema("class long, tokens binary").parquet(f"{folder}/first_sets")
+    sets = spark.read.schema("class long, tokens binary").parquet(f"{work}/first_sets")
     missing = parts.select("class").distinct().join(sets.select("class"), "class", "left_anti")
-    sets = sets.unionByName(_made_sets(texts, digests, classes, missing, words_each, f"{folder}/second_sets"))
+    sets = sets.unionByName(_made_sets(texts, digests, missing, words_each, f"{work}/second_sets"))
     second = store(_compare_lists(parts, sets, percent).distinct(), f"{folder}/links2")
     links = first.unionByName(second)
     final = components(links, f"{folder}/components2")
-    members = digests.join(classes.select("digest", "class"), "digest", "left").join(final.withColumnRenamed("node", "class"), "class", "left")
+    members = digests.select("doc_id", "size", "class").join(final.withColumnRenamed("node", "class"), "class", "left")
     shown = ["doc_id", "size", "class", F.coalesce("component", "class").alias("component")]
-    if not count_links:
-        return members.select(shown), links
-    counts = store(link_counts(final, classes, sets, ranges, percent), f"{folder}/n_links")
-    return members.join(counts, "class", "left").select(*shown, F.coalesce("n_links", F.lit(0)).alias("n_links")), links
+    if count_links:
+        counts = store(link_counts(final, classes, sets, ranges, percent), f"{folder}/n_links")
+        members = members.join(counts, "class", "left")
+        shown.append(F.coalesce("n_links", F.lit(0)).alias("n_links"))
+    delete_folder(spark, work)
+    return members.select(*shown), links
 
 
-TILE = ["need", "key", "i", "j", "part"]
+TILE = ["key", "i", "j", "part"]
 
 
 def _membership(*columns: str) -> list:
@@ -515,16 +542,16 @@ def _narrowed(members: DataFrame, sketches: DataFrame, percent: int) -> DataFram
     """
     block = F.pmod(F.xxhash64("class"), F.col("blocks")).cast("int")
     tiles = members.withColumn("block", block).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-    keys = [F.col("need"), F.col("key"), F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j")]
+    keys = [F.col("key"), F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j")]
     rows = tiles.select(*keys, (F.col("block") > F.col("other")).alias("second"), "class", "group")
-    tile = TILE[:4]
+    tile = TILE[:3]
     laid = rows.join(sketches, "class").repartition(*tile).sortWithinPartitions(*tile, "second", "class")
-    schema = "need int, key long, i int, j int, part long, second boolean, class long, group long"
-    types = [pa.int32(), pa.int64(), pa.int32(), pa.int32(), pa.int64(), pa.bool_(), pa.int64(), pa.int64()]
+    schema = "key long, i int, j int, part long, second boolean, class long, group long"
+    types = [pa.int64(), pa.int32(), pa.int32(), pa.int64(), pa.bool_(), pa.int64(), pa.int64()]
 
     def narrow(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         out: list[tuple] = []
-        for rows in _by_tile(batches, [*tile, "second", "class", "group", "size", "sketch"], 4):
+        for rows in _by_tile(batches, [*tile, "second", "class", "group", "size", "sketch"], 3):
             out += parts(rows)
             if len(out) >= 10_000:
                 yield pack(out)
@@ -532,13 +559,13 @@ def _narrowed(members: DataFrame, sketches: DataFrame, percent: int) -> DataFram
         yield pack(out)
 
     def parts(rows: list[tuple]) -> list[tuple]:
-        _, _, i, j = rows[0][:4]
-        split = sum(not r[4] for r in rows) if i != j else 0
-        groups = np.array([r[6] for r in rows])
+        _, i, j = rows[0][:3]
+        split = sum(not r[3] for r in rows) if i != j else 0
+        groups = np.array([r[5] for r in rows])
         if i != j and split in (0, len(rows)) or (groups == groups[0]).all():
             return []
-        found = near_parts([r[8] for r in rows], np.array([r[7] for r in rows]), groups, percent, split).tolist()
-        return [(*r[:4], rows[at][5], *r[4:7]) for r, at in zip(rows, found) if at >= 0]
+        found = near_parts([r[7] for r in rows], np.array([r[6] for r in rows]), groups, percent, split).tolist()
+        return [(*r[:3], rows[at][4], *r[3:6]) for r, at in zip(rows, found) if at >= 0]
 
     def pack(found: list[tuple]) -> pa.RecordBatch:
         columns = list(zip(*found)) or [()] * len(types)
@@ -563,9 +590,9 @@ def _compare_lists(parts: DataFrame, sets: DataFrame, percent: int) -> DataFrame
         yield pack(out)
 
     def pairs(rows: list[tuple]) -> list[tuple[int, int]]:
-        split = sum(not r[5] for r in rows) if rows[0][2] != rows[0][3] else 0
-        found = forest_of_members([np.frombuffer(r[8], dtype=np.uint64) for r in rows], np.array([r[7] for r in rows]), percent, split)
-        return [(min(rows[x][6], rows[y][6]), max(rows[x][6], rows[y][6])) for x, y in found]
+        split = sum(not r[4] for r in rows) if rows[0][1] != rows[0][2] else 0
+        found = forest_of_members([np.frombuffer(r[7], dtype=np.uint64) for r in rows], np.array([r[6] for r in rows]), percent, split)
+        return [(min(rows[x][5], rows[y][5]), max(rows[x][5], rows[y][5])) for x, y in found]
 
     def pack(found: list[tuple[int, int]]) -> pa.RecordBatch:
         return pa.RecordBatch.from_arrays([pa.array([a for a, _ in found], pa.int64()), pa.array([b for _, b in found], pa.int64())], names=["a", "b"])
@@ -573,21 +600,22 @@ def _compare_lists(parts: DataFrame, sets: DataFrame, percent: int) -> DataFrame
     return laid.mapInArrow(compare, "a long, b long")
 
 
-def _made_sets(texts: DataFrame, digests: DataFrame, classes: DataFrame, wanted: DataFrame, words_each: int, folder: str) -> DataFrame:
+def _made_sets(texts: DataFrame, digests: DataFrame, wanted: DataFrame, words_each: int, folder: str) -> DataFrame:
     """(class, tokens): the sets of some classes, made anew from one text of each."""
     last = F.lit(2**63 - 1)
-    named = wanted.join(classes, "class").select("class", "digest")
-    ids = digests.join(named, "digest").groupBy("class").agg(F.min(F.coalesce("doc_id", last)).alias("id")).select("id").distinct()
+    ids = digests.join(wanted, "class").groupBy("class").agg(F.min(F.coalesce("doc_id", last)).alias("id")).select("id").distinct()
     rows = texts.withColumn("id", F.coalesce(F.col("doc_id").cast("long"), last)).join(ids, "id", "left_semi")
-    made = rows.select(_sets(texts, words_each)("text").alias("s")).select("s.*").join(named, "digest").dropDuplicates(["class"])
-    return store(made.select("class", "tokens"), folder)
+    made = rows.select(_sets(texts, words_each)("text").alias("s")).select("s.*").join(wanted, "class", "left_semi").dropDuplicates(["class"])
+    return store(made, folder)
 
 
 def _check(texts: DataFrame, digests: DataFrame, classes: DataFrame, pairs: DataFrame, words_each: int, percent: int, folder: str) -> DataFrame:
-    """The pairs of classes that link, by their whole sets."""
-    pairs = store(pairs, f"{folder}_pairs")
+    """The pairs of classes that link, by their whole sets. Only the sets of pairs whose sketches allow a link move."""
+    left, right = (classes.select(F.col("class").alias(c), F.col("size").alias(f"size_{c}"), F.col("sketch").alias(f"sketch_{c}")) for c in "ab")
+    near = _near(percent)("sketch_a", "sketch_b", "size_a", "size_b")
+    pairs = store(pairs.join(left, "a").join(right, "b").filter(near).select("a", "b"), f"{folder}_pairs")
     involved = pairs.select(F.col("a").alias("class")).union(pairs.select("b")).distinct()
-    sets = _made_sets(texts, digests, classes, involved, words_each, f"{folder}_sets")
+    sets = _made_sets(texts, digests, involved, words_each, f"{folder}_sets")
     left, right = sets.toDF("a", "left"), sets.toDF("b", "right")
     both = pairs.join(left, "a").join(right, "b")
     return both.filter(_linked(texts, percent)("left", "right")).select("a", "b")

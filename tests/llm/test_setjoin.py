@@ -196,3 +196,43 @@ def test_folding_a_sketch_keeps_its_bound():
     b = np.concatenate([a[20:], rng.integers(0, 2**63, 15).astype(np.uint64)])
     for size in (128, 64, 8):
         assert np.unpackbits(setjoin.folded(setjoin.sketch(a), size) ^ setjoin.folded(setjoin.sketch(b), size)).sum() <= 35
+
+
+@pytest.mark.parametrize("percent", [80, 90])
+def test_near_sketches_lose_no_pair(percent):
+    rng = np.random.default_rng(percent)
+    for size in (1, 5, 40, 300, 3000):
+        a = np.unique(rng.integers(0, 2**63, size).astype(np.uint64))
+        for gone in range(0, max(1, size // 8), max(1, size // 40)):
+            b = np.unique(np.concatenate([a[gone:], rng.integers(0, 2**63, gone // 2).astype(np.uint64)]))
+            common = len(np.intersect1d(a, b))
+            if 100 * common >= percent * (len(a) + len(b) - common):
+                assert setjoin.sketches_near(setjoin.sketch(a), setjoin.sketch(b), len(a), len(b), percent)
+
+
+def test_sets_of_far_candidates_do_not_move_and_work_tables_go(spark, tmp_path, monkeypatch):
+    """Texts with a common passage meet in lists; only those that may link are checked by whole sets."""
+    rng = random.Random(3)
+    words = [f"w{i}" for i in range(3000)]
+    passage = " ".join(rng.choice(words) for _ in range(120))
+    texts = [passage + " " + " ".join(rng.choice(words) for _ in range(110)) for _ in range(30)]
+    texts += [texts[0] + " more", texts[0]]
+    rows = list(enumerate(texts))
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    got = {r.doc_id: (r.size, r.component_id) for r in joined(spark, docs, tmp_path / "gone")}
+    assert got == plain_components(rows)
+    assert sorted(p.name for p in (tmp_path / "gone").iterdir() if p.name != "n_links") == ["components2", "digests", "links1", "links2"]
+    monkeypatch.setattr(setjoin, "delete_folder", lambda *_: None)
+    joined(spark, docs, tmp_path / "kept")
+    work = tmp_path / "kept" / "work"
+    assert spark.read.parquet(str(work / "postings")).select("class").distinct().count() > 2
+    assert spark.read.parquet(str(work / "first_pairs")).count() == 1
+    assert spark.read.parquet(str(work / "first_sets")).count() == 2
+
+
+def test_copies_are_listed_once_a_task(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(setjoin, "SEEN_CLASSES", 2)
+    texts = [f"a{i % 3} b c d e f g h i j k l m n o p q r s t u v w x y z" for i in range(60)] + ["", None, " "]
+    rows = list(enumerate(texts))
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(2)
+    assert {r.doc_id: (r.size, r.component_id) for r in joined(spark, docs, tmp_path)} == plain_components(rows)
