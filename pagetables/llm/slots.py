@@ -167,8 +167,11 @@ def write_shards(sequences: DataFrame, total: int, folder: str, key: int, dtype:
     filler = np.iinfo(dtype).max if filler is None else filler
     shards = -(-total // shard_slots)
     placed = sequences.select(slot_of(total, key)("sequence").alias("slot"), _squeezer()("ids").alias("ids"), "n_tokens").withColumn("shard", F.floor(F.col("slot") / shard_slots).cast("long"))
-    laid = placed.repartitionByRange(max(1, min(shards, 20_000)), "shard").sortWithinPartitions("slot").select("shard", "slot", "n_tokens", "ids")
-    empty = np.full(stride, filler, dtype=dtype)
+    # Slots are dense, so the ranges are known; sampling for them would squeeze all ids once more.
+    tasks = max(1, min(shards, 20_000))
+    task = F.floor(F.col("shard") * tasks / max(1, shards)).cast("int")
+    laid = placed.repartitionById(tasks, task).sortWithinPartitions("slot").select("shard", "slot", "n_tokens", "ids")
+    empty = np.full(stride, filler, dtype=dtype).tobytes()
     width = np.dtype(dtype).itemsize
 
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -184,6 +187,7 @@ def write_shards(sequences: DataFrame, total: int, folder: str, key: int, dtype:
             return pa.RecordBatch.from_pylist([{"shard": shard, "first_slot": first, "slots": len(strides), "bytes": len(data), "crc32": zlib.crc32(data)}])
 
         shard, first, strides = None, 0, []
+        codec = pa.Codec("zstd")
         for batch in batches:
             for s, slot, n, ids in zip(*(batch.column(i).to_pylist() for i in range(4))):
                 if s != shard and strides:
@@ -191,9 +195,7 @@ def write_shards(sequences: DataFrame, total: int, folder: str, key: int, dtype:
                     strides = []
                 if not strides:
                     shard, first = s, slot
-                tokens = empty.copy()
-                tokens[:n] = np.frombuffer(pa.decompress(ids, decompressed_size=n * width, codec="zstd", asbytes=True), dtype=dtype)
-                strides.append(tokens.tobytes())
+                strides.append(codec.decompress(ids, decompressed_size=n * width, asbytes=True) + empty[n * width :])
         if strides:
             yield finish(shard, first, strides)
 

@@ -9,7 +9,6 @@ from __future__ import annotations
 import json
 import os
 import re
-from array import array
 from collections.abc import Callable, Iterator
 from functools import lru_cache
 from itertools import pairwise
@@ -22,8 +21,9 @@ from pyspark.sql import functions as F
 
 from pagetables.llm.common import add_file, at_work, local_file, ship, slices
 
-SLICE_CHARS = 4_000_000
+SLICE_CHARS = 8_000_000
 _ODD_SPACE = re.compile("[\x1c-\x1f]")
+_ODD_BYTES = (b"\x1c", b"\x1d", b"\x1e", b"\x1f")
 
 
 # Letters of the plain way: Latin ones that are in composed form and have one small form of one character.
@@ -100,7 +100,11 @@ class CodedWords:
         """The ids of the words at these places, one after the other."""
         sizes = self.sizes[at]
         ends = np.cumsum(sizes)
-        return self.ids[np.arange(sizes.sum()) + np.repeat(self.starts[at] - (ends - sizes), sizes)]
+        total = int(ends[-1]) if len(ends) else 0
+        kind = np.int32 if max(total, len(self.ids)) < 2**31 else np.int64
+        places = np.repeat((self.starts[at] - (ends - sizes)).astype(kind), sizes)
+        places += np.arange(total, dtype=kind)
+        return self.ids[places]
 
 
 class WordTokenizer:
@@ -127,30 +131,35 @@ class WordTokenizer:
         return out
 
     def _encode(self, words: list[str]) -> list[bytes]:
-        code, tokenize, small, plain = self.dtype.char, self.model.tokenize, self.small, _WORD.fullmatch
-        out: list[bytes | None] = []
-        ids: dict[str, bytes] = {}
+        """Arrow cuts the signs off and tells the plain words; the model sees each of these once, in small letters."""
+        every = pa.array(words, pa.large_string())
+        cores = pc.utf8_rtrim(every, _ENDS)
+        plain = pc.match_substring_regex(cores, f"^[{_LATIN}]+$")
+        known = pc.utf8_lower(cores.filter(plain)).dictionary_encode()
+        tokenize, small = self.model.tokenize, self.small
+        found: list[int] = []
+        ends = [0]
+        for core in known.dictionary.to_pylist():
+            found += [t.id for t in tokenize(core if core.isascii() else core.translate(small))]
+            ends.append(len(found))
+        width = self.dtype.itemsize
+        ids = np.array(found, dtype=self.dtype).tobytes()
+        coded = [ids[a * width : b * width] for a, b in pairwise(ends)]
+        out: list[bytes] = [b""] * len(words)
+        at = np.flatnonzero(plain).tolist()
+        for i, core in zip(at, known.indices.to_numpy().tolist(), strict=True):
+            out[i] = coded[core]
+        length = pc.utf8_length(cores)
         tails: dict[str, list[int]] = {}
-        rest: dict[str, list[int]] = {}
-        for at, word in enumerate(words):
-            core = word.rstrip(_ENDS)
-            if not plain(core):
-                rest.setdefault(word, []).append(at)
-                out.append(None)
-                continue
-            found = ids.get(core)
-            if found is None:
-                coded = core.lower() if core.isascii() else core.translate(small)
-                found = ids[core] = array(code, [t.id for t in tokenize(coded)]).tobytes()
-            if len(core) < len(word):
-                tails.setdefault(word[len(core) :], []).append(at)
-            out.append(found)
+        lengths = length.to_numpy()
+        for i in np.flatnonzero(pc.and_(plain, pc.less(length, pc.utf8_length(every)))).tolist():
+            tails.setdefault(words[i][lengths[i] :], []).append(i)
         for tail, found in zip(tails, self._encode_whole(list(tails)), strict=True):
-            for at in tails[tail]:
-                out[at] += found
-        for word, found in zip(rest, self._encode_whole(list(rest)), strict=True):
-            for at in rest[word]:
-                out[at] = found
+            for i in tails[tail]:
+                out[i] += found
+        rest = np.flatnonzero(pc.invert(plain)).tolist()
+        for i, found in zip(rest, self._encode_whole([words[i] for i in rest]), strict=True):
+            out[i] = found
         return out
 
     def encode(self, texts: list[str]) -> list[bytes]:
@@ -161,16 +170,20 @@ class WordTokenizer:
 
     def _encode_slice(self, texts: list[str]) -> list[bytes]:
         """Each distinct word is looked up once; the words' ids are then laid out for all texts at once."""
-        pieces = pc.utf8_split_whitespace(pa.array(["" if _ODD_SPACE.search(t) else t for t in texts], pa.large_string()))
+        plain, odd = pa.array(texts, pa.large_string()), []
+        written = plain.buffers()[2].to_pybytes()
+        if any(c in written for c in _ODD_BYTES):
+            odd = [i for i, text in enumerate(texts) if _ODD_SPACE.search(text)]
+            plain = pa.array(["" if _ODD_SPACE.search(t) else t for t in texts], pa.large_string())
+        pieces = pc.utf8_split_whitespace(plain)
         coded = pieces.flatten().dictionary_encode()
         at = self.words.find(coded.dictionary)[coded.indices.to_numpy()]
         ids = self.words.laid_out(at).tobytes()
         ends = np.concatenate([[0], np.cumsum(self.words.sizes[at])])
         cuts = ends[np.concatenate([[0], np.cumsum(pc.list_value_length(pieces).to_numpy())])] * self.dtype.itemsize
         out = [ids[a:b] for a, b in pairwise(cuts.tolist())]
-        for i, text in enumerate(texts):
-            if _ODD_SPACE.search(text):
-                out[i] = self._encode_whole([text])[0]
+        for i in odd:
+            out[i] = self._encode_whole([texts[i]])[0]
         return out
 
 

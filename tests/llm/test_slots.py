@@ -81,3 +81,21 @@ def test_ids_above_16_bits_and_the_old_filler_survive(spark, tmp_path):
     slots.write_shards(rows, 2, str(tmp_path / "s"), 3, "<u4", 4, 8).collect()
     got = slots.read_shards(spark, str(tmp_path / "s"), "<u4", 4, 8, order=(2, 3)).collect()
     assert {r.sequence: np.frombuffer(bytes(r.ids), dtype="<u4").tolist() for r in got} == {0: ids.tolist(), 1: [65_535]}
+
+
+def test_sequences_are_worked_out_once_on_their_way_to_the_shards(spark, tmp_path):
+    """A pass that samples them for range bounds would do so twice."""
+    met = spark.sparkContext.accumulator(0)
+
+    def count(batches):
+        for batch in batches:
+            met.add(batch.num_rows)
+            yield batch
+
+    ids = np.arange(4, dtype="<u4").tobytes()
+    rows = spark.createDataFrame([(i, 4, bytearray(ids)) for i in range(50)], "sequence long, n_tokens long, ids binary").repartition(3).mapInArrow(count, "sequence long, n_tokens long, ids binary")
+    shards = slots.write_shards(rows, 50, str(tmp_path), 3, "<u4", 4, 8).withColumn("task", F.spark_partition_id()).collect()
+    assert met.value == 50
+    assert sorted((r.shard, r.slots) for r in shards) == [(i, 8) for i in range(6)] + [(6, 2)]
+    assert len({r.task for r in shards}) == 7
+    assert sorted(r.sequence for r in slots.read_shards(spark, str(tmp_path), "<u4", 4, 8, order=(50, 3)).collect()) == list(range(50))

@@ -99,3 +99,22 @@ def test_caches_of_other_operators_go():
     assert gone == ["one"]
     common.at_work("three", dict)
     assert gone == ["one", "two"]
+
+
+def test_small_letters_of_the_plain_way_are_those_of_the_tokenizer(tokenizer):
+    letters = sorted(tokens._LETTERS)
+    assert pc.utf8_lower(pa.array(letters)).to_pylist() == [c.lower() for c in letters]
+
+
+def test_spellings_of_a_word_go_to_the_model_once(monkeypatch):
+    tokenizer, asked = tokens.WordTokenizer(PATH, "<u2"), []
+
+    class Model:
+        def tokenize(self, word, real=tokenizer.model):
+            asked.append(word)
+            return real.tokenize(word)
+
+    tokenizer.model = Model()
+    words = ["Harbour", "harbour", "HARBOUR,", "harbour&&&", "École", "école."]
+    assert tokenizer._encode(words) == tokenizer._encode_whole(words)
+    assert len(asked) == 2
