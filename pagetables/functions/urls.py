@@ -117,8 +117,10 @@ def drop_trailing_slashes(url: Column) -> Column:
 PATH_MARKS = "!$&'()+,;=:@~"
 
 
-# URLs that are canonical as they stand: no query, fragment or escape, host in lower case.
-PLAIN_URL = r"^(?:[a-z][a-z0-9+.\-]*://[^/?#A-Z]+)?/[A-Za-z0-9/._*!$&'()+,;=:@~-]*$"
+# URLs that are canonical as they stand: no query, fragment or escape, host in lower case. The classes name every character: ranges would be
+# tried one after the other, a list of characters is one look-up.
+_LOWER, _UPPER, _DIGITS = string.ascii_lowercase, string.ascii_uppercase, string.digits
+PLAIN_URL = rf"^(?:[{_LOWER}][{_LOWER}{_DIGITS}+.\-]*+://[^/?#{_UPPER}]++)?/[{_UPPER}{_LOWER}{_DIGITS}/._*!$&'()+,;=:@~\-]*+$"
 
 
 def _normal_escapes(text: Column, form: bool) -> Column:

@@ -16,6 +16,11 @@ from pagetables.profile import SiteProfile
 LINKS_A_SHARE = 50_000
 
 
+def crowded_keys(edges: DataFrame, links_a_share: int = LINKS_A_SHARE) -> DataFrame:
+    """(k) hashes of pages with more links than one share holds: those of all hubs, and at worst of a few other pages."""
+    return edges.groupBy(F.xxhash64("src").alias("k")).count().filter(F.col("count") > links_a_share).select("k")
+
+
 def hub_shares(edges: DataFrame, links_a_share: int = LINKS_A_SHARE) -> DataFrame:
     """(src, shares) of the pages with more links than one share holds, from the degree of every page."""
     degrees = edges.groupBy("src").agg(F.count(F.lit(1)).alias("degree")).filter(F.col("degree") > links_a_share)
@@ -25,13 +30,16 @@ def hub_shares(edges: DataFrame, links_a_share: int = LINKS_A_SHARE) -> DataFram
 def store_edges(edges: DataFrame, folder: str, links_a_share: int = LINKS_A_SHARE) -> tuple[str, DataFrame | None]:
     """Edges as a table bucketed by source, and by share if there are hubs; the table's name, and the shares of the hubs (None without any).
 
-    Pages that are no hubs have share 0 alone. Few pages can be hubs, so they usually come to the edges by broadcast.
+    Pages that are no hubs have share 0 alone. Few pages can be hubs, so they usually come to the edges by broadcast. All links are counted by
+    a number that stands for their page; by the page itself only where that number is a hub's.
     """
     spark = edges.sparkSession
     follow = F.col("follow") if "follow" in edges.columns else F.lit(True)
     plain = store(edges.select("src", "dst", follow.alias("follow")), f"{folder}/plain")
-    hubs = store(hub_shares(plain, links_a_share), f"{folder}/hubs")
-    hubs = None if hubs.isEmpty() else hubs
+    crowded, hubs = store(crowded_keys(plain, links_a_share), f"{folder}/crowded"), None
+    if not crowded.isEmpty():
+        hubs = store(hub_shares(plain.join(crowded, F.xxhash64("src") == F.col("k"), "left_semi"), links_a_share), f"{folder}/hubs")
+        hubs = None if hubs.isEmpty() else hubs
     dealt, keys = plain, ["src"]
     if hubs is not None:
         share = F.pmod(F.xxhash64("dst"), F.coalesce("shares", F.lit(1))).cast("int").alias("share")

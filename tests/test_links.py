@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from pagetables.functions import urls
 from pagetables.operators import fetchlog, links
-from pagetables.plans.crawl import crawl_pages, crawl_reach, next_targets, store_edges
+from pagetables.plans.crawl import crawl_pages, crawl_reach, crowded_keys, next_targets, store_edges
 from pagetables.profile import NEWS_SITE
 
 HOME = "https://wiadomosci.onet.pl/"
@@ -147,6 +147,25 @@ def test_only_hubs_are_dealt_over_shares(spark, tmp_path):
     spark.sql(f"DROP TABLE {table}")
 
 
+def test_links_are_counted_by_numbers(spark):
+    """Degrees of all pages take no URLs through a shuffle; what a shared number may add is sorted out by URL."""
+    edges = spark.range(40).select(F.when(F.col("id") < 12, F.lit("/hub")).otherwise(F.concat(F.lit("/n"), "id")).alias("src"), F.lit("/d").alias("dst"))
+    keys = crowded_keys(edges, 10)
+    exchange = [line for line in keys._jdf.queryExecution().executedPlan().toString().splitlines() if "Exchange hashpartitioning" in line]
+    assert len(exchange) == 1 and "src" not in exchange[0]
+    assert [r.k for r in keys.collect()] == [spark.range(1).select(F.xxhash64(F.lit("/hub")).alias("k")).first().k]
+
+
+def test_plain_urls_are_told_by_one_look_up_a_character(spark):
+    """The pattern names its characters, and takes the URLs that the pattern of ranges took."""
+    ranges = r"^(?:[a-z][a-z0-9+.\-]*://[^/?#A-Z]+)?/[A-Za-z0-9/._*!$&'()+,;=:@~-]*$"
+    assert "a-z" not in urls.PLAIN_URL and "0-9" not in urls.PLAIN_URL
+    forms = ["/{}", "/a{}b", "{}/a", "h{}://e/a", "http://e{}f/a", "http://e/{}", "{}", "/a{}", "http://e{}", "http://{}/"]
+    rows = [(f.replace("{}", c),) for f in forms for c in [*map(chr, range(1, 256)), "", "\u017c", "//", "a\n", "\r\n"]]
+    told = spark.createDataFrame(rows, "u string").select(F.col("u").rlike(ranges).alias("was"), F.col("u").rlike(urls.PLAIN_URL).alias("now"))
+    assert told.filter("was <> now").count() == 0 and told.filter("was").count() > 500
+
+
 CANONICAL = [
     ("HTTP://User@Example.COM:81?b=2&a=1#f", "http://user@example.com:81/?a=1&b=2"),
     ("https://e.com/a%41%2fb%7E/./x?", "https://e.com/aA%2Fb~/./x"),
