@@ -18,10 +18,16 @@ SPACE_CHARS = (
 # be far slower: long unions of ranges are tested range by range, and concurrently running tasks get in each other's way.
 SEPARATORS = "\x1c\x1d\x1e\x1f"
 WORD_PATTERN = r"(?U)\S+"
+# Text with none of these, which are all spaces but blank and newline and some more, has its words counted without a search for each. The first
+# class names each character and the other is one range: a class of both is slow, see above.
+OTHER_SPACE_PATTERNS = (r"[\t\x0b\x0c\r\x1c\x1d\x1e\x1f\x85\xa0]", r"[\u1680-\u3000]")
 
 # Tag pattern, shortest line kept, reading speed.
 TAG_PATTERN = r"</?[^ >/][^>]*+>"
 MIN_LINE_CHARS = 3
+_INK = r"[\S&&[^\x1c-\x1f]]"
+# What a line has that is long enough when stripped; of most lines only the first characters are looked at.
+LONG_LINE_PATTERN = rf"(?Us){_INK}.{{{MIN_LINE_CHARS - 2},}}?{_INK}"
 WORDS_PER_MINUTE = 200
 
 
@@ -131,7 +137,7 @@ def clean_text(text: Column, phrases: Sequence[str] = (), markers: Sequence[str]
     body = cut_at_markers(to_spaces(text, "\xa0"), markers)
     kept = F.filter(
         F.split(body, "\n"),
-        lambda line: (F.char_length(strip(line)) >= MIN_LINE_CHARS) & ~has_any_phrase(line, phrases),
+        lambda line: line.rlike(LONG_LINE_PATTERN) & ~has_any_phrase(line, phrases),
     )
     return strip(F.array_join(kept, "\n"))
 
@@ -142,7 +148,16 @@ def clean_content(blocks: Column, phrases: Sequence[str] = (), markers: Sequence
 
 
 def word_count(text: Column) -> Column:
-    return F.regexp_count(to_spaces(text, SEPARATORS), F.lit(WORD_PATTERN))
+    """Words as str.split() finds them. With single blanks and newlines only, they are what stands between these."""
+    def count(blanked: Column) -> Column:
+        gaps = F.octet_length(blanked) - F.octet_length(F.replace(blanked, F.lit(" "), F.lit("")))
+        between = gaps + 1 - F.startswith(blanked, F.lit(" ")).cast("int") - F.endswith(blanked, F.lit(" ")).cast("int")
+        searched = F.regexp_count(to_spaces(blanked, SEPARATORS), F.lit(WORD_PATTERN))
+        narrow, wide = (blanked.rlike(p) for p in OTHER_SPACE_PATTERNS)
+        single = (blanked != "") & ~F.contains(blanked, F.lit("  ")) & ~narrow & ((F.octet_length(blanked) == F.char_length(blanked)) | ~wide)
+        return F.when(single, between).otherwise(searched)
+
+    return let(F.replace(text, F.lit("\n"), F.lit(" ")), count)
 
 
 def minutes_to_read(words: Column) -> Column:

@@ -186,3 +186,19 @@ def test_fifty_thousand_phrases_cost_no_more_than_the_text(spark, tmp_path):
     begin = time.time()
     assert df.filter(text.has_any_phrase(F.col("line"), rules.scam_phrases)).count() == 800
     assert time.time() - begin < 60  # 200 million containment tests would take far longer
+
+
+def test_words_between_single_blanks_are_not_searched(spark):
+    """As str.split() counts them, whatever stands between them; a search for each word is left to texts with other spaces."""
+    odd = ["", " ", "\n", "a", " a", "a ", "a b", "a  b", " a\nb ", "a\n\nb", "é ü\nß", "”x“ – y", "　", None]
+    odd += [f"x{c}y{c}" for c in text.SPACE_CHARS] + [f"é{c}y {c}z" for c in text.SPACE_CHARS + "᠎​ᚁ﻿"]
+    rows = spark.createDataFrame(list(enumerate(odd)), "i int, t string").select("i", text.word_count(F.col("t")).alias("n"))
+    assert {r.i: r.n for r in rows.collect()} == {i: None if t is None else len(t.split()) for i, t in enumerate(odd)}
+    assert "octet_length" in rows._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_a_line_is_long_enough_by_its_first_characters(spark):
+    parts = ["", "a", "ab", "é", "😀", *text.SPACE_CHARS]
+    lines = [a + b + c for a in parts for b in parts for c in ("", "x", " ", "\x1c", "\xa0")]
+    rows = spark.createDataFrame(list(enumerate(lines)), "i int, t string").select("i", F.col("t").rlike(text.LONG_LINE_PATTERN).alias("long"))
+    assert {r.i: r.long for r in rows.collect()} == {i: len(t.strip()) >= text.MIN_LINE_CHARS for i, t in enumerate(lines)}
